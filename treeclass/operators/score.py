@@ -28,17 +28,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
-from treeclass.operators.joins import small_side
+from treeclass.operators.joins import broadcast_max_rows, small_side
+from treeclass.session import fits
 
 # Confidence gates of the cascade (L1, L2, L3), bounds inclusive.
 DEFAULT_GATES = (0.7, 0.8, 0.9)
 
 
+def _hint(df: DataFrame, broadcast: bool | None) -> DataFrame:
+    if broadcast is None:
+        return small_side(df)
+    return F.broadcast(df) if broadcast else df
+
+
 def class_margins(features: DataFrame, routes: DataFrame, weights: DataFrame,
-                  margin_digits: int | None = None) -> DataFrame:
-    """``id, node, idx, margin`` for every class with at least one shared feature."""
+                  margin_digits: int | None = None,
+                  broadcast_weights: bool | None = None) -> DataFrame:
+    """``id, node, idx, margin`` for every class with at least one shared feature.
+
+    ``broadcast_weights``: None = decide by a row-count check of ``weights``;
+    True/False = a decision the caller already proved.
+    """
     routed = features.join(routes.select("id", "node"), "id")
-    w = small_side(weights.select("node", "idx", "feature", "w"))
+    w = _hint(weights.select("node", "idx", "feature", "w"), broadcast_weights)
     margin = F.sum(F.col("value") * F.col("w"))
     if margin_digits is not None:
         margin = F.round(margin, margin_digits)
@@ -56,23 +68,35 @@ def best_class(margins: DataFrame) -> DataFrame:
 
 
 def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
-                 margin_digits: int | None = None) -> DataFrame:
+                 margin_digits: int | None = None, single_route: bool = False,
+                 broadcast_weights: bool | None = None) -> DataFrame:
     """``id, node, idx, margin, confidence`` for every route (class 0 / 0.5 when
-    no class has a positive margin)."""
-    best = best_class(class_margins(features, routes, weights, margin_digits))
+    no class has a positive margin).
+
+    ``single_route=True`` declares at most one node per item (a cascade level):
+    the result then joins back on ``id`` alone, which keeps the join aligned with
+    an ``id`` partitioning instead of reshuffling on ``(id, node)``.
+    """
+    best = best_class(class_margins(features, routes, weights, margin_digits, broadcast_weights))
     r = routes.select("id", "node")
-    return (r.join(best, ["id", "node"], "left")
+    if single_route:
+        joined = r.join(best.drop("node"), "id", "left")
+    else:
+        joined = r.join(best, ["id", "node"], "left")
+    return (joined
             .select("id", "node", F.coalesce("idx", F.lit(0)).alias("idx"),
                     F.coalesce("margin", F.lit(0.0)).alias("margin"))
             .withColumn("confidence", sigmoid("margin")))
 
 
 def linear_score(routes: DataFrame, features: DataFrame, weights: DataFrame, index: DataFrame,
-                 margin_digits: int | None = None) -> DataFrame:
+                 margin_digits: int | None = None, single_route: bool = False,
+                 broadcast_weights: bool | None = None,
+                 broadcast_index: bool | None = None) -> DataFrame:
     """Adds the predicted child category: ``id, node, idx, category, margin, confidence``."""
-    s = score_routes(routes, features, weights, margin_digits)
-    ix = small_side(index.select(F.col("parent_id").alias("node"), "idx",
-                                 F.col("id").alias("category")))
+    s = score_routes(routes, features, weights, margin_digits, single_route, broadcast_weights)
+    ix = _hint(index.select(F.col("parent_id").alias("node"), "idx",
+                            F.col("id").alias("category")), broadcast_index)
     return s.join(ix, ["node", "idx"], "left").select(
         "id", "node", "idx", "category", "margin", "confidence")
 
@@ -93,11 +117,12 @@ def linear_predict(routes: DataFrame, features: DataFrame, weights: DataFrame,
     return s.select("id", "node", F.col("idx").cast("double").alias("prediction"))
 
 
-def _level(routes, features, weights, models, index, level, margin_digits):
-    nodes = models.where(F.col("level") == level).select("node")
-    r = routes.join(F.broadcast(nodes), "node", "left_semi")
-    w = weights.join(F.broadcast(nodes), "node", "left_semi")
-    return linear_score(r, features, w, index, margin_digits)
+def _level(routes, features, weights, models, index, level, margin_digits, bw, bi):
+    nodes = F.broadcast(models.where(F.col("level") == level).select("node"))
+    r = routes if level == 1 else routes.join(nodes, "node", "left_semi")
+    w = weights.join(nodes, "node", "left_semi")
+    return linear_score(r, features, w, index, margin_digits, single_route=True,
+                        broadcast_weights=bw, broadcast_index=bi)
 
 
 def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
@@ -111,12 +136,19 @@ def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
     ``models`` needs ``node`` and ``level`` (1 = root model, 2 = L1 node, 3 = L2 node).
     """
     g1, g2, _ = gates
+    root_model = not models.where((F.col("level") == 1) & (F.col("node") == 0)).isEmpty()
     r1 = items.select("id", F.lit(0).alias("node"))
-    s1 = _level(r1, features, weights, models, index, 1, margin_digits)
+    if not root_model:
+        r1 = r1.limit(0)
+    # one size check each for the whole weight table and the class index; every
+    # level reads a subset of them
+    bw = fits(weights, broadcast_max_rows(weights))
+    bi = fits(index, broadcast_max_rows(index))
+    s1 = _level(r1, features, weights, models, index, 1, margin_digits, bw, bi)
     r2 = s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))
-    s2 = _level(r2, features, weights, models, index, 2, margin_digits)
+    s2 = _level(r2, features, weights, models, index, 2, margin_digits, bw, bi)
     r3 = s2.where(F.col("confidence") >= g2).select("id", F.col("category").alias("node"))
-    s3 = _level(r3, features, weights, models, index, 3, margin_digits)
+    s3 = _level(r3, features, weights, models, index, 3, margin_digits, bw, bi)
     p1 = s1.select("id", F.col("category").alias("cat1_pred"), F.col("confidence").alias("conf1"))
     p2 = s2.select("id", F.col("category").alias("cat2_pred"), F.col("confidence").alias("conf2"))
     p3 = s3.select("id", F.col("category").alias("cat3_pred"), F.col("confidence").alias("conf3"))

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.text import lemma_base, tag_is_dropped, tokenize
-from treeclass.operators.joins import small_side
+from treeclass.operators.joins import broadcast_max_rows, small_side
+from treeclass.session import default_partitions, fits
 
 
 def words(items: DataFrame) -> DataFrame:
@@ -66,9 +67,20 @@ def word_lemmas(lexicon: DataFrame, stop: DataFrame) -> DataFrame:
             .agg(F.min_by(lemma_base("lemma"), F.col("ordinal")).alias("term")))
 
 
-def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame) -> DataFrame:
+def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame,
+                  items_by_id: bool = False) -> DataFrame:
     """``id, term`` — distinct lemmas of each item, hash-partitioned by ``id``
-    so that per-item aggregations downstream need no further shuffle."""
+    so that per-item aggregations downstream need no further shuffle.
+
+    ``items_by_id=True`` declares ``items`` already hash-partitioned by ``id``;
+    then only the (id, lemma) dedupe runs, in place."""
     per_item = items.select("id", F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
-    resolved = per_item.join(small_side(word_lemmas(lexicon, stop)), "orth")
-    return resolved.select("id", "term").repartition("id").distinct()
+    resolved_words = word_lemmas(lexicon, stop)
+    # |word_lemmas| <= |lexicon|: the lexicon's row count bounds the broadcast side
+    if fits(lexicon, broadcast_max_rows(lexicon)):
+        resolved_words = F.broadcast(resolved_words)
+    resolved = per_item.join(resolved_words, "orth")
+    pairs = resolved.select("id", "term")
+    if not items_by_id:
+        pairs = pairs.repartition(default_partitions(items.sparkSession), "id")
+    return pairs.distinct()

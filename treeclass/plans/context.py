@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import md5_hash
 from treeclass.operators import encode, taxonomy, text
+from treeclass.session import cut_lineage, spread_if_undersplit, write_bucketed
 from treeclass.sources import fixture
 
 MARGIN_DIGITS = 6
@@ -29,9 +30,13 @@ class Context:
         self.sf_dir = sf_dir.rstrip("/")
 
     # --- inputs -------------------------------------------------------------
+    @cached_property
+    def _items(self):
+        return spread_if_undersplit(fixture.items(self.spark, self.sf_dir), "id")
+
     @cached_property
     def items(self) -> DataFrame:
-        return fixture.items(self.spark, self.sf_dir)
+        return self._items[0]
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -43,7 +48,8 @@ class Context:
 
     @cached_property
     def lexicon(self) -> DataFrame:
-        return fixture.lexicon(self.spark, self.sf_dir)
+        # an input table in practice; materialised once so size checks are cheap
+        return cut_lineage(fixture.lexicon(self.spark, self.sf_dir, self.items))
 
     @cached_property
     def stop(self) -> DataFrame:
@@ -60,12 +66,17 @@ class Context:
 
     @cached_property
     def models(self) -> DataFrame:
-        return encode.trainable_nodes(self.labels, self.category)
+        # the model table (taxonomy-sized): materialised once
+        return cut_lineage(encode.trainable_nodes(self.labels, self.category))
 
     # --- text ---------------------------------------------------------------
     @cached_property
     def bag(self) -> DataFrame:
-        return text.process_title(self.items, self.lexicon, self.stop)
+        # read by the weights and by every cascade level: written once as a
+        # table bucketed by item id, so scoring levels never reshuffle it
+        items, by_id = self._items
+        bag = text.process_title(items, self.lexicon, self.stop, items_by_id=by_id)
+        return write_bucketed(bag, "id", "bag", partitioned=True)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -83,6 +94,7 @@ class Context:
         ix = F.broadcast(self.index.where(F.col("idx") > 0)
                          .select(F.col("id").alias("cat"), F.col("parent_id").alias("node"), "idx"))
         key = F.concat(F.col("cat").cast("string"), F.lit(":"), F.col("term"))
-        return cat_terms.join(ix, "cat").select(
+        # a model artifact in practice (a parquet table): materialised once
+        return cut_lineage(cat_terms.join(ix, "cat").select(
             "node", "idx", F.col("term").alias("feature"),
-            ((md5_hash(key) % 2001 - 1000).cast("double") / 1000.0).alias("w"))
+            ((md5_hash(key) % 2001 - 1000).cast("double") / 1000.0).alias("w")))

@@ -57,6 +57,42 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def default_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """Hash-spread ``df`` by ``key`` when its scan has fewer splits than the
+    cluster has cores (a single file or row group would otherwise pin a whole
+    stage on one task).  A large, well-split input is returned untouched.
+    Returns ``(frame, partitioned_by_key)``.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(default_partitions(spark), key), True
+    return df, False
+
+
+def write_bucketed(df: DataFrame, key: str, name: str, num_buckets: int | None = None,
+                   partitioned: bool = False) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``key`` in the shared
+    folder and return the table.
+
+    Scans of the table report hash partitioning on ``key``, so joins with
+    another side on ``key`` shuffle only that side, and aggregations keyed by
+    ``key`` (plus anything) need no exchange at all.
+    """
+    spark = df.sparkSession
+    n = num_buckets or default_partitions(spark)
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    # one file per bucket per task: group rows by key first unless they already are
+    src = df if partitioned else df.repartition(n, key)
+    (src.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+     .option("path", scratch_path(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Proven size bound: True iff ``df`` has at most ``max_rows`` rows.
 
