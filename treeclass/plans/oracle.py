@@ -274,6 +274,7 @@ select id, node, idx, case when idx > 0 then 0.5 else 0.0 end as confidence from
 select id, cat1_pred, round(conf1, 6) as conf1, cat2_pred, round(conf2, 6) as conf2,
        cat3_pred, round(conf3, 6) as conf3 from cascade""",
     "cascade_decode": "select id, depth, category from decoded",
+    "stream_cascade_decode": "select id, depth, category from decoded",
     # evaluation
     "category_cost": """
 select p.a, p.b, case when p.a = p.b then 0 else (

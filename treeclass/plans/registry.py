@@ -345,6 +345,21 @@ def cascade_decode(spark, sf_dir):
     return score.cascade_decode(_cascade(_ctx(spark, sf_dir)))
 
 
+def stream_cascade_decode(spark, sf_dir):
+    """The cascade run as a Structured Streaming query over the documents
+    folder (file source, available-now trigger), read back from its sink."""
+    from treeclass.streaming import classify_stream
+    c = _ctx(spark, sf_dir)
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+              .parquet(sf_dir).select(F.col("doc_id").alias("id"), F.col("text").alias("title")))
+    out = scratch_path(spark, "stream-out")
+    q = classify_stream(stream, c.lexicon, c.stop, c.weights, c.models, c.index, out,
+                        scratch_path(spark, "stream-ckpt"), margin_digits=MARGIN_DIGITS)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("id", "depth", "category")
+
+
 # --- evaluation --------------------------------------------------------------
 def category_cost(spark, sf_dir):
     c = _ctx(spark, sf_dir)
@@ -486,6 +501,7 @@ QUERIES = {
     "linear_predict": linear_predict,
     "cascade_predict": cascade_predict,
     "cascade_decode": cascade_decode,
+    "stream_cascade_decode": stream_cascade_decode,
     # evaluation
     "category_cost": category_cost,
     "category_frequency": category_frequency,
