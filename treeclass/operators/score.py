@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
 from treeclass.operators.joins import broadcast_max_rows, small_side
-from treeclass.session import fits
+from treeclass.session import default_partitions, fits
 
 # Confidence gates of the cascade (L1, L2, L3), bounds inclusive.
 DEFAULT_GATES = (0.7, 0.8, 0.9)
@@ -49,7 +49,10 @@ def class_margins(features: DataFrame, routes: DataFrame, weights: DataFrame,
     ``broadcast_weights``: None = decide by a row-count check of ``weights``;
     True/False = a decision the caller already proved.
     """
-    routed = features.join(routes.select("id", "node"), "id")
+    # features are the big side: never broadcast them on a (compressed-size)
+    # estimate; a merge join reads them from their id buckets and shuffles only
+    # the routes
+    routed = features.hint("merge").join(routes.select("id", "node"), "id")
     w = _hint(weights.select("node", "idx", "feature", "w"), broadcast_weights)
     margin = F.sum(F.col("value") * F.col("w"))
     if margin_digits is not None:
@@ -144,9 +147,14 @@ def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
     # level reads a subset of them
     bw = fits(weights, broadcast_max_rows(weights))
     bi = fits(index, broadcast_max_rows(index))
-    s1 = _level(r1, features, weights, models, index, 1, margin_digits, bw, bi)
+    # Each level's per-item result feeds the next level and the final join.  An
+    # explicit hash exchange on id (same count as the feature buckets) is
+    # computed once and reused by both consumers, and stays co-partitioned with
+    # features partitioned/bucketed by id, so the features are never reshuffled.
+    n = default_partitions(items.sparkSession)
+    s1 = _level(r1, features, weights, models, index, 1, margin_digits, bw, bi).repartition(n, "id")
     r2 = s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))
-    s2 = _level(r2, features, weights, models, index, 2, margin_digits, bw, bi)
+    s2 = _level(r2, features, weights, models, index, 2, margin_digits, bw, bi).repartition(n, "id")
     r3 = s2.where(F.col("confidence") >= g2).select("id", F.col("category").alias("node"))
     s3 = _level(r3, features, weights, models, index, 3, margin_digits, bw, bi)
     p1 = s1.select("id", F.col("category").alias("cat1_pred"), F.col("confidence").alias("conf1"))

@@ -65,12 +65,14 @@ def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
     """Hash-spread ``df`` by ``key`` when its scan has fewer splits than the
     cluster has cores (a single file or row group would otherwise pin a whole
     stage on one task).  A large, well-split input is returned untouched.
-    Returns ``(frame, partitioned_by_key)``.
+    Returns ``(frame, partitioned_by_key)``; a spread frame is persisted
+    (recomputable from the source if an executor is lost).
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(default_partitions(spark), key), True
+        # kept (memory, spilling to disk) so later scans reuse the spread copy
+        return df.repartition(default_partitions(spark), key).persist(), True
     return df, False
 
 
