@@ -34,15 +34,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
     if root:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
         return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
+    # unset (local tests only): a private folder
     root = tempfile.mkdtemp(prefix="treeclass-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+    spark.conf.set("spark.checkpoint.dir", root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -69,8 +76,12 @@ def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
     (recomputable from the source if an executor is lost).
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
+        return df, False
+    if splits < cores:
         # kept (memory, spilling to disk) so later scans reuse the spread copy
         return df.repartition(default_partitions(spark), key).persist(), True
     return df, False
