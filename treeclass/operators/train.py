@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from treeclass.operators.encode import node_rows
 from treeclass.operators.joins import small_side
+from treeclass.session import scratch_path
 
 # Solver settings of the reference (10 L-BFGS iterations, L2 0.01,
 # no intercept).
@@ -85,21 +86,30 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
                     parallelism: int = 4, model_dir: str | None = None):
     """Fit every node of ``nodes(node, level, num_classes)``.
 
-    ``vectors(id, features)`` should be cached or checkpointed by the caller: it is
-    scanned once per fit.  Returns ``(weights, models)`` DataFrames; with
-    ``model_dir`` each fitted model is also saved as ``{model_dir}/node={node}``.
+    The labelled vectors of all nodes are written once as a table partitioned by
+    node in the shared folder (an item sits in at most three node sets), so each
+    fit reads only its own partition instead of scanning every item vector.
+    Returns ``(weights, models)`` DataFrames; with ``model_dir`` each fitted model
+    is also saved as ``{model_dir}/node={node}``.
     """
     spark = labels.sparkSession
     rows = node_training_rows(labels, index)
     todo = [(int(r["node"]), int(r["level"]), int(r["num_classes"]))
             for r in nodes.select("node", "level", "num_classes").collect()]
+    fit_nodes = [n for n, _, k in todo if k >= 2]
+    table = scratch_path(spark, "node-training")
+    if fit_nodes:
+        (rows.where(F.col("node").isin(fit_nodes)).join(vectors, "id")
+         .select("node", "label", "features")
+         # no repartition by node: the root holds every item, so each task
+         # writes its own rows into the per-node folders instead
+         .write.partitionBy("node").parquet(table))
 
     def run(task):
         node, level, k = task
         if k < 2:
             return node, level, k, None
-        data = (rows.where(F.col("node") == node).select("id", "label")
-                .join(vectors, "id").select("label", "features"))
+        data = spark.read.parquet(table).where(F.col("node") == node).select("label", "features")
         model = fit_lr(data, k, max_iter, reg_param)
         if model_dir:
             model.write().overwrite().save(f"{model_dir}/node={node}")
