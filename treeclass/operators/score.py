@@ -128,6 +128,15 @@ def _level(routes, features, weights, models, index, level, margin_digits, bw, b
                         broadcast_weights=bw, broadcast_index=bi)
 
 
+def _partitions_of(df: DataFrame) -> int:
+    """Partitions ``df`` has when clustered by ``id`` (its bucket count for a
+    table bucketed by id, else the shuffle partition count); planning only."""
+    try:
+        return df.groupBy("id").count().rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access
+        return default_partitions(df.sparkSession)
+
+
 def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
                     models: DataFrame, index: DataFrame, gates=DEFAULT_GATES,
                     margin_digits: int | None = None) -> DataFrame:
@@ -151,7 +160,7 @@ def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
     # explicit hash exchange on id (same count as the feature buckets) is
     # computed once and reused by both consumers, and stays co-partitioned with
     # features partitioned/bucketed by id, so the features are never reshuffled.
-    n = default_partitions(items.sparkSession)
+    n = _partitions_of(features)
     s1 = _level(r1, features, weights, models, index, 1, margin_digits, bw, bi).repartition(n, "id")
     r2 = s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))
     s2 = _level(r2, features, weights, models, index, 2, margin_digits, bw, bi).repartition(n, "id")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.text import lemma_base, tag_is_dropped, tokenize
 from treeclass.operators.joins import broadcast_max_rows, small_side
-from treeclass.session import default_partitions, fits
+from treeclass.session import fits, id_partitions
 
 
 def words(items: DataFrame) -> DataFrame:
@@ -82,5 +82,5 @@ def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame,
     resolved = per_item.join(resolved_words, "orth")
     pairs = resolved.select("id", "term")
     if not items_by_id:
-        pairs = pairs.repartition(default_partitions(items.sparkSession), "id")
+        pairs = pairs.repartition(id_partitions(items), "id")
     return pairs.distinct()

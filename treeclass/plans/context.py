@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import md5_hash
 from treeclass.operators import encode, taxonomy, text
-from treeclass.session import cut_lineage, spread_if_undersplit, write_bucketed
+from treeclass.session import cut_lineage, id_partitions, spread_if_undersplit, write_bucketed
 from treeclass.sources import fixture
 
 MARGIN_DIGITS = 6
@@ -76,7 +76,7 @@ class Context:
         # table bucketed by item id, so scoring levels never reshuffle it
         items, by_id = self._items
         bag = text.process_title(items, self.lexicon, self.stop, items_by_id=by_id)
-        return write_bucketed(bag, "id", "bag", partitioned=True)
+        return write_bucketed(bag, "id", "bag", num_buckets=id_partitions(items), partitioned=True)
 
     @cached_property
     def features(self) -> DataFrame:

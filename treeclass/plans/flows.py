@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
-from treeclass.session import spread_if_undersplit, write_bucketed
+from treeclass.session import id_partitions, spread_if_undersplit, write_bucketed
 from treeclass.sources import tsv
 
 
@@ -35,7 +35,7 @@ def build_features(items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_bu
     if idf_table is None:
         idf_table = features.idf(tf, items.count())
     long = features.tfidf(tf, idf_table).select("id", F.col("bucket").alias("feature"), "value")
-    return write_bucketed(long, "id", "features"), idf_table
+    return write_bucketed(long, "id", "features", num_buckets=id_partitions(spread)), idf_table
 
 
 def classify(spark: SparkSession, training_path: str, test_path: str, categories_path: str,

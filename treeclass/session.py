@@ -68,6 +68,21 @@ def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def id_partitions(df: DataFrame) -> int:
+    """Partition / bucket count for per-item tables derived from ``df``: the
+    configured shuffle partitions, but no more than the input warrants
+    (its split count, at least the core count).  A cluster at scale gets its
+    configured count; a tiny input does not become hundreds of tiny buckets."""
+    spark = df.sparkSession
+    shuffle = default_partitions(spark)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access
+        return shuffle
+    return max(1, min(shuffle, max(cores, splits)))
+
+
 def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
     """Hash-spread ``df`` by ``key`` when its scan has fewer splits than the
     cluster has cores (a single file or row group would otherwise pin a whole
@@ -83,7 +98,7 @@ def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
         return df, False
     if splits < cores:
         # kept (memory, spilling to disk) so later scans reuse the spread copy
-        return df.repartition(default_partitions(spark), key).persist(), True
+        return df.repartition(id_partitions(df), key).persist(), True
     return df, False
 
 
