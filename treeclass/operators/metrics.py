@@ -122,14 +122,16 @@ def mean_hier_cost(pred: DataFrame, closure: DataFrame, mode: str = "exact") ->
         F.try_divide(F.col("total_cost").cast("double"), F.col("n")).alias("mean_cost"))
 
 
-def selective_accuracy(decoded: DataFrame, truth: DataFrame, compare: str = "id") -> DataFrame:
+def selective_accuracy(decoded: DataFrame, truth: DataFrame, compare: str = "id",
+                       index: DataFrame | None = None) -> DataFrame:
     """``n_correct, n_resolved, selective_accuracy`` over rows with depth != 0.
 
     ``decoded(id, depth, category)`` from the cascade, ``truth(id, cat1, cat2, cat3)``.
     ``compare='id'`` compares category ids at the accepted depth.
     ``compare='local_index'`` compares in-parent class indexes instead (the
-    reference's form); it needs ``l1_idx, l2_idx, l3_idx`` in ``truth`` and
-    ``idx`` (the predicted in-parent index) in ``decoded``.
+    reference's form, where a wrong parent with the same local index counts as
+    right); it needs ``truth`` from ``label_encode`` (``l1_idx, l2_idx, l3_idx``)
+    and the class ``index`` to map predicted categories to their local index.
     """
     j = decoded.join(truth, "id")
     if compare == "id":
@@ -137,9 +139,13 @@ def selective_accuracy(decoded: DataFrame, truth: DataFrame, compare: str = "id"
                                       .when(F.col("depth") == 2, F.col("cat2"))
                                       .when(F.col("depth") == 3, F.col("cat3")))
     elif compare == "local_index":
-        right = F.col("idx") == (F.when(F.col("depth") == 1, F.col("l1_idx"))
-                                 .when(F.col("depth") == 2, F.col("l2_idx"))
-                                 .when(F.col("depth") == 3, F.col("l3_idx")))
+        if index is None:
+            raise ValueError("compare='local_index' needs the class index")
+        ix = F.broadcast(index.select(F.col("id").alias("category"), F.col("idx").alias("pred_idx")))
+        j = j.join(ix, "category", "left")
+        right = F.col("pred_idx") == (F.when(F.col("depth") == 1, F.col("l1_idx"))
+                                      .when(F.col("depth") == 2, F.col("l2_idx"))
+                                      .when(F.col("depth") == 3, F.col("l3_idx")))
     else:
         raise ValueError("compare must be 'id' or 'local_index'")
     resolved = F.col("depth") != 0

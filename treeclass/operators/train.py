@@ -83,7 +83,7 @@ def node_training_rows(labels: DataFrame, index: DataFrame) -> DataFrame:
 
 def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vectors: DataFrame,
                     num_features: int, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM,
-                    parallelism: int = 4, model_dir: str | None = None):
+                    parallelism: int = 8, model_dir: str | None = None):
     """Fit every node of ``nodes(node, level, num_classes)``.
 
     The labelled vectors of all nodes are written once as a table partitioned by

@@ -275,11 +275,25 @@ select id, cat1_pred, round(conf1, 6) as conf1, cat2_pred, round(conf2, 6) as co
        cat3_pred, round(conf3, 6) as conf3 from cascade""",
     "cascade_decode": "select id, depth, category from decoded",
     "stream_cascade_decode": "select id, depth, category from decoded",
+    "cascade_decode_level1": """
+select id,
+       cast(case when cat2_pred is null and conf1 >= 0.7 then 1 when cat2_pred is null then 0
+                 when coalesce(conf3, -1) < 0.9 then 2 else 3 end as int) as depth,
+       cast(case when cat2_pred is null and conf1 >= 0.7 then cat1_pred when cat2_pred is null then 0
+                 when coalesce(conf3, -1) < 0.9 then cat2_pred else cat3_pred end as int) as category
+from cascade""",
     # evaluation
     "category_cost": """
 select p.a, p.b, case when p.a = p.b then 0 else (
          select cast(min_by(u.hops + 2 * q.p, u.hops) as int) from pos q join up u on q.anc = u.anc
          where q.a = p.a and u.b = p.b) end as cost
+from (select distinct coalesce(a.cat3, a.cat2, a.cat1) as a, d.category as b
+      from decoded d join ad_labels a on a.id = d.id where d.category <> 0) p""",
+    "category_cost_tree": """
+select p.a, p.b, case when p.a = p.b then 0 else (
+         select cast(min_by(u.hops + 2 * q.p, u.hops) as int)
+         from (select id as a, anc, hops as p from closure union all select id, 0, depth from depth) q
+         join up u on q.anc = u.anc where q.a = p.a and u.b = p.b) end as cost
 from (select distinct coalesce(a.cat3, a.cat2, a.cat1) as a, d.category as b
       from decoded d join ad_labels a on a.id = d.id where d.category <> 0) p""",
     "category_frequency": """
@@ -305,6 +319,14 @@ from root_pred r left join (
     "selective_accuracy": """
 select cast(n_correct as bigint) as n_correct, cast(n_resolved as bigint) as n_resolved,
        round(n_correct / n_resolved, 9) as selective_accuracy from selective""",
+    "selective_accuracy_local_index": """
+select cast(sum(case when d.depth <> 0 and x.idx = case d.depth when 1 then e.l1_idx when 2 then e.l2_idx
+                     when 3 then e.l3_idx end then 1 else 0 end) as bigint) as n_correct,
+       cast(sum(case when d.depth <> 0 then 1 else 0 end) as bigint) as n_resolved,
+       round(sum(case when d.depth <> 0 and x.idx = case d.depth when 1 then e.l1_idx when 2 then e.l2_idx
+                      when 3 then e.l3_idx end then 1 else 0 end)
+             / sum(case when d.depth <> 0 then 1 else 0 end), 9) as selective_accuracy
+from decoded d join encoded e on e.id = d.id left join category_index x on x.id = d.category""",
     "accuracy": """
 select count(*) as n, cast(sum(case when l1_idx = idx then 1 else 0 end) as bigint) as n_correct,
        round(sum(case when l1_idx = idx then 1 else 0 end) / count(*), 9) as accuracy from root_pred""",

@@ -404,6 +404,25 @@ def selective_accuracy(spark, sf_dir):
     return s.select("n_correct", "n_resolved", F.round("selective_accuracy", R9).alias("selective_accuracy"))
 
 
+def selective_accuracy_local_index(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    truth = encode.label_encode(c.labels, c.index)
+    s = metrics.selective_accuracy(score.cascade_decode(_cascade(c)), truth, "local_index", c.index)
+    return s.select("n_correct", "n_resolved", F.round("selective_accuracy", R9).alias("selective_accuracy"))
+
+
+def category_cost_tree(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    dec = score.cascade_decode(_cascade(c)).where(F.col("category") != 0)
+    pairs = (dec.join(encode.deepest_category(c.labels).withColumnRenamed("category", "a"), "id")
+             .select("a", F.col("category").alias("b")))
+    return metrics.pair_cost(pairs, c.closure, mode="tree")
+
+
+def cascade_decode_level1(spark, sf_dir):
+    return score.cascade_decode(_cascade(_ctx(spark, sf_dir)), emit_level1=True)
+
+
 def _root_index_predictions(c: Context) -> DataFrame:
     enc = encode.label_encode(c.labels, c.index).select("id", F.col("l1_idx").cast("double").alias("label"))
     p = _root_predictions(c).select("id", F.col("idx").cast("double").alias("prediction"))
@@ -502,12 +521,15 @@ QUERIES = {
     "cascade_predict": cascade_predict,
     "cascade_decode": cascade_decode,
     "stream_cascade_decode": stream_cascade_decode,
+    "cascade_decode_level1": cascade_decode_level1,
     # evaluation
     "category_cost": category_cost,
+    "category_cost_tree": category_cost_tree,
     "category_frequency": category_frequency,
     "category_weights": category_weights,
     "mean_hier_cost": mean_hier_cost,
     "selective_accuracy": selective_accuracy,
+    "selective_accuracy_local_index": selective_accuracy_local_index,
     "accuracy": accuracy,
     "multiclass_metrics": multiclass_metrics,
     # training
