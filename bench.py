@@ -1,8 +1,10 @@
 """Benchmark the headline queries.
 
-Runs each query end to end (its fixture tables included) on
-``local[$BENCH_CPUS]`` against ``$BENCH_SF_DIR`` and forces full execution
-with the ``noop`` sink (no collect).  Prints one JSON line.
+Builds the shared inputs once (timed as ``fixture_prepare``), then runs each
+query on ``local[$BENCH_CPUS]`` against ``$BENCH_SF_DIR`` and forces full
+execution with the ``noop`` sink (no collect).  Text and feature queries
+recompute their own step from the items.  Prints one JSON line; ``value`` is
+the sum of all timings, preparation included.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from treeclass.plans import registry  # noqa: E402
+from treeclass.plans.context import Context  # noqa: E402
 from treeclass.session import build_session  # noqa: E402
 
 HEADLINE = ["process_title", "tfidf", "category_cost", "cascade_predict", "cascade_decode",
@@ -31,6 +34,11 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").write.format("noop").mode(
         "overwrite").save()
     times = {}
+    # shared inputs every query reads (lexicon, taxonomy, feature table, weights,
+    # model table): built once, timed on their own and counted in the total
+    t0 = time.time()
+    Context.shared(spark, sf_dir).prepare()
+    times["fixture_prepare"] = round(time.time() - t0, 3)
     for name in names:
         t0 = time.time()
         df = registry.QUERIES[name](spark, sf_dir)

@@ -43,17 +43,22 @@ def _climb(closure: DataFrame, depth: DataFrame) -> DataFrame:
     return closure.select(F.col("id").alias("b"), "anc", "hops").unionByName(root)
 
 
-def pair_cost(pairs: DataFrame, closure: DataFrame, mode: str = "exact") -> DataFrame:
-    """``a, b, cost`` for the given ``(a, b)`` pairs (deduplicated)."""
+def pair_cost(pairs: DataFrame, closure: DataFrame, mode: str = "exact",
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """``a, b, cost`` (plus ``carry`` columns) for the given ``(a, b)`` pairs.
+
+    One pass: each pair meets its ancestor tables on equi-keys; ``a = b`` meets
+    itself at 0 steps and position 0, so equal pairs cost 0 without a branch
+    (the input is consumed once).  Pairs are deduplicated on ``a, b, carry``.
+    """
     depth = category_depth(closure)
     pos = F.broadcast(_path_positions(closure, depth, mode))
     up = F.broadcast(_climb(closure, depth))
-    p = pairs.select("a", "b").distinct()
-    same = p.where(F.col("a") == F.col("b")).select("a", "b", F.lit(0).alias("cost"))
-    diff = (p.where(F.col("a") != F.col("b")).join(pos, "a").join(up, ["b", "anc"])
-            .groupBy("a", "b")
+    keys = ["a", "b", *carry]
+    p = pairs.select(*keys).distinct()
+    return (p.join(pos, "a").join(up, ["b", "anc"])
+            .groupBy(*keys)
             .agg(F.min_by(F.col("hops") + 2 * F.col("p"), F.col("hops")).cast("int").alias("cost")))
-    return same.unionByName(diff)
 
 
 def cost_row_sums(category: DataFrame, closure: DataFrame) -> DataFrame:
@@ -108,14 +113,19 @@ def category_weights(freq: DataFrame, row_sums: DataFrame, num_categories: int)
 
 def mean_hier_cost(pred: DataFrame, closure: DataFrame, mode: str = "exact") -> DataFrame:
     """``n, total_cost, mean_cost`` over ``pred(id, label, prediction)`` (category
-    ids).  Correct rows cost 0 but count; mispredictions are pre-aggregated per
-    (label, prediction) pair before the cost lookup."""
+    ids).  Correct rows cost 0 but count.  Rows are pre-aggregated per (label,
+    prediction) pair before the cost lookup, and the input is read once."""
     pairs = (pred.groupBy(F.col("label").alias("a"), F.col("prediction").alias("b"))
              .agg(F.count("*").alias("n")))
-    costs = pair_cost(pairs.where(F.col("a") != F.col("b")), closure, mode)
-    agg = (pairs.join(costs, ["a", "b"], "left")
-           .agg(F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.coalesce("cost", F.lit(0))).alias("total_cost")))
+    depth = category_depth(closure)
+    pos = F.broadcast(_path_positions(closure, depth, mode))
+    up = F.broadcast(_climb(closure, depth))
+    # left joins keep every pair (and its count) even if a category were unknown
+    per_pair = (pairs.join(pos, "a", "left").join(up, ["b", "anc"], "left")
+                .groupBy("a", "b", "n")
+                .agg(F.min_by(F.col("hops") + 2 * F.col("p"), F.col("hops")).alias("cost")))
+    agg = per_pair.agg(F.sum("n").alias("n"),
+                       F.sum(F.col("n") * F.coalesce("cost", F.lit(0))).alias("total_cost"))
     return agg.select(
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
         F.coalesce("total_cost", F.lit(0)).cast("long").alias("total_cost"),

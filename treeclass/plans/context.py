@@ -25,10 +25,29 @@ MARGIN_DIGITS = 6
 
 
 class Context:
+    _shared: dict = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Context":
+        """One context per (session, folder): its materialised inputs (lexicon,
+        taxonomy, feature table, weights, model table) are built once and read by
+        every query, as a scoring job reads a stored feature table and model."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        ctx = cls._shared.get(key)
+        if ctx is None or ctx.spark is not spark:
+            ctx = cls._shared[key] = cls(spark, sf_dir)
+        return ctx
+
+    def prepare(self) -> "Context":
+        """Materialise every shared input now."""
+        for name in ("category", "index", "closure", "lexicon", "bag", "weights", "models"):
+            getattr(self, name)
+        return self
+
     # --- inputs -------------------------------------------------------------
     @cached_property
     def _items(self):

@@ -23,7 +23,13 @@ R9 = 9
 
 
 def _ctx(spark, sf_dir) -> Context:
-    return Context(spark, sf_dir)
+    return Context.shared(spark, sf_dir)
+
+
+def _fresh_bag(c: Context) -> DataFrame:
+    """The lemma bag computed now from the items (for queries whose output is
+    the text step itself, so its work is always measured)."""
+    return text.process_title(c.items, c.lexicon, c.stop)
 
 
 # --- sources / sinks ---------------------------------------------------------
@@ -239,12 +245,12 @@ def lemma_base(spark, sf_dir):
 
 
 def process_title(spark, sf_dir):
-    return _ctx(spark, sf_dir).bag
+    return _fresh_bag(_ctx(spark, sf_dir))
 
 
 # --- features ----------------------------------------------------------------
 def hashing_tf(spark, sf_dir):
-    return features.hashing_tf(_ctx(spark, sf_dir).bag, NUM_BUCKETS, "md5")
+    return features.hashing_tf(_fresh_bag(_ctx(spark, sf_dir)), NUM_BUCKETS, "md5")
 
 
 def _idf(c: Context):
@@ -267,7 +273,7 @@ def idf_union_corpus(spark, sf_dir):
 
 
 def _tfidf(c: Context):
-    tf = features.hashing_tf(c.bag, NUM_BUCKETS, "md5")
+    tf = features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5")
     return features.tfidf(tf, features.idf(tf, c.items.count()))
 
 
