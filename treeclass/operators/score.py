@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
 from treeclass.operators.joins import broadcast_max_rows, small_side
-from treeclass.session import default_partitions, fits
+from treeclass.session import cut_lineage, fits
 
 # Confidence gates of the cascade (L1, L2, L3), bounds inclusive.
 DEFAULT_GATES = (0.7, 0.8, 0.9)
@@ -128,20 +128,15 @@ def _level(routes, features, weights, models, index, level, margin_digits, bw, b
                         broadcast_weights=bw, broadcast_index=bi)
 
 
-def _partitions_of(df: DataFrame) -> int:
-    """Partitions ``df`` has when clustered by ``id`` (its bucket count for a
-    table bucketed by id, else the shuffle partition count); planning only."""
-    try:
-        return df.groupBy("id").count().rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access
-        return default_partitions(df.sparkSession)
-
-
 def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
                     models: DataFrame, index: DataFrame, gates=DEFAULT_GATES,
-                    margin_digits: int | None = None) -> DataFrame:
+                    margin_digits: int | None = None,
+                    materialize_levels: bool = True) -> DataFrame:
     """Top-down cascade: ``id, cat1_pred, conf1, cat2_pred, conf2, cat3_pred, conf3``.
 
+    With ``materialize_levels`` (default) levels 1 and 2 run eagerly when this is
+    called (each once, checkpointed); level 3 and the final assembly stay lazy.
+
     Level 1 scores every item at the root; an item descends to its predicted L1
     node when ``conf1 >= gates[0]`` and that node has a model, and to its
     predicted L2 node when also ``conf2 >= gates[1]`` and that node has a model.
@@ -156,14 +151,16 @@ def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
     # level reads a subset of them
     bw = fits(weights, broadcast_max_rows(weights))
     bi = fits(index, broadcast_max_rows(index))
-    # Each level's per-item result feeds the next level and the final join.  An
-    # explicit hash exchange on id (same count as the feature buckets) is
-    # computed once and reused by both consumers, and stays co-partitioned with
-    # features partitioned/bucketed by id, so the features are never reshuffled.
-    n = _partitions_of(features)
-    s1 = _level(r1, features, weights, models, index, 1, margin_digits, bw, bi).repartition(n, "id")
+    # Each level's per-item result feeds the next level and the final join.  It
+    # is materialised once (a reliable checkpoint in the shared folder: items x a
+    # few columns) instead of being recomputed by every consumer; the next level
+    # joins it to the id-bucketed features by shuffling only this small table.
+    def keep(df):
+        return cut_lineage(df) if materialize_levels else df
+
+    s1 = keep(_level(r1, features, weights, models, index, 1, margin_digits, bw, bi))
     r2 = s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))
-    s2 = _level(r2, features, weights, models, index, 2, margin_digits, bw, bi).repartition(n, "id")
+    s2 = keep(_level(r2, features, weights, models, index, 2, margin_digits, bw, bi))
     r3 = s2.where(F.col("confidence") >= g2).select("id", F.col("category").alias("node"))
     s3 = _level(r3, features, weights, models, index, 3, margin_digits, bw, bi)
     p1 = s1.select("id", F.col("category").alias("cat1_pred"), F.col("confidence").alias("conf1"))
