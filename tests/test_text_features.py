@@ -75,3 +75,16 @@ def test_process_title_equals_per_position_chain_on_corpus(spark):
     fast = text.process_title(items, lexicon, stop)
     assert chain.count() == fast.count() > 0
     assert chain.exceptAll(fast).count() == 0
+
+
+def test_jvm_tfidf_vectors_equal_udf_vectors(spark):
+    from treeclass.plans.context import Context
+    c = Context(spark, "/root/testdata/sf0.001")
+    tf = features.hashing_tf(c.bag, 512)
+    idf_t = features.idf(tf, c.items.count())
+    a = {r.id: r.features for r in features.tfidf_vectors(c.items, tf, idf_t, 512).collect()}
+    b = {r.id: r.features for r in features.to_vectors(c.items, features.tfidf(tf, idf_t), 512).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert list(a[k].indices) == list(b[k].indices)
+        assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a[k].values, b[k].values))

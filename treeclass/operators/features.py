@@ -62,15 +62,44 @@ def fit_tfidf(items: DataFrame, bag: DataFrame, num_buckets: int = CASCADE_BUCKE
     return tfidf(tf, idf_table), idf_table
 
 
+def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame, num_buckets: int) -> DataFrame:
+    """``id, features`` = tf x idf sparse vectors, built without Python.
+
+    Each item's buckets become tokens (bucket id as text, repeated ``tf`` times;
+    grouped per item, so bounded by that item's terms), a count vectorizer whose
+    vocabulary is the bucket ids ``0..n-1`` turns them into sparse count vectors,
+    and an element-wise product scales them by the IDF (a dense vector of
+    ``num_buckets`` values: bounded by the parameter, not by the data).  Items
+    without terms get an empty vector.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+    from pyspark.ml.linalg import DenseVector
+
+    tokens = (tf.select("id", F.array_repeat(F.col("bucket").cast("string"), F.col("tf").cast("int"))
+                        .alias("t"))
+              .groupBy("id").agg(F.flatten(F.collect_list("t")).alias("tokens")))
+    docs = items.select("id").join(tokens, "id", "left").select(
+        "id", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
+    vocab = [str(i) for i in range(num_buckets)]
+    counts = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="tf_vec").transform(docs)
+    scale = [0.0] * num_buckets
+    for r in idf_table.select("bucket", "idf").collect():  # <= num_buckets rows
+        scale[int(r["bucket"])] = float(r["idf"])
+    prod = ElementwiseProduct(scalingVec=DenseVector(scale), inputCol="tf_vec", outputCol="features")
+    return prod.transform(counts).select("id", "features")
+
+
 @F.udf(returnType=VectorUDT(), useArrow=True)
 def _sparse(size, indices, values):
     return SparseVector(int(size), list(indices or []), list(values or []))
 
 
 def to_vectors(items: DataFrame, long_features: DataFrame, num_buckets: int) -> DataFrame:
-    """``id, features`` — one sparse vector per item; items without terms get an
-    empty vector.  Entries are grouped per item (bounded by that item's distinct
-    terms), never across items."""
+    """``id, features`` — one sparse vector per item from arbitrary
+    ``(id, bucket, value)`` entries; items without terms get an empty vector.
+    Entries are grouped per item (bounded by that item's distinct terms).  Uses a
+    small Arrow-batched Python helper per item; for tf x idf vectors prefer
+    ``tfidf_vectors`` (JVM only)."""
     packed = (long_features.groupBy("id")
               .agg(F.sort_array(F.collect_list(F.struct("bucket", "value"))).alias("e")))
     return (items.select("id").join(packed, "id", "left")

@@ -27,15 +27,15 @@ from treeclass.sources import tsv
 
 def build_features(items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_buckets: int,
                    idf_table: DataFrame | None = None, hash_fn: str = "murmur3"):
-    """Item features bucketed by id: ``(tfidf_long, idf_table)``; the long table
-    has ``id, feature, value`` (feature = bucket)."""
+    """Item features bucketed by id: ``(tfidf_long, idf_table, tf)``; the long
+    table has ``id, feature, value`` (feature = bucket)."""
     spread, by_id = spread_if_undersplit(items, "id")
     bag = text.process_title(spread, lexicon, stop, items_by_id=by_id)
     tf = features.hashing_tf(bag, num_buckets, hash_fn)
     if idf_table is None:
         idf_table = features.idf(tf, items.count())
     long = features.tfidf(tf, idf_table).select("id", F.col("bucket").alias("feature"), "value")
-    return write_bucketed(long, "id", "features", num_buckets=id_partitions(spread)), idf_table
+    return write_bucketed(long, "id", "features", num_buckets=id_partitions(spread)), idf_table, tf
 
 
 def classify(spark: SparkSession, training_path: str, test_path: str, categories_path: str,
@@ -51,14 +51,15 @@ def classify(spark: SparkSession, training_path: str, test_path: str, categories
     labels = train_ads.select("id", "cat1", "cat2", "cat3")
     encode.label_encode(labels, index).where("l1_idx < 0").limit(1).count()  # unknown ids raise
 
-    feats_train, idf_table = build_features(train_ads.select("id", "title"), lexicon, stop, num_buckets)
+    feats_train, idf_table, tf_train = build_features(train_ads.select("id", "title"), lexicon, stop,
+                                                      num_buckets)
     nodes = encode.trainable_nodes(labels, category)
     fingerprint = {"buckets": num_buckets, "iters": train.MAX_ITER, "reg": train.REG_PARAM,
                    "training": training_path, "categories": categories_path}
 
     def fit():
-        vectors = features.to_vectors(train_ads.select("id"), feats_train.withColumnRenamed(
-            "feature", "bucket"), num_buckets).cache()
+        vectors = features.tfidf_vectors(train_ads.select("id"), tf_train, idf_table,
+                                         num_buckets).cache()
         w, m = train.train_hierarchy(labels, index, nodes, vectors, num_buckets)
         return w, m, index
 
@@ -66,7 +67,7 @@ def classify(spark: SparkSession, training_path: str, test_path: str, categories
     weights, models, index = train.fit_or_load(spark, model_path, fingerprint, fit)
     train_seconds = time.time() - t0
 
-    feats_test, _ = build_features(test_ads, lexicon, stop, num_buckets, idf_table)
+    feats_test, _, _ = build_features(test_ads, lexicon, stop, num_buckets, idf_table)
     decoded = score.cascade_decode(
         score.cascade_predict(test_ads.select("id"), feats_test, weights, models, index, gates),
         gates, emit_level1)
@@ -98,9 +99,9 @@ def flat_cost(spark: SparkSession, training_path: str, categories_path: str, sto
     tr = items.where("is_train").select("id", "title")
     te = items.where("not is_train").select("id", "title")
     # like the reference: the test features get their own IDF
-    f_tr, _ = build_features(tr, lexicon, stop, num_buckets)
-    f_te, _ = build_features(te, lexicon, stop, num_buckets)
-    vec_tr = features.to_vectors(tr, f_tr.withColumnRenamed("feature", "bucket"), num_buckets)
+    _, idf_tr, tf_tr = build_features(tr, lexicon, stop, num_buckets)
+    f_te, _, _ = build_features(te, lexicon, stop, num_buckets)
+    vec_tr = features.tfidf_vectors(tr, tf_tr, idf_tr, num_buckets)
     data = rows.where("is_train").select("id", "label").join(vec_tr, "id")
     model = train.fit_lr(data.select("label", "features"), flat_map.count())
     w = train.weights_frame(spark, 0, model)

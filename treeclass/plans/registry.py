@@ -292,7 +292,8 @@ def features_join(spark, sf_dir):
 def labeled_features(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     enc = encode.label_encode(c.labels, c.index)
-    vec = features.to_vectors(c.items, _tfidf(c), NUM_BUCKETS)
+    tf = features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5")
+    vec = features.tfidf_vectors(c.items, tf, features.idf(tf, c.items.count()), NUM_BUCKETS)
     lf = features.labeled_features(enc, "l1_idx", vec)
     from pyspark.ml.functions import vector_to_array
     return lf.select("id", "label",
@@ -449,8 +450,8 @@ def multiclass_metrics(spark, sf_dir):
 def _train_inputs(c: Context, num_buckets: int):
     from treeclass.session import cut_lineage
     tf = features.hashing_tf(c.bag, num_buckets, "murmur3")
-    long = features.tfidf(tf, features.idf(tf, c.items.count()))
-    vectors = cut_lineage(features.to_vectors(c.items, long, num_buckets))
+    vectors = cut_lineage(features.tfidf_vectors(c.items, tf, features.idf(tf, c.items.count()),
+                                                 num_buckets))
     enc = encode.label_encode(c.labels, c.index)
     return enc, vectors
 
