@@ -1,5 +1,5 @@
 from treeclass.functions.text import (  # noqa: F401
-    DROPPED_TAG_IDS, DROPPED_TAG_RANGES, lemma_base, tag_is_dropped, tokenize,
+    DROPPED_TAGS, lemma_base, tag_is_dropped, tokenize,
 )
 from treeclass.functions.hashing import md5_bucket, md5_hash, murmur_bucket, bucket  # noqa: F401
 from treeclass.functions.scoring import sigmoid  # noqa: F401

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values (must equal the reference's morphological tag filter).
-# Single tag ids that are dropped: qub 592, dig 151, ign 0, interp 235,
-# pred 573, conj 148, comp 99, brev 97 and 801, ppron12 800.
-DROPPED_TAG_IDS = (592, 151, 0, 235, 800, 573, 148, 99, 97, 801)
-# Inclusive tag-id ranges that are dropped: ppron12 429-461, ppron3 462-508,
-# winien 705-723, siebie 594-598, prep 578-591.
-DROPPED_TAG_RANGES = ((429, 461), (462, 508), (705, 723), (594, 598), (578, 591))
+# Fixed values (must equal the reference's morphological tag filter), in the
+# reference's order; each entry is one dropped tag id or an inclusive id range:
+# qub 592, dig 151, ign 0, interp 235, ppron12 429-461 and 800, ppron3 462-508,
+# winien 705-723, siebie 594-598, pred 573, prep 578-591, conj 148, comp 99,
+# brev 97 and 801.
+DROPPED_TAGS = (592, 151, 0, 235, (429, 461), 800, (462, 508), (705, 723), (594, 598), 573,
+                (578, 591), 148, 99, 97, 801)
 
 WORD_PATTERN = r"(\p{L}+)"
 
@@ -24,9 +24,11 @@ def tokenize(text: Column | str) -> Column:
 
 def tag_is_dropped(tag: Column | str) -> Column:
     tag = F.col(tag) if isinstance(tag, str) else tag
-    cond = tag.isin(*DROPPED_TAG_IDS)
-    for lo, hi in DROPPED_TAG_RANGES:
-        cond = cond | tag.between(lo, hi)
+    single = [t for t in DROPPED_TAGS if isinstance(t, int)]
+    cond = tag.isin(*single)
+    for entry in DROPPED_TAGS:
+        if isinstance(entry, tuple):
+            cond = cond | tag.between(*entry)
     return cond
 
 

@@ -11,10 +11,14 @@ from __future__ import annotations
 
 H = "('0x' || substr(md5({x}), 1, 8))::bigint"
 
-TAG_DROPPED = ("tag_id in (592, 151, 0, 235, 800, 573, 148, 99, 97, 801) "
-               "or tag_id between 429 and 461 or tag_id between 462 and 508 "
-               "or tag_id between 705 and 723 or tag_id between 594 and 598 "
-               "or tag_id between 578 and 591")
+def _tag_dropped_sql() -> str:
+    from treeclass.functions.text import DROPPED_TAGS
+    parts = [f"tag_id between {e[0]} and {e[1]}" if isinstance(e, tuple) else f"tag_id = {e}"
+             for e in DROPPED_TAGS]
+    return " or ".join(parts)
+
+
+TAG_DROPPED = _tag_dropped_sql()
 
 
 def _level(n: int, routes: str) -> str:
