@@ -272,7 +272,7 @@ where e.l1_idx >= 0""",
     "sigmoid_confidence": "select id, margin, round(confidence, 6) as confidence from c1",
     "linear_score": "select id, node, idx, category, margin, round(confidence, 6) as confidence from lr",
     "linear_score_runmax": """
-select id, node, idx, case when idx > 0 then 0.5 else 0.0 end as confidence from lr""",
+select id, node, idx, cast(case when idx > 0 then 0.5 else 0.0 end as double) as confidence from lr""",
     "linear_predict": "select id, node, cast(idx as double) as prediction from lr",
     "cascade_predict": """
 select id, cat1_pred, round(conf1, 6) as conf1, cat2_pred, round(conf2, 6) as conf2,
