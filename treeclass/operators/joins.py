@@ -23,3 +23,38 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """
     limit = broadcast_max_rows(df) if max_rows is None else max_rows
     return F.broadcast(df) if fits(df, limit) else df
+
+
+DEFAULT_SALTS = 32
+
+
+def salt_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("treeclass.skewSalts", str(DEFAULT_SALTS)))
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                broadcast: bool | None = None, salt_key: str = "id",
+                max_rows: int | None = None) -> DataFrame:
+    """Join a large frame to a lookup table whose keys may be hot.
+
+    The lookup side is broadcast when it provably has at most ``max_rows`` rows
+    (or when the caller already proved it: ``broadcast=True``).  Otherwise the join
+    is salted: each big row gets salt ``pmod(hash(salt_key), S)`` and every lookup
+    row is replicated once per salt, so one hot key (a word in a third of all
+    items, the root node of every item) is spread over ``S`` tasks instead of
+    one.  The extra cost is ``S`` copies of the lookup table, independent of the
+    data.  Inner, left, left-semi and left-anti semantics are unchanged: a big
+    row meets exactly one copy of each matching lookup row.
+    """
+    if broadcast is None:
+        limit = broadcast_max_rows(small) if max_rows is None else max_rows
+        broadcast = fits(small, limit)
+    if broadcast:
+        return big.join(F.broadcast(small), on, how)
+    if salt_key not in big.columns:
+        # no per-item column (e.g. the lexicon itself, unique per word): no hot key
+        return big.join(small, on, how)
+    n = salt_count(big)
+    salted_big = big.withColumn("_salt", F.pmod(F.hash(F.col(salt_key)), F.lit(n)))
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return salted_big.join(salted_small, [*on, "_salt"], how).drop("_salt")

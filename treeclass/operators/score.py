@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
-from treeclass.operators.joins import broadcast_max_rows, small_side
+from treeclass.operators.joins import broadcast_max_rows, lookup_join, small_side
 from treeclass.session import cut_lineage, fits
 
 # Confidence gates of the cascade (L1, L2, L3), bounds inclusive.
@@ -53,12 +53,14 @@ def class_margins(features: DataFrame, routes: DataFrame, weights: DataFrame,
     # estimate; a merge join reads them from their id buckets and shuffles only
     # the routes
     routed = features.hint("merge").join(routes.select("id", "node"), "id")
-    w = _hint(weights.select("node", "idx", "feature", "w"), broadcast_weights)
+    w = weights.select("node", "idx", "feature", "w")
     margin = F.sum(F.col("value") * F.col("w"))
     if margin_digits is not None:
         margin = F.round(margin, margin_digits)
-    return routed.join(w, ["node", "feature"]).groupBy("id", "node", "idx").agg(
-        margin.alias("margin"))
+    # broadcast behind the size check; otherwise salted by item, since one node
+    # (the root) sees every item and a frequent feature is a hot key
+    joined = lookup_join(routed, w, ["node", "feature"], broadcast=broadcast_weights)
+    return joined.groupBy("id", "node", "idx").agg(margin.alias("margin"))
 
 
 def best_class(margins: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.text import lemma_base, tag_is_dropped, tokenize
-from treeclass.operators.joins import broadcast_max_rows, small_side
+from treeclass.operators.joins import broadcast_max_rows, lookup_join
 from treeclass.session import fits, id_partitions
 
 
@@ -33,8 +33,8 @@ def words(items: DataFrame) -> DataFrame:
 def annotate_tokens(items: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``id, start_node, orth, lemma, tag_id, ordinal`` — each word with every
     lexicon analysis; a word outside the lexicon gets one analysis with tag 0."""
-    lex = small_side(lexicon.select("orth", "ordinal", "tag_id", "lemma"))
-    return (words(items).join(lex, "orth", "left")
+    lex = lexicon.select("orth", "ordinal", "tag_id", "lemma")
+    return (lookup_join(words(items), lex, ["orth"], "left")
             .select("id", "start_node", "orth",
                     F.coalesce("lemma", "orth").alias("lemma"),
                     F.coalesce("tag_id", F.lit(0)).cast("int").alias("tag_id"),
@@ -47,7 +47,7 @@ def tag_filter(tokens: DataFrame) -> DataFrame:
 
 def remove_stopwords(tokens: DataFrame, stop: DataFrame) -> DataFrame:
     """Anti-join on the surface form, case-sensitive."""
-    return tokens.join(small_side(stop.select("orth")), "orth", "left_anti")
+    return lookup_join(tokens, stop.select("orth"), ["orth"], "left_anti")
 
 
 def first_lemma(tokens: DataFrame) -> DataFrame:
@@ -75,11 +75,10 @@ def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame,
     ``items_by_id=True`` declares ``items`` already hash-partitioned by ``id``;
     then only the (id, lemma) dedupe runs, in place."""
     per_item = items.select("id", F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
-    resolved_words = word_lemmas(lexicon, stop)
-    # |word_lemmas| <= |lexicon|: the lexicon's row count bounds the broadcast side
-    if fits(lexicon, broadcast_max_rows(lexicon)):
-        resolved_words = F.broadcast(resolved_words)
-    resolved = per_item.join(resolved_words, "orth")
+    # |word_lemmas| <= |lexicon|: the lexicon's row count bounds the broadcast side;
+    # beyond it the join is salted by item so a hot word is split across tasks
+    resolved = lookup_join(per_item, word_lemmas(lexicon, stop), ["orth"],
+                           broadcast=fits(lexicon, broadcast_max_rows(lexicon)))
     pairs = resolved.select("id", "term")
     if not items_by_id:
         pairs = pairs.repartition(id_partitions(items), "id")
