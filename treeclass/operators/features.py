@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import bucket as bucket_expr
+from treeclass.session import cut_lineage
 
 # Bucket counts used by the reference (30 * 1024 for every level of
 # the cascade; 2^20, 100 * 1024, 60 * 1024 for levels 0/1/2 of the flat program).
@@ -54,10 +55,13 @@ def fit_tfidf(items: DataFrame, bag: DataFrame, num_buckets: int = CASCADE_BUCKE
               hash_fn: str = "murmur3", idf_table: DataFrame | None = None):
     """TF-IDF of ``bag``; the IDF is fitted on ``items`` unless one is given.
 
-    Returns ``(tfidf_long, idf_table)``.
+    Returns ``(tfidf_long, idf_table)``.  Fitting needs two passes over the term
+    frequencies (document frequencies first, then the product), so ``tf`` is then
+    materialised once (checkpoint in the shared folder) instead of re-tokenising.
     """
     tf = hashing_tf(bag, num_buckets, hash_fn)
     if idf_table is None:
+        tf = cut_lineage(tf)
         idf_table = idf(tf, items.count())
     return tfidf(tf, idf_table), idf_table
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
-from treeclass.session import id_partitions, spread_if_undersplit, write_bucketed
+from treeclass.session import cut_lineage, id_partitions, spread_if_undersplit, write_bucketed
 from treeclass.sources import tsv
 
 
@@ -31,7 +31,7 @@ def build_features(items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_bu
     table has ``id, feature, value`` (feature = bucket)."""
     spread, by_id = spread_if_undersplit(items, "id")
     bag = text.process_title(spread, lexicon, stop, items_by_id=by_id)
-    tf = features.hashing_tf(bag, num_buckets, hash_fn)
+    tf = cut_lineage(features.hashing_tf(bag, num_buckets, hash_fn))  # read by idf, product, vectors
     if idf_table is None:
         idf_table = features.idf(tf, items.count())
     long = features.tfidf(tf, idf_table).select("id", F.col("bucket").alias("feature"), "value")

@@ -14,7 +14,7 @@ from treeclass.functions.hashing import md5_hash  # noqa: F401  (used by oracle
 from treeclass.functions.scoring import sigmoid  # noqa: F401
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
 from treeclass.plans.context import MARGIN_DIGITS, Context
-from treeclass.session import scratch_path
+from treeclass.session import cut_lineage, scratch_path
 from treeclass.sources import tsv
 
 NUM_BUCKETS = features.CASCADE_BUCKETS
@@ -273,8 +273,8 @@ def idf_union_corpus(spark, sf_dir):
 
 
 def _tfidf(c: Context):
-    tf = features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5")
-    return features.tfidf(tf, features.idf(tf, c.items.count()))
+    long, _ = features.fit_tfidf(c.items, _fresh_bag(c), NUM_BUCKETS, "md5")
+    return long
 
 
 def tfidf(spark, sf_dir):
@@ -292,7 +292,7 @@ def features_join(spark, sf_dir):
 def labeled_features(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     enc = encode.label_encode(c.labels, c.index)
-    tf = features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5")
+    tf = cut_lineage(features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5"))  # read twice
     vec = features.tfidf_vectors(c.items, tf, features.idf(tf, c.items.count()), NUM_BUCKETS)
     lf = features.labeled_features(enc, "l1_idx", vec)
     from pyspark.ml.functions import vector_to_array
