@@ -142,3 +142,14 @@ def test_selective_accuracy_forms(spark):
     assert (r.n_correct, r.n_resolved) == (1, 3)
     empty = metrics.selective_accuracy(decoded.where("depth = 0"), truth).first()
     assert empty.selective_accuracy is None and empty.n_resolved == 0
+
+
+def test_category_maps_single_and_all_parents(spark):
+    labels = spark.createDataFrame([(1, 5, 84, 181), (2, 5, 84, 182), (3, 5, 81, 1365), (4, 3, 1307, None)],
+                                   "id long, cat1 int, cat2 int, cat3 int")
+    one = {r.id: r.idx for r in taxonomy.category_map_for_parent(labels, 3, parent=84).collect()}
+    assert one == {181: 0, 182: 1}
+    flat = {r.id: r.idx for r in taxonomy.category_map_for_parent(labels, 2).collect()}
+    assert flat == {81: 0, 84: 1, 1307: 2}
+    allp = {(r.parent_id, r.id): r.idx for r in taxonomy.category_map_by_parent(labels, 3).collect()}
+    assert allp == {(84, 181): 0, (84, 182): 1, (81, 1365): 0}

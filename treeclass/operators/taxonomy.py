@@ -100,6 +100,19 @@ def category_map_for_parent(labels: DataFrame, level: int, parent: int = -1) ->
     return seen.select("id", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
 
+def category_map_by_parent(labels: DataFrame, level: int) -> DataFrame:
+    """For every parent at once: ``parent_id, id, idx`` — the distinct level-``level``
+    categories seen under each level-``level-1`` category, dense in id order.
+    One job for all parents (a window per parent), not one job per parent."""
+    if level < 2:
+        raise ValueError("level must be 2 or 3")
+    col, up = f"cat{level}", f"cat{level - 1}"
+    seen = (labels.where(F.col(col).isNotNull())
+            .select(F.col(up).alias("parent_id"), F.col(col).alias("id")).distinct())
+    w = Window.partitionBy("parent_id").orderBy("id")
+    return seen.select("parent_id", "id", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+
+
 def dedupe_last(df: DataFrame, key: str | list[str], value: str, order: str) -> DataFrame:
     """Keyed dedupe where the last row (by ``order``) wins: ``key..., value``."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -204,6 +204,9 @@ from category where parent_id in (select id from category where parent_id = 0) g
     "category_map_for_parent": """
 select id, cast(row_number() over (order by id) - 1 as int) as idx
 from (select distinct cat2 as id from ad_labels where cat2 is not null) s""",
+    "category_map_by_parent": """
+select parent_id, id, cast(row_number() over (partition by parent_id order by id) - 1 as int) as idx
+from (select distinct cat2 as parent_id, cat3 as id from ad_labels where cat3 is not null) s""",
     "dedupe_last": """
 select source, max_by(lang, doc_id) as lang, max(doc_id) as doc_id from documents group by source""",
     # encoding

@@ -117,6 +117,10 @@ def category_map_for_parent(spark, sf_dir):
     return taxonomy.category_map_for_parent(_ctx(spark, sf_dir).labels, level=2, parent=-1)
 
 
+def category_map_by_parent(spark, sf_dir):
+    return taxonomy.category_map_by_parent(_ctx(spark, sf_dir).labels, level=3)
+
+
 def dedupe_last(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     return (docs.groupBy("source")
@@ -491,6 +495,7 @@ QUERIES = {
     "l2_children": l2_children,
     "category_list": category_list,
     "category_map_for_parent": category_map_for_parent,
+    "category_map_by_parent": category_map_by_parent,
     "dedupe_last": dedupe_last,
     # encoding
     "ads_label_encode": ads_label_encode,
