@@ -67,14 +67,21 @@ def word_lemmas(lexicon: DataFrame, stop: DataFrame) -> DataFrame:
             .agg(F.min_by(lemma_base("lemma"), F.col("ordinal")).alias("term")))
 
 
+def item_words(items: DataFrame) -> DataFrame:
+    """``id, orth`` — the distinct words of each item (deduplicated inside the
+    item's own row, no shuffle)."""
+    return items.select("id", F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
+
+
 def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame,
-                  items_by_id: bool = False) -> DataFrame:
+                  items_by_id: bool = False, words: DataFrame | None = None) -> DataFrame:
     """``id, term`` — distinct lemmas of each item, hash-partitioned by ``id``
     so that per-item aggregations downstream need no further shuffle.
 
     ``items_by_id=True`` declares ``items`` already hash-partitioned by ``id``;
-    then only the (id, lemma) dedupe runs, in place."""
-    per_item = items.select("id", F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
+    then only the (id, lemma) dedupe runs, in place.  ``words`` = precomputed
+    ``item_words(items)`` (when another step also needs them)."""
+    per_item = item_words(items) if words is None else words
     # |word_lemmas| <= |lexicon|: the lexicon's row count bounds the broadcast side;
     # beyond it the join is salted by item so a hot word is split across tasks
     resolved = lookup_join(per_item, word_lemmas(lexicon, stop), ["orth"],

@@ -65,10 +65,16 @@ class Context:
     def category(self) -> DataFrame:
         return fixture.category(self.spark, self.sf_dir).cache()
 
+    @cached_property
+    def words(self) -> DataFrame:
+        # per-item distinct words: read by the fixture vocabulary and by the bag,
+        # so the corpus is tokenised once (kept, spilling to disk)
+        return text.item_words(self.items).persist()
+
     @cached_property
     def lexicon(self) -> DataFrame:
         # an input table in practice; materialised once so size checks are cheap
-        return cut_lineage(fixture.lexicon(self.spark, self.sf_dir, self.items))
+        return cut_lineage(fixture.lexicon(self.spark, self.sf_dir, self.items, self.words))
 
     @cached_property
     def stop(self) -> DataFrame:
@@ -94,7 +100,7 @@ class Context:
         # read by the weights and by every cascade level: written once as a
         # table bucketed by item id, so scoring levels never reshuffle it
         items, by_id = self._items
-        bag = text.process_title(items, self.lexicon, self.stop, items_by_id=by_id)
+        bag = text.process_title(items, self.lexicon, self.stop, items_by_id=by_id, words=self.words)
         return write_bucketed(bag, "id", "bag", num_buckets=id_partitions(items), partitioned=True)
 
     @cached_property

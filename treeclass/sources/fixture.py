@@ -80,16 +80,20 @@ def category(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat(F.lit("category "), F.col("id").cast("string")).alias("name"))
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = None) -> DataFrame:
-    """Distinct words ``orth`` of all whole texts."""
+def vocabulary(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = None,
+               words: DataFrame | None = None) -> DataFrame:
+    """Distinct words ``orth`` of all whole texts (from per-item ``words`` if given)."""
+    if words is not None:
+        return words.select("orth").distinct()
     return ((items(spark, sf_dir) if item_frame is None else item_frame)
             .select(F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
             .distinct())
 
 
-def lexicon(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = None) -> DataFrame:
+def lexicon(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = None,
+            words: DataFrame | None = None) -> DataFrame:
     """``orth, ordinal INT, tag_id INT, lemma`` — analyses in analyser order."""
-    w = vocabulary(spark, sf_dir, item_frame).where(F.length("orth") < UNKNOWN_MIN_LENGTH)
+    w = vocabulary(spark, sf_dir, item_frame, words).where(F.length("orth") < UNKNOWN_MIN_LENGTH)
     n = F.length("orth")
     tag = F.when(n <= 2, 581).when(n == 3, 592).otherwise(300)
     lemma = (F.when((n > 4) & F.col("orth").endswith("s"),
