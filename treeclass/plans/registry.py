@@ -154,6 +154,16 @@ def train_test_split(spark, sf_dir):
     return encode.train_test_split(_ctx(spark, sf_dir).labels.select("id"))
 
 
+def random_split(spark, sf_dir):
+    """The seed-based 60/40 split (seed 44) as the flat program does it; its row
+    assignment depends on partitioning, so it has a rows-only check."""
+    c = _ctx(spark, sf_dir)
+    rows = encode.flat_label(c.labels, taxonomy.category_map_for_parent(c.labels, 2))
+    train_part, test_part = encode.random_split(rows, (0.6, 0.4), 44)
+    return (train_part.select("id", F.lit(True).alias("is_train"))
+            .unionByName(test_part.select("id", F.lit(False).alias("is_train"))))
+
+
 # --- scalar functions --------------------------------------------------------
 def _docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
@@ -504,6 +514,7 @@ QUERIES = {
     "node_training_set": node_training_set,
     "trainable_nodes": trainable_nodes,
     "train_test_split": train_test_split,
+    "random_split": random_split,
     # scalar functions
     "scalar_string": scalar_string,
     "scalar_cast": scalar_cast,
