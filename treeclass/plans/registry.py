@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeclass.functions.hashing import md5_hash  # noqa: F401  (used by oracle parity)
-from treeclass.functions.scoring import sigmoid  # noqa: F401
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
 from treeclass.plans.context import MARGIN_DIGITS, Context
 from treeclass.session import cut_lineage, scratch_path
