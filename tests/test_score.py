@@ -72,3 +72,12 @@ def test_cascade_is_one_row_per_item(spark):
     n_items = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert out.count() == n_items == out.select("id").distinct().count()
     assert out.where(~F.col("depth").isin(0, 2, 3)).count() == 0
+
+
+def test_materialised_levels_do_not_change_results(spark):
+    from treeclass.plans.context import Context
+    c = Context(spark, "/root/testdata/sf0.001")
+    args = (c.items, c.features, c.weights, c.models, c.index)
+    a = score.cascade_predict(*args, margin_digits=6, materialize_levels=True)
+    b = score.cascade_predict(*args, margin_digits=6, materialize_levels=False)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
