@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from treeclass.llm import line_runs
+from treeclass.llm import decontaminate, line_runs, simhash_pivots
 from treeclass.llm.common import table
 
 
+def op5_positional_index(spark, sf_dir):
+    return decontaminate.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_simhash_pivots(spark, sf_dir):
+    return simhash_pivots.op7(table(spark, sf_dir, "documents"))
+
+
 def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_line_runs,)}
+QUERIES = {f.__name__: f for f in (op5_positional_index, op7_simhash_pivots, op10_line_runs)}
 
-ORACLE_SQL = {"op10_line_runs": line_runs.ORACLE_SQL}
+ORACLE_SQL = {"op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
