@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import decontaminate, line_runs, simhash_pivots
+from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens
 from treeclass.llm.common import table
 
 
@@ -14,10 +14,14 @@ def op7_simhash_pivots(spark, sf_dir):
     return simhash_pivots.op7(table(spark, sf_dir, "documents"))
 
 
+def op9_curve_packing(spark, sf_dir):
+    return curve_packing.op9(table(spark, sf_dir, "documents"), tokens.file(tokens.RANKS))
+
+
 def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_positional_index, op7_simhash_pivots, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
 
 ORACLE_SQL = {"op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
