@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens
+from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens, toxicity
 from treeclass.llm.common import table
 
 
+def op1_factorization_machine(spark, sf_dir):
+    return toxicity.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_positional_index(spark, sf_dir):
     return decontaminate.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -22,6 +26,6 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
 
 ORACLE_SQL = {"op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
