@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens, toxicity
+from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens, toxicity, warc
 from treeclass.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_factorization_machine(spark, sf_dir):
     return toxicity.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.op4(table(spark, sf_dir, "pages"))
+
+
 def op5_positional_index(spark, sf_dir):
     return decontaminate.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +30,6 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_factorization_machine, op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op4_warc, op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
 
-ORACLE_SQL = {"op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
+ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
