@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens, toxicity, warc
+from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, simhash_pivots, tokens, toxicity, warc
 from treeclass.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_positional_index(spark, sf_dir):
     return decontaminate.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_fertility(spark, sf_dir):
+    return fertility.op6(table(spark, sf_dir, "documents"), tokens.file(tokens.RANKS), tokens.file(tokens.PIECES))
+
+
 def op7_simhash_pivots(spark, sf_dir):
     return simhash_pivots.op7(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,6 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_factorization_machine, op4_warc, op5_positional_index, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
 
 ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
