@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, simhash_pivots, token_edits, tokens, toxicity, warc
+from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, pseudo_likelihood, simhash_pivots, token_edits, tokens, toxicity, warc
 from treeclass.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_token_edits(spark, sf_dir):
     return token_edits.op2(table(spark, sf_dir, "documents"), tokens.file(tokens.RANKS))
 
 
+def op3_pseudo_likelihood(spark, sf_dir):
+    return pseudo_likelihood.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark, sf_dir):
     return warc.op4(table(spark, sf_dir, "pages"))
 
@@ -38,6 +42,6 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op3_pseudo_likelihood, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
 
 ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
