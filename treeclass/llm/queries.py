@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, pseudo_likelihood, simhash_pivots, token_edits, tokens, toxicity, warc
+from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, lpf_dedup, pseudo_likelihood, simhash_pivots, token_edits, tokens, toxicity, warc
 from treeclass.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op7_simhash_pivots(spark, sf_dir):
     return simhash_pivots.op7(table(spark, sf_dir, "documents"))
 
 
+def op8_lpf_dedup(spark, sf_dir):
+    return lpf_dedup.op8(table(spark, sf_dir, "documents"))
+
+
 def op9_curve_packing(spark, sf_dir):
     return curve_packing.op9(table(spark, sf_dir, "documents"), tokens.file(tokens.RANKS))
 
@@ -42,6 +46,6 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op3_pseudo_likelihood, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op9_curve_packing, op10_line_runs)}
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op3_pseudo_likelihood, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op8_lpf_dedup, op9_curve_packing, op10_line_runs)}
 
 ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
