@@ -133,30 +133,33 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS,
-                fanout: int = FANOUT) -> DataFrame:
-    """``docs`` with ``text`` rewritten, plus ``n_lines`` (before) and ``n_dropped``.
+                fanout: int = FANOUT, counts: tuple[str, str] | None = None) -> DataFrame:
+    """``docs`` with ``text`` rewritten; ``counts`` names columns for the lines before and the
+    lines dropped, to be added.
 
     Only (id, row, positions) of documents that lose lines meet the texts again."""
-    drops = dropped_lines(docs, batches, min_chars, fanout).groupBy("id", "row").agg(
-        F.collect_set("pos").alias("_gone"))
+    columns = docs.columns
+    drops = dropped_lines(docs, batches, min_chars, fanout).groupBy(
+        F.col("id").alias("_runs_id"), F.col("row").alias("_runs_row")).agg(F.collect_set("pos").alias("_runs_gone"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"_id": id_key(), "_row": F.xxhash64(text)})
-    joined = keyed.join(drops.withColumnsRenamed({"id": "_id", "row": "_row"}), ["_id", "_row"], "left")
-    split = joined.withColumn("_lines", F.split(text, "\n", -1))
+    keyed = docs.withColumns({"_runs_id": id_key(), "_runs_row": F.xxhash64(text)})
+    joined = keyed.join(drops, ["_runs_id", "_runs_row"], "left")
+    split = joined.withColumn("_runs_lines", F.split(text, "\n", -1))
     counted = split.withColumns({
-        "_gone": F.coalesce("_gone", F.array().cast("array<int>")), "n_lines": F.size("_lines").cast("long")})
+        "_runs_gone": F.coalesce("_runs_gone", F.array().cast("array<int>")), "_runs_n": F.size("_runs_lines")})
     # set difference of positions: linear in the lines, however many are dropped
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.col("_runs_n") - 1), F.col("_runs_gone"))
     rebuilt = counted.withColumns({
-        "n_dropped": F.size("_gone").cast("long"),
-        "text": F.when(F.size("_gone") == 0, F.col("text")).otherwise(
-            F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n"))})
-    return rebuilt.select(*docs.columns, "n_lines", "n_dropped")
+        "_runs_dropped": F.size("_runs_gone"),
+        "text": F.when(F.size("_runs_gone") == 0, F.col("text")).otherwise(
+            F.array_join(F.transform(kept, lambda i: F.get(F.col("_runs_lines"), i)), "\n"))})
+    added = [F.col(c).cast("long").alias(n) for c, n in zip(("_runs_n", "_runs_dropped"), counts or ())]
+    return rebuilt.select(*columns, *added)
 
 
 def op10(docs: DataFrame) -> DataFrame:
     """Per document: line counts and the hash of what is kept."""
-    out = dedup_lines(docs.select("doc_id", "text"))
+    out = dedup_lines(docs.select("doc_id", "text"), counts=("n_lines", "n_dropped"))
     return out.select("doc_id", "n_lines", "n_dropped",
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

@@ -32,6 +32,7 @@ from pyspark.ml.classification import FMClassifier
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from treeclass.llm.common import keep_table, sliced
 
@@ -141,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, terms: int
                    np.array(model.factors.toArray()))
 
 
-def scores(docs: DataFrame, machine: Machine) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every whole text."""
+def with_scores(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
+    """``docs`` with the score of every whole text; all columns pass through the tasks."""
     def run(batches):
         feature = {int(b): i for i, b in enumerate(machine.buckets)}
         cache: dict = {}
@@ -156,17 +157,21 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
                         cache.clear()
                     got = cache[w] = tuple(feature[b] for b in word_buckets(w) if b in feature)
                 out.update(got)
-            return np.fromiter(out, dtype=np.int64, count=len(out))
+            return np.fromiter(sorted(out), dtype=np.int64, count=len(out))
 
         for whole in batches:
             for batch in sliced(whole, "text", TASK_BYTES):
                 z = np.array([machine.margin(features(t)) for t in batch.column("text").to_pylist()], dtype=float)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=["doc_id", "score"])
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score",
-                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+                score = pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+                yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, name])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def scores(docs: DataFrame, machine: Machine) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every whole text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return with_scores(rows, machine).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op1(docs: DataFrame, labels: DataFrame) -> DataFrame:
