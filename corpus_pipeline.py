@@ -1,6 +1,66 @@
-STAGES = []
+"""The corpus pipeline: toxicity, line dedup, near-duplicates, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of ``docs``.  A stage works on every row its predecessor kept.  Rows with a null
+id count as the document with the largest id; rows that share an id stay or go together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivots, tokens, toxicity
+from treeclass.llm.common import id_key, keep_table, table
+
+
+def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``docs`` with a column of ids."""
+    own = ids.select(id_key().alias("_pipeline_id")).distinct()
+    return docs.withColumn("_pipeline_id", id_key()).join(own, "_pipeline_id", how).select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold go."""
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_scores(docs, machine, "_pipeline_score")
+    return scored.where(F.col("_pipeline_score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document has go; ``n_chars`` follows the text."""
+    out = line_runs.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group stays."""
+    groups = simhash_pivots.near_duplicates(docs)
+    return _rows_of(docs, groups.where(id_key() == F.col("component_id")), "left_semi")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark's windows cover beyond the contract's share go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _rows_of(docs, found.where("contaminated"), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of padded sequences, with their token ids."""
+    return curve_packing.pack(docs, tokens.file(tokens.RANKS))
+
+
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("simhash", drop_near_duplicates),
+          ("decontamination", drop_contaminated), ("packing", pack_sequences)]
+
+#: Fitted scores, fingerprints and tokens have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep_table(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
