@@ -5,7 +5,7 @@ compounded forms share them), hashed into ``2**HASH_BITS`` buckets; a bucket cou
 text.  Learning uses at most ``MAX_ROWS`` labelled texts (those with the smallest id hash):
 
 1. per bucket, texts and toxic texts are counted (pre-aggregated in the tasks);
-2. the ``TERMS`` buckets of largest chi-square statistic become the features;
+2. the ``TERMS`` buckets of largest chi-square statistic, if significant, become the features;
 3. a distributed factorization machine (``pyspark.ml``) learns an intercept, a weight per
    feature and ``FACTORS`` factors per feature, whose products weigh pairs of features.
 
@@ -40,6 +40,7 @@ MAX_ROWS = 20_000
 HASH_BITS = 22
 TERMS = 2048
 MIN_TEXTS = 5
+MIN_CHI = 10.83  # one in a thousand under independence
 FACTORS = 4
 THRESHOLD = 0.3
 TASK_BYTES = 8 << 20
@@ -127,10 +128,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, terms: int
     if not 0 < toxic < total:
         return Machine(none, math.inf if toxic else -math.inf, none.astype(float), np.empty((0, FACTORS)))
     a, n = F.col("n1").cast("double"), F.col("n").cast("double")
-    # chi-square of the two-by-two table, up to a factor that all buckets share
-    chi = F.pow(a * F.lit(float(total)) - n * F.lit(float(toxic)), 2) / (n * (F.lit(float(total)) - n))
-    best = bucket_counts(rows).where((F.col("n") >= MIN_TEXTS) & (F.col("n") < total)).orderBy(
-        F.desc(chi), "bucket").limit(terms)
+    all_, bad = F.lit(float(total)), F.lit(float(toxic))
+    chi = all_ * F.pow(a * all_ - n * bad, 2) / (n * (all_ - n) * bad * (all_ - bad))
+    best = bucket_counts(rows).where((F.col("n") >= MIN_TEXTS) & (F.col("n") < total)).withColumn(
+        "chi", chi).where(F.col("chi") >= MIN_CHI).orderBy(F.desc("chi"), "bucket").limit(terms)
     buckets = sorted(r.bucket for r in best.select("bucket").collect())
     if not buckets:
         return Machine(none, math.log(toxic / (total - toxic)), none.astype(float), np.empty((0, FACTORS)))
@@ -162,7 +163,8 @@ def with_scores(docs: DataFrame, machine: Machine, name: str = "score") -> DataF
         for whole in batches:
             for batch in sliced(whole, "text", TASK_BYTES):
                 z = np.array([machine.margin(features(t)) for t in batch.column("text").to_pylist()], dtype=float)
-                score = pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+                with np.errstate(over="ignore"):
+                    score = pa.array(1 / (1 + np.exp(-z)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, name])
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
