@@ -25,13 +25,29 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits(df, limit) else df
 
 
+def bounded_by(table: DataFrame):
+    """Broadcast hint for frames with at most as many rows as ``table`` (or a small multiple):
+    one size check of the materialised table instead of one for each frame derived from it."""
+    return F.broadcast if fits(table, broadcast_max_rows(table)) else (lambda df: df)
+
+
 DEFAULT_SALTS = 32
 
 
 def salt_count(df: DataFrame) -> int:
+    """Salts of a shuffled lookup: ``treeclass.skewSalts``.  A key with a third of all rows is
+    spread over that many tasks; size it as (rows of the hottest key) / (rows a task may
+    hold).  AQE splits what is still skewed."""
     return int(df.sparkSession.conf.get("treeclass.skewSalts", str(DEFAULT_SALTS)))
 
 
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
+
+
+def broadcast_max_bytes(spark) -> int:
+    return int(spark.conf.get("treeclass.broadcastMaxBytes", str(DEFAULT_BROADCAST_MAX_BYTES)))
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                 broadcast: bool | None = None, salt_key: str = "id",
                 max_rows: int | None = None) -> DataFrame:

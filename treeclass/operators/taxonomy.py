@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_TREE_DEPTH = 64
+from treeclass.operators.joins import small_side
+from treeclass.session import cut_lineage
 
 
 def level1_categories(category: DataFrame) -> DataFrame:
@@ -28,22 +29,24 @@ def category_index(category: DataFrame) -> DataFrame:
 
 def category_closure(category: DataFrame) -> DataFrame:
     """``id, anc, hops`` — each category with itself (hops 0) and every proper
-    ancestor below the root.  Built level by level with equi-joins; the loop runs
-    once per tree level and stops on an empty frontier."""
-    edges = category.select("id", "parent_id").cache()
+    ancestor below the root.  Built level by level with equi-joins of written tables
+    (taxonomy-sized); the loop runs once per tree level, stops on an empty frontier and
+    raises when a category meets itself."""
+    edges = cut_lineage(category.select("id", "parent_id"))
+    up_one = small_side(edges.select(F.col("id").alias("anc"), F.col("parent_id").alias("up")))
     closure = edges.select("id", F.col("id").alias("anc"), F.lit(0).alias("hops"))
     frontier = edges.where(F.col("parent_id") != 0).select(
         "id", F.col("parent_id").alias("anc"), F.lit(1).alias("hops"))
-    for _ in range(MAX_TREE_DEPTH):
-        frontier = frontier.cache()
-        if frontier.isEmpty():
-            return closure
+    while True:
+        frontier = cut_lineage(frontier)
+        n, cyclic = frontier.agg(F.count("*"), F.coalesce(F.max(F.col("id") == F.col("anc")), F.lit(False))).first()
+        if cyclic:
+            raise ValueError("the taxonomy has a cycle")
+        if n == 0:
+            return cut_lineage(closure)
         closure = closure.unionByName(frontier)
-        e = edges.select(F.col("id").alias("anc"), F.col("parent_id").alias("up"))
-        frontier = (frontier.join(F.broadcast(e), "anc")
-                    .where(F.col("up") != 0)
+        frontier = (frontier.join(up_one, "anc").where(F.col("up") != 0)
                     .select("id", F.col("up").alias("anc"), (F.col("hops") + 1).alias("hops")))
-    raise ValueError("taxonomy deeper than %d levels or cyclic" % MAX_TREE_DEPTH)
 
 
 def category_depth(closure: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def level2_children(category: DataFrame) -> DataFrame:
     grouped = (category.groupBy("parent_id")
                .agg(F.count("*").cast("int").alias("n_children"),
                     F.sort_array(F.collect_list("id")).alias("ids")))
-    return (grouped.join(F.broadcast(l1), "parent_id")
+    return (grouped.join(small_side(l1), "parent_id")
             .select("parent_id", "n_children",
                     F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
                     .alias("children")))

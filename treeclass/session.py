@@ -26,30 +26,31 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when none is configured."""
+    """The shared checkpoint folder, read from the session.
+
+    A private folder is set only for a local master without the setting (ad-hoc runs, tests);
+    on a cluster an unset folder is an error, since executors would write to their own disks."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        sc = None
+    sc = spark.sparkContext
     if root:
-        if sc is not None and sc.getCheckpointDir() is None:
+        if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    current = sc.getCheckpointDir() if sc is not None else None
+    current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # unset (local tests only): a private folder
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="treeclass-ckpt-")
     spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None:
-        sc.setCheckpointDir(root)
+    sc.setCheckpointDir(root)
     return root
 
 
@@ -58,8 +59,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/treeclass-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through Spark's file system layer."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """Owner of a run's scratch data: its own folder, dropped with its tables on exit.
+
+    Use it as a context manager around a run whose results are written before it ends."""
+
+    def __init__(self, spark: SparkSession, name: str = "run"):
+        self.spark, self.root = spark, scratch_path(spark, name)
+        self.tables: list[str] = []
+        self.cached: list[DataFrame] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def keep(self, df: DataFrame, name: str = "kept") -> DataFrame:
+        """Write ``df`` once and return the written table (cuts the lineage)."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def bucketed(self, df: DataFrame, key: str, name: str, **kw) -> DataFrame:
+        out, table = _save_bucketed(df, key, name, self.path(name), **kw)
+        self.tables.append(table)
+        return out
+
+    def close(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables = []
+        remove_path(self.spark, self.root)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss); Spark removes it
+    when the frame is no longer used (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -68,38 +113,22 @@ def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def id_partitions(df: DataFrame) -> int:
-    """Partition / bucket count for per-item tables derived from ``df``: the
-    configured shuffle partitions, but no more than the input warrants
-    (its split count, at least the core count).  A cluster at scale gets its
-    configured count; a tiny input does not become hundreds of tiny buckets."""
-    spark = df.sparkSession
-    shuffle = default_partitions(spark)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access
-        return shuffle
-    return max(1, min(shuffle, max(cores, splits)))
-
-
-def spread_if_undersplit(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
-    """Hash-spread ``df`` by ``key`` when its scan has fewer splits than the
-    cluster has cores (a single file or row group would otherwise pin a whole
-    stage on one task).  A large, well-split input is returned untouched.
-    Returns ``(frame, partitioned_by_key)``; a spread frame is persisted
-    (recomputable from the source if an executor is lost).
-    """
+def buckets(spark: SparkSession) -> int:
+    """Partition and bucket count of per-item tables: the parameter ``treeclass.buckets``
+    (size it as bytes of the feature table over 128-256 MB); unset, the shuffle partitions."""
+    return int(spark.conf.get("treeclass.buckets", str(default_partitions(spark))))
+
+
+def _save_bucketed(df: DataFrame, key: str, name: str, path: str, num_buckets: int | None = None,
+                   partitioned: bool = False) -> tuple[DataFrame, str]:
     spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
-        return df, False
-    if splits < cores:
-        # kept (memory, spilling to disk) so later scans reuse the spread copy
-        return df.repartition(id_partitions(df), key).persist(), True
-    return df, False
+    n = num_buckets or buckets(spark)
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    # one file per bucket per task: group rows by key first unless they already are
+    src = df if partitioned else df.repartition(n, key)
+    (src.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table), table
 
 
 def write_bucketed(df: DataFrame, key: str, name: str, num_buckets: int | None = None,
@@ -111,14 +140,8 @@ def write_bucketed(df: DataFrame, key: str, name: str, num_buckets: int | None =
     another side on ``key`` shuffle only that side, and aggregations keyed by
     ``key`` (plus anything) need no exchange at all.
     """
-    spark = df.sparkSession
-    n = num_buckets or default_partitions(spark)
-    table = f"{name}_{uuid.uuid4().hex[:12]}"
-    # one file per bucket per task: group rows by key first unless they already are
-    src = df if partitioned else df.repartition(n, key)
-    (src.write.mode("overwrite").bucketBy(n, key).sortBy(key)
-     .option("path", scratch_path(spark, table)).saveAsTable(table))
-    return spark.table(table)
+    path = scratch_path(df.sparkSession, name)
+    return _save_bucketed(df, key, name, path, num_buckets, partitioned)[0]
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

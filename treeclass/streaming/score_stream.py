@@ -14,16 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.operators import score, text
+from treeclass.session import Scratch, cut_lineage
 
 
 def classify_batch(items: DataFrame, lexicon: DataFrame, stop: DataFrame, weights: DataFrame,
                    models: DataFrame, index: DataFrame, margin_digits: int | None = None,
-                   bag: DataFrame | None = None) -> DataFrame:
+                   bag: DataFrame | None = None, keep=cut_lineage) -> DataFrame:
     """``id, depth, category`` for one batch of ``items(id, title)``."""
     bag = text.process_title(items, lexicon, stop) if bag is None else bag
     feats = bag.select("id", F.col("term").alias("feature"), F.lit(1.0).alias("value"))
     pred = score.cascade_predict(items.select("id"), feats, weights, models, index,
-                                 margin_digits=margin_digits)
+                                 margin_digits=margin_digits, keep=keep)
     return score.cascade_decode(pred)
 
 
@@ -32,16 +33,18 @@ def classify_stream(stream: DataFrame, lexicon: DataFrame, stop: DataFrame, weig
                     margin_digits: int | None = None, available_now: bool = True):
     """Start the query; returns the ``StreamingQuery``.  Output: parquet under
     ``out_path/batch=<id>`` (a replayed batch overwrites its own folder)."""
-    static = [lexicon.cache(), stop.cache(), weights, models.cache(), index.cache()]
+    # the static side is stored once by the caller or here, never cached per stream
+    packed = score.pack_weights(weights)
+    if packed is not weights:
+        packed = cut_lineage(packed)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        # the batch's bag feeds three cascade levels: kept for the batch only
-        bag = text.process_title(batch, static[0], static[1]).persist()
-        try:
-            out = classify_batch(batch, *static, margin_digits=margin_digits, bag=bag)
+        # what a batch stores (its bag and two cascade levels) goes when the batch ends
+        with Scratch(batch.sparkSession, f"batch-{batch_id}") as scratch:
+            items = scratch.keep(batch)
+            bag = scratch.keep(text.process_title(items, lexicon, stop))
+            out = classify_batch(items, lexicon, stop, packed, models, index, margin_digits, bag, scratch.keep)
             out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        finally:
-            bag.unpersist()
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
