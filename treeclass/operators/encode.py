@@ -66,13 +66,39 @@ def node_rows(labels: DataFrame) -> DataFrame:
     The root trains on every item with an L1 category, an L1 node on its items
     that carry an L2 category, an L2 node on its items that carry an L3 one.
     """
-    root = labels.where(F.col("cat1").isNotNull()).select(
-        "id", F.lit(0).alias("node"), F.lit(1).alias("level"), F.col("cat1").alias("category"))
-    l1 = labels.where(F.col("cat2").isNotNull()).select(
-        "id", F.col("cat1").alias("node"), F.lit(2).alias("level"), F.col("cat2").alias("category"))
-    l2 = labels.where(F.col("cat3").isNotNull()).select(
-        "id", F.col("cat2").alias("node"), F.lit(3).alias("level"), F.col("cat3").alias("category"))
-    return root.unionByName(l1).unionByName(l2)
+    # one scan of the labels: a row gives up to three node rows
+    levels = F.array(
+        F.struct(F.lit(0).alias("node"), F.lit(1).alias("level"), F.col("cat1").alias("category")),
+        F.struct(F.col("cat1").alias("node"), F.lit(2).alias("level"), F.col("cat2").alias("category")),
+        F.struct(F.col("cat2").alias("node"), F.lit(3).alias("level"), F.col("cat3").alias("category")))
+    return labels.select("id", F.inline(levels)).where(F.col("category").isNotNull())
+
+
+def unknown_labels(labels: DataFrame, index: DataFrame) -> DataFrame:
+    """One row ``n_rows, unknown1, unknown2, unknown3``: label rows, and per level the labels
+    that are no child of the level above.  Nothing is dropped or cut short."""
+    seen = node_rows(labels).groupBy("node", "level", "category").agg(F.count("*").alias("n"))
+    ix = index.select(F.col("parent_id").alias("node"), F.col("id").alias("category"), "idx")
+    found = seen.join(small_side(ix), ["node", "category"], "left")
+    bad = F.col("idx").isNull()
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), *(
+        F.coalesce(F.sum(F.when(bad & (F.col("level") == lv), F.col("n"))), F.lit(0)).alias(f"unknown{lv}")
+        for lv in (1, 2, 3)))
+
+
+def check_labels(labels: DataFrame, index: DataFrame) -> None:
+    """Raise when a label at any level is not in the class index."""
+    r = unknown_labels(labels, index).first()
+    if r.unknown1 or r.unknown2 or r.unknown3:
+        raise ValueError(f"unknown categories: {r.unknown1} at level 1, {r.unknown2} at level 2, "
+                         f"{r.unknown3} at level 3, of {r.n_rows} labels")
+
+
+def check_unique_ids(items: DataFrame) -> None:
+    """Raise when an id occurs twice: ids are the join key of every later step."""
+    r = items.groupBy("id").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("extra")).first()
+    if r.extra:
+        raise ValueError(f"{r.extra} rows repeat an item id")
 
 
 def node_training_set(labels: DataFrame) -> DataFrame:
@@ -85,7 +111,7 @@ def node_training_set(labels: DataFrame) -> DataFrame:
 def trainable_nodes(labels: DataFrame, category: DataFrame) -> DataFrame:
     """Nodes that get a model: children in the taxonomy and at least one row.
     ``node, level, num_classes, n_rows``."""
-    return (node_training_set(labels).join(F.broadcast(child_counts(category)), "node")
+    return (node_training_set(labels).join(small_side(child_counts(category)), "node")
             .where((F.col("num_classes") > 0) & (F.col("n_rows") > 0))
             .select("node", "level", "num_classes", "n_rows"))
 
@@ -97,5 +123,5 @@ def train_test_split(df: DataFrame, train_percent: int = 60, key: str = "id") ->
 
 
 def random_split(df: DataFrame, weights=(0.6, 0.4), seed: int = 44):
-    """The seed-based split; depends on the input partitioning, like the reference's."""
+    """The seed-based split; the assignment depends on the input partitioning."""
     return df.randomSplit(list(weights), seed)

@@ -10,7 +10,8 @@ until reaching a node of ``path(a)``, then add twice that node's position in
 steps from ``a`` up to it.
 
 Costs are computed only for the ``(a, b)`` pairs an evaluation needs (equi-joins
-on taxonomy-sized broadcast tables); row sums come from subtree aggregates, so no
+on taxonomy-sized tables, broadcast after one size check of the closure, which bounds
+them all); row sums come from subtree aggregates, so no
 operator enumerates all category pairs.
 """
 
@@ -19,12 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from treeclass.operators.joins import bounded_by
 from treeclass.operators.taxonomy import category_depth
 
 
-def _path_positions(closure: DataFrame, depth: DataFrame, mode: str) -> DataFrame:
+def _path_positions(closure: DataFrame, depth: DataFrame, mode: str, small) -> DataFrame:
     """``a, anc, p`` — nodes of ``path(a)`` with their position (root = anc 0)."""
-    c = closure.join(F.broadcast(depth), "id")
+    c = closure.join(small(depth), "id")
     if mode == "exact":
         nodes = c.where((F.col("hops") == 0) | (F.col("hops") <= F.col("depth") - 2)).select(
             F.col("id").alias("a"), "anc",
@@ -51,9 +53,9 @@ def pair_cost(pairs: DataFrame, closure: DataFrame, mode: str = "exact",
     itself at 0 steps and position 0, so equal pairs cost 0 without a branch
     (the input is consumed once).  Pairs are deduplicated on ``a, b, carry``.
     """
-    depth = category_depth(closure)
-    pos = F.broadcast(_path_positions(closure, depth, mode))
-    up = F.broadcast(_climb(closure, depth))
+    depth, small = category_depth(closure), bounded_by(closure)
+    pos = small(_path_positions(closure, depth, mode, small))
+    up = small(_climb(closure, depth))
     keys = ["a", "b", *carry]
     p = pairs.select(*keys).distinct()
     return (p.join(pos, "a").join(up, ["b", "anc"])
@@ -64,22 +66,22 @@ def pair_cost(pairs: DataFrame, closure: DataFrame, mode: str = "exact",
 def cost_row_sums(category: DataFrame, closure: DataFrame) -> DataFrame:
     """``a, row_sum`` = sum over all b of ``cost[a][b]`` (exact mode), from
     subtree counts and depth sums; linear in taxonomy size x depth."""
-    depth = category_depth(closure)
-    stats = (closure.join(F.broadcast(depth), "id").groupBy("anc")
+    depth, small = category_depth(closure), bounded_by(closure)
+    stats = (closure.join(small(depth), "id").groupBy("anc")
              .agg(F.count("*").alias("cnt"), F.sum("depth").alias("sd")))
     everything = depth.agg(F.count("*").alias("cnt"), F.sum("depth").alias("sd")).select(
         F.lit(0).alias("anc"), "cnt", "sd")
     stats = stats.unionByName(everything)
     node_depth = depth.select(F.col("id").alias("anc"), F.col("depth").alias("m_depth")).unionByName(
         category.sparkSession.range(1).select(F.lit(0).alias("anc"), F.lit(0).alias("m_depth")))
-    pos = _path_positions(closure, depth, "exact")
+    pos = _path_positions(closure, depth, "exact", small)
     w = Window.partitionBy("a").orderBy("p")
     path = (pos.withColumn("below", F.lag("anc").over(w))
-            .join(F.broadcast(stats), "anc")
-            .join(F.broadcast(node_depth), "anc"))
+            .join(small(stats), "anc")
+            .join(small(node_depth), "anc"))
     below = stats.select(F.col("anc").alias("below"), F.col("cnt").alias("cnt_b"),
                          F.col("sd").alias("sd_b"))
-    path = path.join(F.broadcast(below), "below", "left")
+    path = path.join(small(below), "below", "left")
     n = F.col("cnt") - F.coalesce("cnt_b", F.lit(0))
     s = F.col("sd") - F.coalesce("sd_b", F.lit(0))
     # the category itself contributes 0; its proper descendants climb to it (p = 0)
@@ -96,9 +98,11 @@ def category_frequency(labels: DataFrame, category: DataFrame, closure: DataFram
     per_cat = deepest.groupBy("cat").agg(F.count("*").alias("n"))
     # per_cat is taxonomy-sized, so a global window over it is a small task
     per_cat = per_cat.withColumn("total", F.sum("n").over(Window.partitionBy()))
-    up = (per_cat.join(F.broadcast(closure.select(F.col("id").alias("cat"), "anc")), "cat")
-          .groupBy(F.col("anc").alias("id"))
-          .agg(F.sum("n").alias("n"), F.first("total").alias("total")))
+    up = (per_cat.join(bounded_by(closure)(closure.select(F.col("id").alias("cat"), "anc")), "cat", "left")
+          # a category outside the taxonomy is an error, not a smaller total
+          .select(F.coalesce("anc", F.raise_error(F.format_string("unknown category %s", "cat")).cast("int")).alias("id"),
+                  "n", "total")
+          .groupBy("id").agg(F.sum("n").alias("n"), F.first("total").alias("total")))
     total = F.max("total").over(Window.partitionBy())
     return (category.select("id").join(up, "id", "left")
             .select("id", (F.coalesce("n", F.lit(0)) / total).alias("freq")))
@@ -112,24 +116,27 @@ def category_weights(freq: DataFrame, row_sums: DataFrame, num_categories: int)
 
 
 def mean_hier_cost(pred: DataFrame, closure: DataFrame, mode: str = "exact") -> DataFrame:
-    """``n, total_cost, mean_cost`` over ``pred(id, label, prediction)`` (category
-    ids).  Correct rows cost 0 but count.  Rows are pre-aggregated per (label,
-    prediction) pair before the cost lookup, and the input is read once."""
+    """``n, n_unknown, total_cost, mean_cost`` over ``pred(id, label, prediction)``
+    (category ids).  Correct rows cost 0 but count.  Rows whose label or prediction is not
+    in the taxonomy have no cost: they are counted in ``n_unknown`` and the mean is over the
+    others, so a caller must look at ``n_unknown`` (the flows raise).  Rows are
+    pre-aggregated per (label, prediction) pair before the cost lookup."""
     pairs = (pred.groupBy(F.col("label").alias("a"), F.col("prediction").alias("b"))
              .agg(F.count("*").alias("n")))
-    depth = category_depth(closure)
-    pos = F.broadcast(_path_positions(closure, depth, mode))
-    up = F.broadcast(_climb(closure, depth))
-    # left joins keep every pair (and its count) even if a category were unknown
+    depth, small = category_depth(closure), bounded_by(closure)
+    pos = small(_path_positions(closure, depth, mode, small))
+    up = small(_climb(closure, depth))
     per_pair = (pairs.join(pos, "a", "left").join(up, ["b", "anc"], "left")
                 .groupBy("a", "b", "n")
                 .agg(F.min_by(F.col("hops") + 2 * F.col("p"), F.col("hops")).alias("cost")))
-    agg = per_pair.agg(F.sum("n").alias("n"),
-                       F.sum(F.col("n") * F.coalesce("cost", F.lit(0))).alias("total_cost"))
+    known = F.col("cost").isNotNull()
+    agg = per_pair.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_unknown"),
+                       F.coalesce(F.sum(F.when(known, F.col("n") * F.col("cost"))), F.lit(0)).alias("total_cost"))
     return agg.select(
-        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-        F.coalesce("total_cost", F.lit(0)).cast("long").alias("total_cost"),
-        F.try_divide(F.col("total_cost").cast("double"), F.col("n")).alias("mean_cost"))
+        F.col("n").cast("long").alias("n"), F.col("n_unknown").cast("long").alias("n_unknown"),
+        F.col("total_cost").cast("long").alias("total_cost"),
+        F.try_divide(F.col("total_cost").cast("double"), F.col("n") - F.col("n_unknown")).alias("mean_cost"))
 
 
 def selective_accuracy(decoded: DataFrame, truth: DataFrame, compare: str = "id",
@@ -151,7 +158,7 @@ def selective_accuracy(decoded: DataFrame, truth: DataFrame, compare: str = "id"
     elif compare == "local_index":
         if index is None:
             raise ValueError("compare='local_index' needs the class index")
-        ix = F.broadcast(index.select(F.col("id").alias("category"), F.col("idx").alias("pred_idx")))
+        ix = bounded_by(index)(index.select(F.col("id").alias("category"), F.col("idx").alias("pred_idx")))
         j = j.join(ix, "category", "left")
         right = F.col("pred_idx") == (F.when(F.col("depth") == 1, F.col("l1_idx"))
                                       .when(F.col("depth") == 2, F.col("l2_idx"))

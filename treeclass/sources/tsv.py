@@ -58,15 +58,18 @@ def _clean(col: str):
 
 
 def write_ads(ads: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Ragged training TSV; ``concat_ws`` skips NULL levels so trailing fields vanish."""
-    line = F.concat_ws("\t", F.col("id").cast("string"), _clean("title"), F.lit(""), F.lit(""),
-                       F.col("cat1").cast("string"), F.col("cat2").cast("string"),
-                       F.col("cat3").cast("string"))
+    """Ragged training TSV: a NULL title is an empty field, and the levels end at the first
+    NULL one (``concat_ws`` skips the NULLs that follow it), so none moves to another place."""
+    c1 = F.col("cat1")
+    c2 = F.when(c1.isNotNull(), F.col("cat2"))
+    c3 = F.when(c2.isNotNull(), F.col("cat3"))
+    line = F.concat_ws("\t", F.col("id").cast("string"), F.coalesce(_clean("title"), F.lit("")), F.lit(""), F.lit(""),
+                       *(c.cast("string") for c in (c1, c2, c3)))
     ads.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_test_ads(ads: DataFrame, path: str, mode: str = "overwrite") -> None:
-    line = F.concat_ws("\t", F.col("id").cast("string"), _clean("title"))
+    line = F.concat_ws("\t", F.col("id").cast("string"), F.coalesce(_clean("title"), F.lit("")))
     ads.select(line.alias("value")).write.mode(mode).text(path)
 
 
