@@ -4,7 +4,8 @@ Tables:
 
 * ``features(id, feature, value)`` — sparse item features (bucket or term key).
 * ``weights(node, idx, feature, w)`` — pivot-form weights: class ``idx >= 1`` of
-  the model at taxonomy ``node``; class 0 is the pivot with margin 0 (no rows).
+  the model at taxonomy ``node``; class 0 is the pivot with margin 0 (no rows); a NULL
+  feature marks an intercept.  ``pack_weights`` stores them one row per (node, feature).
 * ``models(node, ...)`` — the nodes that have a model.
 * ``index(parent_id, id, idx)`` — ``category_index``, class index → category id.
 
@@ -14,53 +15,76 @@ confidence is ``sigmoid(max(0, best margin))``.  A class with no overlapping
 weight has margin 0 and so never beats the pivot — only joined classes matter.
 
 Distribution: every level routes ``(id, node)`` pairs onto the features with an
-equi-join on ``id`` (each item sits at one node per level), joins the weights on
-``(node, feature)`` and aggregates per item.  With features hash-partitioned by
+equi-join on ``id`` (each item sits at one node per level), joins the packed weights on
+``(node, feature)``, one row to one, and aggregates per item.  With features hash-partitioned by
 ``id`` all per-item aggregations and the level-to-level joins reuse that
-partitioning; weights are broadcast behind a row-count check, otherwise both
-sides shuffle on ``(node, feature)`` and AQE splits a hot key.
+partitioning; a level's packed weights are broadcast when their bytes pass the bound
+(``treeclass.broadcastMaxBytes``), otherwise the join is salted by item.
 Only the nodes an item actually reaches are scored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
-from treeclass.operators.joins import broadcast_max_rows, lookup_join, small_side
-from treeclass.session import cut_lineage, fits
+from treeclass.operators.joins import bounded_by, broadcast_max_bytes, lookup_join
+from treeclass.session import cut_lineage
 
 # Confidence gates of the cascade (L1, L2, L3), bounds inclusive.
 DEFAULT_GATES = (0.7, 0.8, 0.9)
 
 
-def _hint(df: DataFrame, broadcast: bool | None) -> DataFrame:
-    if broadcast is None:
-        return small_side(df)
-    return F.broadcast(df) if broadcast else df
+def pack_weights(weights: DataFrame) -> DataFrame:
+    """``node, feature, ws`` — one row per (node, feature) with the weights of its classes
+    (``ws``: array of ``idx, w``).  A scored (item, term) row then meets at most one row, and
+    the classes unfold after the join, beside the item.  Packed frames pass unchanged."""
+    if "ws" in weights.columns:
+        return weights
+    return weights.groupBy("node", "feature").agg(F.collect_list(F.struct("idx", "w")).alias("ws"))
+
+
+def packed_bytes(packed: DataFrame) -> int:
+    """Size bound of packed weights: 16 bytes per class weight, 64 per row and its key."""
+    return int(packed.agg(F.sum(F.size("ws") * 16 + 64)).first()[0] or 0)
 
 
 def class_margins(features: DataFrame, routes: DataFrame, weights: DataFrame,
                   margin_digits: int | None = None,
-                  broadcast_weights: bool | None = None) -> DataFrame:
+                  broadcast_weights: bool | None = None,
+                  has_intercepts: bool | None = None) -> DataFrame:
     """``id, node, idx, margin`` for every class with at least one shared feature.
 
-    ``broadcast_weights``: None = decide by a row-count check of ``weights``;
-    True/False = a decision the caller already proved.
+    ``weights``: long or packed; rows with a NULL feature are intercepts, which every item
+    at the node gets.  ``broadcast_weights``: None = decide by the size of the packed
+    weights; True/False = a decision the caller already made.
     """
+    packed = pack_weights(weights)
+    if broadcast_weights is None:
+        broadcast_weights = packed_bytes(packed) <= broadcast_max_bytes(packed.sparkSession)
+    if has_intercepts is None:
+        has_intercepts = not packed.where(F.col("feature").isNull()).isEmpty()
     # features are the big side: never broadcast them on a (compressed-size)
     # estimate; a merge join reads them from their id buckets and shuffles only
     # the routes
     routed = features.hint("merge").join(routes.select("id", "node"), "id")
-    w = weights.select("node", "idx", "feature", "w")
-    margin = F.sum(F.col("value") * F.col("w"))
+    margin = F.sum("product")
     if margin_digits is not None:
         margin = F.round(margin, margin_digits)
     # broadcast behind the size check; otherwise salted by item, since one node
     # (the root) sees every item and a frequent feature is a hot key
-    joined = lookup_join(routed, w, ["node", "feature"], broadcast=broadcast_weights)
-    return joined.groupBy("id", "node", "idx").agg(margin.alias("margin"))
+    joined = lookup_join(routed, packed, ["node", "feature"], broadcast=broadcast_weights)
+    products = joined.select("id", "node", "value", F.inline("ws")).select(
+        "id", "node", "idx", (F.col("value") * F.col("w")).alias("product"))
+    if has_intercepts:
+        base = packed.where(F.col("feature").isNull()).select("node", F.inline("ws"))
+        # at most nodes x classes rows: bounded by the model, one row per class at a node
+        products = products.unionByName(routes.select("id", "node").join(bounded_by(base)(base), "node").select(
+            "id", "node", "idx", F.col("w").alias("product")))
+    return products.groupBy("id", "node", "idx").agg(margin.alias("margin"))
 
 
 def best_class(margins: DataFrame) -> DataFrame:
@@ -74,7 +98,8 @@ def best_class(margins: DataFrame) -> DataFrame:
 
 def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
                  margin_digits: int | None = None, single_route: bool = False,
-                 broadcast_weights: bool | None = None) -> DataFrame:
+                 broadcast_weights: bool | None = None,
+                 has_intercepts: bool | None = None) -> DataFrame:
     """``id, node, idx, margin, confidence`` for every route (class 0 / 0.5 when
     no class has a positive margin).
 
@@ -82,7 +107,8 @@ def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
     the result then joins back on ``id`` alone, which keeps the join aligned with
     an ``id`` partitioning instead of reshuffling on ``(id, node)``.
     """
-    best = best_class(class_margins(features, routes, weights, margin_digits, broadcast_weights))
+    best = best_class(class_margins(features, routes, weights, margin_digits, broadcast_weights,
+                                    has_intercepts))
     r = routes.select("id", "node")
     if single_route:
         joined = r.join(best.drop("node"), "id", "left")
@@ -96,12 +122,13 @@ def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
 
 def linear_score(routes: DataFrame, features: DataFrame, weights: DataFrame, index: DataFrame,
                  margin_digits: int | None = None, single_route: bool = False,
-                 broadcast_weights: bool | None = None,
-                 broadcast_index: bool | None = None) -> DataFrame:
+                 broadcast_weights: bool | None = None, has_intercepts: bool | None = None,
+                 index_hint: Callable | None = None) -> DataFrame:
     """Adds the predicted child category: ``id, node, idx, category, margin, confidence``."""
-    s = score_routes(routes, features, weights, margin_digits, single_route, broadcast_weights)
-    ix = _hint(index.select(F.col("parent_id").alias("node"), "idx",
-                            F.col("id").alias("category")), broadcast_index)
+    s = score_routes(routes, features, weights, margin_digits, single_route, broadcast_weights,
+                     has_intercepts)
+    ix = (index_hint or bounded_by(index))(index.select(F.col("parent_id").alias("node"), "idx",
+                                                        F.col("id").alias("category")))
     return s.join(ix, ["node", "idx"], "left").select(
         "id", "node", "idx", "category", "margin", "confidence")
 
@@ -122,53 +149,51 @@ def linear_predict(routes: DataFrame, features: DataFrame, weights: DataFrame,
     return s.select("id", "node", F.col("idx").cast("double").alias("prediction"))
 
 
-def _level(routes, features, weights, models, index, level, margin_digits, bw, bi):
-    nodes = F.broadcast(models.where(F.col("level") == level).select("node"))
-    r = routes if level == 1 else routes.join(nodes, "node", "left_semi")
-    w = weights.join(nodes, "node", "left_semi")
-    return linear_score(r, features, w, index, margin_digits, single_route=True,
-                        broadcast_weights=bw, broadcast_index=bi)
-
-
 def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
                     models: DataFrame, index: DataFrame, gates=DEFAULT_GATES,
                     margin_digits: int | None = None,
-                    materialize_levels: bool = True) -> DataFrame:
-    """Top-down cascade: ``id, cat1_pred, conf1, cat2_pred, conf2, cat3_pred, conf3``.
+                    keep: Callable[[DataFrame], DataFrame] | None = cut_lineage) -> DataFrame:
+    """Top-down cascade: ``id, cat1_pred, conf1, cat2_pred, conf2, cat3_pred, conf3``, one
+    row for every item (ids unique); levels that an item does not reach are NULL, all
+    of them when the root has no model.
 
-    With ``materialize_levels`` (default) levels 1 and 2 run eagerly when this is
-    called (each once, checkpointed); level 3 and the final assembly stay lazy.
+    ``keep`` stores the results of levels 1 and 2 once (default: a reliable checkpoint;
+    a run passes ``Scratch.keep`` so that its files go with it): each feeds the next level
+    and the final assembly.  ``None`` leaves the whole cascade lazy.
 
     Level 1 scores every item at the root; an item descends to its predicted L1
     node when ``conf1 >= gates[0]`` and that node has a model, and to its
     predicted L2 node when also ``conf2 >= gates[1]`` and that node has a model.
     ``models`` needs ``node`` and ``level`` (1 = root model, 2 = L1 node, 3 = L2 node).
+    Broadcasting is decided per level, by the size of that level's packed weights.
     """
     g1, g2, _ = gates
-    root_model = not models.where((F.col("level") == 1) & (F.col("node") == 0)).isEmpty()
-    r1 = items.select("id", F.lit(0).alias("node"))
-    if not root_model:
-        r1 = r1.limit(0)
-    # one size check each for the whole weight table and the class index; every
-    # level reads a subset of them
-    bw = fits(weights, broadcast_max_rows(weights))
-    bi = fits(index, broadcast_max_rows(index))
-    # Each level's per-item result feeds the next level and the final join.  It
-    # is materialised once (a reliable checkpoint in the shared folder: items x a
-    # few columns) instead of being recomputed by every consumer; the next level
-    # joins it to the id-bucketed features by shuffling only this small table.
-    def keep(df):
-        return cut_lineage(df) if materialize_levels else df
-
-    s1 = keep(_level(r1, features, weights, models, index, 1, margin_digits, bw, bi))
-    r2 = s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))
-    s2 = keep(_level(r2, features, weights, models, index, 2, margin_digits, bw, bi))
-    r3 = s2.where(F.col("confidence") >= g2).select("id", F.col("category").alias("node"))
-    s3 = _level(r3, features, weights, models, index, 3, margin_digits, bw, bi)
-    p1 = s1.select("id", F.col("category").alias("cat1_pred"), F.col("confidence").alias("conf1"))
-    p2 = s2.select("id", F.col("category").alias("cat2_pred"), F.col("confidence").alias("conf2"))
-    p3 = s3.select("id", F.col("category").alias("cat3_pred"), F.col("confidence").alias("conf3"))
-    return p1.join(p2, "id", "left").join(p3, "id", "left")
+    keep = keep or (lambda df: df)
+    spark = items.sparkSession
+    packed = pack_weights(weights)
+    small = bounded_by(models)
+    hint = bounded_by(index)
+    # one pass over the model: bytes and intercepts of each level
+    sizes = {r.level: r for r in packed.join(small(models.select("node", "level")), "node").groupBy("level").agg(
+        F.sum(F.size("ws") * 16 + 64).alias("bytes"), F.max(F.col("feature").isNull()).alias("icpt")).collect()}
+
+    def level(n: int, routes: DataFrame) -> DataFrame:
+        nodes = small(models.where(F.col("level") == n).select("node"))
+        routed = routes.join(nodes, "node", "left_semi")
+        own = packed.join(nodes, "node", "left_semi")
+        size = sizes.get(n)
+        return linear_score(routed, features, own, index, margin_digits, single_route=True,
+                            broadcast_weights=(size.bytes if size else 0) <= broadcast_max_bytes(spark),
+                            has_intercepts=bool(size and size.icpt), index_hint=hint)
+
+    s1 = keep(level(1, items.select("id", F.lit(0).alias("node"))))
+    s2 = keep(level(2, s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))))
+    s3 = level(3, s2.where(F.col("confidence") >= g2).select("id", F.col("category").alias("node")))
+    out = items.select("id")
+    for n, s in enumerate((s1, s2, s3), 1):
+        out = out.join(s.select("id", F.col("category").alias(f"cat{n}_pred"), F.col("confidence").alias(f"conf{n}")),
+                       "id", "left")
+    return out
 
 
 def cascade_decode(pred: DataFrame, gates=DEFAULT_GATES, emit_level1: bool = False) -> DataFrame:
