@@ -8,9 +8,6 @@ a bound fixed by a parameter, so it is broadcast without a data check.  Vectors
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +38,6 @@ def idf(tf: DataFrame, num_docs: int) -> DataFrame:
                     F.log((F.lit(float(num_docs)) + 1.0) / (F.col("df") + 1.0)).alias("idf")))
 
 
-def idf_for_absent(num_docs: int) -> float:
-    return math.log(num_docs + 1.0)
-
-
 def tfidf(tf: DataFrame, idf_table: DataFrame) -> DataFrame:
     """``id, bucket, value = tf * idf`` (idf broadcast: at most one row per bucket)."""
     return (tf.join(F.broadcast(idf_table.select("bucket", "idf")), "bucket")
@@ -66,8 +59,9 @@ def fit_tfidf(items: DataFrame, bag: DataFrame, num_buckets: int = CASCADE_BUCKE
     return tfidf(tf, idf_table), idf_table
 
 
-def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame, num_buckets: int) -> DataFrame:
-    """``id, features`` = tf x idf sparse vectors, built without Python.
+def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame | None, num_buckets: int) -> DataFrame:
+    """``id, features`` = tf x idf sparse vectors, built without Python; without an IDF
+    table the plain term frequencies.
 
     Each item's buckets become tokens (bucket id as text, repeated ``tf`` times;
     grouped per item, so bounded by that item's terms), a count vectorizer whose
@@ -86,6 +80,8 @@ def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame, num_buc
         "id", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
     vocab = [str(i) for i in range(num_buckets)]
     counts = CountVectorizerModel.from_vocabulary(vocab, inputCol="tokens", outputCol="tf_vec").transform(docs)
+    if idf_table is None:
+        return counts.select("id", F.col("tf_vec").alias("features"))
     scale = [0.0] * num_buckets
     for r in idf_table.select("bucket", "idf").collect():  # <= num_buckets rows
         scale[int(r["bucket"])] = float(r["idf"])
@@ -93,26 +89,6 @@ def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame, num_buc
     return prod.transform(counts).select("id", "features")
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _sparse(size, indices, values):
-    return SparseVector(int(size), list(indices or []), list(values or []))
-
-
-def to_vectors(items: DataFrame, long_features: DataFrame, num_buckets: int) -> DataFrame:
-    """``id, features`` — one sparse vector per item from arbitrary
-    ``(id, bucket, value)`` entries; items without terms get an empty vector.
-    Entries are grouped per item (bounded by that item's distinct terms).  Uses a
-    small Arrow-batched Python helper per item; for tf x idf vectors prefer
-    ``tfidf_vectors`` (JVM only)."""
-    packed = (long_features.groupBy("id")
-              .agg(F.sort_array(F.collect_list(F.struct("bucket", "value"))).alias("e")))
-    return (items.select("id").join(packed, "id", "left")
-            .select("id", _sparse(F.lit(num_buckets),
-                                  F.coalesce(F.col("e.bucket"), F.array().cast("array<int>")),
-                                  F.coalesce(F.col("e.value"), F.array().cast("array<double>")))
-                    .alias("features")))
-
-
 def labeled_features(labels: DataFrame, level_label: str, vectors: DataFrame) -> DataFrame:
     """``id, label DOUBLE, features`` for items whose ``level_label`` is present (>= 0)."""
     return (labels.where(F.col(level_label) >= 0)

@@ -7,7 +7,8 @@ coefficient row, which is the pivot row of class 1.
 
 Fits are distributed jobs (L-BFGS with tree aggregation inside ``pyspark.ml``);
 the driver only loops over the trainable-node list, a taxonomy-sized table,
-and launches a few fits at a time.  The class count of a node is its child
+and launches a few fits at a time.  A fitted model is saved and released at once;
+the weights table is unfolded by Spark from the saved models, never on the driver.  The class count of a node is its child
 count in the taxonomy, carried as label metadata so that a child without rows
 still owns a class.  Single-child nodes have nothing to learn: they are kept
 in the model table with no weights (class 0, confidence 0.5).
@@ -16,10 +17,10 @@ in the model table with no weights (class 0, confidence 0.5).
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,17 @@ from treeclass.session import scratch_path
 MAX_ITER = 10
 REG_PARAM = 0.01
 
+#: Labelled rows a training file may hold: larger nodes are dealt over more files.
+ROWS_PER_FILE = 500_000
+
 WEIGHTS_SCHEMA = "node int, idx int, feature int, w double"
-MODELS_SCHEMA = "node int, level int, num_classes int, num_features int"
+MODELS_SCHEMA = "node int, level int, num_classes int, num_features int, train_seconds double"
+
+# Layout of a saved model's data (the public format of ``pyspark.ml``), read as plain structs.
+_MATRIX = ("struct<type: tinyint, numRows: int, numCols: int, colPtrs: array<int>, rowIndices: array<int>, "
+           "values: array<double>, isTransposed: boolean>")
+_VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+SAVED_SCHEMA = f"coefficientMatrix {_MATRIX}, interceptVector {_VECTOR}, node int"
 
 
 def with_class_count(df: DataFrame, num_classes: int) -> DataFrame:
@@ -44,118 +54,196 @@ def with_class_count(df: DataFrame, num_classes: int) -> DataFrame:
 
 
 def fit_lr(labeled: DataFrame, num_classes: int, max_iter: int = MAX_ITER,
-           reg_param: float = REG_PARAM) -> LogisticRegressionModel:
-    lr = LogisticRegression(maxIter=max_iter, regParam=reg_param, fitIntercept=False,
+           reg_param: float = REG_PARAM, fit_intercept: bool = False) -> LogisticRegressionModel:
+    lr = LogisticRegression(maxIter=max_iter, regParam=reg_param, fitIntercept=fit_intercept,
                             standardization=True, family="auto", tol=1e-6)
     return lr.fit(with_class_count(labeled, num_classes))
 
 
-def pivot_weights(model: LogisticRegressionModel) -> np.ndarray:
-    """``(K-1) x d`` pivot rows of a fitted model."""
-    c = model.coefficientMatrix.toArray()
-    if model.numClasses == 2 and c.shape[0] == 1:
-        return c
-    return c[1:] - c[0]
-
-
-def weights_frame(spark: SparkSession, node: int, model: LogisticRegressionModel) -> DataFrame:
-    """Non-zero pivot weights of one model as ``node, idx, feature, w``.
-
-    The coefficient matrix already lives on the driver (it is the fitted model),
-    so its size — classes x features — bounds this frame, not the data.
-    """
-    w = pivot_weights(model)
-    rows, cols = np.nonzero(w)
-    pdf = pd.DataFrame({"node": np.full(rows.shape, node, dtype=np.int32),
-                        "idx": (rows + 1).astype(np.int32),
-                        "feature": cols.astype(np.int32),
-                        "w": w[rows, cols].astype(np.float64)})
-    return spark.createDataFrame(pdf, WEIGHTS_SCHEMA)
+def saved_weights(spark: SparkSession, path: str) -> DataFrame:
+    """Non-zero pivot weights ``node, idx, feature, w`` of the models saved as
+    ``path/node=N``; a NULL feature marks an intercept.
+
+    Coefficients are unfolded in the tasks that read the saved models (one row per
+    model): dense matrices by position, sparse ones by their pointer arrays."""
+    m = F.col("coefficientMatrix")
+    saved = spark.read.schema(SAVED_SCHEMA).option("basePath", path).parquet(f"{path}/node=*/data")
+    rows = saved.select("node", m["numRows"].alias("rows"), m["numCols"].alias("cols"),
+                        F.coalesce(m["isTransposed"], F.lit(False)).alias("by_row"), m["colPtrs"].alias("ptrs"),
+                        m["rowIndices"].alias("inner"), m["values"].alias("values"), (m["type"] == 0).alias("sparse"))
+    # "major" runs along the storage order: columns, or rows when the matrix is transposed
+    dense = rows.where(~F.col("sparse")).select("node", "rows", "cols", "by_row", F.posexplode("values").alias("p", "c"))
+    width = F.when(F.col("by_row"), F.col("cols")).otherwise(F.col("rows"))
+    dense = dense.select("node", "rows", "by_row", F.floor(F.col("p") / width).cast("int").alias("major"),
+                         (F.col("p") % width).alias("minor"), "c")
+    start, end = F.element_at("ptrs", F.col("major") + 1), F.element_at("ptrs", F.col("major") + 2)
+    sparse = rows.where("sparse").select(
+        "node", "rows", "by_row", "ptrs", "inner", "values",
+        F.explode(F.sequence(F.lit(0), F.size("ptrs") - 2)).alias("major")).where(end > start).select(
+        "node", "rows", "by_row", "major", F.inline(F.arrays_zip(
+            F.slice("inner", start + 1, end - start).alias("minor"), F.slice("values", start + 1, end - start).alias("c"))))
+    cells = dense.unionByName(sparse).select(
+        "node", "rows", F.when(F.col("by_row"), F.col("major")).otherwise(F.col("minor")).alias("cls"),
+        F.when(F.col("by_row"), F.col("minor")).otherwise(F.col("major")).alias("feature"), "c")
+    b = F.col("interceptVector")
+    dense_b = F.transform(b["values"], lambda v, i: F.struct(
+        F.when(b["indices"].isNull(), i).otherwise(F.element_at(b["indices"], i + 1)).alias("cls"), v.alias("c")))
+    intercepts = saved.select("node", m["numRows"].alias("rows"), F.inline(dense_b)).where("c <> 0").select(
+        "node", "rows", "cls", F.lit(None).cast("int").alias("feature"), "c")
+    return pivot(cells.where("c <> 0").unionByName(intercepts))
+
+
+def pivot(cells: DataFrame) -> DataFrame:
+    """``node, idx, feature, w`` from coefficient cells ``node, rows, cls, feature, c``:
+    ``W_i = C_i - C_0``.  A binary model already has the pivot row of class 1."""
+    grouped = cells.groupBy("node", "rows", "feature").agg(F.collect_list(F.struct("cls", "c")).alias("cs"))
+    zero = F.coalesce(F.get(F.filter("cs", lambda x: x["cls"] == 0), F.lit(0))["c"], F.lit(0.0))
+    by_class = F.transform(F.sequence(F.lit(1), F.col("rows") - 1), lambda i: F.struct(
+        i.alias("idx"), (F.coalesce(F.get(F.filter("cs", lambda x: x["cls"] == i), F.lit(0))["c"], F.lit(0.0))
+                         - F.col("zero")).alias("w")))
+    one = F.array(F.struct(F.lit(1).alias("idx"), F.col("zero").alias("w")))
+    return (grouped.withColumn("zero", zero)
+            .withColumn("ws", F.when(F.col("rows") == 1, one).otherwise(by_class))
+            .select("node", "feature", F.inline("ws")).where("w <> 0")
+            .select("node", "idx", "feature", "w"))
+
+
+def weights_frame(node: int, model: LogisticRegressionModel, folder: str) -> DataFrame:
+    """Pivot weights of one fitted model, through its saved form in ``folder``."""
+    spark = SparkSession.getActiveSession()
+    model.write().overwrite().save(f"{folder}/node={node}")
+    return saved_weights(spark, folder)
 
 
 def node_training_rows(labels: DataFrame, index: DataFrame) -> DataFrame:
-    """``id, node, level, label`` — the class index of each item at each node."""
+    """``id, node, level, label`` — the class index of each item at each node.  A label
+    that is not in the index raises: no training row is dropped."""
     ix = small_side(index.select(F.col("parent_id").alias("node"), F.col("id").alias("category"),
                                  "idx"))
-    return (node_rows(labels).join(ix, ["node", "category"])
-            .select("id", "node", "level", F.col("idx").cast("double").alias("label")))
+    missing = F.raise_error(F.format_string("unknown category %s under node %s", "category", "node"))
+    return (node_rows(labels).join(ix, ["node", "category"], "left")
+            .select("id", "node", "level", F.coalesce("idx", missing.cast("int")).cast("double").alias("label")))
 
 
 def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vectors: DataFrame,
                     num_features: int, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM,
-                    parallelism: int = 8, model_dir: str | None = None):
-    """Fit every node of ``nodes(node, level, num_classes)``.
+                    parallelism: int = 8, model_dir: str | None = None, fit_intercept: bool = False):
+    """Fit every node of ``nodes(node, level, num_classes, n_rows)``.
 
     The labelled vectors of all nodes are written once as a table partitioned by
     node in the shared folder (an item sits in at most three node sets), so each
-    fit reads only its own partition instead of scanning every item vector.
-    Returns ``(weights, models)`` DataFrames; with ``model_dir`` each fitted model
-    is also saved as ``{model_dir}/node={node}``.
+    fit reads only its own partition.  Rows are dealt by (node, salt) with
+    ``n_rows / ROWS_PER_FILE`` salts: a large node spreads over many tasks and files, a small
+    one is a single file.  Returns ``(weights, models)``; the fitted models stay saved as
+    ``{model_dir}/node={node}`` (a scratch folder by default).
     """
     spark = labels.sparkSession
-    rows = node_training_rows(labels, index)
     todo = [(int(r["node"]), int(r["level"]), int(r["num_classes"]))
             for r in nodes.select("node", "level", "num_classes").collect()]
     fit_nodes = [n for n, _, k in todo if k >= 2]
     table = scratch_path(spark, "node-training")
+    model_dir = model_dir or scratch_path(spark, "models")
     if fit_nodes:
-        (rows.where(F.col("node").isin(fit_nodes)).join(vectors, "id")
-         .select("node", "label", "features")
-         # no repartition by node: the root holds every item, so each task
-         # writes its own rows into the per-node folders instead
+        salts = nodes.select("node", F.ceil(F.col("n_rows") / ROWS_PER_FILE).cast("int").alias("salts"))
+        rows = node_training_rows(labels, index).where(F.col("node").isin(fit_nodes)).join(small_side(salts), "node")
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.greatest("salts", F.lit(1))))
+        (salted.join(vectors, "id").select("node", "salt", "label", "features")
+         .repartition("node", "salt").drop("salt")
          .write.partitionBy("node").parquet(table))
 
     def run(task):
         node, level, k = task
         if k < 2:
-            return node, level, k, None
+            return node, level, k, num_features, 0.0
+        t0 = time.time()
         data = spark.read.parquet(table).where(F.col("node") == node).select("label", "features")
-        model = fit_lr(data, k, max_iter, reg_param)
-        if model_dir:
-            model.write().overwrite().save(f"{model_dir}/node={node}")
-        return node, level, k, model
+        fit_lr(data, k, max_iter, reg_param, fit_intercept).write().overwrite().save(f"{model_dir}/node={node}")
+        return node, level, k, num_features, time.time() - t0
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         fitted = list(pool.map(run, todo))
-    frames = [weights_frame(spark, node, m) for node, _, _, m in fitted if m is not None]
-    weights = frames[0] if frames else spark.createDataFrame([], WEIGHTS_SCHEMA)
-    for f in frames[1:]:
-        weights = weights.unionByName(f)
-    models = spark.createDataFrame([(n, lv, k, num_features) for n, lv, k, _ in fitted],
-                                   MODELS_SCHEMA)
-    return weights, models
+    weights = saved_weights(spark, model_dir) if fit_nodes else spark.createDataFrame([], WEIGHTS_SCHEMA)
+    return weights, spark.createDataFrame(fitted, MODELS_SCHEMA)
+
+
+# --- saved hierarchies ---------------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists; an unreachable or unknown store raises."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def data_fingerprint(spark: SparkSession, paths: list[str], tables: list[DataFrame]) -> str:
+    """Hash of the input files (path, size, modification time) and of the rows of tables."""
+    files = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).select(
+        F.xxhash64("path", "length", F.col("modificationTime").cast("long")).alias("h")) for p in paths]
+    rows = [t.select(F.xxhash64(*t.columns).alias("h")) for t in tables]
+    parts = []
+    for f in files + rows:
+        r = f.agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first()
+        parts.append(f"{r[0]}:{r[1]}:{r[2]}")
+    return "|".join(parts)
+
+
+def _published(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(folder, fingerprint) of the complete hierarchies below ``path``, newest first."""
+    if not path_exists(spark, path):
+        return []
+    fs, p = _fs(spark, path)
+    found = [s for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v-")]
+    out = []
+    for s in sorted(found, key=lambda s: -s.getModificationTime()):
+        folder = s.getPath().toString()
+        if path_exists(spark, f"{folder}/meta/_SUCCESS"):  # written last: without it the folder is incomplete
+            out.append((folder, spark.read.json(f"{folder}/meta").first()["fingerprint"]))
+    return out
 
 
 def save_hierarchy(weights: DataFrame, models: DataFrame, index: DataFrame, path: str,
-                   fingerprint: dict | None = None) -> None:
-    """Weights, model table and the class index map together, so a reload can
-    never pair a model with a different index order."""
-    weights.write.mode("overwrite").parquet(f"{path}/weights")
-    models.write.mode("overwrite").parquet(f"{path}/models")
-    index.write.mode("overwrite").parquet(f"{path}/index")
-    spark = weights.sparkSession
+                   fingerprint: dict | None = None, idf: DataFrame | None = None) -> str:
+    """Weights, model table, class index and IDF together in a fresh folder below ``path``,
+    so a reload can never pair a model with another index or IDF.  The meta file is written
+    last and publishes the folder; a crash before leaves the older ones in force."""
+    folder = f"{path}/v-{uuid.uuid4().hex}"
+    weights.write.parquet(f"{folder}/weights")
+    models.write.parquet(f"{folder}/models")
+    index.write.parquet(f"{folder}/index")
+    if idf is not None:
+        idf.write.parquet(f"{folder}/idf")
     meta = json.dumps(fingerprint or {}, sort_keys=True)
-    spark.createDataFrame([(meta,)], "fingerprint string").write.mode("overwrite").json(f"{path}/meta")
+    weights.sparkSession.createDataFrame([(meta,)], "fingerprint string").write.json(f"{folder}/meta")
+    return folder
 
 
-def load_hierarchy(spark: SparkSession, path: str):
-    return (spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/models"),
-            spark.read.parquet(f"{path}/index"))
+def load_hierarchy(spark: SparkSession, path: str, fingerprint: dict | None = None):
+    """``weights, models, index, idf`` (idf None when not saved) of the newest complete
+    hierarchy, or of the newest with that fingerprint."""
+    want = None if fingerprint is None else json.dumps(fingerprint, sort_keys=True)
+    for folder, got in _published(spark, path):
+        if want is None or got == want:
+            idf = spark.read.parquet(f"{folder}/idf") if path_exists(spark, f"{folder}/idf") else None
+            return (*(spark.read.parquet(f"{folder}/{t}") for t in ("weights", "models", "index")), idf)
+    raise FileNotFoundError(f"no complete hierarchy for this fingerprint in {path}")
 
 
 def hierarchy_exists(spark: SparkSession, path: str, fingerprint: dict | None = None) -> bool:
-    try:
-        got = spark.read.json(f"{path}/meta").first()
-    except Exception:  # noqa: BLE001 - absent path
-        return False
-    return got is not None and got["fingerprint"] == json.dumps(fingerprint or {}, sort_keys=True)
+    """Only a missing path or fingerprint means absent; any storage error is raised."""
+    want = json.dumps(fingerprint or {}, sort_keys=True)
+    return any(got == want for _, got in _published(spark, path))
 
 
 def fit_or_load(spark: SparkSession, path: str, fingerprint: dict, train_fn):
-    """Train only when ``path`` holds no hierarchy with the same fingerprint
-    (data, bucket count, solver settings): the cache key covers what changes
-    results, not just the class count."""
+    """``weights, models, index, idf``; trains only when ``path`` holds no complete hierarchy
+    with this fingerprint.  The caller puts everything that changes results into it: see
+    ``data_fingerprint`` for files and tables, next to bucket count and solver settings.
+    ``train_fn`` returns ``weights, models, index`` or these and the IDF."""
     if not hierarchy_exists(spark, path, fingerprint):
-        weights, models, index = train_fn()
-        save_hierarchy(weights, models, index, path, fingerprint)
-    return load_hierarchy(spark, path)
+        weights, models, index, *idf = train_fn()
+        save_hierarchy(weights, models, index, path, fingerprint, *idf)
+    return load_hierarchy(spark, path, fingerprint)
