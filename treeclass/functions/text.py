@@ -16,10 +16,13 @@ DROPPED_TAGS = (592, 151, 0, 235, (429, 461), 800, (462, 508), (705, 723), (594,
 WORD_PATTERN = r"(\p{L}+)"
 
 
-def tokenize(text: Column | str) -> Column:
-    """Lower-cased letter runs of the whole text, in order (array<string>)."""
-    return F.regexp_extract_all(F.lower(F.col(text) if isinstance(text, str) else text),
-                                F.lit(WORD_PATTERN), 1)
+def tokenize(text: Column | str, lower: bool = False) -> Column:
+    """Letter runs of the whole text as written, in order (array<string>).
+
+    The analyser and the stop list see the surface form; ``lower=True`` folds case first
+    (for lexicons that hold lower-cased words only)."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.lower(text) if lower else text, F.lit(WORD_PATTERN), 1)
 
 
 def tag_is_dropped(tag: Column | str) -> Column:

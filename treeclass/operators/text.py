@@ -21,20 +21,20 @@ from pyspark.sql import functions as F
 
 from treeclass.functions.text import lemma_base, tag_is_dropped, tokenize
 from treeclass.operators.joins import broadcast_max_rows, lookup_join
-from treeclass.session import fits, id_partitions
+from treeclass.session import buckets, fits
 
 
-def words(items: DataFrame) -> DataFrame:
+def words(items: DataFrame, lower: bool = False) -> DataFrame:
     """``id, start_node, orth`` — every word of the whole title, 1-based position."""
-    return (items.select("id", F.posexplode(tokenize("title")).alias("pos", "orth"))
+    return (items.select("id", F.posexplode(tokenize("title", lower)).alias("pos", "orth"))
             .select("id", (F.col("pos") + 1).cast("int").alias("start_node"), "orth"))
 
 
-def annotate_tokens(items: DataFrame, lexicon: DataFrame) -> DataFrame:
+def annotate_tokens(items: DataFrame, lexicon: DataFrame, lower: bool = False) -> DataFrame:
     """``id, start_node, orth, lemma, tag_id, ordinal`` — each word with every
     lexicon analysis; a word outside the lexicon gets one analysis with tag 0."""
     lex = lexicon.select("orth", "ordinal", "tag_id", "lemma")
-    return (lookup_join(words(items), lex, ["orth"], "left")
+    return (lookup_join(words(items, lower), lex, ["orth"], "left")
             .select("id", "start_node", "orth",
                     F.coalesce("lemma", "orth").alias("lemma"),
                     F.coalesce("tag_id", F.lit(0)).cast("int").alias("tag_id"),
@@ -67,26 +67,27 @@ def word_lemmas(lexicon: DataFrame, stop: DataFrame) -> DataFrame:
             .agg(F.min_by(lemma_base("lemma"), F.col("ordinal")).alias("term")))
 
 
-def item_words(items: DataFrame) -> DataFrame:
+def item_words(items: DataFrame, lower: bool = False) -> DataFrame:
     """``id, orth`` — the distinct words of each item (deduplicated inside the
     item's own row, no shuffle)."""
-    return items.select("id", F.explode(F.array_distinct(tokenize("title"))).alias("orth"))
+    return items.select("id", F.explode(F.array_distinct(tokenize("title", lower))).alias("orth"))
 
 
 def process_title(items: DataFrame, lexicon: DataFrame, stop: DataFrame,
-                  items_by_id: bool = False, words: DataFrame | None = None) -> DataFrame:
+                  items_by_id: bool = False, words: DataFrame | None = None,
+                  lower: bool = False) -> DataFrame:
     """``id, term`` — distinct lemmas of each item, hash-partitioned by ``id``
     so that per-item aggregations downstream need no further shuffle.
 
     ``items_by_id=True`` declares ``items`` already hash-partitioned by ``id``;
     then only the (id, lemma) dedupe runs, in place.  ``words`` = precomputed
     ``item_words(items)`` (when another step also needs them)."""
-    per_item = item_words(items) if words is None else words
+    per_item = item_words(items, lower) if words is None else words
     # |word_lemmas| <= |lexicon|: the lexicon's row count bounds the broadcast side;
     # beyond it the join is salted by item so a hot word is split across tasks
     resolved = lookup_join(per_item, word_lemmas(lexicon, stop), ["orth"],
                            broadcast=fits(lexicon, broadcast_max_rows(lexicon)))
     pairs = resolved.select("id", "term")
     if not items_by_id:
-        pairs = pairs.repartition(id_partitions(items), "id")
+        pairs = pairs.repartition(buckets(items.sparkSession), "id")
     return pairs.distinct()

@@ -12,10 +12,12 @@ in ``treeclass.plans.oracle`` states the same rules):
 * taxonomy = every category that some item carries, with its parent.
 * lexicon  = the analyses of every distinct word of the corpus: words of 12 or
              more letters are unknown to it (they get tag 0 when annotated);
-             1-2 letter words carry a preposition tag and 3-letter words a
-             particle tag (both dropped by the tag filter), other words a kept
-             tag; a word over 4 letters ending in 's' gets lemma ``stem:s2``;
+             words of 1-2 letters carry one of ``LEXICON_DROPPED`` (by their hash),
+             3-letter words a particle tag (all dropped by the tag filter), other
+             words one of ``LEXICON_KEPT``, ids just outside the dropped ranges; a
+             word over 4 letters ending in 's' gets lemma ``stem:s2``;
              3-letter words have a second analysis (tag 301, ``word:alt``).
+             Words are kept as written (case included).
 * stop words = the fixed list below.
 
 Only narrow label columns are joined; the texts are read where they lie and are
@@ -27,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from treeclass.functions.hashing import md5_hash
 from treeclass.functions.text import tokenize
 
 # The fixture stop-word list.
@@ -35,6 +38,11 @@ FIXTURE_STOP_WORDS = ("with", "that", "they", "avec", "pour", "auch")
 # Lexicon rule parameters.
 UNKNOWN_MIN_LENGTH = 12
 LABEL_ONLY_L1_MIN_FEED = 18
+# Tags of the fixture lexicon, with both bounds of every dropped range, and
+# kept tags on both sides of each.
+LEXICON_DROPPED = (592, 151, 235, 429, 445, 461, 800, 462, 485, 508, 705, 714, 723, 594, 596, 598, 573,
+                   578, 585, 591, 148, 99, 97, 801)
+LEXICON_KEPT = (300, 593, 150, 152, 234, 236, 428, 509, 799, 802, 704, 724, 599, 572, 574, 577, 147, 149, 98, 100, 96)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,17 +72,12 @@ def ad_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     cat3.alias("cat3")))
 
 
-def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled items ``id, title, cat1, cat2, cat3`` (title = whole text)."""
-    return items(spark, sf_dir).join(ad_labels(spark, sf_dir), "id")
-
-
 def category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Taxonomy ``id INT, parent_id INT, name STRING`` of every category in use."""
-    lab = ad_labels(spark, sf_dir)
-    pairs = (lab.select(F.col("cat1").alias("id"), F.lit(0).alias("parent_id"))
-             .unionByName(lab.select(F.col("cat2").alias("id"), F.col("cat1").alias("parent_id")))
-             .unionByName(lab.select(F.col("cat3").alias("id"), F.col("cat2").alias("parent_id")))
+    levels = F.array(F.struct(F.col("cat1").alias("id"), F.lit(0).alias("parent_id")),
+                     F.struct(F.col("cat2").alias("id"), F.col("cat1").alias("parent_id")),
+                     F.struct(F.col("cat3").alias("id"), F.col("cat2").alias("parent_id")))
+    pairs = (ad_labels(spark, sf_dir).select(F.inline(levels))
              .where(F.col("id").isNotNull()).distinct())
     return pairs.select(F.col("id").cast("int"), F.col("parent_id").cast("int"),
                         F.concat(F.lit("category "), F.col("id").cast("string")).alias("name"))
@@ -95,7 +98,10 @@ def lexicon(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = Non
     """``orth, ordinal INT, tag_id INT, lemma`` — analyses in analyser order."""
     w = vocabulary(spark, sf_dir, item_frame, words).where(F.length("orth") < UNKNOWN_MIN_LENGTH)
     n = F.length("orth")
-    tag = F.when(n <= 2, 581).when(n == 3, 592).otherwise(300)
+
+    def by_hash(ids):
+        return F.element_at(F.array(*map(F.lit, ids)), (md5_hash("orth") % len(ids) + 1).cast("int"))
+    tag = F.when(n <= 2, by_hash(LEXICON_DROPPED)).when(n == 3, 592).otherwise(by_hash(LEXICON_KEPT))
     lemma = (F.when((n > 4) & F.col("orth").endswith("s"),
                     F.concat(F.expr("substring(orth, 1, length(orth) - 1)"), F.lit(":s2")))
              .otherwise(F.col("orth")))
