@@ -3,11 +3,12 @@
     python -m treeclass classify --training 'data/training.*.tsv' --test 'data/test.*.tsv' \\
         --categories data/categories.tsv --stopwords data/stop_words.txt \\
         --lexicon lexicon.parquet --out results/predictions --models model/hierarchy \\
-        [--metrics results/metrics] [--buckets 30720] [--emit-level1]
+        [--metrics results/metrics] [--buckets 30720] [--emit-level1] [--lower] \\
+        [--idf fit_once|refit] [--tf-only]
 
     python -m treeclass flat-cost --training 'data/training.*.tsv' \\
         --categories data/categories.tsv --stopwords data/stop_words.txt \\
-        --lexicon lexicon.parquet [--buckets 102400]
+        --lexicon lexicon.parquet [--buckets 102400] [--lower]
 
 The lexicon is a parquet table ``orth, ordinal, tag_id, lemma``.  The session
 comes from ``spark-submit`` / the cluster defaults (``getOrCreate``).
@@ -34,12 +35,15 @@ def main(argv=None) -> None:
         p.add_argument("--categories", required=True)
         p.add_argument("--stopwords", required=True)
         p.add_argument("--lexicon", required=True)
+        p.add_argument("--lower", action="store_true", help="fold the case of titles first")
     c.add_argument("--test", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--models", required=True)
     c.add_argument("--metrics")
     c.add_argument("--buckets", type=int, default=CASCADE_BUCKETS)
     c.add_argument("--emit-level1", action="store_true")
+    c.add_argument("--idf", choices=flows.IDF_MODES, default="fit_once")
+    c.add_argument("--tf-only", action="store_true")
     f.add_argument("--buckets", type=int, default=FLAT_BUCKETS_BY_LEVEL[1])
     args = ap.parse_args(argv)
 
@@ -48,11 +52,12 @@ def main(argv=None) -> None:
     if args.cmd == "classify":
         out = flows.classify(spark, args.training, args.test, args.categories, args.stopwords,
                              lexicon, args.out, args.models, args.metrics, args.buckets,
-                             emit_level1=args.emit_level1)
+                             emit_level1=args.emit_level1, lower=args.lower, idf=args.idf,
+                             use_idf=not args.tf_only)
         print(json.dumps({"predictions": args.out, "rows": out.count()}))
     else:
         r = flows.flat_cost(spark, args.training, args.categories, args.stopwords, lexicon,
-                            num_buckets=args.buckets).first()
+                            num_buckets=args.buckets, lower=args.lower).first()
         print(json.dumps({"n": r["n"], "total_cost": r["total_cost"], "mean_cost": r["mean_cost"]}))
 
 

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import md5_hash
-from treeclass.operators import encode, taxonomy, text
-from treeclass.session import cut_lineage, id_partitions, spread_if_undersplit, write_bucketed
+from treeclass.operators import encode, score, taxonomy, text
+from treeclass.operators.joins import bounded_by
+from treeclass.session import buckets, cut_lineage, write_bucketed
 from treeclass.sources import fixture
 
 MARGIN_DIGITS = 6
@@ -44,32 +45,29 @@ class Context:
 
     def prepare(self) -> "Context":
         """Materialise every shared input now."""
-        for name in ("category", "index", "closure", "lexicon", "bag", "weights", "models"):
+        for name in ("labels", "category", "index", "closure", "lexicon", "bag", "packed", "models"):
             getattr(self, name)
         return self
 
     # --- inputs -------------------------------------------------------------
-    @cached_property
-    def _items(self):
-        return spread_if_undersplit(fixture.items(self.spark, self.sf_dir), "id")
-
     @cached_property
     def items(self) -> DataFrame:
-        return self._items[0]
+        # the driver's corpus is one file of one row group: dealt out once by id and written, so
+        # that every query works on all cores (a corpus of many files is read where it lies)
+        return cut_lineage(fixture.items(self.spark, self.sf_dir).repartition(buckets(self.spark), "id"))
 
     @cached_property
     def labels(self) -> DataFrame:
-        return fixture.ad_labels(self.spark, self.sf_dir)
+        return cut_lineage(fixture.ad_labels(self.spark, self.sf_dir))  # ids and three numbers
 
     @cached_property
     def category(self) -> DataFrame:
-        return fixture.category(self.spark, self.sf_dir).cache()
+        return cut_lineage(fixture.category(self.spark, self.sf_dir))
 
     @cached_property
     def words(self) -> DataFrame:
-        # per-item distinct words: read by the fixture vocabulary and by the bag,
-        # so the corpus is tokenised once (kept, spilling to disk)
-        return text.item_words(self.items).persist()
+        # per-item distinct words: read by the fixture vocabulary and by the bag
+        return cut_lineage(text.item_words(self.items))
 
     @cached_property
     def lexicon(self) -> DataFrame:
@@ -83,11 +81,11 @@ class Context:
     # --- taxonomy -----------------------------------------------------------
     @cached_property
     def index(self) -> DataFrame:
-        return taxonomy.category_index(self.category).cache()
+        return cut_lineage(taxonomy.category_index(self.category))
 
     @cached_property
     def closure(self) -> DataFrame:
-        return taxonomy.category_closure(self.category).cache()
+        return taxonomy.category_closure(self.category)  # written by the operator
 
     @cached_property
     def models(self) -> DataFrame:
@@ -99,9 +97,8 @@ class Context:
     def bag(self) -> DataFrame:
         # read by the weights and by every cascade level: written once as a
         # table bucketed by item id, so scoring levels never reshuffle it
-        items, by_id = self._items
-        bag = text.process_title(items, self.lexicon, self.stop, items_by_id=by_id, words=self.words)
-        return write_bucketed(bag, "id", "bag", num_buckets=id_partitions(items), partitioned=True)
+        bag = text.process_title(self.items, self.lexicon, self.stop, words=self.words)
+        return write_bucketed(bag, "id", "bag", partitioned=True)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -110,16 +107,16 @@ class Context:
     # --- deterministic scoring fixture --------------------------------------
     @cached_property
     def weights(self) -> DataFrame:
-        lab = self.labels
-        ad_cat = (lab.select("id", F.col("cat1").alias("cat"))
-                  .unionByName(lab.select("id", F.col("cat2").alias("cat")))
-                  .unionByName(lab.select("id", F.col("cat3").alias("cat")))
-                  .where(F.col("cat").isNotNull()))
+        ad_cat = encode.node_rows(self.labels).select("id", F.col("category").alias("cat"))
         cat_terms = ad_cat.join(self.bag, "id").select("cat", "term").distinct()
-        ix = F.broadcast(self.index.where(F.col("idx") > 0)
-                         .select(F.col("id").alias("cat"), F.col("parent_id").alias("node"), "idx"))
+        ix = bounded_by(self.index)(self.index.where(F.col("idx") > 0)
+                                    .select(F.col("id").alias("cat"), F.col("parent_id").alias("node"), "idx"))
         key = F.concat(F.col("cat").cast("string"), F.lit(":"), F.col("term"))
         # a model artifact in practice (a parquet table): materialised once
         return cut_lineage(cat_terms.join(ix, "cat").select(
             "node", "idx", F.col("term").alias("feature"),
             ((md5_hash(key) % 2001 - 1000).cast("double") / 1000.0).alias("w")))
+
+    @cached_property
+    def packed(self) -> DataFrame:
+        return cut_lineage(score.pack_weights(self.weights))

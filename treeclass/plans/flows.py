@@ -2,15 +2,17 @@
 
 ``classify``: read labelled and unlabelled item TSVs, the taxonomy, the stop
 words and a lexicon table → build features → train one model per trainable node
-(or reuse a saved hierarchy with the same fingerprint) → cascade-predict the
+(or reuse a saved hierarchy of the same data and settings) → cascade-predict the
 unlabelled items → write ``id \\t category`` → measure selective accuracy on
 the labelled items → append metrics.
 
 ``flat_cost``: flat classifier over the level-2 categories on a reproducible
 60/40 split, scored by mean hierarchical cost.
 
-Both keep every step distributed: the only driver-side data are the node list
-(one row per trainable taxonomy node) and fitted coefficient matrices.
+Text files are converted to columnar tables once; every later step reads those.  All
+scratch data belong to the run and are removed when it ends.  Unknown categories and
+repeated item ids raise; nothing is dropped.  The only driver-side data are the node
+list (one row per trainable taxonomy node) and sizes.
 """
 
 from __future__ import annotations
@@ -21,94 +23,147 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
-from treeclass.session import cut_lineage, id_partitions, spread_if_undersplit, write_bucketed
+from treeclass.operators.joins import bounded_by
+from treeclass.session import Scratch
 from treeclass.sources import tsv
 
+IDF_MODES = ("fit_once", "refit")
 
-def build_features(items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_buckets: int,
-                   idf_table: DataFrame | None = None, hash_fn: str = "murmur3"):
-    """Item features bucketed by id: ``(tfidf_long, idf_table, tf)``; the long
-    table has ``id, feature, value`` (feature = bucket)."""
-    spread, by_id = spread_if_undersplit(items, "id")
-    bag = text.process_title(spread, lexicon, stop, items_by_id=by_id)
-    tf = cut_lineage(features.hashing_tf(bag, num_buckets, hash_fn))  # read by idf, product, vectors
-    if idf_table is None:
-        idf_table = features.idf(tf, items.count())
-    long = features.tfidf(tf, idf_table).select("id", F.col("bucket").alias("feature"), "value")
-    return write_bucketed(long, "id", "features", num_buckets=id_partitions(spread)), idf_table, tf
+
+def build_features(scratch: Scratch, items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_buckets: int,
+                   idf_table: DataFrame | None = None, hash_fn: str = "murmur3", lower: bool = False,
+                   use_idf: bool = True):
+    """Item features bucketed by id: ``(long, idf_table, tf)``; the long table has
+    ``id, feature, value`` (feature = bucket).  Without an IDF table one is fitted on
+    these items; ``use_idf=False`` keeps plain term frequencies."""
+    bag = text.process_title(items, lexicon, stop, lower=lower)
+    tf = scratch.keep(features.hashing_tf(bag, num_buckets, hash_fn), "tf")  # read by idf, product, vectors
+    if not use_idf:
+        idf_table, long = None, tf.select("id", F.col("bucket").alias("feature"), F.col("tf").cast("double").alias("value"))
+    else:
+        if idf_table is None:
+            idf_table = scratch.keep(features.idf(tf, items.count()), "idf")
+        long = features.tfidf(tf, idf_table).select("id", F.col("bucket").alias("feature"), "value")
+    return scratch.bucketed(long, "id", "features"), idf_table, tf
+
+
+def check_feature_size(models: DataFrame, num_buckets: int) -> None:
+    """Raise when a model was fitted on another number of features than those scored."""
+    other = models.where(F.col("num_features") != num_buckets).count()
+    if other:
+        raise ValueError(f"{other} models were fitted on another number of features than {num_buckets}")
 
 
 def classify(spark: SparkSession, training_path: str, test_path: str, categories_path: str,
              stopwords_path: str, lexicon: DataFrame, out_path: str, model_path: str,
              metrics_path: str | None = None, num_buckets: int = features.CASCADE_BUCKETS,
-             gates=score.DEFAULT_GATES, emit_level1: bool = False) -> DataFrame:
-    """Returns the decoded predictions of the unlabelled items (also written)."""
-    train_ads = tsv.read_ads(spark, training_path)
-    test_ads = tsv.read_test_ads(spark, test_path).select("id", "title")
-    category = tsv.read_categories(spark, categories_path).cache()
-    stop = tsv.read_stopwords(spark, stopwords_path)
-    index = taxonomy.category_index(category).cache()
-    labels = train_ads.select("id", "cat1", "cat2", "cat3")
-    encode.label_encode(labels, index).where("l1_idx < 0").limit(1).count()  # unknown ids raise
-
-    feats_train, idf_table, tf_train = build_features(train_ads.select("id", "title"), lexicon, stop,
-                                                      num_buckets)
-    nodes = encode.trainable_nodes(labels, category)
-    fingerprint = {"buckets": num_buckets, "iters": train.MAX_ITER, "reg": train.REG_PARAM,
-                   "training": training_path, "categories": categories_path}
-
-    def fit():
-        vectors = features.tfidf_vectors(train_ads.select("id"), tf_train, idf_table,
-                                         num_buckets).cache()
-        w, m = train.train_hierarchy(labels, index, nodes, vectors, num_buckets)
-        return w, m, index
-
-    t0 = time.time()
-    weights, models, index = train.fit_or_load(spark, model_path, fingerprint, fit)
-    train_seconds = time.time() - t0
-
-    feats_test, _, _ = build_features(test_ads, lexicon, stop, num_buckets, idf_table)
-    decoded = score.cascade_decode(
-        score.cascade_predict(test_ads.select("id"), feats_test, weights, models, index, gates),
-        gates, emit_level1)
-    tsv.write_predictions(decoded, out_path)
-
-    if metrics_path:
-        on_train = score.cascade_decode(
-            score.cascade_predict(train_ads.select("id"), feats_train, weights, models, index, gates),
-            gates, emit_level1)
-        sel = metrics.selective_accuracy(on_train, labels)
-        rows = sel.select(F.lit(model_path).alias("model_path"),
-                          F.lit(train_seconds).alias("train_seconds"), "*")
-        tsv.write_metrics(rows, metrics_path)
+             gates=score.DEFAULT_GATES, emit_level1: bool = False, lower: bool = False,
+             idf: str = "fit_once", use_idf: bool = True) -> DataFrame:
+    """Returns the decoded predictions of the unlabelled items (also written).
+
+    ``idf``: ``fit_once`` scores with the IDF stored beside the models; ``refit`` fits one on
+    the scored items, as the reference's flow does.  ``use_idf=False``: term frequencies only.
+    ``lower`` folds the case of titles before they meet the lexicon and the stop words."""
+    if idf not in IDF_MODES:
+        raise ValueError(f"idf must be one of {IDF_MODES}")
+    with Scratch(spark, "classify") as scratch:
+        train_ads = scratch.keep(tsv.read_ads(spark, training_path), "training")
+        test_ads = scratch.keep(tsv.read_test_ads(spark, test_path).select("id", "title"), "test")
+        category = scratch.keep(tsv.read_categories(spark, categories_path), "category")
+        stop = scratch.keep(tsv.read_stopwords(spark, stopwords_path), "stop")
+        lexicon = scratch.keep(lexicon, "lexicon")
+        index = scratch.keep(taxonomy.category_index(category), "index")
+        labels = train_ads.select("id", "cat1", "cat2", "cat3")
+        encode.check_unique_ids(train_ads)
+        encode.check_unique_ids(test_ads)
+        encode.check_labels(labels, index)
+        nodes = scratch.keep(encode.trainable_nodes(labels, category), "nodes")
+        fingerprint = {"buckets": num_buckets, "iters": train.MAX_ITER, "reg": train.REG_PARAM, "lower": lower,
+                       "use_idf": use_idf, "data": train.data_fingerprint(
+                           spark, [training_path, categories_path, stopwords_path], [lexicon])}
+
+        def features_of(items, idf_table=None):
+            return build_features(scratch, items.select("id", "title"), lexicon, stop, num_buckets, idf_table,
+                                  lower=lower, use_idf=use_idf)
+
+        def fit():
+            _, idf_table, tf = features_of(train_ads)
+            vectors = scratch.keep(features.tfidf_vectors(train_ads.select("id"), tf, idf_table, num_buckets), "vectors")
+            w, m = train.train_hierarchy(labels, index, nodes, vectors, num_buckets, model_dir=scratch.path("models"))
+            return w, m, index, idf_table
+
+        t0 = time.time()
+        weights, models, index, idf_table = train.fit_or_load(spark, model_path, fingerprint, fit)
+        train_seconds = time.time() - t0
+        check_feature_size(models, num_buckets)
+        packed = scratch.keep(score.pack_weights(weights), "packed")
+
+        def decode(items):
+            feats, _, _ = features_of(items, idf_table if idf == "fit_once" else None)
+            pred = score.cascade_predict(items.select("id"), feats, packed, models, index, gates, keep=scratch.keep)
+            return scratch.keep(score.cascade_decode(pred, gates, emit_level1), "decoded")
+
+        tsv.write_predictions(decode(test_ads), out_path)
+        if metrics_path:
+            _write_run_log(decode(train_ads), labels, models, model_path, train_seconds, metrics_path)
     return tsv.read_predictions(spark, out_path)
 
 
+def _write_run_log(decoded: DataFrame, labels: DataFrame, models: DataFrame, model_path: str,
+                   train_seconds: float, metrics_path: str) -> None:
+    """Run log rows ``kind, model, name, value``: the run's seconds and accuracies, the six
+    multiclass metrics of the resolved items, and each model's training seconds."""
+    sel = metrics.selective_accuracy(decoded, labels)
+    truth = encode.deepest_category(labels).withColumnRenamed("category", "label")
+    resolved = decoded.where("depth <> 0").join(truth, "id").select(
+        F.col("label").cast("double").alias("label"), F.col("category").cast("double").alias("prediction"))
+    multi = metrics.multiclass_metrics(resolved)
+    run, model = F.lit("run").alias("kind"), F.lit(model_path).alias("model")
+
+    def unfold(df):
+        return df.select(run, model, F.inline(F.array(*(
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in df.columns))))
+    seconds = decoded.sparkSession.range(1).select(run, model, F.lit("train_seconds").alias("name"),
+                                                   F.lit(float(train_seconds)).alias("value"))
+    per_model = models.select(F.lit("model").alias("kind"), F.format_string("%s/node=%d", F.lit(model_path), "node").alias("model"),
+                              F.lit("train_seconds").alias("name"), F.col("train_seconds").alias("value"))
+    rows = seconds.unionByName(unfold(sel)).unionByName(unfold(multi)).unionByName(per_model)
+    tsv.write_metrics(rows, metrics_path)
+
+
 def flat_cost(spark: SparkSession, training_path: str, categories_path: str, stopwords_path: str,
               lexicon: DataFrame, level: int = 2, train_percent: int = 60,
-              num_buckets: int = features.FLAT_BUCKETS_BY_LEVEL[1]) -> DataFrame:
-    """Mean hierarchical cost of a flat level-``level`` classifier (``n, total_cost, mean_cost``)."""
-    ads = tsv.read_ads(spark, training_path)
-    category = tsv.read_categories(spark, categories_path).cache()
-    closure = taxonomy.category_closure(category).cache()
-    stop = tsv.read_stopwords(spark, stopwords_path)
-    labels = ads.select("id", "cat1", "cat2", "cat3")
-    flat_map = taxonomy.category_map_for_parent(labels, level).cache()
-    rows = encode.train_test_split(encode.flat_label(labels, flat_map, level), train_percent)
-    items = ads.select("id", "title").join(rows.select("id", "is_train"), "id")
-    tr = items.where("is_train").select("id", "title")
-    te = items.where("not is_train").select("id", "title")
-    # like the reference: the test features get their own IDF
-    _, idf_tr, tf_tr = build_features(tr, lexicon, stop, num_buckets)
-    f_te, _, _ = build_features(te, lexicon, stop, num_buckets)
-    vec_tr = features.tfidf_vectors(tr, tf_tr, idf_tr, num_buckets)
-    data = rows.where("is_train").select("id", "label").join(vec_tr, "id")
-    model = train.fit_lr(data.select("label", "features"), flat_map.count())
-    w = train.weights_frame(spark, 0, model)
-    pred = score.linear_predict(te.select("id", F.lit(0).alias("node")), f_te, w)
-    ix = F.broadcast(flat_map)
-    named = (pred.join(ix.select(F.col("idx").cast("double").alias("prediction"),
-                                 F.col("id").alias("pred_cat")), "prediction")
-             .join(rows.select("id", F.col("category").alias("label")), "id"))
-    return metrics.mean_hier_cost(named.select("id", "label", F.col("pred_cat").alias("prediction")),
-                                  closure)
+              num_buckets: int = features.FLAT_BUCKETS_BY_LEVEL[1], lower: bool = False) -> DataFrame:
+    """Mean hierarchical cost of a flat level-``level`` classifier
+    (``n, n_unknown, total_cost, mean_cost``); raises when a category is unknown."""
+    with Scratch(spark, "flat") as scratch:
+        ads = scratch.keep(tsv.read_ads(spark, training_path), "ads")
+        encode.check_unique_ids(ads)
+        category = scratch.keep(tsv.read_categories(spark, categories_path), "category")
+        closure = taxonomy.category_closure(category)
+        stop = scratch.keep(tsv.read_stopwords(spark, stopwords_path), "stop")
+        flat_map = scratch.keep(taxonomy.category_map_for_parent(ads, level), "flat-map")
+        small = bounded_by(flat_map)
+        # title and label stay on their row: the map is joined to it, the texts are not shuffled
+        col = f"cat{level}"
+        rows = encode.train_test_split(ads.where(F.col(col).isNotNull()), train_percent).join(
+            small(flat_map.select(F.col("id").alias(col), F.col("idx").cast("double").alias("label"))), col).select(
+            "id", "title", F.col(col).alias("category"), "label", "is_train")
+        rows = scratch.keep(rows, "rows")
+        tr, te = rows.where("is_train"), rows.where("not is_train")
+        # like the reference: the test features get their own IDF
+        _, idf_tr, tf_tr = build_features(scratch, tr.select("id", "title"), lexicon, stop, num_buckets, lower=lower)
+        f_te, _, _ = build_features(scratch, te.select("id", "title"), lexicon, stop, num_buckets, lower=lower)
+        vec_tr = features.tfidf_vectors(tr, tf_tr, idf_tr, num_buckets)
+        data = tr.select("id", "label").join(vec_tr, "id")
+        model = train.fit_lr(data.select("label", "features"), flat_map.count())
+        w = train.weights_frame(0, model, scratch.path("flat-model"))
+        pred = score.linear_predict(te.select("id", F.lit(0).alias("node")), f_te, w)
+        named = (pred.join(small(flat_map.select(F.col("idx").cast("double").alias("prediction"),
+                                                 F.col("id").alias("pred_cat"))), "prediction", "left")
+                 .join(te.select("id", F.col("category").alias("label")), "id"))
+        cost = metrics.mean_hier_cost(named.select("id", "label", F.col("pred_cat").alias("prediction")), closure)
+        r = cost.first()
+        if r.n_unknown:
+            raise ValueError(f"{r.n_unknown} of {r.n} predictions or labels are not in the taxonomy")
+        return spark.createDataFrame([r], cost.schema)

