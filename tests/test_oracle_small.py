@@ -9,14 +9,13 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_lr", "train_hierarchy", "labeled_features"}
-KEYS = [k for k in entry.queries() if k in entry.oracle_sql() and k not in SLOW]
+KEYS = [k for k in entry.queries() if k in entry.oracle_sql()]
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "conversations", "pages", "benchmark"):
         c.execute(f"create view {t} as select * from read_parquet('{os.path.join(SF, t)}.parquet')")
     return c
 

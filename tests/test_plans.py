@@ -75,3 +75,53 @@ def test_broadcast_only_behind_the_row_check(spark):
     big = spark.range(100)
     assert "broadcast" in small_side(small, 10)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in small_side(big, 10)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_each_level_of_a_large_hierarchy_broadcasts(spark):
+    """43 models x 30 720 buckets (12 + 123 + 207 pivot classes): every level's packed
+    weights pass the size check, and no exchange stands above the feature table."""
+    from treeclass.operators import taxonomy
+    sizes = {1: [13], 2: [11] * 3 + [10] * 3 + [11] * 7, 3: [8] * 26 + [9] * 3}
+    nodes, cats, parents = [], [], [0]
+    next_id = 1
+    for level, counts in sizes.items():
+        own = parents[:len(counts)]
+        parents = []
+        for node, k in zip(own, counts):
+            nodes.append((node, level, k))
+            for _ in range(k):
+                cats.append((next_id, node, ""))
+                parents.append(next_id)
+                next_id += 1
+    assert len(nodes) == 43
+    models = spark.createDataFrame(nodes, "node int, level int, num_classes int").cache()
+    index = taxonomy.category_index(spark.createDataFrame(cats, "id int, parent_id int, name string")).cache()
+    packed = models.join(spark.range(30_720).select(F.col("id").cast("int").alias("feature"))).select(
+        "node", "feature", F.transform(F.sequence(F.lit(1), F.col("num_classes") - 1), lambda i: F.struct(
+            i.alias("idx"), F.lit(0.001).alias("w"))).alias("ws"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        items = spark.range(50)
+        feats = write_bucketed(items.select("id", F.explode(F.array(F.lit(1), F.lit(7))).alias("feature"),
+                                            F.lit(1.0).alias("value")), "id", "plan_feats")
+        levels = []
+        score.cascade_predict(items, feats, packed, models, index,
+                              keep=lambda df: levels.append(df) or df.sparkSession.createDataFrame(df.limit(5).collect(), df.schema))
+        assert len(levels) == 2
+        for level in levels:
+            plan = physical(level)
+            assert "BroadcastHashJoin" in plan and "_salt" not in plan
+            for head, sub in exchanged_subtrees(plan):
+                assert "plan_feats" not in sub, head
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_label_fan_out_reads_the_labels_once(spark):
+    from treeclass.operators import encode
+    plan = physical(encode.node_training_set(fixture.ad_labels(spark, SF)))
+    assert plan.count("documents.parquet") == 1

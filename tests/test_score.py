@@ -78,6 +78,28 @@ def test_materialised_levels_do_not_change_results(spark):
     from treeclass.plans.context import Context
     c = Context(spark, "/root/testdata/sf0.001")
     args = (c.items, c.features, c.weights, c.models, c.index)
-    a = score.cascade_predict(*args, margin_digits=6, materialize_levels=True)
-    b = score.cascade_predict(*args, margin_digits=6, materialize_levels=False)
+    a = score.cascade_predict(*args, margin_digits=6)
+    b = score.cascade_predict(*args, margin_digits=6, keep=None)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_no_item_disappears_without_a_root_model(spark):
+    from treeclass.operators.taxonomy import category_index
+    index = category_index(spark.createDataFrame([(1, 0, ""), (2, 0, "")], "id int, parent_id int, name string"))
+    models = df(spark, [(2, 2)], "node int, level int")
+    items = df(spark, [(i,) for i in range(3)], "id long")
+    feats, weights = df(spark, [(0, "a", 1.0)], F_SCHEMA), df(spark, [(2, 1, "a", 1.0)], W_SCHEMA)
+    out = score.cascade_decode(score.cascade_predict(items, feats, weights, models, index))
+    assert sorted(map(tuple, out.collect())) == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
+
+
+def test_intercepts_and_packed_weights(spark):
+    weights = df(spark, [(0, 1, "a", 1.0), (0, 2, "a", 0.2), (0, 1, None, -2.0), (0, 2, None, 0.5), (7, 1, None, 9.0)], W_SCHEMA)
+    feats = df(spark, [(1, "a", 3.0), (2, "b", 1.0)], F_SCHEMA)
+    routes = df(spark, [(1, 0), (2, 0), (3, 0)], "id long, node int")
+    want = {1: (2, 1.1), 2: (2, 0.5), 3: (2, 0.5)}
+    for w in (weights, score.pack_weights(weights)):
+        for broadcast in (None, False):
+            got = {r.id: (r.idx, round(r.margin, 6)) for r in score.score_routes(
+                routes, feats, w, broadcast_weights=broadcast).collect()}
+            assert got == want

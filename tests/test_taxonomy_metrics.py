@@ -3,8 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
-
 from treeclass.operators import metrics, taxonomy
 
 # A subtree of the reference taxonomy holding every node of the hand-checked cells.
@@ -19,27 +17,18 @@ def cat(spark, rows):
     return spark.createDataFrame([(i, p, f"c{i}") for i, p in rows], "id int, parent_id int, name string")
 
 
-def brute_cost(parent, a, b):
-    """The path walk, written out for the test (cost[a][b])."""
-    if a == b:
-        return 0
-    path = [a]
-    cur = a
-    while parent[cur] != 0:
-        path.append(cur)
-        cur = parent[cur]
-    path.append(0)
-    cost, cur = 0, b
-    while cur not in path:
-        cost += 1
-        cur = parent[cur]
-    return cost + 2 * path.index(cur)
-
-
-def test_brute_force_matches_hand_cells():
-    parent = dict(TREE)
+# Every cell cost[a][b] of TREE, row a over the columns in the order of TREE, recorded by hand.
+ALL_COSTS = {
+    5: (0, 3, 1, 1, 2, 2, 2, 4, 4), 3: (3, 0, 4, 4, 5, 5, 5, 1, 1),
+    84: (5, 5, 0, 6, 1, 1, 7, 6, 6), 81: (5, 5, 6, 0, 7, 7, 1, 6, 6),
+    181: (7, 7, 4, 8, 0, 5, 9, 8, 8), 182: (7, 7, 4, 8, 5, 0, 9, 8, 8),
+    1365: (7, 7, 8, 4, 9, 9, 0, 8, 8), 1307: (5, 5, 6, 6, 7, 7, 7, 0, 6), 1309: (5, 5, 6, 6, 7, 7, 7, 6, 0)}
+
+
+def test_hand_cells_agree():
+    ids = [i for i, _ in TREE]
     for a, b, exact, _ in CELLS:
-        assert brute_cost(parent, a, b) == exact
+        assert ALL_COSTS[a][ids.index(b)] == exact
 
 
 @pytest.mark.parametrize("mode,col", [("exact", 2), ("tree", 3)])
@@ -51,18 +40,33 @@ def test_pair_cost_cells(spark, mode, col):
     assert got == {(x[0], x[1]): x[col] for x in CELLS}
 
 
-def test_all_pairs_against_brute_force_and_row_sums(spark):
+def test_all_pairs_and_row_sums(spark):
     c = cat(spark, TREE)
     closure = taxonomy.category_closure(c)
     ids = [i for i, _ in TREE]
-    parent = dict(TREE)
     pairs = spark.createDataFrame([(a, b) for a in ids for b in ids], "a int, b int")
     got = {(r.a, r.b): r.cost for r in metrics.pair_cost(pairs, closure).collect()}
-    for a in ids:
-        for b in ids:
-            assert got[(a, b)] == brute_cost(parent, a, b), (a, b)
+    assert got == {(a, b): cost for a, row in ALL_COSTS.items() for b, cost in zip(ids, row)}
     sums = {r.a: r.row_sum for r in metrics.cost_row_sums(c, closure).collect()}
-    assert sums == {a: sum(brute_cost(parent, a, b) for b in ids) for a in ids}
+    assert sums == {a: sum(row) for a, row in ALL_COSTS.items()}
+
+
+def test_deep_tree_and_cycle(spark):
+    chain = cat(spark, [(i, i - 1) for i in range(1, 71)])  # deeper than any fixed cap
+    assert taxonomy.category_closure(chain).where("id = 70").count() == 70
+    with pytest.raises(ValueError, match="cycle"):
+        taxonomy.category_closure(cat(spark, [(1, 2), (2, 3), (3, 1), (9, 0)]))
+
+
+def test_unknown_categories_are_counted_or_raise(spark):
+    closure = taxonomy.category_closure(cat(spark, TREE))
+    pred = spark.createDataFrame([(1, 181, 84), (2, 84, 999), (3, 999, 3), (4, 5, None), (5, 1307, 1309)],
+                                 "id long, label int, prediction int")
+    r = metrics.mean_hier_cost(pred, closure).first()
+    assert (r.n, r.n_unknown, r.total_cost, r.mean_cost) == (5, 3, 10, 5.0)
+    labels = spark.createDataFrame([(1, 5, 84, 181), (2, 5, 84, 999)], "id long, cat1 int, cat2 int, cat3 int")
+    with pytest.raises(Exception, match="unknown category 999"):
+        metrics.category_frequency(labels, cat(spark, TREE), closure).collect()
 
 
 def test_frequency_and_weights_mini_tree(spark):

@@ -26,17 +26,19 @@ def test_idf_example(spark):
     b = {r.term: r.b for r in bag.select("term", F.pmod(F.hash("term"), F.lit(30720)).alias("b")).collect()}
     assert math.isclose(got[b["abc"]], math.log(4 / 3), abs_tol=1e-6)
     assert math.isclose(got[b["dom"]], math.log(2), abs_tol=1e-6)
-    assert math.isclose(features.idf_for_absent(3), math.log(4), abs_tol=1e-6)
 
 
 def test_empty_bag_counts_in_idf_and_gets_empty_vector(spark):
     items = spark.createDataFrame([(1, "x"), (2, "y"), (3, "")], "id long, title string")
     bag = spark.createDataFrame([(1, "abc"), (2, "abc")], "id long, term string")
-    long, idf_t = features.fit_tfidf(items, bag, 16)
+    tf = features.hashing_tf(bag, 16)
+    idf_t = features.idf(tf, 3)
     assert math.isclose(idf_t.first().idf, math.log(4 / 3))
-    vec = {r.id: r.features for r in features.to_vectors(items, long, 16).collect()}
+    vec = {r.id: r.features for r in features.tfidf_vectors(items, tf, idf_t, 16).collect()}
     assert vec[3].numNonzeros() == 0 and vec[3].size == 16
     assert vec[1].numNonzeros() == 1
+    plain = {r.id: r.features for r in features.tfidf_vectors(items, tf, None, 16).collect()}
+    assert list(plain[1].values) == [1.0] and plain[3].numNonzeros() == 0
 
 
 def test_tag_filter_ids_and_ranges(spark):
@@ -46,22 +48,29 @@ def test_tag_filter_ids_and_ranges(spark):
     assert dropped == {0, 97, 429, 461, 508, 573, 578, 591, 592, 594, 598, 705, 723, 800, 801}
 
 
-def test_first_surviving_analysis_and_case_sensitive_stopwords(spark):
-    items = spark.createDataFrame([(1, "Qui voit les Chats, qui"), (2, "zzzzzzzzzzzzzz With with")],
+def test_first_surviving_analysis_and_surface_forms(spark):
+    items = spark.createDataFrame([(1, "qui voit les Chats, qui"), (2, "zzzzzzzzzzzzzz With with")],
                                   "id long, title string")
     lexicon = lex(spark, [("qui", 1, 592, "qui"), ("qui", 2, 301, "qui:alt"), ("voit", 1, 300, "voir:v"),
-                          ("les", 1, 581, "le"), ("chats", 1, 300, "chat:s2"), ("with", 1, 300, "with")])
-    stop = spark.createDataFrame([("With",)], "orth string")  # case-sensitive: lower-cased text never matches
+                          ("les", 1, 581, "le"), ("Chats", 1, 300, "Chat:s2"), ("with", 1, 300, "with"),
+                          ("With", 1, 300, "With")])
+    stop = spark.createDataFrame([("with",)], "orth string")
     toks = text.annotate_tokens(items, lexicon)
     assert toks.where("orth = 'zzzzzzzzzzzzzz'").first().tag_id == 0  # unknown word → tag 0
     chain = text.bag_from_first_lemmas(text.first_lemma(
         text.remove_stopwords(text.tag_filter(toks), stop)))
     fast = text.process_title(items, lexicon, stop)
-    expect = {(1, "qui"), (1, "voir"), (1, "chat"), (2, "with")}
+    expect = {(1, "qui"), (1, "voir"), (1, "Chat"), (2, "With")}
     assert {(r.id, r.term) for r in chain.collect()} == expect
     assert {(r.id, r.term) for r in fast.collect()} == expect
-    stop2 = spark.createDataFrame([("with",)], "orth string")
-    assert {(r.id, r.term) for r in text.process_title(items, lexicon, stop2).collect()} == expect - {(2, "with")}
+
+
+def test_titles_keep_their_case(spark):
+    items = spark.createDataFrame([(1, "With Audi")], "id long, title string")
+    lexicon = lex(spark, [("With", 1, 300, "With"), ("Audi", 1, 300, "Audi"), ("audi", 1, 300, "audi")])
+    stop = spark.createDataFrame([("with",)], "orth string")
+    assert {r.term for r in text.process_title(items, lexicon, stop).collect()} == {"With", "Audi"}
+    assert {r.term for r in text.process_title(items, lexicon, stop, lower=True).collect()} == {"audi"}
 
 
 def test_process_title_equals_per_position_chain_on_corpus(spark):
@@ -77,14 +86,16 @@ def test_process_title_equals_per_position_chain_on_corpus(spark):
     assert chain.exceptAll(fast).count() == 0
 
 
-def test_jvm_tfidf_vectors_equal_udf_vectors(spark):
+def test_tfidf_vectors_equal_the_library_transformer(spark):
+    from pyspark.ml.feature import IDF
     from treeclass.plans.context import Context
     c = Context(spark, "/root/testdata/sf0.001")
     tf = features.hashing_tf(c.bag, 512)
-    idf_t = features.idf(tf, c.items.count())
-    a = {r.id: r.features for r in features.tfidf_vectors(c.items, tf, idf_t, 512).collect()}
-    b = {r.id: r.features for r in features.to_vectors(c.items, features.tfidf(tf, idf_t), 512).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert list(a[k].indices) == list(b[k].indices)
-        assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a[k].values, b[k].values))
+    n = c.items.count()
+    ours = {r.id: r.features for r in features.tfidf_vectors(c.items, tf, features.idf(tf, n), 512).collect()}
+    counts = features.tfidf_vectors(c.items, tf, None, 512)
+    theirs = {r.id: r.v for r in IDF(inputCol="features", outputCol="v").fit(counts).transform(counts).collect()}
+    assert ours.keys() == theirs.keys()
+    for k in ours:
+        a, b = ours[k].toArray(), theirs[k].toArray()
+        assert all(math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-15) for x, y in zip(a, b))

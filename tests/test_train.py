@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, score, train
 from treeclass.plans.context import Context
+from treeclass.session import scratch_path
 
 BUCKETS = 1024
 
@@ -14,7 +15,7 @@ def trained(spark):
     c = Context(spark, "/root/testdata/sf0.001")
     tf = features.hashing_tf(c.bag, BUCKETS)
     long = features.tfidf(tf, features.idf(tf, c.items.count())).cache()
-    vectors = features.to_vectors(c.items, long, BUCKETS).cache()
+    vectors = features.tfidf_vectors(c.items, tf, features.idf(tf, c.items.count()), BUCKETS).cache()
     weights, models = train.train_hierarchy(c.labels, c.index, c.models, vectors, BUCKETS, parallelism=4)
     return c, long, vectors, weights.cache(), models.cache()
 
@@ -40,7 +41,13 @@ def test_root_model_beats_majority_and_pivot_scoring_matches(spark, trained):
     acc = ml_pred.where("label = prediction").count() / n
     majority = data.groupBy("label").count().agg(F.max("count")).first()[0] / n
     assert acc > majority
-    w = train.weights_frame(spark, 0, model)
+    w = train.weights_frame(0, model, scratch_path(spark, "t-root"))
+    # the exported cells are the model's own rows minus the first
+    c0 = model.coefficientMatrix.toArray()
+    want = c0[1:] - c0[0]
+    for r in w.where("feature % 97 = 3").collect():
+        assert abs(want[r.idx - 1, r.feature] - r.w) < 1e-12
+    assert w.count() == int((want != 0).sum())
     routes = c.items.select("id", F.lit(0).alias("node"))
     ours = score.linear_predict(routes, long.withColumnRenamed("bucket", "feature"), w)
     j = ml_pred.join(ours.withColumnRenamed("prediction", "pivot"), "id")
@@ -48,18 +55,66 @@ def test_root_model_beats_majority_and_pivot_scoring_matches(spark, trained):
     assert agree >= 0.999
 
 
-def test_fit_or_load_uses_fingerprint(spark, trained):
-    from treeclass.session import scratch_path
-    c, _, _, weights, models = trained
-    path = scratch_path(spark, "t-hier")
-    calls = []
+def test_binary_and_intercept_models_export(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = [(float(i % 2), Vectors.sparse(6, [i % 3, 3], [1.0, float(i % 2)])) for i in range(60)]
+    data = spark.createDataFrame(rows, ["label", "features"])
+    model = train.fit_lr(data, 2, fit_intercept=True)
+    w = {r.feature: r.w for r in train.weights_frame(5, model, scratch_path(spark, "t-bin")).collect()}
+    assert abs(w.pop(None) - model.intercept) < 1e-12
+    assert w == {i: x for i, x in enumerate(model.coefficients.toArray()) if x != 0}
+
+
+def test_sparse_coefficients_export(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = [(float(i % 3), Vectors.sparse(5000, [i % 3, 4000 + i % 2], [1.0, 1.0])) for i in range(90)]
+    model = train.fit_lr(spark.createDataFrame(rows, ["label", "features"]), 3)
+    c = model.coefficientMatrix.toArray()
+    want = {(i, j): c[i, j] - c[0, j] for i in (1, 2) for j in range(5000) if c[i, j] != c[0, j]}
+    got = {(r.idx, r.feature): r.w for r in train.weights_frame(0, model, scratch_path(spark, "t-sp")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_unknown_labels_raise_at_each_level(spark):
+    from treeclass.operators import taxonomy
+    index = taxonomy.category_index(spark.createDataFrame(
+        [(1, 0, ""), (11, 1, ""), (111, 11, "")], "id int, parent_id int, name string"))
+    for bad in ((9, None, None), (1, 99, None), (1, 11, 999)):
+        labels = spark.createDataFrame([(1, 1, 11, 111), (2, *bad)], "id long, cat1 int, cat2 int, cat3 int")
+        with pytest.raises(ValueError, match="unknown categories"):
+            encode.check_labels(labels, index)
+        with pytest.raises(Exception, match="unknown category"):
+            train.node_training_rows(labels, index).collect()
+    repeated = spark.createDataFrame([(1,), (1,), (2,)], "id long")
+    with pytest.raises(ValueError, match="repeat"):
+        encode.check_unique_ids(repeated)
 
-    def fit():
-        calls.append(1)
-        return weights, models, c.index
 
-    train.fit_or_load(spark, path, {"buckets": BUCKETS}, fit)
-    w2, m2, _ = train.fit_or_load(spark, path, {"buckets": BUCKETS}, fit)
-    assert len(calls) == 1 and w2.count() == weights.count()
-    train.fit_or_load(spark, path, {"buckets": BUCKETS * 2}, fit)
+def test_fit_or_load_follows_the_data(spark, trained, tmp_path):
+    c, _, _, weights, models = trained
+    path, calls = scratch_path(spark, "t-hier"), []
+    data = f"{tmp_path}/in"
+    spark.range(5).write.csv(data)
+
+    def load(**settings):
+        key = {"data": train.data_fingerprint(spark, [data], [c.stop]), **settings}
+        return train.fit_or_load(spark, path, key, lambda: calls.append(1) or (weights, models, c.index))
+    load()
+    assert load()[0].count() == weights.count() and len(calls) == 1
+    load(buckets=2)
     assert len(calls) == 2
+    spark.range(6).write.mode("append").csv(data)  # new files under the same path
+    load()
+    assert len(calls) == 3
+
+
+def test_incomplete_or_unreadable_storage(spark, trained):
+    c, _, _, weights, models = trained
+    path = scratch_path(spark, "t-part")
+    assert not train.hierarchy_exists(spark, path, {})
+    weights.write.parquet(f"{path}/v-half/weights")  # a crash before the meta file
+    assert not train.hierarchy_exists(spark, path, {})
+    with pytest.raises(FileNotFoundError):
+        train.load_hierarchy(spark, path)
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        train.hierarchy_exists(spark, "nosuchstore://x/y", {})
