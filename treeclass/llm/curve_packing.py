@@ -37,7 +37,7 @@ from treeclass.llm.tokens import encoder
 LENGTH = 1024
 SEPARATOR = 0
 DIMS, BITS, BUCKETS = 3, 10, 256
-TASK_BYTES = 8 << 20
+TASK_BYTES = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: bool
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
-            for batch in sliced(whole, "ids", TASK_BYTES // 4):
+            for batch in sliced(whole, "ids", TASK_BYTES // 2):
                 yield _cut([np.frombuffer(unpack(x), dtype=np.uint16).astype("<u4") for x in batch.column("ids").to_pylist()],
                            batch.column("doc_id").to_pylist(), batch.column("begin").to_pylist(), length, with_ids)
     return placed.mapInArrow(run, PIECE_SCHEMA)
