@@ -25,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -37,6 +38,7 @@ from treeclass.llm.common import NULL_ID, id_key, keep_table, sliced
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20  # text hashed at once
 BLOCK_BYTES = 8 << 20
 STEP = 1 << 20  # candidates handled at once in a shard
 
@@ -52,7 +54,10 @@ MATCH_SCHEMA = ("shard long, row int, doc_id long, n_words long, spans array<str
                 "items array<string>")
 
 
-@lru_cache(maxsize=2)
+_NO_WORD = re.compile(rb"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+
+
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the base and of its inverse modulo 2**64."""
     out = []
@@ -64,13 +69,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start byte, hash) of every word of UTF-8 text."""
+    """(start byte, hash) of every word of UTF-8 text, hashed piece by piece."""
+    at, starts, hashes = 0, [], []
+    while at < len(data) or not starts:
+        cut = _NO_WORD.search(data, min(at + PIECE_BYTES, len(data)))
+        end = cut.start() if cut else len(data)
+        start, h = _piece_words(data[at:end])
+        starts.append(start + at)
+        hashes.append(h)
+        at = end + 1
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def _piece_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     b = _LOWER[np.frombuffer(data, dtype=np.uint8)]
     inside = np.zeros(len(b) + 2, dtype=bool)
     inside[1:-1] = _WORD[b]
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
-    up, down = _powers(1 << max(20, (len(b) + 1).bit_length()))
+    up, down = _powers(((len(b) >> 18) + 1) << 18)
     sums = np.zeros(len(b) + 1, dtype=np.uint64)
     np.cumsum(_TABLE[b] * up[:len(b)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
