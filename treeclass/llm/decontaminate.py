@@ -238,6 +238,26 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[D
     return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
 
 
+def _merge_spans(batches):
+    """Sorted spans of several blocks joined where they touch or overlap."""
+    for batch in batches:
+        spans = batch.column("spans")
+        of = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
+        start, length = (spans.flatten().field(n).to_numpy() for n in ("start", "length"))
+        # ends so far within the document: starts beyond them begin a new span
+        shift = of * (int((start + length).max(initial=0)) + 1)
+        reach = np.maximum.accumulate(start + length + shift) if len(of) else start
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | ((start + shift)[1:] > reach[:-1])
+        first = np.flatnonzero(new)
+        ends = (reach - shift)[np.append(first[1:], len(of)) - 1] if len(first) else start
+        merged = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(ends - start[first])], names=["start", "length"])
+        cuts = pa.array(np.searchsorted(of[first], np.arange(batch.num_rows + 1)), type=pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("n_words"), pa.ListArray.from_arrays(cuts, merged), batch.column("items")],
+            names=["doc_id", "n_words", "spans", "items"])
+
+
 def matches(index: DataFrame, benchmark: DataFrame, slop: int = 0, window: int = WINDOW,
             block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per indexed document: (doc_id, n_words, spans, items) with the merged spans of
@@ -258,16 +278,8 @@ def matches(index: DataFrame, benchmark: DataFrame, slop: int = 0, window: int =
         found = found.groupBy("shard", "row").agg(
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-        merged = F.aggregate(
-            "spans", F.array().cast("array<struct<start: long, length: long>>"),
-            lambda acc, s: F.when(
-                (F.size(acc) > 0) & (F.element_at(acc, -1)["start"] + F.element_at(acc, -1)["length"] >= s["start"]),
-                F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                    F.element_at(acc, -1)["start"].alias("start"),
-                    (F.greatest(F.element_at(acc, -1)["start"] + F.element_at(acc, -1)["length"], s["start"] + s["length"])
-                     - F.element_at(acc, -1)["start"]).alias("length"))))).otherwise(F.concat(acc, F.array(s))))
-        found = found.withColumn("spans", F.when(F.size("spans") < 2, F.col("spans")).otherwise(merged))
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).drop("shard", "row")
+        found = found.mapInArrow(_merge_spans, "doc_id long, n_words long, spans array<struct<start: long, length: long>>, items array<string>")
     return found.select("doc_id", "n_words", "spans", "items")
 
 
