@@ -392,7 +392,8 @@ def segment_masks(found: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
                 columns = zip(*(piece.column(c).to_pylist() for c in ("chunk", "entry", "doc", "windows", "data")))
                 yield _rows("chunk entry doc place window", "lilib", [
                     (c, e, d, i, x[i:i + MATCH]) for c, e, d, n, x in columns for i in range(n)])
-    single = marked.where("hot").select("chunk", "entry", "doc", "windows", "data").mapInArrow(
+    # a hot key's segments have met in one partition: deal them out before they unfold
+    single = marked.where("hot").select("chunk", "entry", "doc", "windows", "data").repartition("chunk", "entry").mapInArrow(
         cut_windows, "chunk long, entry int, doc long, place int, window binary")
     firsts = single.groupBy("window").agg(F.min("doc").alias("least"))
     places = single.join(firsts, "window").groupBy("chunk", "entry").agg(
