@@ -31,7 +31,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_CHARS = 10
 BATCHES = 4
-FANOUT = 2
+FANOUT = 3
 
 
 def line_key(line: Column) -> Column:
