@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from treeclass.functions.hashing import md5_hash
 from treeclass.operators import encode, score, taxonomy, text
 from treeclass.operators.joins import bounded_by
-from treeclass.session import buckets, cut_lineage, write_bucketed
+from treeclass.session import buckets, cut_lineage, scratch_path, write_bucketed
 from treeclass.sources import fixture
 
 MARGIN_DIGITS = 6
@@ -49,12 +49,19 @@ class Context:
             getattr(self, name)
         return self
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Written once below the shared folder and read as a table (compact, and columns
+        that a query does not need are not read)."""
+        path = scratch_path(self.spark, f"ctx-{name}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # --- inputs -------------------------------------------------------------
     @cached_property
     def items(self) -> DataFrame:
         # the driver's corpus is one file of one row group: dealt out once by id and written, so
         # that every query works on all cores (a corpus of many files is read where it lies)
-        return cut_lineage(fixture.items(self.spark, self.sf_dir).repartition(buckets(self.spark), "id"))
+        return self._stored(fixture.items(self.spark, self.sf_dir).repartition(buckets(self.spark), "id"), "items")
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -67,12 +74,12 @@ class Context:
     @cached_property
     def words(self) -> DataFrame:
         # per-item distinct words: read by the fixture vocabulary and by the bag
-        return cut_lineage(text.item_words(self.items))
+        return self._stored(text.item_words(self.items), "words")
 
     @cached_property
     def lexicon(self) -> DataFrame:
         # an input table in practice; materialised once so size checks are cheap
-        return cut_lineage(fixture.lexicon(self.spark, self.sf_dir, self.items, self.words))
+        return self._stored(fixture.lexicon(self.spark, self.sf_dir, self.items, self.words), "lexicon")
 
     @cached_property
     def stop(self) -> DataFrame:
