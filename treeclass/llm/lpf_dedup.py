@@ -395,7 +395,8 @@ def segment_masks(found: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
     # a hot key's segments have met in one partition: deal them out before they unfold
     single = marked.where("hot").select("chunk", "entry", "doc", "windows", "data").repartition("chunk", "entry").mapInArrow(
         cut_windows, "chunk long, entry int, doc long, place int, window binary")
-    firsts = single.groupBy("window").agg(F.min("doc").alias("least"))
+    # written, so that the join below has plain exchanges on both sides, which Spark can split
+    firsts = keep_table(single.groupBy("window").agg(F.min("doc").alias("least")), "lpf_hot_windows")
     places = single.join(firsts, "window").groupBy("chunk", "entry").agg(
         F.max("place").alias("last"), F.collect_list(F.when(F.col("least") < F.col("doc"), F.col("place"))).alias("gone"))
 
