@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.llm.common import NULL_ID, id_key, keep_table, sliced
+from treeclass.operators.joins import small_side
 from treeclass.session import write_bucketed
 
 MATCH = 50
@@ -364,8 +365,9 @@ def _masks(t: pa.Table) -> pa.RecordBatch:
 
 def segment_masks(found: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(chunk, entry, mask): the windows of each segment that a smaller document has."""
-    hot = found.groupBy("key").agg(F.sum("windows").alias("n")).where(F.col("n") > hot_windows).select("key", F.lit(True).alias("hot"))
-    marked = found.join(hot, "key", "left")
+    hot = keep_table(found.groupBy("key").agg(F.sum("windows").alias("n")).where(F.col("n") > hot_windows).select(
+        "key", F.lit(True).alias("hot")), "lpf_hot_keys")
+    marked = found.join(small_side(hot), "key", "left")  # few keys: segments stay where they are
     usual = marked.where("hot is null").drop("hot").repartition("key").sortWithinPartitions("key")
 
     def run(batches):
