@@ -147,6 +147,38 @@ def test_scores_match_brute_force_and_training_helps(spark):
     assert pseudo_likelihood.op3(docs(spark, [])).collect() == []
 
 
+def test_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
+    rnd = random.Random(3)
+    common = [f"c{i}" for i in range(1500)]
+    texts = [" ".join(rnd.choice(common) for _ in range(2000)) + " seldom" * (1 + i % 3) + f" once{i}" for i in range(700)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7]), (None, texts[8]), (901, None), (902, "once1 seldom once1")]
+    frame = docs(spark, rows)
+    counts = pseudo_likelihood.word_counts(frame).cache()
+    words, params = pseudo_likelihood.train(frame, 1, counts)
+    n = {r.word: r.n for r in counts.collect()}
+    side = int(np.ceil(sum(n.values()) ** 0.25))
+    assert side > pseudo_likelihood.CLASSES and len(words) == side * side - side * side // 8 > 896
+    base = collections.Counter()
+    for w in n.keys() - words.keys():
+        base[words[w]] += n[w]
+    assert sum(words.rare) == sum(base.values())
+    extra = [(901, "seldom neverseen once3")]
+    rows += extra
+    frame = docs(spark, rows)
+    plain, out = (sorted(pseudo_likelihood.scores(frame, words, params, c).collect(), key=repr) for c in (None, counts))
+    order = lambda x: (x.doc_id is None, x.doc_id or 0, x.n_tokens)
+    plain, out = sorted(plain, key=order), sorted(out, key=order)
+    assert len(out) == len(rows)
+    texts_of = sorted(rows, key=lambda x: (x[0] is None, x[0] or 0, len((x[1] or "").split())))
+    for p, r, (i, t) in zip(plain, out, texts_of):
+        own = sum(np.log(n.get(w, 0.5) / (base[words[w]] + 0.5)) for w in (t or "").split() if w not in words)
+        assert r.doc_id == p.doc_id == i and np.isclose(r.log_prob, p.log_prob + own, rtol=1e-6, atol=1e-6)
+    seldom, made_up = (pseudo_likelihood.scores(docs(spark, [(1, w)]), words, params, counts).first().log_prob
+                       - pseudo_likelihood.scores(docs(spark, [(1, w)]), words, params).first().log_prob
+                       + np.log(base[words[w]] + 0.5) for w in ("once1", "neverseen"))
+    assert seldom > made_up + 0.5
+
+
 def test_gradients_match_differences():
     rnd = np.random.default_rng(0)
     vector = pseudo_likelihood.fresh().astype(np.float64)
