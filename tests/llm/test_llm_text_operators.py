@@ -1,3 +1,4 @@
+import base64
 import collections
 import random
 import re
@@ -243,6 +244,61 @@ def test_bands_reject_encoded_data_and_keep_prose(spark):
     assert kept == {1: True, 2: False, 3: True}
 
 
+PROSE = {
+    "en": "The quick brown fox jumps over the lazy dog while twenty other animals watch them from a hill near the old mill.",
+    "de": "Die Größe der alten Häuser überrascht viele Gäste, während über den Dächern schöne Vögel ihre Lieder für müde Zuhörer im Garten singen.",
+    "fr": "Les élèves ont préféré étudier près de la fenêtre, où la lumière d'été éclairait déjà les cahiers posés sur la vieille table en bois.",
+    "es": "El niño pequeño corrió rápidamente hacia la montaña, donde su abuela preparaba el café y contaba historias de otros tiempos más felices.",
+    "vi": "Hôm nay trời rất đẹp, chúng tôi cùng nhau đi dạo quanh hồ và nói chuyện về những kỷ niệm cũ của thời thơ ấu ở làng quê yên bình.",
+    "pl": "Wczoraj wieczorem poszliśmy całą rodziną na długi spacer wzdłuż rzeki, żeby obejrzeć zachód słońca i porozmawiać o planach na przyszły rok.",
+    "cs": "Včera večer jsme šli s celou rodinou na dlouhou procházku podél řeky, abychom viděli západ slunce a promluvili si o plánech na příští rok.",
+    "tr": "Dün akşam hep beraber bütün aile birlikte nehir boyunca uzun bir yürüyüşe çıktık, güneşin batışını izledik ve gelecek yılın planlarını konuştuk.",
+    "hu": "Tegnap este az egész család hosszú sétára indult a folyó mentén, hogy megnézzük a naplementét és beszéljünk a jövő évi terveinkről is.",
+    "ru": "Сегодня утром мы пошли в лес и увидели много разных птиц, которые пели свои песни на высоких деревьях у реки возле старой мельницы.",
+    "el": "Σήμερα το πρωί πήγαμε στο δάσος και είδαμε πολλά διαφορετικά πουλιά που τραγουδούσαν πάνω στα ψηλά δέντρα δίπλα στο ποτάμι του χωριού.",
+    "zh": "今天 早上 我们 一起 去 森林 里 散步 看见 了 许多 美丽 的 小鸟 在 高高 的 树上 唱歌 然后 回家 吃饭",
+    "ar": "ذهبنا صباح اليوم إلى الغابة ورأينا الكثير من الطيور المختلفة التي كانت تغني فوق الأشجار العالية بالقرب من النهر القديم في قريتنا الجميلة",
+    "hi": "आज सुबह हम सब जंगल में गए और हमने बहुत सारे अलग अलग पक्षी देखे जो नदी के पास ऊँचे पेड़ों पर अपने गीत गा रहे थे",
+}
+
+
+def encoded_rows():
+    """Base64, hex digits and texts of two-byte letters read with a one-byte code."""
+    rnd = random.Random(7)
+    wrong = [(PROSE[lang] + " ").encode().decode(code, "replace") for lang, code in (("ru", "latin-1"), ("ru", "cp1252"), ("el", "latin-1"))]
+    return ["\n".join(base64.b64encode(rnd.randbytes(57)).decode() for _ in range(n)) for n in (20, 60, 400)] + [
+        " ".join(rnd.randbytes(16).hex() for _ in range(n)) for n in (20, 60, 400)] + wrong
+
+
+def test_encoded_data_is_rejected_and_prose_of_every_language_kept(spark):
+    rows = [(i, PROSE[lang], lang) for i, lang in enumerate(PROSE)] + [(100 + i, t, "en") for i, t in enumerate(encoded_rows())]
+    out = fertility.op6(spark.createDataFrame(rows, "doc_id long, text string, lang string"), RANKS, PIECES).collect()
+    assert not any(r.base_failed for r in out)
+    assert {r.doc_id: r.kept for r in out} == {i: i < 100 for i, _, _ in rows}
+
+
+def test_bands_follow_the_corpus(spark):
+    """Random letters and short hex words lie in the fixed bands, not in those of the prose around."""
+    rnd = random.Random(8)
+    syllables = {lang: [w.strip(".,") for line in (PROSE[lang], more) for w in line.split()] for lang, more in (
+        ("en", "People often wonder whether small towns could offer them better schools, cheaper homes, cleaner air and quieter nights."),
+        ("es", "Muchas personas buscan mejores escuelas, casas baratas, aire limpio y noches tranquilas lejos del ruido urbano."))}
+    rows = []
+    for lang, parts in syllables.items():
+        for _ in range(120):
+            words = [rnd.choice(parts) for _ in range(rnd.randint(150, 170))]
+            rows.append((len(rows), " ".join(words), lang))
+    n = len(rows)
+    for lang in syllables:
+        for _ in range(10):
+            rows.append((len(rows), " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(85)), lang))
+            rows.append((len(rows), " ".join(rnd.randbytes(4).hex() for _ in range(85)), lang))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = fertility.op6(frame, RANKS, PIECES).collect()
+    assert not any(r.base_failed for r in out) and len(out) == len(rows)
+    assert {r.doc_id: r.kept for r in out} == {i: i < n for i, _, _ in rows}
+
+
 # --- packing ----------------------------------------------------------------------------------
 
 def check_packing(rows, pieces, length):

@@ -7,15 +7,22 @@ piece BPE with byte fallback.  Per text:
 * ``fallback_share``: share of the piece vocabulary's tokens that are single bytes;
 * ``entropy``: bits of the distribution of the text's piece tokens.
 
-A text passes when each lies in the band of its main script (the script of most of its
-letters).  The bands are wide: prose of any language of the script lies inside; outside are
-encoded data, mojibake and texts of a few endlessly repeated tokens.  Base rules come first
-(``judge``).  Words recur, so each task keeps the encodings of the words it has
-met, up to ``CACHE`` words.
+A text passes when each lies in two bands, after the base rules (``judge``):
+
+* a fixed one of its main script (the script of most of its letters), from figures of prose;
+  languages that the byte-level vocabulary cuts small have a lower floor of their own, and
+  Latin texts of ``LONG_CHARS`` characters need more bits than digits and few letters give;
+* one of its group in the corpus, of all documents of the same ``lang`` (if there is such a
+  column), script and size (power of two of its characters) that pass the base rules: ``SPREAD``
+  times the distance of the quartiles beyond the quartiles.  Up to a quarter of a group may
+  be encoded data without moving it far.  A group needs ``MIN_DOCS`` documents.
+
+Outside are encoded data, most mojibake and texts of a few endlessly repeated tokens.  Words
+recur, so each task keeps the encodings of the words it has met, up to ``CACHE`` words.
 
 Defined cases: a null text has no words and fails the base rules; texts without letters belong
-to script ``other``; a null id is kept as it is; repeated rows each get their row; an empty table gives
-no rows; other columns are ignored.
+to script ``other``; a null language is a group of its own; a null id is kept as it is; repeated rows each get their row; an empty table gives
+no rows; columns other than the text, id and language are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +32,11 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.llm import tokens
-from treeclass.llm.common import sliced
+from treeclass.llm.common import keep_table, sliced
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -39,14 +46,25 @@ MAX_REPEAT_PERCENT = 30
 CACHE = 200_000
 TASK_BYTES = 4 << 20
 
+LONG_CHARS = 512
+SPREAD = 4
+MIN_DOCS = 50
+VALUES = ("chars_per_token", "fallback_share", "entropy")
+
 #: script -> bands (low, high) of characters per token, byte-fallback share and entropy in bits
 BANDS = {
-    "latin": ((1.2, 12.0), (0.0, 0.25), (2.5, 15.0)),
-    "cyrillic": ((0.4, 8.0), (0.0, 0.35), (2.5, 15.0)),
-    "greek": ((0.4, 8.0), (0.0, 0.6), (2.5, 15.0)),
-    "han": ((0.25, 4.0), (0.0, 0.8), (2.5, 15.0)),
-    "other": ((0.2, 12.0), (0.0, 0.9), (2.5, 15.0)),
+    "latin": ((1.4, 12.0), (0.0, 0.25), (2.5, 11.5)),
+    "cyrillic": ((0.4, 8.0), (0.0, 0.35), (2.5, 11.5)),
+    "greek": ((0.4, 8.0), (0.0, 0.6), (2.5, 10.0)),
+    "han": ((0.25, 4.0), (0.0, 0.8), (2.5, 11.5)),
+    "other": ((0.2, 12.0), (0.0, 0.9), (2.5, 11.5)),
 }
+#: Latin languages of many accents -> floor of characters per token
+LANGUAGE_FLOORS = {"vi": 0.7, "yo": 0.7, "nv": 0.7}
+#: Floor of the entropy of long Latin texts: hex digits have 4.6 to 4.7 bits, prose 5.3 and more
+LONG_ENTROPY = 4.9
+#: A group's band reaches beyond a quartile by SPREAD times at least so much: value -> (least distance, below, above)
+CORPUS_SIDES = {"chars_per_token": (0.05, True, False), "fallback_share": (0.05, False, True), "entropy": (0.1, True, True)}
 #: first code points of letter blocks; a block reaches to the next start
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x1E00, 0x1F00, 0x2000, 0x2E80, 0xA000])
 SCRIPT_NAMES = ["latin", "greek", "cyrillic", "other", "latin", "greek", "other", "han", "other"]
@@ -164,7 +182,7 @@ class Fertility:
         return chars / int(self.counts[codes].sum()), float(n[self.is_byte].sum() / len(ids)), float(-(p * np.log2(p)).sum())
 
 
-SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+SCHEMA = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           "script string, chars_per_token double, fallback_share double, entropy double")
 
 
@@ -177,25 +195,65 @@ def measures(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
                 columns = list(zip(*fertility.measure([t or "" for t in batch.column("text").to_pylist()])))
                 kinds = [pa.int64()] * 5 + [pa.string()] + [pa.float64()] * 3
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")] + [pa.array(c, type=t) for c, t in zip(columns, kinds)],
+                    [batch.column("doc_id"), batch.column("lang")] + [pa.array(c, type=t) for c, t in zip(columns, kinds)],
                     names=[x.split()[0] for x in SCHEMA.split(", ")])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.cast("string").alias("lang"),
+                       F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
 
 
-def judge(measured: DataFrame, bands: dict = BANDS) -> DataFrame:
-    """Adds ``base_failed`` and ``kept``."""
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
+def _group() -> list[Column]:
+    """Language, script and the number of binary digits of a text's characters."""
+    return [F.coalesce("lang", F.lit("")).alias("group_lang"), F.col("script").alias("group_script"),
+            F.length(F.bin("word_chars")).alias("group_size")]
+
+
+def corpus_bands(measured: DataFrame) -> DataFrame:
+    """Per group of documents that pass the base rules: low and high ends of the values."""
+    quartiles = measured.where(~base_failed()).groupBy(*_group()).agg(
+        F.count("*").alias("n"), *(F.percentile_approx(v, [0.25, 0.75], 10_000).alias(v) for v in VALUES)).where(
+        F.col("n") >= MIN_DOCS)
+    ends = []
+    for v, (least, below, above) in CORPUS_SIDES.items():
+        reach = SPREAD * F.greatest(F.col(v)[1] - F.col(v)[0], F.lit(least))
+        ends += [(F.col(v)[0] - reach).alias(f"{v}_low")] * below + [(F.col(v)[1] + reach).alias(f"{v}_high")] * above
+    return quartiles.select("group_lang", "group_script", "group_size", *ends)
+
+
+def judge(measured: DataFrame, bands: dict = BANDS, corpus: DataFrame | None = None) -> DataFrame:
+    """Adds ``base_failed`` and ``kept``; ``corpus``: bands of the groups, if there are any."""
     inside = F.lit(False)
     for script, ranges in bands.items():
         ok = F.col("script") == script
-        for column, (low, high) in zip(("chars_per_token", "fallback_share", "entropy"), ranges):
-            ok = ok & F.col(column).between(low, high)
+        for column, (low, high) in zip(VALUES, ranges):
+            floor = F.lit(low)
+            if script == "latin" and column == "chars_per_token":
+                for lang, own in LANGUAGE_FLOORS.items():
+                    floor = F.when(F.coalesce("lang", F.lit("")) == lang, own).otherwise(floor)
+            elif script == "latin" and column == "entropy":
+                floor = F.when(F.col("word_chars") >= LONG_CHARS, LONG_ENTROPY).otherwise(floor)
+            ok = ok & F.col(column).between(floor, high)
         inside = inside | ok
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & inside)
+    out = measured
+    if corpus is not None:
+        keys = ["group_lang", "group_script", "group_size"]
+        out = measured.select("*", *_group()).join(F.broadcast(corpus), keys, "left")
+        for v, (_, below, above) in CORPUS_SIDES.items():
+            if below:
+                inside = inside & F.coalesce(F.col(v) >= F.col(f"{v}_low"), F.lit(True))
+            if above:
+                inside = inside & F.coalesce(F.col(v) <= F.col(f"{v}_high"), F.lit(True))
+    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).select(
+        *measured.columns, "base_failed", "kept")
 
 
 def op6(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
-    return judge(measures(docs, ranks, pieces)).select(
+    measured = keep_table(measures(docs, ranks, pieces), "fertility")
+    return judge(measured, corpus=corpus_bands(measured)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "script", "chars_per_token", "fallback_share", "entropy")
