@@ -117,6 +117,27 @@ def test_pages_round_trip(spark):
     assert sorted(tuple(r) for r in warc.op4(pages).collect()) == brute_pages(page_rows())
 
 
+def test_repeated_pages_and_null_ids_match_the_sql(spark):
+    big, other = "<p>ä" * 300, "z" * 2000
+    rows = ([(1, big)] * 3 + [(9, big)] * 2 + [(2, big), (9, other), (3, other), (3, "short"), (3, other + "!"), (4, "short"), (4, "short"),
+            (None, big), (None, big), (None, "w" * 1500), (None, "w" * 1500), (None, None), (5, "q" * 1000), (5, "q" * 1000)])
+    pages = spark.createDataFrame([(i, "u", h, "p", 1, 2) for i, h in rows], PAGES)
+    got = sorted((tuple(r) for r in warc.op4(pages).collect()), key=repr)
+    data = [(i, (h or "").encode()) for i, h in rows]
+    want = []
+    for i, d in data:  # the SQL, row by row
+        owner = max((j for j, e in data if e == d and j is not None), default=None) if len(d) >= 1000 else None
+        again = i is not None and owner is not None and i < owner
+        want.append((i, len(d), hashlib.sha1(d).hexdigest(), "revisit" if again else "response", owner if again else None))
+    assert got == sorted(want, key=repr)
+    spark.udf.register("strlen", lambda x: len(x.encode()), "long")
+    pages.createOrReplaceTempView("pages")
+    assert got == sorted((tuple(r) for r in spark.sql(warc.ORACLE_SQL).collect()), key=repr)
+    spark.catalog.dropTempView("pages")
+    records = warc.page_records(pages).collect()
+    assert len(records) == len(rows) and all(r.payload is not None for r in records if r.record_type == "response")
+
+
 def test_archives_many_files_push_down_and_append(spark):
     path = scratch_path(spark, "warc-test")
     rows = warc.page_records(spark.createDataFrame(page_rows(), PAGES)).repartition(3)

@@ -19,7 +19,8 @@ task attempt, and files of failed or duplicate attempts are removed at commit.
 reached through Arrow's file systems, so any store they know can hold the archives.
 
 Defined cases: a null payload is empty, a null target URI is written as an empty one; an empty table
-writes no archive and reads as no rows; a missing folder is an error.
+writes no archive and reads as no rows; a missing folder is an error; repeated pages, pages with several
+payloads and pages without an id as in ``page_records``.
 """
 
 from __future__ import annotations
@@ -294,14 +295,17 @@ class WarcWriter(DataSourceArrowWriter):
 
 def page_records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Record rows of pages: of equal payloads of at least ``min_revisit_bytes``, the one with the
-    largest page_id is the response and the others revisit it.  Only digests are shuffled."""
+    largest page_id is the response and the others revisit it.  Only digests are shuffled.
+
+    A repeated row gives a record each time; a page with several payloads has a record of each,
+    told apart by the digest; a page without an id is always a response."""
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"),
                         payload.alias("payload"), F.sha1(payload).alias("sha1"))
-    big = rows.where(F.octet_length("payload") >= min_revisit_bytes).select("sha1", "page_id")
+    big = rows.where(F.octet_length("payload") >= min_revisit_bytes).select("sha1", "page_id").distinct()
     owner = big.groupBy("sha1").agg(F.max("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1")
-    revisits = big.join(owner, "sha1").where("page_id < owner").select("page_id", "owner")
-    linked = rows.join(revisits, "page_id", "left")
+    revisits = big.join(owner, "sha1").where("page_id < owner").select("page_id", "sha1", "owner")
+    linked = rows.join(revisits, ["page_id", "sha1"], "left")
 
     def name(id_col: Column) -> Column:
         return F.concat(F.lit("<urn:page:"), F.coalesce(id_col.cast("string"), F.lit("")), F.lit(">"))
@@ -338,11 +342,12 @@ def op4(pages: DataFrame) -> DataFrame:
         F.sha1("payload").alias("payload_digest"))
     revisits = read_archives(spark, path, "record_id string, record_type string, refers_to string, digest string").where(
         "record_type = 'revisit'").select(number.alias("page_id"), "refers_to", F.substring("digest", 6, 40).alias("payload_digest"))
-    sizes = responses.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("of"), "payload_bytes")
+    sizes = responses.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("of"), "payload_digest",
+                             "payload_bytes").where(F.col("payload_bytes") >= MIN_REVISIT_BYTES).distinct()
     return responses.select(
         "page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"),
         F.lit(None).cast("long").alias("refers_to")).unionByName(
-        revisits.join(sizes, "refers_to").select("page_id", "payload_bytes", "payload_digest",
+        revisits.join(sizes, ["refers_to", "payload_digest"]).select("page_id", "payload_bytes", "payload_digest",
                                                  F.lit("revisit").alias("record_type"), F.col("of").alias("refers_to")))
 
 
