@@ -80,6 +80,38 @@ def test_proximity_allows_words_off_their_places(spark):
     assert hit(0) == {1} and hit(1) == {1, 2, 3}
 
 
+def brute_proximity(rows, items, slop, size):
+    out = []
+    for i, t in rows:
+        w, hit, found = words(t), set(), set()
+        for item, text in items:
+            b = words(text)
+            n = min(size, len(b))
+            for window in {tuple(b[k:k + n]) for k in range(len(b) - n + 1)}:
+                for s in range(-n - slop, len(w) + slop):
+                    if all(term in w[max(0, s + k - slop):max(0, s + k + slop + 1)] for k, term in enumerate(window)):
+                        hit.update(range(max(0, s), min(s + n, len(w))))
+                        found.add(str(item))
+        out.append((i, len(w), sorted(hit), sorted(found)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2])
+def test_proximity_matches_brute_force_in_any_shards(spark, slop):
+    rnd = random.Random(9)
+    rows = [(1, "b a c"), (2, "b a c a a a"), (3, "c c c b a c"), (4, "x a"), (5, "b x"), (6, "a"), (7, "b"), (8, ""), (9, "b c a")]
+    rows += [(10 + i, " ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(0, 12)))) for i in range(60)]
+    items = [(1, "a b c"), (2, "a b"), (3, "d"), (4, "e f g a b"), (5, "a a b"), (6, "g f e d c b a")]
+    bench = spark.createDataFrame([(i, t, 1, "w") for i, t in items], BENCH)
+    frame = docs(spark, rows).coalesce(1)
+    want = brute_proximity(rows, items, slop, 4)
+    assert slop != 1 or {i for i, _, _, found in want if "1" in found} >= {1, 2, 3}
+    for shard in (1, 40, 1 << 20):
+        found = decontaminate.matches(decontaminate.build_index(frame, shard), bench, slop, 4).collect()
+        got = [(r.doc_id, r.n_words, [p for s in r.spans for p in range(s.start, s.start + s.length)], sorted(r["items"])) for r in found]
+        assert sorted(got) == want, shard
+
+
 def test_word_hashes_agree_with_words():
     data = "Ünïcode don't A1b2-c3 漢字 x" * 3
     starts, h = decontaminate.words(data.encode())

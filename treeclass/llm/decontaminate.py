@@ -8,7 +8,9 @@ each shard its own postings and no task more than a shard; building needs no shu
 ``matches`` looks the test windows up in every shard.  For each window the postings of its
 rarest term in the shard give the candidate starts; the other terms' lists, adjusted by
 their offsets, are intersected with them from the next rarest on.  With ``slop`` > 0 every
-term may lie up to that many words off its place (proximity match).
+term, the rarest too, may lie up to that many words off its place, within the document
+(proximity match).  A match covers as many words from its start as the window has, within
+the document; all starts that match count.
 
 The test side is looked up in blocks of at most ``BLOCK_BYTES`` of text, so what is sent to
 the tasks has a fixed bound however many items there are; results of blocks are merged.
@@ -148,27 +150,35 @@ class Windows:
                             np.concatenate([i for _, i in x])) for n, x in by_length.items()}
 
 
-def _intersect(rows: np.ndarray, items: np.ndarray, terms: "_Terms", slop: int):
-    """(item number, start position) of each occurrence of the windows ``rows``."""
+def _intersect(rows: np.ndarray, items: np.ndarray, terms: "_Terms", slop: int, begin: np.ndarray, n_words: np.ndarray):
+    """(item number, start position, document) of each occurrence of the windows ``rows``; with
+    ``slop`` > 0 a start may come several times.  ``begin``: first position of each document."""
     count = terms.count[rows]
     some = count.min(axis=1) > 0
     rows, items, count = rows[some], items[some], count[some]
     order = np.argsort(count, axis=1, kind="stable")  # rarest first
-    total = count.min(axis=1, initial=2**62)
+    reach = 2 * slop + 1
+    total = count.min(axis=1, initial=2**62) * reach
     blocks = np.flatnonzero(np.diff(np.cumsum(total) // STEP)) + 1
     for part in np.split(np.arange(len(rows)), blocks):
         if not len(part):
             continue
         n = total[part]
         w = np.repeat(part, n)  # the window of each candidate
-        within = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
+        within, shift = np.divmod(np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n), reach)
         at = order[w, 0]
-        start = terms.positions[terms.first[rows[w, at]] + within].astype(np.int64) - at
+        place = terms.positions[terms.first[rows[w, at]] + within].astype(np.int64)
+        start = place - at + shift - slop
+        doc = np.searchsorted(begin, place, side="right") - 1 if slop else None
         for k in range(1, rows.shape[1]):
             at = order[w, k]
-            ok = terms.holds(rows[w, at], start + at - slop, start + at + slop)
+            low, high = start + at - slop, start + at + slop
+            if slop:  # exact windows cannot cross documents
+                low, high = np.maximum(low, begin[doc]), np.minimum(high, begin[doc] + n_words[doc] - 1)
+            ok = terms.holds(rows[w, at], low, high)
             w, start = w[ok], start[ok]
-        yield items[w], start
+            doc = doc[ok] if slop else None
+        yield items[w], start, doc if slop else np.searchsorted(begin, start, side="right") - 1
 
 
 class _Terms:
@@ -206,10 +216,9 @@ def _find(row: dict, windows: Windows, slop: int) -> pa.RecordBatch:
     edges = np.zeros(int((n_words + 1).sum()) + 1, dtype=np.int64)
     pairs = [np.empty(0, dtype=np.int64)]
     for length, (rows, items) in windows.lengths.items():
-        for item, start in _intersect(rows, items, terms, slop):
-            low = np.maximum(start, 0)
-            doc = np.searchsorted(begin, low + (length - 1) // 2, side="right") - 1
-            low, high = np.maximum(low, begin[doc]), np.minimum(start + length, begin[doc] + n_words[doc])
+        for item, start, doc in _intersect(rows, items, terms, slop, begin, n_words):
+            low, high = np.maximum(start, begin[doc]), np.minimum(start + length, begin[doc] + n_words[doc])
+            high = np.maximum(low, high)
             np.add.at(edges, low, 1)
             np.add.at(edges, high, -1)
             pairs.append(np.unique(doc * len(windows.names) + item))
