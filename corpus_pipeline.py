@@ -1,8 +1,9 @@
 """The corpus pipeline: toxicity, line dedup, near-duplicates, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of ``docs``.  A stage works on every row its predecessor kept.  Rows with a null
-id count as the document with the largest id; rows that share an id stay or go together.
+columns of ``docs``.  A stage works on every row its predecessor kept.  Whether a row is dropped
+depends on that row, not on its id: rows that share an id, or have none, are judged one by one.
+Where ids are compared, a null id counts as the largest.
 """
 
 from __future__ import annotations
@@ -14,10 +15,18 @@ from treeclass.llm import curve_packing, decontaminate, line_runs, simhash_pivot
 from treeclass.llm.common import id_key, keep_table, table
 
 
-def _rows_of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of ``docs`` with a column of ids."""
-    own = ids.select(id_key().alias("_pipeline_id")).distinct()
-    return docs.withColumn("_pipeline_id", id_key()).join(own, "_pipeline_id", how).select(*docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row, written once so that the numbers stay."""
+    return keep_table(docs.withColumn("_pipeline_row", F.monotonically_increasing_id()), "pipeline_rows")
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("_pipeline_row").alias("doc_id"), "text")
+
+
+def _rows_of(rows: DataFrame, numbers: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of numbered rows with a column of numbers."""
+    return rows.join(numbers.toDF("_pipeline_row"), "_pipeline_row", how).drop("_pipeline_row")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,15 +45,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays."""
-    groups = simhash_pivots.near_duplicates(docs)
-    return _rows_of(docs, groups.where(id_key() == F.col("component_id")), "left_semi")
+    """The document with the smallest id of each group stays; of several, the one with the
+    smallest text hash."""
+    rows = _numbered(docs)
+    groups = simhash_pivots.near_duplicates(_texts(rows)).select(F.col("doc_id").alias("_pipeline_row"), "component_id")
+    order = rows.select("_pipeline_row", id_key().alias("id"), F.xxhash64("text").alias("hash"))
+    first = groups.join(order, "_pipeline_row").groupBy("component_id").agg(F.min(F.struct("id", "hash", "_pipeline_row")).alias("first"))
+    return _rows_of(rows, first.select("first._pipeline_row"), "left_semi")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark's windows cover beyond the contract's share go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _rows_of(docs, found.where("contaminated"), "left_anti")
+    rows = _numbered(docs)
+    found = decontaminate.contamination(_texts(rows), table(spark, sf_dir, "benchmark"))
+    return _rows_of(rows, found.where("contaminated").select("doc_id"), "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

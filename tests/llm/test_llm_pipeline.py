@@ -74,6 +74,21 @@ def test_decontamination_stage_drops_contaminated_documents(spark, case):
     assert pairs(run_stage(spark, "decontamination", rows, d)) == sorted(((i, t) for i, t in rows if i not in bad), key=repr)
 
 
+def test_rows_with_one_id_or_none_are_judged_one_by_one(spark, case):
+    _, bench, d = case
+    text = {i: t for i, t in prose_rows(60, seed=11) if i % 8 in (4, 5, 6) and len(t) > 300}
+    clean = list(text.values())[:9]
+    bad = ["before " + bench[0][1] + " after", bench[0][1]]
+    rows = [(None, t) for t in clean[:4]] + [(None, bad[0]), (600, bad[0]), (600, clean[4]), (601, clean[5]), (601, bad[1])]
+    assert pairs(run_stage(spark, "decontamination", rows, d)) == sorted(((i, t) for i, t in rows if t not in bad), key=repr)
+    rows = [(None, clean[0]), (None, clean[1]), (700, clean[1]), (None, clean[2]), (None, clean[2]), (None, clean[3]), (None, clean[3] + " "),
+            (701, clean[4]), (701, clean[5]), (702, clean[5]), (703, clean[6]), (703, clean[1])]
+    for frame in (rows, rows[::-1]):
+        got = [(i, (t or "").strip()) for i, t in pairs(run_stage(spark, "simhash", frame, d))]
+        assert sorted(got, key=repr) == sorted([(None, clean[0]), (700, clean[1]), (None, clean[2]), (None, clean[3]), (701, clean[4]),
+                                                (701, clean[5]), (703, clean[6])], key=repr)
+
+
 def test_stages_take_an_empty_table(spark, case):
     for name, _ in corpus_pipeline.STAGES:
         assert run_stage(spark, name, [], case[2]).collect() == []
