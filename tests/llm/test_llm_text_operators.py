@@ -148,6 +148,14 @@ def test_scores_match_brute_force_and_training_helps(spark):
     assert pseudo_likelihood.op3(docs(spark, [])).collect() == []
 
 
+def test_long_numbers_are_replaced_whole(spark):
+    numbers = ["1" * 100, "+" + "12 34-56 " * 30 + "7", "9" * 100_000, "1234567", "12-34-56"]
+    frame = docs(spark, [(i, f"call {x} now") for i, x in enumerate(numbers)])
+    out = token_edits.apply_edits(token_edits.build_trees(token_edits.redactions(frame), RANKS), RANKS).collect()
+    want = ["[removed]"] * 3 + ["1234567", "[removed]"]
+    assert {r.doc_id: r.text for r in out} == {i: f"Source: s\ncall {x} now" for i, x in enumerate(want)}
+
+
 def test_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
     rnd = random.Random(3)
     common = [f"c{i}" for i in range(1500)]

@@ -219,7 +219,7 @@ def redactions(docs: DataFrame) -> DataFrame:
     matches gives their places."""
     # look-behind and possessive runs: a long run of address characters is scanned once
     pattern = (r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++@[A-Za-z0-9.-]++|https?://[^\s]++"
-               r"|(?<![0-9+])\+?[0-9][0-9 -]{6,40}[0-9]")
+               r"|(?<![0-9+])\+?[0-9][0-9 -]{6,}[0-9]")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
