@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeclass.llm import curve_packing, decontaminate, fertility, line_runs, lpf_dedup, pseudo_likelihood, simhash_pivots, token_edits, tokens, toxicity, warc
+from treeclass.llm import collocations, curve_packing, decontaminate, embedding_tiles, fertility, line_runs, lpf_dedup, pseudo_likelihood, simhash_pivots, token_edits, tokens, toxicity, warc, whitening
 from treeclass.llm.common import table
 
 
@@ -46,6 +46,19 @@ def op10_line_runs(spark, sf_dir):
     return line_runs.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op3_pseudo_likelihood, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op8_lpf_dedup, op9_curve_packing, op10_line_runs)}
+def op11_setm_phrases(spark, sf_dir):
+    return collocations.op11(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}
+
+def op12_jacobi_davidson(spark, sf_dir):
+    return whitening.op12(table(spark, sf_dir, "embeddings"))
+
+
+def op13_int8_tiles(spark, sf_dir):
+    return embedding_tiles.op13(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_factorization_machine, op2_token_edits, op3_pseudo_likelihood, op4_warc, op5_positional_index, op6_fertility, op7_simhash_pivots, op8_lpf_dedup, op9_curve_packing, op10_line_runs, op11_setm_phrases, op12_jacobi_davidson, op13_int8_tiles)}
+
+ORACLE_SQL = {"op4_warc": warc.ORACLE_SQL, "op5_positional_index": decontaminate.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL,
+              "op11_setm_phrases": collocations.ORACLE_SQL, "op13_int8_tiles": embedding_tiles.ORACLE_SQL}
