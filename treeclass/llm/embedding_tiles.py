@@ -36,7 +36,7 @@ from treeclass.session import Scratch
 
 THRESHOLD = 0.95
 #: Vectors of a tile: the smallest and the largest size, and the number of tiles aimed at between.
-TILE, MAX_TILE, TILES = 1024, 65_536, 256
+TILE, MAX_TILE, TILES = 4096, 65_536, 128
 #: Pairs of a block of a tile product, and pairs verified at once.
 BLOCK, SLICE = 1 << 20, 65_536
 #: Room for the rounding of bounds computed in double precision.
