@@ -103,3 +103,29 @@ def test_intercepts_and_packed_weights(spark):
             got = {r.id: (r.idx, round(r.margin, 6)) for r in score.score_routes(
                 routes, feats, w, broadcast_weights=broadcast).collect()}
             assert got == want
+
+
+def test_vector_margins_equal_a_sum_per_class(spark):
+    """A node with 150 classes (three blocks), one with 3, intercepts, repeated cells, negative values, ties."""
+    import random
+    rnd = random.Random(4)
+    rows = [(0, rnd.randint(1, 149), f"f{rnd.randint(0, 30)}", rnd.choice([-1.0, -0.5, 0.5, 1.0])) for _ in range(1500)]
+    rows += [(1, rnd.randint(1, 2), f"f{rnd.randint(0, 30)}", rnd.choice([-1.0, 1.0])) for _ in range(60)]
+    rows += [(0, 70, None, 0.25), (0, 140, None, 0.25), (1, 2, None, -0.5)]
+    values = {(i, f"f{rnd.randint(0, 30)}"): rnd.choice([-2.0, 1.0, 3.0]) for i in range(40) for _ in range(6)}
+    want = {}
+    for i in range(42):  # two items without features
+        for node in (0, 1):
+            margin = {}
+            for n, idx, f, w in rows:
+                if n == node and (f is None or (i, f) in values):
+                    margin[idx] = margin.get(idx, 0.0) + w * (1.0 if f is None else values[i, f])
+            top = max(margin.values(), default=0.0)
+            want[i, node] = (min(k for k, m in margin.items() if m == top), top) if top > 0 else (0, 0.0)
+    weights = df(spark, rows, W_SCHEMA)
+    feats = df(spark, [(i, f, v) for (i, f), v in values.items()], F_SCHEMA)
+    routes = df(spark, list(want), "id long, node int")
+    for w in (weights, score.pack_weights(weights)):
+        for broadcast in (None, False):
+            got = {(r.id, r.node): (r.idx, r.margin) for r in score.score_routes(routes, feats, w, broadcast_weights=broadcast).collect()}
+            assert got == want

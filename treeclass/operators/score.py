@@ -5,7 +5,8 @@ Tables:
 * ``features(id, feature, value)`` — sparse item features (bucket or term key).
 * ``weights(node, idx, feature, w)`` — pivot-form weights: class ``idx >= 1`` of
   the model at taxonomy ``node``; class 0 is the pivot with margin 0 (no rows); a NULL
-  feature marks an intercept.  ``pack_weights`` stores them one row per (node, feature).
+  feature marks an intercept.  ``pack_weights`` stores them as vectors, one row per
+  (node, feature) and block of ``CLASS_BLOCK`` classes.
 * ``models(node, ...)`` — the nodes that have a model.
 * ``index(parent_id, id, idx)`` — ``category_index``, class index → category id.
 
@@ -16,7 +17,8 @@ weight has margin 0 and so never beats the pivot — only joined classes matter.
 
 Distribution: every level routes ``(id, node)`` pairs onto the features with an
 equi-join on ``id`` (each item sits at one node per level), joins the packed weights on
-``(node, feature)``, one row to one, and aggregates per item.  With features hash-partitioned by
+``(node, feature)``, one row to one up to ``CLASS_BLOCK`` classes, and adds the vectors per item: one
+sum per class in a hash aggregate, no row per class.  With features hash-partitioned by
 ``id`` all per-item aggregations and the level-to-level joins reuse that
 partitioning; a level's packed weights are broadcast when their bytes pass the bound
 (``treeclass.broadcastMaxBytes``), otherwise the join is salted by item.
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from treeclass.functions.scoring import sigmoid
@@ -38,68 +40,88 @@ from treeclass.session import cut_lineage
 DEFAULT_GATES = (0.7, 0.8, 0.9)
 
 
+#: Classes of one packed row: a node with more has a row per feature and block.
+CLASS_BLOCK = 64
+
+
 def pack_weights(weights: DataFrame) -> DataFrame:
-    """``node, feature, ws`` — one row per (node, feature) with the weights of its classes
-    (``ws``: array of ``idx, w``).  A scored (item, term) row then meets at most one row, and
-    the classes unfold after the join, beside the item.  Packed frames pass unchanged."""
+    """``node, feature, block, ws`` — the weights of classes ``block * CLASS_BLOCK + 1`` and on as
+    an array (missing classes 0, trailing ones left out; repeated cells add up).  A scored (item,
+    term) row then meets one row per block.  Packed frames pass unchanged."""
     if "ws" in weights.columns:
         return weights
-    return weights.groupBy("node", "feature").agg(F.collect_list(F.struct("idx", "w")).alias("ws"))
+    at = F.col("idx") - 1
+    grouped = (weights.select("node", "feature", F.floor(at / CLASS_BLOCK).cast("int").alias("block"),
+                              F.struct((at % CLASS_BLOCK).alias("pos"), "w").alias("c"))
+               .groupBy("node", "feature", "block").agg(F.collect_list("c").alias("cs"), F.max("c.pos").alias("last")))
+    cell = lambda i: F.aggregate("cs", F.lit(0.0), lambda s, c: s + F.when(c["pos"] == i, c["w"]).otherwise(0.0))
+    return grouped.select("node", "feature", "block", F.transform(F.sequence(F.lit(0), F.col("last")), cell).alias("ws"))
+
 
+def _shape_columns() -> list:
+    """Size bound in bytes (8 a weight, 64 a row and its key), longest vector, blocks, and
+    whether there are intercepts, of packed weights."""
+    return [F.coalesce(F.sum(F.size("ws") * 8 + 64), F.lit(0)).alias("bytes"),
+            F.coalesce(F.max(F.size("ws")), F.lit(0)).alias("width"),
+            (F.coalesce(F.max("block"), F.lit(0)) + 1).alias("blocks"),
+            F.coalesce(F.max(F.col("feature").isNull()), F.lit(False)).alias("icpt")]
 
-def packed_bytes(packed: DataFrame) -> int:
-    """Size bound of packed weights: 16 bytes per class weight, 64 per row and its key."""
-    return int(packed.agg(F.sum(F.size("ws") * 16 + 64)).first()[0] or 0)
+
+def packed_shape(packed: DataFrame):
+    """One row with the shape of packed weights (one pass over them)."""
+    return packed.agg(*_shape_columns()).first()
 
 
 def class_margins(features: DataFrame, routes: DataFrame, weights: DataFrame,
                   margin_digits: int | None = None,
-                  broadcast_weights: bool | None = None,
-                  has_intercepts: bool | None = None) -> DataFrame:
-    """``id, node, idx, margin`` for every class with at least one shared feature.
+                  broadcast_weights: bool | None = None, shape=None) -> DataFrame:
+    """``id, node, margins`` — the margins of classes 1, 2, … as an array, for every route with
+    a shared feature or an intercept; with more than ``CLASS_BLOCK`` classes a row per
+    ``block`` of them.
 
     ``weights``: long or packed; rows with a NULL feature are intercepts, which every item
     at the node gets.  ``broadcast_weights``: None = decide by the size of the packed
-    weights; True/False = a decision the caller already made.
+    weights; True/False = a decision the caller already made.  ``shape``: their
+    ``packed_shape`` when the caller has it.
     """
     packed = pack_weights(weights)
+    shape = shape or packed_shape(packed)
     if broadcast_weights is None:
-        broadcast_weights = packed_bytes(packed) <= broadcast_max_bytes(packed.sparkSession)
-    if has_intercepts is None:
-        has_intercepts = not packed.where(F.col("feature").isNull()).isEmpty()
+        broadcast_weights = shape.bytes <= broadcast_max_bytes(packed.sparkSession)
     # features are the big side: never broadcast them on a (compressed-size)
     # estimate; a merge join reads them from their id buckets and shuffles only
     # the routes
     routed = features.hint("merge").join(routes.select("id", "node"), "id")
-    margin = F.sum("product")
-    if margin_digits is not None:
-        margin = F.round(margin, margin_digits)
     # broadcast behind the size check; otherwise salted by item, since one node
     # (the root) sees every item and a frequent feature is a hot key
-    joined = lookup_join(routed, packed, ["node", "feature"], broadcast=broadcast_weights)
-    products = joined.select("id", "node", "value", F.inline("ws")).select(
-        "id", "node", "idx", (F.col("value") * F.col("w")).alias("product"))
-    if has_intercepts:
-        base = packed.where(F.col("feature").isNull()).select("node", F.inline("ws"))
-        # at most nodes x classes rows: bounded by the model, one row per class at a node
-        products = products.unionByName(routes.select("id", "node").join(bounded_by(base)(base), "node").select(
-            "id", "node", "idx", F.col("w").alias("product")))
-    return products.groupBy("id", "node", "idx").agg(margin.alias("margin"))
+    joined = lookup_join(routed, packed, ["node", "feature"], broadcast=broadcast_weights).select(
+        "id", "node", "block", "value", "ws")
+    if shape.icpt:
+        base = packed.where(F.col("feature").isNull()).select("node", "block", "ws")
+        # at most one row per node and block: bounded by the model
+        joined = joined.unionByName(routes.select("id", "node").join(bounded_by(base)(base), "node").select(
+            "id", "node", "block", F.lit(1.0).alias("value"), "ws"))
+    sums = [F.sum(F.get("ws", F.lit(i)) * F.col("value")) for i in range(max(1, shape.width))]
+    if margin_digits is not None:
+        sums = [F.round(x, margin_digits) for x in sums]
+    keys = ["id", "node"] + ["block"] * (shape.blocks > 1)
+    return joined.groupBy(*keys).agg(F.array(*(F.coalesce(x, F.lit(0.0)) for x in sums)).alias("margins"))
 
 
 def best_class(margins: DataFrame) -> DataFrame:
     """``id, node, idx, margin`` — argmax over positive margins, lowest idx on ties."""
-    top = (margins.where(F.col("margin") > 0)
-           .groupBy("id", "node")
-           .agg(F.max(F.struct(F.col("margin"), (-F.col("idx")).alias("neg_idx"))).alias("b")))
-    return top.select("id", "node", (-F.col("b.neg_idx")).cast("int").alias("idx"),
-                      F.col("b.margin").alias("margin"))
+    top = F.array_max("margins")
+    first = F.array_position("margins", top).cast("int")  # the first of equal margins
+    if "block" not in margins.columns:
+        return margins.where(top > 0).select("id", "node", first.alias("idx"), top.alias("margin"))
+    idx = F.col("block") * CLASS_BLOCK + first
+    best = margins.where(top > 0).groupBy("id", "node").agg(F.max(F.struct(top.alias("margin"), (-idx).alias("neg_idx"))).alias("b"))
+    return best.select("id", "node", (-F.col("b.neg_idx")).cast("int").alias("idx"), F.col("b.margin").alias("margin"))
 
 
 def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
                  margin_digits: int | None = None, single_route: bool = False,
-                 broadcast_weights: bool | None = None,
-                 has_intercepts: bool | None = None) -> DataFrame:
+                 broadcast_weights: bool | None = None, shape=None) -> DataFrame:
     """``id, node, idx, margin, confidence`` for every route (class 0 / 0.5 when
     no class has a positive margin).
 
@@ -107,8 +129,7 @@ def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
     the result then joins back on ``id`` alone, which keeps the join aligned with
     an ``id`` partitioning instead of reshuffling on ``(id, node)``.
     """
-    best = best_class(class_margins(features, routes, weights, margin_digits, broadcast_weights,
-                                    has_intercepts))
+    best = best_class(class_margins(features, routes, weights, margin_digits, broadcast_weights, shape))
     r = routes.select("id", "node")
     if single_route:
         joined = r.join(best.drop("node"), "id", "left")
@@ -122,11 +143,10 @@ def score_routes(routes: DataFrame, features: DataFrame, weights: DataFrame,
 
 def linear_score(routes: DataFrame, features: DataFrame, weights: DataFrame, index: DataFrame,
                  margin_digits: int | None = None, single_route: bool = False,
-                 broadcast_weights: bool | None = None, has_intercepts: bool | None = None,
+                 broadcast_weights: bool | None = None, shape=None,
                  index_hint: Callable | None = None) -> DataFrame:
     """Adds the predicted child category: ``id, node, idx, category, margin, confidence``."""
-    s = score_routes(routes, features, weights, margin_digits, single_route, broadcast_weights,
-                     has_intercepts)
+    s = score_routes(routes, features, weights, margin_digits, single_route, broadcast_weights, shape)
     ix = (index_hint or bounded_by(index))(index.select(F.col("parent_id").alias("node"), "idx",
                                                         F.col("id").alias("category")))
     return s.join(ix, ["node", "idx"], "left").select(
@@ -173,18 +193,18 @@ def cascade_predict(items: DataFrame, features: DataFrame, weights: DataFrame,
     packed = pack_weights(weights)
     small = bounded_by(models)
     hint = bounded_by(index)
-    # one pass over the model: bytes and intercepts of each level
-    sizes = {r.level: r for r in packed.join(small(models.select("node", "level")), "node").groupBy("level").agg(
-        F.sum(F.size("ws") * 16 + 64).alias("bytes"), F.max(F.col("feature").isNull()).alias("icpt")).collect()}
+    # one pass over the model: bytes, classes and intercepts of each level
+    shapes = {r.level: r for r in packed.join(small(models.select("node", "level")), "node").groupBy("level").agg(
+        *_shape_columns()).collect()}
+    none = Row(bytes=0, width=0, blocks=1, icpt=False)
 
     def level(n: int, routes: DataFrame) -> DataFrame:
         nodes = small(models.where(F.col("level") == n).select("node"))
         routed = routes.join(nodes, "node", "left_semi")
         own = packed.join(nodes, "node", "left_semi")
-        size = sizes.get(n)
+        shape = shapes.get(n, none)
         return linear_score(routed, features, own, index, margin_digits, single_route=True,
-                            broadcast_weights=(size.bytes if size else 0) <= broadcast_max_bytes(spark),
-                            has_intercepts=bool(size and size.icpt), index_hint=hint)
+                            broadcast_weights=shape.bytes <= broadcast_max_bytes(spark), shape=shape, index_hint=hint)
 
     s1 = keep(level(1, items.select("id", F.lit(0).alias("node"))))
     s2 = keep(level(2, s1.where(F.col("confidence") >= g1).select("id", F.col("category").alias("node"))))
