@@ -57,7 +57,7 @@ def test_classify_predicts_the_known_categories(spark, files):
     assert per_model.keys() == {"0", "1", "2", "11", "12"} and all(v > 0 for v in per_model.values())
 
 
-@pytest.mark.parametrize("mode", [{"idf": "refit"}, {"use_idf": False}])
+@pytest.mark.parametrize("mode", [{"idf": "refit"}, {"idf": "per_node"}, {"use_idf": False}])
 def test_classify_modes(spark, files, mode):
     got = classify(spark, files, **mode)
     assert sum(got[1000 + i] == (p[2] or p[1]) for i, p in enumerate(PATHS[:6])) >= 5
@@ -75,6 +75,36 @@ def test_runs_reuse_models_and_leave_no_scratch(spark, files):
     assert len([v for v in os.listdir(models.removeprefix("file:")) if v.startswith("v-")]) == 1
 
 
+def scratch_folders(spark):
+    return set(os.listdir(f"{checkpoint_root(spark).removeprefix('file:')}/treeclass-scratch"))
+
+
+def test_changed_items_refit_only_the_nodes_on_their_path(spark, files, monkeypatch):
+    """The first run trains all nodes and leaves only its output; a run after one item of
+    category 111 changed fits the root, 1 and 11 again, the others are taken over."""
+    from treeclass.operators import train
+    d, lexicon = files
+    fitted, fit = [], train.train_hierarchy
+
+    def watched(labels, index, nodes, *args, **kw):
+        fitted.append(sorted(r.node for r in nodes.collect()))
+        return fit(labels, index, nodes, *args, **kw)
+    monkeypatch.setattr(train, "train_hierarchy", watched)
+    models, folder = scratch_path(spark, "flow-changed"), scratch_path(spark, "flow-files2")
+    ads = tsv.read_ads(spark, f"{d}/train")
+    before = scratch_folders(spark)
+    for title_of_0 in ("car sedan red with xa", "car sedan red red red"):
+        changed = ads.selectExpr("id", f"if(id = 0, '{title_of_0}', title) as title", "cat1", "cat2", "cat3")
+        tsv.write_ads(changed, f"{folder}/train")
+        flows.classify(spark, f"{folder}/train", f"{d}/test", f"{d}/cat", f"{d}/stop", lexicon, f"{folder}/out", models,
+                       num_buckets=512, idf="per_node")
+    assert fitted == [[0, 1, 2, 11, 12], [0, 1, 11]]
+    new = {n.split("-")[0] for n in scratch_folders(spark) - before}
+    assert new <= {"flow"}  # the models and files of this test: no training rows are left
+    weights, nodes, *_ = train.load_hierarchy(spark, models)
+    assert {r.node for r in nodes.collect()} == {0, 1, 2, 11, 12} == {r.node for r in weights.select("node").distinct().collect()}
+
+
 def test_unknown_category_or_repeated_id_raises(spark, files):
     d, lexicon = files
     for rows, match in (([(1, "car", 1, 99, None)], "unknown categories"), ([(1, "car", 1, 11, None)] * 2, "repeat")):

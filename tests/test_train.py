@@ -118,3 +118,33 @@ def test_incomplete_or_unreadable_storage(spark, trained):
         train.load_hierarchy(spark, path)
     with pytest.raises(Exception, match="(?i)scheme|filesystem"):
         train.hierarchy_exists(spark, "nosuchstore://x/y", {})
+
+
+def test_node_idf_and_folded_weights(spark):
+    tf = spark.createDataFrame([(1, 5, 2), (1, 6, 1), (2, 5, 1), (3, 6, 4)], "id long, bucket int, tf long")
+    rows = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 0), (1, 7), (2, 7)], "id long, node int")  # item 4 has no terms
+    idf = features.node_idf(tf, rows)
+    import math
+    got = {(r.node, r.bucket): (r.df, r.n_docs, round(r.idf, 9)) for r in idf.collect()}
+    assert got == {(0, 5): (2, 4, round(math.log(5 / 3), 9)), (0, 6): (2, 4, round(math.log(5 / 3), 9)),
+                   (7, 5): (2, 2, 0.0), (7, 6): (1, 2, round(math.log(3 / 2), 9))}
+    weights = spark.createDataFrame([(0, 1, 5, 2.0), (7, 1, 6, -1.0), (7, 2, None, 0.5)], "node int, idx int, feature int, w double")
+    folded = {(r.node, r.idx, r.feature): round(r.w, 9) for r in features.fold_idf(weights, idf).collect()}
+    assert folded == {(0, 1, 5): round(2 * math.log(5 / 3), 9), (7, 1, 6): round(-math.log(3 / 2), 9), (7, 2, None): 0.5}
+
+
+def test_own_idf_of_a_node_scales_its_training_rows(spark):
+    """A node fitted with its IDF and the folded weights decides like the model on scaled vectors."""
+    from treeclass.operators import taxonomy
+    index = taxonomy.category_index(spark.createDataFrame([(1, 0, ""), (2, 0, "")], "id int, parent_id int, name string"))
+    labels = spark.createDataFrame([(i, 1 + i % 2, None, None) for i in range(40)], "id long, cat1 int, cat2 int, cat3 int")
+    tf = spark.createDataFrame([(i, b, 1 + b) for i in range(40) for b in ((i % 2), 2 + i % 3)], "id long, bucket int, tf long")
+    nodes = spark.createDataFrame([(0, 1, 2, 40)], "node int, level int, num_classes int, n_rows long")
+    idf = features.node_idf(tf, encode.node_rows(labels))
+    vectors = features.tfidf_vectors(labels.select("id"), tf, None, 8)
+    weights, _ = train.train_hierarchy(labels, index, nodes, vectors, 8, idf_by_node=idf)
+    folded = features.fold_idf(weights, idf)
+    long = tf.select("id", F.col("bucket").alias("feature"), F.col("tf").cast("double").alias("value"))
+    routes = labels.select("id", F.lit(0).alias("node"))
+    got = {r.id: r.prediction for r in score.linear_predict(routes, long, folded).collect()}
+    assert got == {i: float(i % 2) for i in range(40)}

@@ -4,7 +4,7 @@
         --categories data/categories.tsv --stopwords data/stop_words.txt \\
         --lexicon lexicon.parquet --out results/predictions --models model/hierarchy \\
         [--metrics results/metrics] [--buckets 30720] [--emit-level1] [--lower] \\
-        [--idf fit_once|refit] [--tf-only]
+        [--idf fit_once|per_node|refit] [--tf-only]
 
     python -m treeclass flat-cost --training 'data/training.*.tsv' \\
         --categories data/categories.tsv --stopwords data/stop_words.txt \\

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import bucket as bucket_expr
+from treeclass.operators.joins import small_side
 from treeclass.session import cut_lineage
 
 # Bucket counts used by the reference (30 * 1024 for every level of
@@ -38,10 +39,34 @@ def idf(tf: DataFrame, num_docs: int) -> DataFrame:
                     F.log((F.lit(float(num_docs)) + 1.0) / (F.col("df") + 1.0)).alias("idf")))
 
 
-def tfidf(tf: DataFrame, idf_table: DataFrame) -> DataFrame:
-    """``id, bucket, value = tf * idf`` (idf broadcast: at most one row per bucket)."""
-    return (tf.join(F.broadcast(idf_table.select("bucket", "idf")), "bucket")
-            .select("id", "bucket", (F.col("tf") * F.col("idf")).alias("value")))
+def node_idf(tf: DataFrame, rows: DataFrame) -> DataFrame:
+    """``node, bucket, df, n_docs, idf`` — the IDF of every node's own training set in one
+    aggregation.  ``rows(id, node)``: the training rows of all nodes (an item is in at most one
+    set per level); ``n_docs`` counts those without terms too.  At most nodes x buckets rows."""
+    # an item's nodes travel as one array, so each term row is joined once
+    nodes = rows.groupBy("id").agg(F.collect_set("node").alias("nodes"))
+    df = (tf.select("id", "bucket").join(nodes, "id").select(F.explode("nodes").alias("node"), "bucket")
+          .groupBy("node", "bucket").agg(F.count("*").alias("df")))
+    sizes = rows.groupBy("node").agg(F.count_distinct("id").alias("n_docs"))
+    return df.join(small_side(sizes), "node").select(
+        "node", "bucket", "df", "n_docs", F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+
+
+def fold_idf(weights: DataFrame, idf_by_node: DataFrame) -> DataFrame:
+    """Weights of models fitted on ``tf x idf`` of their node, times that IDF: they score plain term
+    frequencies.  A bucket outside a node's training set has no weight there; intercepts stay."""
+    known = weights.where(F.col("feature").isNotNull()).join(
+        idf_by_node.select("node", F.col("bucket").alias("feature"), "idf"), ["node", "feature"])
+    folded = known.select("node", "idx", "feature", (F.col("w") * F.col("idf")).alias("w"))
+    return folded.unionByName(weights.where(F.col("feature").isNull()).select("node", "idx", "feature", "w"))
+
+
+def tfidf(tf: DataFrame, idf_table: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id, bucket, value = tf * idf`` and the ``carry`` columns of both tables (idf broadcast: at
+    most one row per bucket)."""
+    own = [c for c in carry if c in idf_table.columns and c not in tf.columns]
+    return (tf.join(F.broadcast(idf_table.select("bucket", "idf", *own)), "bucket")
+            .select("id", "bucket", *carry, (F.col("tf") * F.col("idf")).alias("value")))
 
 
 def fit_tfidf(items: DataFrame, bag: DataFrame, num_buckets: int = CASCADE_BUCKETS,

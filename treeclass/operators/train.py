@@ -22,12 +22,14 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators.encode import node_rows
 from treeclass.operators.joins import small_side
-from treeclass.session import scratch_path
+from treeclass.session import Scratch, scratch_path
 
 # Solver settings of the reference (10 L-BFGS iterations, L2 0.01,
 # no intercept).
@@ -125,9 +127,19 @@ def node_training_rows(labels: DataFrame, index: DataFrame) -> DataFrame:
             .select("id", "node", "level", F.coalesce("idx", missing.cast("int")).cast("double").alias("label")))
 
 
+def scaled(data: DataFrame, idf_table: DataFrame, num_features: int) -> DataFrame:
+    """Labelled term-frequency vectors times one IDF (at most ``num_features`` values)."""
+    scale = [0.0] * num_features
+    for r in idf_table.select("bucket", "idf").collect():
+        scale[int(r["bucket"])] = float(r["idf"])
+    prod = ElementwiseProduct(scalingVec=DenseVector(scale), inputCol="features", outputCol="scaled")
+    return prod.transform(data).select("label", F.col("scaled").alias("features"))
+
+
 def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vectors: DataFrame,
                     num_features: int, max_iter: int = MAX_ITER, reg_param: float = REG_PARAM,
-                    parallelism: int = 8, model_dir: str | None = None, fit_intercept: bool = False):
+                    parallelism: int = 8, model_dir: str | None = None, fit_intercept: bool = False,
+                    idf_by_node: DataFrame | None = None):
     """Fit every node of ``nodes(node, level, num_classes, n_rows)``.
 
     The labelled vectors of all nodes are written once as a table partitioned by
@@ -135,21 +147,19 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
     fit reads only its own partition.  Rows are dealt by (node, salt) with
     ``n_rows / ROWS_PER_FILE`` salts: a large node spreads over many tasks and files, a small
     one is a single file.  Returns ``(weights, models)``; the fitted models stay saved as
-    ``{model_dir}/node={node}`` (a scratch folder by default).
+    ``{model_dir}/node={node}`` (a scratch folder by default).  The labelled vectors are removed
+    when the fits end.
+
+    ``idf_by_node`` (``features.node_idf``): ``vectors`` are term frequencies then, and each node's
+    are scaled by its own IDF (``num_features`` values per node, on the JVM) before its fit.
     """
     spark = labels.sparkSession
     todo = [(int(r["node"]), int(r["level"]), int(r["num_classes"]))
             for r in nodes.select("node", "level", "num_classes").collect()]
     fit_nodes = [n for n, _, k in todo if k >= 2]
-    table = scratch_path(spark, "node-training")
     model_dir = model_dir or scratch_path(spark, "models")
-    if fit_nodes:
-        salts = nodes.select("node", F.ceil(F.col("n_rows") / ROWS_PER_FILE).cast("int").alias("salts"))
-        rows = node_training_rows(labels, index).where(F.col("node").isin(fit_nodes)).join(small_side(salts), "node")
-        salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.greatest("salts", F.lit(1))))
-        (salted.join(vectors, "id").select("node", "salt", "label", "features")
-         .repartition("node", "salt").drop("salt")
-         .write.partitionBy("node").parquet(table))
+    owner = Scratch(spark, "node-training")
+    table = owner.path("rows")
 
     def run(task):
         node, level, k = task
@@ -157,11 +167,21 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
             return node, level, k, num_features, 0.0
         t0 = time.time()
         data = spark.read.parquet(table).where(F.col("node") == node).select("label", "features")
+        if idf_by_node is not None:
+            data = scaled(data, idf_by_node.where(F.col("node") == node), num_features)
         fit_lr(data, k, max_iter, reg_param, fit_intercept).write().overwrite().save(f"{model_dir}/node={node}")
         return node, level, k, num_features, time.time() - t0
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted = list(pool.map(run, todo))
+    with owner:
+        if fit_nodes:
+            salts = nodes.select("node", F.ceil(F.col("n_rows") / ROWS_PER_FILE).cast("int").alias("salts"))
+            rows = node_training_rows(labels, index).where(F.col("node").isin(fit_nodes)).join(small_side(salts), "node")
+            salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.greatest("salts", F.lit(1))))
+            (salted.join(vectors, "id").select("node", "salt", "label", "features")
+             .repartition("node", "salt").drop("salt")
+             .write.partitionBy("node").parquet(table))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fitted = list(pool.map(run, todo))
     weights = saved_weights(spark, model_dir) if fit_nodes else spark.createDataFrame([], WEIGHTS_SCHEMA)
     return weights, spark.createDataFrame(fitted, MODELS_SCHEMA)
 
@@ -183,12 +203,17 @@ def data_fingerprint(spark: SparkSession, paths: list[str], tables: list[DataFra
     """Hash of the input files (path, size, modification time) and of the rows of tables."""
     files = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).select(
         F.xxhash64("path", "length", F.col("modificationTime").cast("long")).alias("h")) for p in paths]
-    rows = [t.select(F.xxhash64(*t.columns).alias("h")) for t in tables]
-    parts = []
-    for f in files + rows:
-        r = f.agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first()
-        parts.append(f"{r[0]}:{r[1]}:{r[2]}")
-    return "|".join(parts)
+    return "|".join([_hash_of(f) for f in files] + [table_hash(t) for t in tables])
+
+
+def _hash_of(hashes: DataFrame) -> str:
+    r = hashes.agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first()
+    return f"{r[0]}:{r[1]}:{r[2]}"
+
+
+def table_hash(table: DataFrame) -> str:
+    """Hash of a table's rows in any order."""
+    return _hash_of(table.select(F.xxhash64(*table.columns).alias("h")))
 
 
 def _published(spark: SparkSession, path: str) -> list[tuple[str, str]]:
@@ -238,6 +263,58 @@ def hierarchy_exists(spark: SparkSession, path: str, fingerprint: dict | None =
     return any(got == want for _, got in _published(spark, path))
 
 
+# --- nodes that changed -----------------------------------------------------------------------------
+
+def node_keys(labels: DataFrame, index: DataFrame, tf: DataFrame, settings: dict) -> DataFrame:
+    """``node, key`` — what a node's model depends on: its training rows (class and term
+    frequencies of each item), its classes and the settings.
+
+    An item's terms become one hash (order-free sums and xors), a node's items another, so the keys
+    come from one aggregation per item and one per node, and partial results merge in any order.
+    The caller puts everything global into ``settings``."""
+    h = F.xxhash64("bucket", "tf")
+    terms = tf.groupBy("id").agg(F.sum(h.cast("decimal(38,0)")).alias("s"), F.bit_xor(h).alias("x"))
+    row = F.xxhash64("label", "s", "x")
+    rows = node_training_rows(labels, index).join(terms, "id", "left").groupBy("node").agg(
+        F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).alias("s"), F.bit_xor(row).alias("x"))
+    child = F.xxhash64("id", "idx")
+    classes = index.groupBy(F.col("parent_id").alias("node")).agg(F.sum(child.cast("decimal(38,0)")).alias("c"))
+    key = F.concat_ws("|", "n", "s", "x", "c", F.lit(json.dumps(settings, sort_keys=True)))
+    return rows.join(small_side(classes), "node").select("node", key.alias("key"))
+
+
+def stored_nodes(spark: SparkSession, path: str, keys: DataFrame):
+    """``weights, models`` of the newest complete hierarchy below ``path``, reduced to the nodes
+    whose key is still the same; None when there is no such hierarchy."""
+    for folder, _ in _published(spark, path)[:1]:
+        models = spark.read.parquet(f"{folder}/models")
+        if "key" in models.columns:
+            same = models.join(small_side(keys), ["node", "key"], "left_semi")
+            return spark.read.parquet(f"{folder}/weights").join(small_side(same.select("node")), "node", "left_semi"), same
+    return None
+
+
+def fit_changed_nodes(spark: SparkSession, path: str, keys: DataFrame, nodes: DataFrame, train_fn):
+    """``weights, models, fitted`` for every node of ``nodes``: nodes that the newest complete
+    hierarchy below ``path`` holds with the same key are taken from it, the others are fitted by
+    ``train_fn(nodes)`` (``weights, models``), and ``fitted`` lists them.  Nothing is published
+    here: ``save_hierarchy`` writes the mixed result, so a crash before leaves the old one in force."""
+    old = stored_nodes(spark, path, keys)
+    todo = nodes if old is None else nodes.join(small_side(old[1].select("node")), "node", "left_anti")
+    fitted = sorted(r.node for r in todo.select("node").collect())
+    keyed = lambda models: models.join(small_side(keys), "node")
+    if old is None:
+        weights, models = train_fn(nodes)
+        return weights, keyed(models), fitted
+    kept = old[1].join(small_side(nodes.select("node")), "node", "left_semi")
+    if not fitted:
+        return old[0].join(small_side(kept.select("node")), "node", "left_semi"), kept, fitted
+    weights, models = train_fn(nodes.where(F.col("node").isin(fitted)))
+    columns = [c for c in kept.columns if c in [*models.columns, "key"]]
+    return (old[0].join(small_side(kept.select("node")), "node", "left_semi").unionByName(weights),
+            kept.select(*columns).unionByName(keyed(models).select(*columns)), fitted)
+
+
 def fit_or_load(spark: SparkSession, path: str, fingerprint: dict, train_fn):
     """``weights, models, index, idf``; trains only when ``path`` holds no complete hierarchy
     with this fingerprint.  The caller puts everything that changes results into it: see

@@ -27,7 +27,17 @@ from treeclass.operators.joins import bounded_by
 from treeclass.session import Scratch
 from treeclass.sources import tsv
 
-IDF_MODES = ("fit_once", "refit")
+#: fit_once: one IDF of all training items, kept with the models.  per_node: each node's training
+#: set has its own IDF, kept with its model, for training and scoring.  refit: the reference's form, an
+#: IDF per training set when training, one fitted on the scored items when scoring.
+IDF_MODES = ("fit_once", "per_node", "refit")
+
+
+def term_frequencies(scratch: Scratch, items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_buckets: int,
+                     hash_fn: str = "murmur3", lower: bool = False) -> DataFrame:
+    """``id, bucket, tf`` of the items' titles, written once."""
+    bag = text.process_title(items, lexicon, stop, lower=lower)
+    return scratch.keep(features.hashing_tf(bag, num_buckets, hash_fn), "tf")  # read by idf, product, vectors
 
 
 def build_features(scratch: Scratch, items: DataFrame, lexicon: DataFrame, stop: DataFrame, num_buckets: int,
@@ -36,8 +46,7 @@ def build_features(scratch: Scratch, items: DataFrame, lexicon: DataFrame, stop:
     """Item features bucketed by id: ``(long, idf_table, tf)``; the long table has
     ``id, feature, value`` (feature = bucket).  Without an IDF table one is fitted on
     these items; ``use_idf=False`` keeps plain term frequencies."""
-    bag = text.process_title(items, lexicon, stop, lower=lower)
-    tf = scratch.keep(features.hashing_tf(bag, num_buckets, hash_fn), "tf")  # read by idf, product, vectors
+    tf = term_frequencies(scratch, items, lexicon, stop, num_buckets, hash_fn, lower)
     if not use_idf:
         idf_table, long = None, tf.select("id", F.col("bucket").alias("feature"), F.col("tf").cast("double").alias("value"))
     else:
@@ -61,9 +70,9 @@ def classify(spark: SparkSession, training_path: str, test_path: str, categories
              idf: str = "fit_once", use_idf: bool = True) -> DataFrame:
     """Returns the decoded predictions of the unlabelled items (also written).
 
-    ``idf``: ``fit_once`` scores with the IDF stored beside the models; ``refit`` fits one on
-    the scored items, as the reference's flow does.  ``use_idf=False``: term frequencies only.
-    ``lower`` folds the case of titles before they meet the lexicon and the stop words."""
+    ``idf``: see ``IDF_MODES``.  ``use_idf=False``: term frequencies only.  When the inputs changed
+    since the newest saved hierarchy, only the nodes whose training rows or classes changed are fitted
+    again (with ``fit_once`` a changed IDF changes every node).  ``lower`` folds the case of titles before they meet the lexicon and the stop words."""
     if idf not in IDF_MODES:
         raise ValueError(f"idf must be one of {IDF_MODES}")
     with Scratch(spark, "classify") as scratch:
@@ -78,28 +87,42 @@ def classify(spark: SparkSession, training_path: str, test_path: str, categories
         encode.check_unique_ids(test_ads)
         encode.check_labels(labels, index)
         nodes = scratch.keep(encode.trainable_nodes(labels, category), "nodes")
-        fingerprint = {"buckets": num_buckets, "iters": train.MAX_ITER, "reg": train.REG_PARAM, "lower": lower,
-                       "use_idf": use_idf, "data": train.data_fingerprint(
+        own_idf = use_idf and idf != "fit_once"  # an IDF per training set
+        settings = {"buckets": num_buckets, "iters": train.MAX_ITER, "reg": train.REG_PARAM, "lower": lower,
+                    "idf": "none" if not use_idf else "node" if own_idf else "all"}
+        fingerprint = {**settings, "data": train.data_fingerprint(
                            spark, [training_path, categories_path, stopwords_path], [lexicon])}
 
-        def features_of(items, idf_table=None):
-            return build_features(scratch, items.select("id", "title"), lexicon, stop, num_buckets, idf_table,
-                                  lower=lower, use_idf=use_idf)
-
         def fit():
-            _, idf_table, tf = features_of(train_ads)
-            vectors = scratch.keep(features.tfidf_vectors(train_ads.select("id"), tf, idf_table, num_buckets), "vectors")
-            w, m = train.train_hierarchy(labels, index, nodes, vectors, num_buckets, model_dir=scratch.path("models"))
+            tf = term_frequencies(scratch, train_ads.select("id", "title"), lexicon, stop, num_buckets, lower=lower)
+            idf_table = None
+            if own_idf:
+                idf_table = scratch.keep(features.node_idf(tf, encode.node_rows(labels)), "node-idf")
+            elif use_idf:
+                idf_table = scratch.keep(features.idf(tf, train_ads.count()), "idf")
+            common = settings if own_idf or not use_idf else {**settings, "table": train.table_hash(idf_table)}
+            keys = scratch.keep(train.node_keys(labels, index, tf, common), "keys")
+
+            def fit_nodes(changed):
+                vectors = scratch.keep(features.tfidf_vectors(train_ads.select("id"), tf, None if own_idf else idf_table,
+                                                              num_buckets), "vectors")
+                return train.train_hierarchy(labels, index, changed, vectors, num_buckets, model_dir=scratch.path("models"),
+                                             idf_by_node=idf_table if own_idf else None)
+            w, m, _ = train.fit_changed_nodes(spark, model_path, keys, nodes, fit_nodes)
             return w, m, index, idf_table
 
         t0 = time.time()
         weights, models, index, idf_table = train.fit_or_load(spark, model_path, fingerprint, fit)
         train_seconds = time.time() - t0
         check_feature_size(models, num_buckets)
+        if use_idf and idf == "per_node":  # the weights carry the IDF, the items' features are term frequencies
+            weights = features.fold_idf(weights, idf_table)
         packed = scratch.keep(score.pack_weights(weights), "packed")
 
         def decode(items):
-            feats, _, _ = features_of(items, idf_table if idf == "fit_once" else None)
+            feats, _, _ = build_features(scratch, items.select("id", "title"), lexicon, stop, num_buckets,
+                                         idf_table if idf == "fit_once" else None, lower=lower,
+                                         use_idf=use_idf and idf != "per_node")
             pred = score.cascade_predict(items.select("id"), feats, packed, models, index, gates, keep=scratch.keep)
             return scratch.keep(score.cascade_decode(pred, gates, emit_level1), "decoded")
 

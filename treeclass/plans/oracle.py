@@ -271,6 +271,9 @@ from models""",
     # features
     "hashing_tf": "select id, bucket, tf from tf",
     "idf": "select bucket, df, round(idf, 9) as idf from idf",
+    "node_idf": """
+select r.node, t.bucket, count(*) as df, m.n_rows as n_docs, round(ln((m.n_rows + 1.0) / (count(*) + 1.0)), 9) as idf
+from node_rows r join tf t on t.id = r.id join node_counts m on m.node = r.node group by r.node, t.bucket, m.n_rows""",
     "idf_union_corpus": """
 with turns as (select -(conv_id * 1000 + turn) - 1 as id, text as title from conversations),
 turn_words as (select distinct id, unnest(regexp_extract_all(title, '\\p{L}+')) as orth from turns),
@@ -285,7 +288,6 @@ m as (select (select count(*) from docs) + (select count(*) from turns) as m)
 select b.bucket, b.df, round(ln((m.m + 1.0) / (b.df + 1.0)), 9) as idf, coalesce(i.df, 0) as df_documents
 from (select bucket, count(*) as df from both_tf group by bucket) b cross join m
 left join idf i on i.bucket = b.bucket""",
-    "tfidf": "select id, bucket, round(value, 9) as value from tfidf",
     "features_join": """
 select e.id, e.l1_idx, e.l2_idx, e.l3_idx, count(*) as n_terms, round(sum(t.value), 6) as tfidf_sum
 from encoded e join tfidf t on t.id = e.id group by e.id, e.l1_idx, e.l2_idx, e.l3_idx""",
@@ -310,6 +312,20 @@ select d.id, cast(coalesce(t.idx, 0) as int) as idx, x.id as category, coalesce(
        round(1 / (1 + exp(-coalesce(t.margin, 0.0))), 6) as confidence
 from docs d left join top t on t.id = d.id and t.rn = 1
 left join category_index x on x.parent_id = 0 and x.idx = coalesce(t.idx, 0)""",
+    "linear_score_node_idf": """
+with own_idf as (
+  select r.node, b.term, ln((m.n_rows + 1.0) / (count(*) + 1.0)) as idf
+  from node_rows r join bag b on b.id = r.id join node_counts m on m.node = r.node group by r.node, b.term, m.n_rows),
+own_margins as (
+  select r.id, r.node, w.idx, round(sum(w.w * i.idf), 6) as margin
+  from label_routes r join bag b on b.id = r.id join weights w on w.node = r.node and w.feature = b.term
+  join own_idf i on i.node = r.node and i.term = b.term group by r.id, r.node, w.idx),
+own_best as (
+  select id, node, idx, margin from own_margins where margin > 0
+  qualify row_number() over (partition by id, node order by margin desc, idx) = 1)
+select r.id, r.node, x.id as category, coalesce(b.margin, 0.0) as margin
+from label_routes r left join own_best b on b.id = r.id and b.node = r.node
+left join category_index x on x.parent_id = r.node and x.idx = coalesce(b.idx, 0)""",
     "linear_score_runmax": """
 select id, node, idx, cast(case when idx > 0 then 0.5 else 0.0 end as double) as confidence from lr""",
     "linear_predict": "select id, node, cast(idx as double) as prediction from lr",
@@ -410,13 +426,34 @@ select count(*) as n_items, count(*) as n_ids, true as valid_chain, true as beat
 from ad_labels where {H.format(x='cast(id as varchar)')} % 100 >= 60""",
     "fit_or_load": """
 select (select count(*) from models) as n_nodes, cast(2 as int) as n_fits, (select count(*) from idf) as n_idf""",
+    "refit_changed_nodes": """
+with one as (select * from ad_labels where id = (select min(id) from ad_labels where cat3 is not null))
+select cast(1 as int) as step, node, cast(0 as bigint) as n_lost from models
+union all select cast(3 as int), p.node, cast(0 as bigint)
+from (select 0 as node union all select cat1 from one union all select cat2 from one) p
+where p.node in (select node from models)""",
     "train_hierarchy": """
 select node, level, num_classes, 30720 as num_features, num_classes >= 2 as has_weights from models""",
 }
 
 
+#: Keys whose SQL stands alone, without the shared prefix.
+STANDALONE = {
+    # the lexicon's rules applied to a word itself: 3 to 11 letters survive the tag filter
+    "tfidf": """
+with words as (select distinct doc_id as id, unnest(regexp_extract_all(text, '\\p{L}+')) as orth from documents),
+bag as (
+  select distinct id, case when length(orth) > 4 and suffix(orth, 's') then substr(orth, 1, length(orth) - 1) else orth end as term
+  from words where length(orth) between 3 and 11 and orth not in ('with', 'that', 'they', 'avec', 'pour', 'auch')),
+tf as (select id, cast(__H_TERM__ % 30720 as int) as bucket, count(*) as tf from bag group by 1, 2),
+df as (select bucket, count(*) as df from tf group by bucket)
+select t.id, t.bucket, t.tf, d.df, round(t.tf * ln((m.m + 1.0) / (d.df + 1.0)), 9) as value
+from tf t join df d on d.bucket = t.bucket cross join (select count(*) as m from documents) m""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    out = {}
+    out = {key: sql.strip().replace("__H_TERM__", H.format(x="term")) for key, sql in STANDALONE.items()}
     for key, sel in SELECTS.items():
         body = sel.strip().replace("__TAG_DROPPED__", TAG_DROPPED).replace("__H_TERM__", H.format(x="term"))
         if body.lower().startswith("with "):

@@ -295,6 +295,24 @@ def idf(spark, sf_dir):
     return _idf(_ctx(spark, sf_dir)).select("bucket", "df", F.round("idf", R9).alias("idf"))
 
 
+def node_idf(spark, sf_dir):
+    """The IDF of every node's own training set."""
+    c = _ctx(spark, sf_dir)
+    tf = features.hashing_tf(c.bag, NUM_BUCKETS, "md5")
+    per_node = features.node_idf(tf, encode.node_rows(c.labels))
+    return per_node.select("node", "bucket", "df", "n_docs", F.round("idf", R9).alias("idf"))
+
+
+def linear_score_node_idf(spark, sf_dir):
+    """Items scored at the nodes of their label path with the IDF of the node's training set
+    folded into the weights (terms as features)."""
+    c = _ctx(spark, sf_dir)
+    tf = c.bag.select("id", F.col("term").alias("bucket"))
+    weights = features.fold_idf(c.weights, features.node_idf(tf, encode.node_rows(c.labels)))
+    s = score.linear_score(_label_routes(c), c.features, cut_lineage(score.pack_weights(weights)), c.index, MARGIN_DIGITS)
+    return s.select("id", "node", "category", "margin")
+
+
 def _turn_items(spark, sf_dir) -> DataFrame:
     """A second corpus: conversation turns, with ids beside those of the documents."""
     t = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
@@ -320,7 +338,9 @@ def _tfidf(c: Context):
 
 
 def tfidf(spark, sf_dir):
-    return _tfidf(_ctx(spark, sf_dir)).select("id", "bucket", F.round("value", R9).alias("value"))
+    c = _ctx(spark, sf_dir)
+    tf = cut_lineage(features.hashing_tf(_fresh_bag(c), NUM_BUCKETS, "md5"))  # read by the IDF and the product
+    return features.tfidf(tf, features.idf(tf, c.items.count()), ("tf", "df")).withColumn("value", F.round("value", R9))
 
 
 def features_join(spark, sf_dir):
@@ -601,6 +621,36 @@ def fit_or_load(spark, sf_dir):
         "n_nodes", F.lit(len(calls)).alias("n_fits"), F.lit(idf_table.count()).cast("long").alias("n_idf"))
 
 
+def refit_changed_nodes(spark, sf_dir):
+    """``step, node``: the nodes fitted for the same data twice (steps 1 and 2; none in step 2), then
+    after one item of a level-3 category got another term (3), and when the fit of that step
+    had ended in an error before (the old models stay in force).  Weights stand in for fits."""
+    c = _ctx(spark, sf_dir)
+    path, steps = scratch_path(spark, "changed"), []
+    tf = cut_lineage(features.hashing_tf(c.bag, NUM_BUCKETS, "md5"))
+    item = c.labels.where("cat3 is not null").agg(F.min("id").alias("id"))
+    more = tf.unionByName(item.select("id", F.lit(NUM_BUCKETS).alias("bucket"), F.lit(1).cast("long").alias("tf")))
+
+    def fit(nodes):
+        own = c.weights.join(nodes.select("node"), "node", "left_semi")
+        return own, nodes.select("node", "level", "num_classes")
+
+    def fail(nodes):
+        raise InterruptedError
+    for step, (terms, train_fn) in enumerate(((tf, fit), (tf, fit), (more, fail), (more, fit)), 1):
+        keys = cut_lineage(train.node_keys(c.labels, c.index, terms, {"buckets": NUM_BUCKETS}))
+        try:
+            weights, models, fitted = train.fit_changed_nodes(spark, path, keys, c.models, train_fn)
+        except InterruptedError:
+            continue
+        train.save_hierarchy(weights, models, c.index, path, {"step": step})
+        steps += [(min(step, 3), n) for n in fitted]
+    kept = train.load_hierarchy(spark, path)
+    counts = kept[1].select("node").exceptAll(c.models.select("node")).union(c.models.select("node").exceptAll(kept[1].select("node")))
+    lost = counts.count() + abs(kept[0].count() - c.weights.count())
+    return spark.createDataFrame(steps, "step int, node int").withColumn("n_lost", F.lit(lost).cast("long"))
+
+
 QUERIES = {
     # sources / sinks
     "scan_ads_training": scan_ads_training,
@@ -646,6 +696,7 @@ QUERIES = {
     # features
     "hashing_tf": hashing_tf,
     "idf": idf,
+    "node_idf": node_idf,
     "idf_union_corpus": idf_union_corpus,
     "tfidf": tfidf,
     "features_join": features_join,
@@ -654,6 +705,7 @@ QUERIES = {
     "sigmoid_confidence": sigmoid_confidence,
     "linear_score": linear_score,
     "linear_score_intercept": linear_score_intercept,
+    "linear_score_node_idf": linear_score_node_idf,
     "linear_score_runmax": linear_score_runmax,
     "linear_predict": linear_predict,
     "cascade_predict": cascade_predict,
@@ -676,5 +728,6 @@ QUERIES = {
     "train_lr": train_lr,
     "train_hierarchy": train_hierarchy,
     "fit_or_load": fit_or_load,
+    "refit_changed_nodes": refit_changed_nodes,
     "trained_cascade": trained_cascade,
 }
