@@ -23,6 +23,12 @@ def edge_rows():
             (13, "one\ntwo\r\n three lines here \nTHREE LINES HERE\n")]
 
 
+def blank_rows():
+    """Very long runs of white space, and the string of the vocabulary's added token."""
+    return [(40, "a" + " " * 1_000_000 + "x"), (41, "\n" * 300_000 + " \t" * 100_000 + "end"), (42, " " * 50_000),
+            (43, "x <|endoftext|> y<|endoftext|>"), (44, "<|endoftext|>" + " " * 3000 + "<|endoftext|>z"), (45, "é" * 40_000)]
+
+
 def prose_rows(n=120, seed=1):
     """Documents with exact and near copies, shared passages and repeated lines."""
     rnd = random.Random(seed)

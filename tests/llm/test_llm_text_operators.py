@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from fixtures import docs, edge_rows, prose_rows
+from fixtures import blank_rows, docs, edge_rows, prose_rows
 from pyspark.sql import functions as F
 
 from treeclass.llm import curve_packing, fertility, pseudo_likelihood, token_edits, tokens, toxicity
@@ -98,8 +98,12 @@ def test_edits_encode_only_near_the_edit():
 
 
 def test_op2_matches_full_encoding(spark):
-    rows = edge_rows() + [(20, "write to me.you@example.org or +49 30 1234567, see https://x.y/z?q now"), (21, "a@b")]
-    encode = tokens.encoder(RANKS).encode_ordinary
+    rows = edge_rows() + blank_rows() + [(20, "write to me.you@example.org or +49 30 1234567, see https://x.y/z?q now"), (21, "a@b")]
+    def encode(text):  # the JSON tokenizer, with special tokens as ordinary text
+        return tokenizer.encode(text, add_special_tokens=False).ids
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokens.file("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
     trees = token_edits.build_trees(token_edits.redactions(docs(spark, rows)), RANKS)
     out = token_edits.apply_edits(trees, RANKS).collect()
     assert len(out) == len(rows)
@@ -312,7 +316,6 @@ def test_bands_follow_the_corpus(spark):
 def check_packing(rows, pieces, length):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokens.file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = collections.Counter((i, tuple(tokenizer.encode(t or "", add_special_tokens=False).ids + [0])) for i, t in rows)
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
@@ -335,7 +338,7 @@ def check_packing(rows, pieces, length):
 
 @pytest.mark.parametrize("length", [1024, 64])
 def test_packing_holds_every_id_once(spark, length):
-    rows = edge_rows() + [(200, "<|endoftext|> is text here")]
+    rows = edge_rows() + blank_rows() + [(200, "<|endoftext|> is text here")]
     check_packing(rows, curve_packing.pack(docs(spark, rows), RANKS, length).collect(), length)
 
 

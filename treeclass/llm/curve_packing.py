@@ -14,9 +14,10 @@
 The ids travel compressed and only once; no task or the driver holds more than the totals of
 the sort's partitions.
 
-Defined cases: a null or empty text is the separator alone; a null id sorts last; rows with equal
-key and id are ordered by their ids' hash and row number; an empty table gives no pieces; other
-columns are ignored.
+Defined cases: a null or empty text is the separator alone; the vocabulary's added token counts as
+one id; runs of white space may have any length; a text is held whole by one task, with 2 bytes an
+id; a null id sorts last; rows with equal key and id are ordered by their row number; an empty table
+gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeclass.llm.common import id_key, keep_table, sliced
-from treeclass.llm.tokens import encoder
+from treeclass.llm.tokens import all_ids, encoder
 
 LENGTH = 1024
 SEPARATOR = 0
@@ -92,13 +93,13 @@ TOKEN_SCHEMA = "row long, doc_id long, key long, n long, ids binary"
 def token_table(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(row, doc_id, key, n, ids), written below the scratch folder; ``row`` is unique."""
     def run(batches):
-        encode = encoder(vocabulary).encode_ordinary_batch
+        bpe = encoder(vocabulary)
         pack = zstandard.ZstdCompressor(level=1).compress
         row = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in sliced(whole, "text", TASK_BYTES):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                ids = [np.array([*x, SEPARATOR], dtype=np.uint16) for x in encode(texts, num_threads=1)]
+                ids = [np.array([*x, SEPARATOR], dtype=np.uint16) for x in all_ids(bpe, texts)]
                 cells = np.array([vector_cells(x) for x in ids]).reshape(-1, DIMS)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(ids))), batch.column("doc_id"),

@@ -138,9 +138,8 @@ class Fertility:
         new = list(islice(self.codes, len(self.counts), None))
         if not new:
             return
-        encode = self.bpe.encode_ordinary
         rows = self.pieces.encode(new, num_threads=1)
-        self.counts = np.append(self.counts, [len(encode(" " + w)) for w in new])
+        self.counts = np.append(self.counts, [len(tokens.ordinary_ids(self.bpe, " " + w)) for w in new])
         self.lengths = np.append(self.lengths, [len(r) for r in rows])
         self.ids = np.append(self.ids, np.array([i for r in rows for i in r], dtype=np.int32))
         self.begins = np.cumsum(self.lengths) - self.lengths

@@ -16,7 +16,8 @@ their paths to the roots are brought up to date.
 Edits that overlap an earlier one (by start, then end) are not applied and are counted in
 ``n_skipped``; positions are cut to the text; null replacements delete.
 
-Defined cases: a null text is empty (it can still get insertions); null or empty edit lists change
+Defined cases: texts and runs of white space may have any length, a text is held whole by one task; a
+null text is empty (it can still get insertions); null or empty edit lists change
 nothing; a null id is kept; repeated rows each get their row; an empty table gives no
 rows; other columns are ignored.
 """
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +35,14 @@ from treeclass.llm.common import sliced
 LEAF = 16
 CACHE = 200_000
 TASK_BYTES = 4 << 20
-_PRETOKEN = regex.compile(tokens.PATTERN)
+_PRETOKEN = tokens.PRETOKEN
 
 
 class Counter:
     """Token counts of pre-tokens; those met are kept, up to ``CACHE``."""
 
     def __init__(self, ranks: str):
-        self.encode, self.known = tokens.encoder(ranks).encode_ordinary, {}
+        self.bpe, self.known = tokens.encoder(ranks), {}
 
     def counts(self, pieces: list[str]) -> list[int]:
         known, out = self.known, []
@@ -51,7 +51,7 @@ class Counter:
             if n is None:
                 if len(known) >= CACHE:
                     known.clear()
-                n = len(self.encode(p))
+                n = len(tokens.piece_ids(self.bpe, p))
                 if len(p) <= 64:
                     known[p] = n
             out.append(n)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from functools import lru_cache
 
+import regex
 import tiktoken
 
 #: Folder of the public vocabulary files; a parameter of every operator that needs one.
@@ -17,12 +19,45 @@ PIECES = "piece_bpe_32k.model"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Fixed value: the token that the vocabulary adds to its merges, and its id.
+ADDED = {"<|endoftext|>": 50256}
+
+#: Runs of white space from this length on are cut into pre-tokens here: the rank-file encoder's own
+#: pattern engine runs out of stack on very long ones.
+BLANKS = 2000
+_LONG = re.compile(r"\s{%d}" % BLANKS)
+PRETOKEN = regex.compile(PATTERN)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> tiktoken.Encoding:
-    """Encoder of a rank file; strings of special tokens are ordinary text."""
+    """Encoder of a rank file with the vocabulary's added token."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
+
+
+def piece_ids(bpe: tiktoken.Encoding, piece: str) -> list[int]:
+    """Ids of one pre-token of any length."""
+    return bpe.encode_ordinary(piece) if len(piece) < BLANKS else bpe._encode_single_piece(piece)
+
+
+def ordinary_ids(bpe: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text of any kind; the added token's string is ordinary text."""
+    if len(text) < BLANKS or _LONG.search(text) is None:
+        return bpe.encode_ordinary(text)
+    return [i for piece in PRETOKEN.findall(text) for i in piece_ids(bpe, piece)]
+
+
+def all_ids(bpe: tiktoken.Encoding, texts: list[str]) -> list[list[int]]:
+    """Ids of texts as the JSON tokenizer gives them, the added token included."""
+    plain = [i for i, t in enumerate(texts) if len(t) < BLANKS or _LONG.search(t) is None]
+    out = dict(zip(plain, bpe.encode_batch([texts[i] for i in plain], num_threads=1, allowed_special="all")))
+    (name, added), = ADDED.items()
+    for i in set(range(len(texts))) - set(plain):
+        first, *rest = (ordinary_ids(bpe, part) for part in texts[i].split(name))
+        out[i] = first + [x for part in rest for x in [added, *part]]
+    return [out[i] for i in range(len(texts))]
 
 
 @lru_cache(maxsize=2)
