@@ -99,3 +99,28 @@ def test_tfidf_vectors_equal_the_library_transformer(spark):
     for k in ours:
         a, b = ours[k].toArray(), theirs[k].toArray()
         assert all(math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-15) for x, y in zip(a, b))
+
+
+def test_words_cut_into_nodes_give_a_lemma_each(spark):
+    """A lattice: 'miałem' is one form or two nodes; a part's written form meets the stop list; the
+    first surviving analysis counts per start node; later words start after all nodes."""
+    items = spark.createDataFrame([(1, "miałem dom unknownword miałem"), (2, "byłaś"), (3, "dom")], "id long, title string")
+    lexicon = spark.createDataFrame([
+        ("miałem", 1, 592, "mieć:x", 1, 2, None),        # whole form, dropped by its tag
+        ("miałem", 2, 300, "mieć:v", 1, 1, "miał"),
+        ("miałem", 3, 301, "miał:n", 1, 1, "miał"),      # later analysis of the same node
+        ("miałem", 4, 300, "być:aux", 2, 2, "em"),
+        ("byłaś", 1, 300, "być:w", 1, 2, None), ("byłaś", 2, 300, "być:v", 1, 1, "była"), ("byłaś", 3, 300, "aś", 2, None, "aś"),
+        ("dom", 1, 300, "dom", None, None, None)],
+        "orth string, ordinal int, tag_id int, lemma string, segment int, end_segment int, surface string")
+    stop = spark.createDataFrame([("aś",)], "orth string")
+    tokens = text.annotate_tokens(items, lexicon)
+    at = {(r.id, r.start_node, r.end_node, r.orth, r.ordinal) for r in tokens.collect()}
+    assert {(1, 1, 3, "miałem", 1), (1, 2, 3, "em", 4), (1, 3, 4, "dom", 1), (1, 4, 5, "unknownword", 1), (1, 5, 7, "miałem", 1),
+            (1, 6, 7, "em", 4), (2, 2, 3, "aś", 3), (3, 1, 2, "dom", 1)} <= at
+    first = text.first_lemma(text.remove_stopwords(text.tag_filter(tokens), stop))
+    assert {tuple(r) for r in first.collect()} == {(1, 1, "mieć"), (1, 2, "być"), (1, 3, "dom"), (1, 5, "mieć"), (1, 6, "być"),
+                                                   (2, 1, "być"), (3, 1, "dom")}
+    expect = {(1, "mieć"), (1, "być"), (1, "dom"), (2, "być"), (3, "dom")}
+    assert {tuple(r) for r in text.process_title(items, lexicon, stop).collect()} == expect
+    assert {tuple(r) for r in text.bag_from_first_lemmas(first).collect()} == expect

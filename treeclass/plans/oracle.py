@@ -70,22 +70,29 @@ words as (
     select id, unnest(t) as orth, unnest(range(1, len(t) + 1)) as node from toks) u),
 vocab as (select distinct orth from words),
 lexicon as (
-  select orth, 1 as ordinal,
+  select orth, 1 as ordinal, 1 as segment, case when length(orth) >= 10 then 2 else 1 end as end_segment, orth as surface,
          case when length(orth) <= 2 then ([592, 151, 235, 429, 445, 461, 800, 462, 485, 508, 705, 714, 723, 594,
                                             596, 598, 573, 578, 585, 591, 148, 99, 97, 801])[__H_ORTH__ % 24 + 1]
-              when length(orth) = 3 then 592
+              when length(orth) in (3, 10) then 592
               else ([300, 593, 150, 152, 234, 236, 428, 509, 799, 802, 704, 724, 599, 572, 574, 577, 147, 149, 98,
                      100, 96])[__H_ORTH__ % 21 + 1] end as tag_id,
          case when length(orth) > 4 and suffix(orth, 's')
               then concat(substr(orth, 1, length(orth) - 1), ':s2') else orth end as lemma
   from vocab where length(orth) < 12
   union all
-  select orth, 2, 301, concat(orth, ':alt') from vocab where length(orth) = 3),
+  select orth, 2, 1, 1, orth, 301, concat(orth, ':alt') from vocab where length(orth) = 3
+  union all
+  select orth, 2, 1, 1, substr(orth, 1, 5), 149, concat(substr(orth, 1, 5), ':p') from vocab where length(orth) in (10, 11)
+  union all
+  select orth, 3, 2, 2, substr(orth, 6), 100, concat(substr(orth, 6), ':q') from vocab where length(orth) in (10, 11)),
 stop as (select orth from (values ('with'), ('that'), ('they'), ('avec'), ('pour'), ('auch')) v(orth)),
 tokens as (
-  select w.id, w.start_node, w.orth, coalesce(l.lemma, w.orth) as lemma,
-         coalesce(l.tag_id, 0) as tag_id, coalesce(l.ordinal, 1) as ordinal
-  from words w left join lexicon l on w.orth = l.orth),
+  select w.id, cast(w.node + coalesce(l.segment, 1) - 1 as int) as start_node,
+         cast(w.node + coalesce(l.end_segment, 1) as int) as end_node, coalesce(l.surface, w.orth) as orth,
+         coalesce(l.lemma, w.orth) as lemma, coalesce(l.tag_id, 0) as tag_id, coalesce(l.ordinal, 1) as ordinal
+  from (select id, orth, 1 + coalesce(sum(case when length(orth) in (10, 11) then 2 else 1 end)
+               over (partition by id order by start_node rows between unbounded preceding and 1 preceding), 0) as node
+        from words) w left join lexicon l on w.orth = l.orth),
 kept_tags as (select * from tokens where not (__TAG_DROPPED__)),
 kept as (select * from kept_tags t where not exists (select 1 from stop s where s.orth = t.orth)),
 first_lemma as (
@@ -262,9 +269,9 @@ select node, printf('model/logistic_regression_%d_%d_%s_%d', num_classes, 10, '0
        strftime(timestamp '2017-01-02 03:04:05.678', '%Y-%m-%d_%H-%M-%S-%g') as stamp
 from models""",
     # text
-    "annotate_tokens": "select id, start_node, orth, lemma, tag_id, ordinal from tokens",
-    "tag_filter": "select id, start_node, orth, lemma, tag_id, ordinal from kept_tags",
-    "stopword_anti_join": "select id, start_node, orth, lemma, tag_id, ordinal from kept",
+    "annotate_tokens": "select id, start_node, end_node, orth, lemma, tag_id, ordinal from tokens",
+    "tag_filter": "select id, start_node, end_node, orth, lemma, tag_id, ordinal from kept_tags",
+    "stopword_anti_join": "select id, start_node, end_node, orth, lemma, tag_id, ordinal from kept",
     "first_lemma": "select id, start_node, lemma from first_lemma",
     "lemma_base": "select orth, ordinal, lemma, split_part(lemma, ':', 1) as base from lexicon",
     "process_title": "select id, term from bag",
@@ -279,7 +286,7 @@ with turns as (select -(conv_id * 1000 + turn) - 1 as id, text as title from con
 turn_words as (select distinct id, unnest(regexp_extract_all(title, '\\p{L}+')) as orth from turns),
 turn_lemma as (
   select l.orth, min_by(split_part(l.lemma, ':', 1), l.ordinal) as lemma
-  from lexicon l where not (__TAG_DROPPED__) and l.orth not in (select orth from stop) group by l.orth),
+  from lexicon l where not (__TAG_DROPPED__) and l.surface not in (select orth from stop) group by l.orth, l.segment),
 turn_bag as (select distinct w.id, l.lemma as term from turn_words w join turn_lemma l on l.orth = w.orth),
 both_tf as (
   select id, cast(__H_TERM__ % 30720 as int) as bucket, count(*) as tf
@@ -442,9 +449,12 @@ STANDALONE = {
     # the lexicon's rules applied to a word itself: 3 to 11 letters survive the tag filter
     "tfidf": """
 with words as (select distinct doc_id as id, unnest(regexp_extract_all(text, '\\p{L}+')) as orth from documents),
-bag as (
-  select distinct id, case when length(orth) > 4 and suffix(orth, 's') then substr(orth, 1, length(orth) - 1) else orth end as term
-  from words where length(orth) between 3 and 11 and orth not in ('with', 'that', 'they', 'avec', 'pour', 'auch')),
+terms as (
+  select id, case when length(orth) = 10 then substr(orth, 1, 5)
+                  when length(orth) > 4 and suffix(orth, 's') then substr(orth, 1, length(orth) - 1) else orth end as term
+  from words where length(orth) between 3 and 11 and orth not in ('with', 'that', 'they', 'avec', 'pour', 'auch')
+  union all select id, substr(orth, 6) from words where length(orth) in (10, 11)),
+bag as (select distinct id, term from terms),
 tf as (select id, cast(__H_TERM__ % 30720 as int) as bucket, count(*) as tf from bag group by 1, 2),
 df as (select bucket, count(*) as df from tf group by bucket)
 select t.id, t.bucket, t.tf, d.df, round(t.tf * ln((m.m + 1.0) / (d.df + 1.0)), 9) as value

@@ -17,6 +17,8 @@ in ``treeclass.plans.oracle`` states the same rules):
              words one of ``LEXICON_KEPT``, ids just outside the dropped ranges; a
              word over 4 letters ending in 's' gets lemma ``stem:s2``;
              3-letter words have a second analysis (tag 301, ``word:alt``).
+             Words of 10 and 11 letters are cut into two nodes after the fifth letter: their first
+             analysis covers both (10 letters: a dropped tag), two more cover one each.
              Words are kept as written (case included).
 * stop words = the fixed list below.
 
@@ -37,6 +39,7 @@ FIXTURE_STOP_WORDS = ("with", "that", "they", "avec", "pour", "auch")
 
 # Lexicon rule parameters.
 UNKNOWN_MIN_LENGTH = 12
+TWO_NODES = 10
 LABEL_ONLY_L1_MIN_FEED = 18
 # Tags of the fixture lexicon, with both bounds of every dropped range, and
 # kept tags on both sides of each.
@@ -95,22 +98,28 @@ def vocabulary(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None =
 
 def lexicon(spark: SparkSession, sf_dir: str, item_frame: DataFrame | None = None,
             words: DataFrame | None = None) -> DataFrame:
-    """``orth, ordinal INT, tag_id INT, lemma`` — analyses in analyser order."""
+    """``orth, ordinal INT, tag_id INT, lemma, segment INT, end_segment INT, surface`` — analyses
+    in analyser order."""
     w = vocabulary(spark, sf_dir, item_frame, words).where(F.length("orth") < UNKNOWN_MIN_LENGTH)
     n = F.length("orth")
 
     def by_hash(ids):
         return F.element_at(F.array(*map(F.lit, ids)), (md5_hash("orth") % len(ids) + 1).cast("int"))
-    tag = F.when(n <= 2, by_hash(LEXICON_DROPPED)).when(n == 3, 592).otherwise(by_hash(LEXICON_KEPT))
+    tag = F.when(n <= 2, by_hash(LEXICON_DROPPED)).when(n.isin(3, TWO_NODES), 592).otherwise(by_hash(LEXICON_KEPT))
     lemma = (F.when((n > 4) & F.col("orth").endswith("s"),
                     F.concat(F.expr("substring(orth, 1, length(orth) - 1)"), F.lit(":s2")))
              .otherwise(F.col("orth")))
-    first = w.select("orth", F.lit(1).alias("ordinal"), tag.cast("int").alias("tag_id"),
-                     lemma.alias("lemma"))
-    second = w.where(n == 3).select("orth", F.lit(2).alias("ordinal"),
-                                    F.lit(301).alias("tag_id"),
-                                    F.concat("orth", F.lit(":alt")).alias("lemma"))
-    return first.unionByName(second)
+    first = F.struct(F.lit(1).alias("ordinal"), tag.cast("int").alias("tag_id"), lemma.alias("lemma"), F.lit(1).alias("segment"),
+                     F.when(n >= TWO_NODES, 2).otherwise(1).alias("end_segment"), F.col("orth").alias("surface"))
+
+    def more(ordinal, tag_id, lemma, segment, surface):
+        return F.struct(F.lit(ordinal).alias("ordinal"), F.lit(tag_id).alias("tag_id"), lemma.alias("lemma"),
+                        F.lit(segment).alias("segment"), F.lit(segment).alias("end_segment"), surface.alias("surface"))
+    head, tail = F.substring("orth", 1, 5), F.substring("orth", 6, 100)
+    analyses = F.when(n == 3, F.array(first, more(2, 301, F.concat("orth", F.lit(":alt")), 1, F.col("orth")))).when(
+        n >= TWO_NODES, F.array(first, more(2, 149, F.concat(head, F.lit(":p")), 1, head),
+                                more(3, 100, F.concat(tail, F.lit(":q")), 2, tail))).otherwise(F.array(first))
+    return w.select("orth", F.inline(analyses))
 
 
 def stopwords(spark: SparkSession) -> DataFrame:
