@@ -148,3 +148,57 @@ def test_own_idf_of_a_node_scales_its_training_rows(spark):
     routes = labels.select("id", F.lit(0).alias("node"))
     got = {r.id: r.prediction for r in score.linear_predict(routes, long, folded).collect()}
     assert got == {i: float(i % 2) for i in range(40)}
+
+
+@pytest.mark.parametrize("classes,intercept", [(2, False), (2, True), (4, False), (4, True)])
+def test_models_saved_by_mllib_score_the_same(spark, tmp_path, classes, intercept):
+    import random
+
+    from pyspark.mllib.classification import LogisticRegressionWithLBFGS
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.regression import LabeledPoint
+
+    from treeclass.sources import mllib
+    rnd = random.Random(classes)
+    rows = [(i, [(b, float(rnd.randint(1, 3))) for b in sorted({i % classes, 5 + rnd.randrange(7), 12})]) for i in range(120)]
+    points = spark.sparkContext.parallelize([LabeledPoint(i % classes, Vectors.sparse(13, v)) for i, v in rows], 2)
+    model = LogisticRegressionWithLBFGS.train(points, iterations=10, regParam=0.01, numClasses=classes, intercept=intercept)
+    model.save(spark.sparkContext, f"{tmp_path}/logistic_regression_{classes}_10_0.01_17")
+    weights, models = mllib.read_models(spark, str(tmp_path))
+    assert [tuple(r) for r in models.collect()] == [(17, classes, 13)]
+    assert (weights.where("feature is null").count() > 0) == intercept
+    long = spark.createDataFrame([(i, b, x) for i, v in rows for b, x in v], "id long, feature int, value double")
+    routes = spark.createDataFrame([(i, 17) for i, _ in rows], "id long, node int")
+    got = {r.id: r.prediction for r in score.linear_predict(routes, long, weights).collect()}
+    assert got == {i: float(model.predict(Vectors.sparse(13, v))) for i, v in rows}
+
+
+def test_mllib_reader_refuses_what_does_not_fit(spark, tmp_path):
+    from pyspark.mllib.classification import LogisticRegressionModel
+    from pyspark.mllib.linalg import DenseVector
+
+    from treeclass.sources import mllib
+    model = LogisticRegressionModel(DenseVector([1.0, 0.0, -2.0]), 0.5, 3, 2)
+    model.save(spark.sparkContext, f"{tmp_path}/a/logistic_regression_2_10_0.01_5")
+    w, _ = mllib.read_models(spark, f"{tmp_path}/a")
+    assert {tuple(r) for r in w.collect()} == {(5, 1, 0, 1.0), (5, 1, 2, -2.0), (5, 1, None, 0.5)}
+    model.save(spark.sparkContext, f"{tmp_path}/a/logistic_regression_2_20_0.01_5")
+    with pytest.raises(ValueError, match="node 5"):
+        mllib.read_models(spark, f"{tmp_path}/a")
+    model.save(spark.sparkContext, f"{tmp_path}/b/logistic_regression_x")
+    with pytest.raises(Exception, match="no node id"):
+        mllib.read_models(spark, f"{tmp_path}/b")[0].collect()
+    spark.read.parquet(f"{tmp_path}/a/logistic_regression_2_10_0.01_5/data").write.parquet(f"{tmp_path}/c/logistic_regression_3_1_1_8/data")
+    spark.createDataFrame([("x", "1.0", 4, 3)], "class string, version string, numFeatures int, numClasses int").write.json(
+        f"{tmp_path}/c/logistic_regression_3_1_1_8/metadata")
+    with pytest.raises(Exception, match="weights for 3 classes"):
+        mllib.read_models(spark, f"{tmp_path}/c")[0].collect()
+
+
+def test_levels_of_loaded_models(spark):
+    from treeclass.operators import taxonomy
+    from treeclass.sources import mllib
+    category = spark.createDataFrame([(1, 0, ""), (11, 1, ""), (111, 11, "")], "id int, parent_id int, name string")
+    models = spark.createDataFrame([(0,), (1,), (11,)], "node int")
+    levels = mllib.with_levels(models, category, taxonomy.category_closure(category))
+    assert {(r.node, r.level) for r in levels.collect()} == {(0, 1), (1, 2), (11, 3)}

@@ -433,6 +433,9 @@ select count(*) as n_items, count(*) as n_ids, true as valid_chain, true as beat
 from ad_labels where {H.format(x='cast(id as varchar)')} % 100 >= 60""",
     "fit_or_load": """
 select (select count(*) from models) as n_nodes, cast(2 as int) as n_fits, (select count(*) from idf) as n_idf""",
+    "mllib_models": """
+select (select count(*) from docs) as n, true as same, cast(0 as int) as node,
+       (select num_classes from child_counts where node = 0) as num_classes, cast(256 as int) as num_features""",
     "refit_changed_nodes": """
 with one as (select * from ad_labels where id = (select min(id) from ad_labels where cat3 is not null))
 select cast(1 as int) as step, node, cast(0 as bigint) as n_lost from models

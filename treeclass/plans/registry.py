@@ -14,7 +14,7 @@ from treeclass.operators import encode, features, metrics, score, taxonomy, text
 from treeclass.operators.joins import small_side
 from treeclass.plans.context import MARGIN_DIGITS, Context
 from treeclass.session import cut_lineage, scratch_path
-from treeclass.sources import tsv
+from treeclass.sources import mllib, tsv
 
 NUM_BUCKETS = features.CASCADE_BUCKETS
 R6 = 6
@@ -621,6 +621,34 @@ def fit_or_load(spark, sf_dir):
         "n_nodes", F.lit(len(calls)).alias("n_fits"), F.lit(idf_table.count()).cast("long").alias("n_idf"))
 
 
+def mllib_models(spark, sf_dir):
+    """A root model saved by ``pyspark.mllib`` in the reference's layout, read back: the class, the
+    margin and the node of every item equal those of the weights it was made from."""
+    from pyspark.mllib.classification import LogisticRegressionModel
+    from pyspark.mllib.linalg import DenseVector
+    c = _ctx(spark, sf_dir)
+    small = 256
+    tf = cut_lineage(features.hashing_tf(c.bag, small, "md5"))
+    k = c.category.where("parent_id = 0").count()
+    enc = encode.label_encode(c.labels, c.index)
+    data = features.labeled_features(enc, "l1_idx", features.tfidf_vectors(c.items, tf, None, small))
+    rows = train.fit_lr(data.select("label", "features"), k).coefficientMatrix.toArray()
+    pivot = rows[1:] - rows[0]  # classes x buckets: bounded by the parameters
+    root = scratch_path(spark, "mllib")
+    LogisticRegressionModel(DenseVector(pivot.ravel()), 0.0, small, k).save(
+        spark.sparkContext, f"{root}/logistic_regression_{k}_{train.MAX_ITER}_{train.REG_PARAM}_0")
+    weights, models = mllib.read_models(spark, root)
+    direct = spark.createDataFrame([(0, i + 1, b, float(w)) for i, row in enumerate(pivot) for b, w in enumerate(row) if w],
+                                   train.WEIGHTS_SCHEMA)
+    long = tf.select("id", F.col("bucket").alias("feature"), F.col("tf").cast("double").alias("value"))
+    routes = c.items.select("id", F.lit(0).alias("node"))
+    a, b = (score.linear_score(routes, long, w, c.index, MARGIN_DIGITS) for w in (weights, direct))
+    same = a.join(b.select("id", F.col("idx").alias("idx2"), F.col("margin").alias("margin2")), "id")
+    return same.agg(F.count("*").alias("n"), F.min((F.col("idx") == F.col("idx2")) & (F.abs(F.col("margin") - F.col("margin2")) < 1e-5)
+                                                   & (F.col("node") == 0)).alias("same")).join(models).select(
+        "n", "same", "node", "num_classes", "num_features")
+
+
 def refit_changed_nodes(spark, sf_dir):
     """``step, node``: the nodes fitted for the same data twice (steps 1 and 2; none in step 2), then
     after one item of a level-3 category got another term (3), and when the fit of that step
@@ -728,6 +756,7 @@ QUERIES = {
     "train_lr": train_lr,
     "train_hierarchy": train_hierarchy,
     "fit_or_load": fit_or_load,
+    "mllib_models": mllib_models,
     "refit_changed_nodes": refit_changed_nodes,
     "trained_cascade": trained_cascade,
 }
