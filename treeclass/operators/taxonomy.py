@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeclass.operators.joins import small_side
+from treeclass.operators.ordering import dense_index
 from treeclass.session import cut_lineage
 
 
@@ -82,8 +83,7 @@ def level2_children(category: DataFrame) -> DataFrame:
 
 def category_list(category: DataFrame) -> DataFrame:
     """``pos, id`` — the sorted category ids with their global dense position."""
-    w = Window.orderBy("id")
-    return category.select((F.row_number().over(w) - 1).cast("int").alias("pos"), "id")
+    return dense_index(category.select("id"), ["id"], "pos").select("pos", "id")
 
 
 def category_map_for_parent(labels: DataFrame, level: int, parent: int = -1) -> DataFrame:
@@ -99,8 +99,7 @@ def category_map_for_parent(labels: DataFrame, level: int, parent: int = -1) ->
             raise ValueError("a parent filter needs level >= 2")
         rows = rows.where(F.col(f"cat{level - 1}") == parent)
     seen = rows.select(F.col(col).alias("id")).distinct()
-    w = Window.orderBy("id")
-    return seen.select("id", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+    return dense_index(seen, ["id"])
 
 
 def category_map_by_parent(labels: DataFrame, level: int) -> DataFrame:

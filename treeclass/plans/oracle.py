@@ -205,6 +205,14 @@ from models m left join (select node, count(*) as n from weights group by node)
 select c.id, c.parent_id, d.depth as level from category c join depth d on c.id = d.id""",
     "category_index": "select parent_id, id, idx from category_index",
     "category_closure": "select id, anc, hops from closure",
+    "category_tour": """
+with paths(id, depth, path) as (
+  select cast(0 as int), cast(0 as int), [0]
+  union all select c.id, p.depth + 1, list_append(p.path, c.id) from paths p join category c on c.parent_id = p.id),
+ranked as (select id, depth, path, row_number() over (order by path) - 1 as rank from paths)
+select r.id, r.depth, 2 * r.rank - r.depth as enter,
+       2 * r.rank - r.depth + 2 * (select count(*) from paths p where list_contains(p.path, r.id)) - 1 as leave
+from ranked r""",
     "l2_children": """
 select parent_id, cast(count(*) as int) as n_children, string_agg(cast(id as varchar), ',' order by id) as children
 from category where parent_id in (select id from category where parent_id = 0) group by parent_id""",
@@ -363,6 +371,16 @@ select p.a, p.b, case when p.a = p.b then 0 else (
          join up u on q.anc = u.anc where q.a = p.a and u.b = p.b) end as cost
 from (select distinct coalesce(a.cat3, a.cat2, a.cat1) as a, d.category as b
       from decoded d join ad_labels a on a.id = d.id where d.category <> 0) p""",
+    "category_cost_tour": """
+with pairs as (select distinct coalesce(a.cat3, a.cat2, a.cat1) as a, d.category as b
+               from decoded d join ad_labels a on a.id = d.id where d.category <> 0)
+select p.a, p.b,
+       (select cast(min_by(u.hops + 2 * q.p, u.hops) as int) from pos q join up u on q.anc = u.anc
+        where q.a = p.a and u.b = p.b) as cost,
+       (select cast(min_by(u.hops + 2 * q.p, u.hops) as int)
+        from (select id as a, anc, hops as p from closure union all select id, 0, depth from depth) q
+        join up u on q.anc = u.anc where q.a = p.a and u.b = p.b) as tree_cost
+from pairs p""",
     "category_frequency": """
 select c.id, round(coalesce(f.n, 0) / (select count(*) from ad_labels), 9) as freq
 from category c left join (
@@ -372,6 +390,15 @@ from category c left join (
 select c.id, round(coalesce(f.n, 0) / (select count(*) from ad_labels)
                    * (select count(*) from category) / s.row_sum, 9) as weight
 from category c
+left join (select cl.anc as id, count(*) as n from ad_labels a
+           join closure cl on cl.id = coalesce(a.cat3, a.cat2, a.cat1) group by cl.anc) f on f.id = c.id
+join (select a, sum(cost) as row_sum from (
+        select q.a, u.b, min_by(u.hops + 2 * q.p, u.hops) as cost from pos q join up u on q.anc = u.anc
+        where q.a <> u.b group by q.a, u.b) x group by a) s on s.a = c.id""",
+    "category_weights_tour": """
+select c.id, round(coalesce(f.n, 0) / (select count(*) from ad_labels), 9) as freq, cast(s.row_sum as bigint) as row_sum,
+       round(coalesce(f.n, 0) / (select count(*) from ad_labels) * (select count(*) from category) / s.row_sum, 9) as weight
+from category c
 left join (select cl.anc as id, count(*) as n from ad_labels a
            join closure cl on cl.id = coalesce(a.cat3, a.cat2, a.cat1) group by cl.anc) f on f.id = c.id
 join (select a, sum(cost) as row_sum from (

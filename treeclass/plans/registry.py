@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeclass.operators import encode, features, metrics, score, taxonomy, text, train
+from treeclass.operators import encode, features, metrics, score, taxonomy, text, tour, train
 from treeclass.operators.joins import small_side
 from treeclass.plans.context import MARGIN_DIGITS, Context
 from treeclass.session import cut_lineage, scratch_path
@@ -104,6 +104,10 @@ def category_closure(spark, sf_dir):
     return _ctx(spark, sf_dir).closure
 
 
+def category_tour(spark, sf_dir):
+    return tour.category_tour(_ctx(spark, sf_dir).category).select("id", "depth", "enter", "leave")
+
+
 def l2_children(spark, sf_dir):
     return taxonomy.level2_children(_ctx(spark, sf_dir).category)
 
@@ -474,6 +478,26 @@ def _root_predictions(c: Context) -> DataFrame:
     return s.join(c.labels, "id")
 
 
+def category_cost_tour(spark, sf_dir):
+    """Exact and tree costs of the occurring pairs through the interval index."""
+    c = _ctx(spark, sf_dir)
+    pairs = cut_lineage(score.cascade_decode(_cascade(c)).where(F.col("category") != 0).join(
+        encode.deepest_category(c.labels).withColumnRenamed("category", "a"), "id").select("a", F.col("category").alias("b")).distinct())
+    walk = tour.category_tour(c.category)
+    return tour.pair_cost(pairs, walk).join(
+        tour.pair_cost(pairs, walk, "tree").withColumnRenamed("cost", "tree_cost"), ["a", "b"])
+
+
+def category_weights_tour(spark, sf_dir):
+    """Frequencies, row sums and weights through the interval index."""
+    c = _ctx(spark, sf_dir)
+    walk = tour.category_tour(c.category)
+    freq, sums = cut_lineage(tour.category_frequency(c.labels, walk)), cut_lineage(tour.cost_row_sums(walk))
+    w = metrics.category_weights(freq, sums, c.category.count())
+    return w.join(freq, "id").join(sums.withColumnRenamed("a", "id"), "id").select(
+        "id", F.round("freq", R9).alias("freq"), "row_sum", F.round("weight", R9).alias("weight"))
+
+
 def mean_hier_cost(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     p = _root_predictions(c).select("id", F.col("cat1").alias("label"),
@@ -692,6 +716,7 @@ QUERIES = {
     "categories_level": categories_level,
     "category_index": category_index,
     "category_closure": category_closure,
+    "category_tour": category_tour,
     "l2_children": l2_children,
     "category_list": category_list,
     "category_map_for_parent": category_map_for_parent,
@@ -744,8 +769,10 @@ QUERIES = {
     # evaluation
     "category_cost": category_cost,
     "category_cost_tree": category_cost_tree,
+    "category_cost_tour": category_cost_tour,
     "category_frequency": category_frequency,
     "category_weights": category_weights,
+    "category_weights_tour": category_weights_tour,
     "mean_hier_cost": mean_hier_cost,
     "mean_hier_cost_unknown": mean_hier_cost_unknown,
     "selective_accuracy": selective_accuracy,
