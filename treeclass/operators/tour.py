@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.operators.ordering import dense_index, running_sums
-from treeclass.session import cut_lineage
+from treeclass.session import Scratch, cut_lineage
 
 
 def category_tour(category: DataFrame) -> DataFrame:
@@ -98,18 +98,21 @@ def common_depth(pairs: DataFrame, tour: DataFrame) -> DataFrame:
            .withColumn("low", F.least("at_a", "at_b")).withColumn("high", F.greatest("at_a", "at_b")))
     met = cut_lineage(met.withColumn("k", F.floor(F.log2(F.col("high") - F.col("low") + 1)).cast("int")))
     most = met.agg(F.max("k")).first()[0]
-    # the depth of the walk after each step
-    stretch = cut_lineage(_ends(tour, "depth").select("at", F.when(F.col("sign") == 1, F.col("depth")).otherwise(F.col("depth") - 1).alias("m")))
-    table = stretch.withColumn("k", F.lit(0))
-    for k in range(most or 0):
-        later = stretch.select((F.col("at") - (1 << k)).alias("at"), F.col("m").alias("m2"))
-        stretch = cut_lineage(stretch.join(later, "at").select("at", F.least("m", "m2").alias("m")))
-        table = table.unionByName(stretch.withColumn("k", F.lit(k + 1)))
-    first = table.select("k", F.col("at").alias("low"), F.col("m").alias("m1"))
-    second = table.select("k", F.col("at").alias("start"), F.col("m").alias("m2"))
-    met = met.withColumn("start", F.col("high") - F.expr("shiftleft(1L, k)") + 1)
-    return met.join(first, ["k", "low"]).join(second, ["k", "start"]).select(
-        *pairs.columns, "depth_a", "depth_b", F.least("m1", "m2").alias("depth_common"))
+    with Scratch(tour.sparkSession, "tour") as scratch:
+        # the depth of the walk after each step; written tables, since what a checkpoint remembers of
+        # its conditions piles up in the plans, round by round
+        stretch = scratch.keep(_ends(tour, "depth").select(
+            "at", F.when(F.col("sign") == 1, F.col("depth")).otherwise(F.col("depth") - 1).alias("m")))
+        table = stretch.withColumn("k", F.lit(0))
+        for k in range(most or 0):
+            later = stretch.select((F.col("at") - (1 << k)).alias("at"), F.col("m").alias("m2"))
+            stretch = scratch.keep(stretch.join(later, "at", "left").select("at", F.least("m", "m2").alias("m")))
+            table = table.unionByName(stretch.withColumn("k", F.lit(k + 1)))
+        first = table.select("k", F.col("at").alias("low"), F.col("m").alias("m1"))
+        second = table.select("k", F.col("at").alias("start"), F.col("m").alias("m2"))
+        met = met.withColumn("start", F.col("high") - F.expr("shiftleft(1L, k)") + 1)
+        return cut_lineage(met.join(first, ["k", "low"]).join(second, ["k", "start"]).select(
+            *pairs.columns, "depth_a", "depth_b", F.least("m1", "m2").alias("depth_common")))
 
 
 def pair_cost(pairs: DataFrame, tour: DataFrame, mode: str = "exact", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -134,7 +137,7 @@ def category_frequency(labels: DataFrame, tour: DataFrame) -> DataFrame:
     counts = labels.select(F.coalesce("cat3", "cat2", "cat1").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
     known = counts.join(tour.select("id", "enter"), "id", "left").select(
         F.when(F.col("enter").isNull(), F.raise_error(F.format_string("unknown category %s", "id")).cast("int")).otherwise(F.col("id")).alias("id"), "n")
-    own = tour.join(known, "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    own = cut_lineage(tour.join(known, "id", "left").withColumn("n", F.coalesce("n", F.lit(0))))
     sums = cut_lineage(subtree_sums(own, ["n"]))
     total = sums.where("id = 0").select(F.col("n").alias("total"))  # the root's subtree is everything: one row
     return sums.where("id <> 0").join(F.broadcast(total)).select("id", (F.col("n") / F.col("total")).alias("freq"))
@@ -156,9 +159,9 @@ def cost_row_sums(tour: DataFrame) -> DataFrame:
     s = F.when(deep, F.col("sd_m") - F.col("sd")).otherwise(0)
     # the part of the path below the root: the category of depth 2, or an L1 category itself
     second = F.col("depth") == 2
-    t = t.select("id", "parent_id", "depth", "enter", "leave", "cnt", "sd", n.cast("long").alias("y"), (s - 3 * m * n).cast("long").alias("x"),
-                 F.when(second, F.col("cnt")).otherwise(0).alias("c2"), F.when(second, F.col("sd")).otherwise(0).alias("s2"))
-    sums = path_sums(t, ["x", "y", "c2", "s2"]).toDF("id", "px", "py", "pc", "ps")
+    t = cut_lineage(t.select("id", "parent_id", "depth", "enter", "leave", "cnt", "sd", n.cast("long").alias("y"), (s - 3 * m * n).cast("long").alias("x"),
+                             F.when(second, F.col("cnt")).otherwise(0).alias("c2"), F.when(second, F.col("sd")).otherwise(0).alias("s2")))
+    sums = cut_lineage(path_sums(t, ["x", "y", "c2", "s2"])).toDF("id", "px", "py", "pc", "ps")
     every = sub.where("id = 0").select(F.col("cnt").alias("cnt_all"), F.col("sd").alias("sd_all"))  # one row
     d = F.col("depth")
     flat = d == 1
