@@ -4,7 +4,8 @@ Items arrive as a stream (``readStream``); the model side (lexicon, stop words,
 weights, model table, class index) is static.  Every per-item step of the
 cascade is stateless across items, so each micro-batch is classified with the
 batch operators inside ``foreachBatch`` and appended to a sink: no streaming
-state, and a restart resumes from the checkpoint in the shared folder
+state, one result per input row (an id that comes again, in the same batch or a later one, is
+classified again), and a restart resumes from the checkpoint in the shared folder
 (exactly-once with an idempotent sink keyed by batch id).
 """
 
@@ -41,9 +42,12 @@ def classify_stream(stream: DataFrame, lexicon: DataFrame, stop: DataFrame, weig
     def run(batch: DataFrame, batch_id: int) -> None:
         # what a batch stores (its bag and two cascade levels) goes when the batch ends
         with Scratch(batch.sparkSession, f"batch-{batch_id}") as scratch:
-            items = scratch.keep(batch)
+            # rows are scored under a number of their own, so a repeated id gives a result per row
+            rows = scratch.keep(batch.select("id", "title").withColumn("row", F.monotonically_increasing_id()))
+            items = rows.select(F.col("row").alias("id"), "title")
             bag = scratch.keep(text.process_title(items, lexicon, stop))
             out = classify_batch(items, lexicon, stop, packed, models, index, margin_digits, bag, scratch.keep)
+            out = out.withColumnRenamed("id", "row").join(rows.select("row", "id"), "row").select("id", "depth", "category")
             out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
