@@ -285,6 +285,7 @@ from models""",
     "process_title": "select id, term from bag",
     # features
     "hashing_tf": "select id, bucket, tf from tf",
+    "stage_title_terms": "select id, bucket, tf from tf",
     "idf": "select bucket, df, round(idf, 9) as idf from idf",
     "node_idf": """
 select r.node, t.bucket, count(*) as df, m.n_rows as n_docs, round(ln((m.n_rows + 1.0) / (count(*) + 1.0)), 9) as idf
@@ -350,6 +351,7 @@ select id, cat1_pred, round(conf1, 6) as conf1, cat2_pred, round(conf2, 6) as co
     "cascade_decode": "select id, depth, category from decoded",
     "cascade_decode_no_root_model": "select id, cast(0 as int) as depth, cast(0 as int) as category from docs",
     "stream_cascade_decode": "select id, depth, category from decoded",
+    "stage_hierarchy_model": "select id, depth, category from decoded",
     "cascade_decode_level1": """
 select id,
        cast(case when cat2_pred is null and conf1 >= 0.7 then 1 when cat2_pred is null then 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, metrics, score, taxonomy, text, tour, train
 from treeclass.operators.joins import small_side
+from treeclass.operators.stages import HierarchyModel, TitleTerms
 from treeclass.plans.context import MARGIN_DIGITS, Context
 from treeclass.session import cut_lineage, scratch_path
 from treeclass.sources import mllib, tsv
@@ -291,6 +292,16 @@ def hashing_tf(spark, sf_dir):
     return features.hashing_tf(_fresh_bag(_ctx(spark, sf_dir)), NUM_BUCKETS, "md5")
 
 
+def stage_title_terms(spark, sf_dir):
+    """The `pyspark.ml` stage of the title terms, saved and loaded, over files of lexicon and stop words."""
+    c = _ctx(spark, sf_dir)
+    folder = scratch_path(spark, "stage-terms")
+    c.lexicon.write.parquet(f"{folder}/lexicon")
+    tsv.write_stopwords(c.stop, f"{folder}/stop")
+    TitleTerms(lexiconPath=f"{folder}/lexicon", stopwordsPath=f"{folder}/stop", hashFunction="md5").write().save(f"{folder}/stage")
+    return TitleTerms.load(f"{folder}/stage").transform(c.items).select("id", F.inline("terms"))
+
+
 def _idf(c: Context):
     return features.idf(features.hashing_tf(c.bag, NUM_BUCKETS, "md5"), c.items.count())
 
@@ -415,6 +426,18 @@ def cascade_decode(spark, sf_dir):
     return score.cascade_decode(_cascade(_ctx(spark, sf_dir)))
 
 
+def stage_hierarchy_model(spark, sf_dir):
+    """The cascade as a saved and loaded `pyspark.ml` model over term columns."""
+    c = _ctx(spark, sf_dir)
+    folder = scratch_path(spark, "stage-model")
+    model = HierarchyModel(c.packed, c.models, c.index)
+    model._set(marginDigits=MARGIN_DIGITS).write().save(folder)
+    # an item's terms are bounded by its own title
+    bags = c.bag.groupBy("id").agg(F.collect_list(F.struct(F.col("term").alias("bucket"), F.lit(1).cast("long").alias("tf"))).alias("terms"))
+    out = HierarchyModel.load(folder).transform(c.items.select("id").join(bags, "id", "left"))
+    return out.select("id", "depth", "category")
+
+
 def cascade_decode_no_root_model(spark, sf_dir):
     """Without a root model every item is kept and stays undecided."""
     c = _ctx(spark, sf_dir)
@@ -748,6 +771,7 @@ QUERIES = {
     "process_title": process_title,
     # features
     "hashing_tf": hashing_tf,
+    "stage_title_terms": stage_title_terms,
     "idf": idf,
     "node_idf": node_idf,
     "idf_union_corpus": idf_union_corpus,
@@ -765,6 +789,7 @@ QUERIES = {
     "cascade_decode": cascade_decode,
     "cascade_decode_no_root_model": cascade_decode_no_root_model,
     "stream_cascade_decode": stream_cascade_decode,
+    "stage_hierarchy_model": stage_hierarchy_model,
     "cascade_decode_level1": cascade_decode_level1,
     # evaluation
     "category_cost": category_cost,
