@@ -152,6 +152,14 @@ def test_scores_match_brute_force_and_training_helps(spark):
     assert pseudo_likelihood.op3(docs(spark, [])).collect() == []
 
 
+def test_many_matches_are_placed_right(spark):
+    texts = ["".join(f"w{i} é𝄞 me{i}@x.org, " for i in range(30_000)), "a@b", "a@b c@d", "none", "", None]
+    found = {r.doc_id: r.edits for r in token_edits.redactions(docs(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        want = [m.span() for m in re.finditer(r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+", text or "")]
+        assert found[i][0].replacement == "Source: s\n" and [(e.start, e.end) for e in found[i][1:]] == want
+
+
 def test_long_numbers_are_replaced_whole(spark):
     numbers = ["1" * 100, "+" + "12 34-56 " * 30 + "7", "9" * 100_000, "1234567", "12-34-56"]
     frame = docs(spark, [(i, f"call {x} now") for i, x in enumerate(numbers)])
@@ -289,6 +297,16 @@ def test_encoded_data_is_rejected_and_prose_of_every_language_kept(spark):
     assert {r.doc_id: r.kept for r in out} == {i: i < 100 for i, _, _ in rows}
 
 
+def test_bands_beyond_the_broadcast_bound_give_the_same(spark):
+    rows = [(i, " ".join(["plain words of a usual text"] * (2 + i % 5) + [str(i)] * 9)) for i in range(150)] + edge_rows()
+    want = sorted(fertility.op6(docs(spark, rows), RANKS, PIECES).collect(), key=repr)
+    spark.conf.set("treeclass.broadcastMaxRows", "0")
+    try:
+        assert sorted(fertility.op6(docs(spark, rows), RANKS, PIECES).collect(), key=repr) == want
+    finally:
+        spark.conf.unset("treeclass.broadcastMaxRows")
+
+
 def test_bands_follow_the_corpus(spark):
     """Random letters and short hex words lie in the fixed bands, not in those of the prose around."""
     rnd = random.Random(8)
