@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from treeclass.llm import tokens
 from treeclass.llm.common import keep_table, sliced
+from treeclass.operators.joins import lookup_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -241,7 +242,8 @@ def judge(measured: DataFrame, bands: dict = BANDS, corpus: DataFrame | None = N
     out = measured
     if corpus is not None:
         keys = ["group_lang", "group_script", "group_size"]
-        out = measured.select("*", *_group()).join(F.broadcast(corpus), keys, "left")
+        # a group per language, script and size: broadcast behind a check, else salted by document
+        out = lookup_join(measured.select("*", *_group()), corpus, keys, "left", salt_key="doc_id")
         for v, (_, below, above) in CORPUS_SIDES.items():
             if below:
                 inside = inside & F.coalesce(F.col(v) >= F.col(f"{v}_low"), F.lit(True))
@@ -253,6 +255,6 @@ def judge(measured: DataFrame, bands: dict = BANDS, corpus: DataFrame | None = N
 
 def op6(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
     measured = keep_table(measures(docs, ranks, pieces), "fertility")
-    return judge(measured, corpus=corpus_bands(measured)).select(
+    return judge(measured, corpus=keep_table(corpus_bands(measured), "fertility_bands")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "script", "chars_per_token", "fallback_share", "entropy")
