@@ -187,6 +187,12 @@ def test_archives_many_files_push_down_and_append(spark):
     remove_path(spark, path)
 
 
+def test_schemes_of_spark_are_known_to_arrow(tmp_path):
+    assert [warc.arrow_uri(x) for x in ("s3a://b/c", "s3n://b/s3a://c", "s3://b", "hdfs://h/c", "/s3a")] == [
+        "s3://b/c", "s3://b/s3a://c", "s3://b", "hdfs://h/c", "/s3a"]
+    assert warc.file_system(f"file://{tmp_path}")[1] == warc.file_system(str(tmp_path))[1] == str(tmp_path)
+
+
 def test_payloads_are_not_inflated_when_unwanted(tmp_path):
     row = {"record_type": "response", "record_id": "<a>", "warc_date": None, "target_uri": "u", "refers_to": None, "digest": "sha1:x",
            "payload": np.random.default_rng(1).bytes(200_000)}

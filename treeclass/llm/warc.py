@@ -54,7 +54,15 @@ HEAD_BYTES = 4096
 BATCH_BYTES = 4 << 20
 
 
+def arrow_uri(path: str) -> str:
+    """Spark's name of a store's scheme as Arrow knows it (``s3a`` and ``s3n``: ``s3``)."""
+    scheme, mark, rest = path.partition("://")
+    return f"s3{mark}{rest}" if scheme in ("s3a", "s3n") else path
+
+
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system of a path and the path there; ``hdfs`` needs Arrow's native library on each worker."""
+    path = arrow_uri(path)
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
