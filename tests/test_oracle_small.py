@@ -15,7 +15,7 @@ KEYS = [k for k in entry.queries() if k in entry.oracle_sql()]
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels", "conversations", "pages", "benchmark"):
+    for t in sorted(f.removesuffix(".parquet") for f in os.listdir(SF) if f.endswith(".parquet")):
         c.execute(f"create view {t} as select * from read_parquet('{os.path.join(SF, t)}.parquet')")
     return c
 
