@@ -23,3 +23,21 @@ def test_repeated_ids_give_a_result_per_row(spark):
     # the margin of "car" passes the first gate (sigmoid(1) = 0.73) once and is not added up
     assert got == sorted([(7, 2, 22), (7, 2, 22), (7, 0, 0), (None, 2, 21), (8, 2, 21)], key=str)
     assert spark.read.parquet(out).where(F.col("depth") > 2).isEmpty()
+
+
+def test_stream_query_over_a_folder_and_over_a_file(spark, tmp_path):
+    from treeclass.plans import registry
+    texts = ["the car stops", "das Auto und car", "coche rojo car", None, "cars and more cars"]
+    docs = spark.createDataFrame([(i, t, ("de", "en", "es")[i % 3], f"src{i}") for i, t in enumerate(texts * 4)],
+                                 "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    folder, single = str(tmp_path / "folder"), str(tmp_path / "single")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    labels.write.parquet(f"{single}/labels.parquet")
+    docs.coalesce(1).write.parquet(f"{single}/part")
+    next((tmp_path / "single" / "part").glob("*.parquet")).rename(tmp_path / "single" / "documents.parquet")
+    for d in (folder, single):
+        want = sorted(tuple(r) for r in registry.cascade_decode(spark, d).collect())
+        assert len(want) == 20
+        assert sorted(tuple(r) for r in registry.stream_cascade_decode(spark, d).collect()) == want
