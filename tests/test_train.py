@@ -202,3 +202,22 @@ def test_levels_of_loaded_models(spark):
     models = spark.createDataFrame([(0,), (1,), (11,)], "node int")
     levels = mllib.with_levels(models, category, taxonomy.category_closure(category))
     assert {(r.node, r.level) for r in levels.collect()} == {(0, 1), (1, 2), (11, 3)}
+
+
+def test_vectors_are_written_once_for_all_nodes_of_a_path(spark, monkeypatch):
+    """Before: a copy of an item's vector per node, 500 000 rows in one task."""
+    labels = spark.createDataFrame([(i, 10 + i % 2, 100 + i % 4, (1000 + i % 8) if i % 3 else None) for i in range(48)] + [(48, None, None, None)],
+                                   "id long, cat1 int, cat2 int, cat3 int")
+    parents = {10: 0, 11: 0, **{100 + j: 10 + j % 2 for j in range(4)}, **{1000 + j: 100 + j % 4 for j in range(8)}}
+    category = spark.createDataFrame([(k, p, "") for k, p in parents.items()], "id int, parent_id int, name string")
+    index = taxonomy.category_index(category)
+    nodes = [r.node for r in encode.trainable_nodes(labels, category).collect()]
+    paths = train.training_paths(labels, index, nodes).collect()
+    assert len(paths) == 48
+    flat = sorted((r.id, n, r[f"label{level}"]) for r in paths for level, n in ((1, 0), (2, r.node2), (3, r.node3))
+                  if r[f"label{level}"] is not None)
+    assert flat == sorted((r.id, r.node, r.label) for r in train.node_training_rows(labels, index).collect())
+    some = train.training_paths(labels, index, [10, 101]).collect()
+    assert {r.node2 for r in some} == {10, None} and {r.node3 for r in some} == {101, None}
+    with pytest.raises(Exception, match="unknown category"):
+        train.training_paths(labels, index.where("id <> 1003"), nodes).collect()

@@ -36,8 +36,9 @@ from treeclass.session import Scratch, scratch_path
 MAX_ITER = 10
 REG_PARAM = 0.01
 
-#: Labelled rows a training file may hold: larger nodes are dealt over more files.
-ROWS_PER_FILE = 500_000
+#: Labelled rows a training file may hold: larger groups of items are dealt over more files (and tasks:
+#: 20 000 rows of a few hundred terms are some 50 MB).
+ROWS_PER_FILE = 20_000
 
 WEIGHTS_SCHEMA = "node int, idx int, feature int, w double"
 MODELS_SCHEMA = "node int, level int, num_classes int, num_features int, train_seconds double"
@@ -127,6 +128,24 @@ def node_training_rows(labels: DataFrame, index: DataFrame) -> DataFrame:
             .select("id", "node", "level", F.coalesce("idx", missing.cast("int")).cast("double").alias("label")))
 
 
+def training_paths(labels: DataFrame, index: DataFrame, nodes: list[int]) -> DataFrame:
+    """``id, label1, label2, label3, node2, node3`` — the class index of each item at the root and at the
+    level-1 and level-2 nodes of its path, NULL where that is none of ``nodes``.  One row per label row, so
+    an item's vector is stored once for all its nodes.  A label that is not in the index raises."""
+    ix = small_side(index.where(F.col("parent_id").isin(nodes)))
+    out, columns = labels, []
+    for level, node in enumerate((F.lit(0), F.col("cat1"), F.col("cat2")), 1):
+        category = F.col(f"cat{level}")
+        own = ix.select(F.col("parent_id").alias(f"_n{level}"), F.col("id").alias(f"_c{level}"), F.col("idx").alias(f"_i{level}"))
+        out = out.join(own, (node == F.col(f"_n{level}")) & (category == F.col(f"_c{level}")), "left")
+        missing = F.raise_error(F.format_string("unknown category %s under node %s", category, node)).cast("int")
+        columns.append(F.when(category.isNotNull() & node.isin(nodes), F.coalesce(f"_i{level}", missing))
+                       .cast("double").alias(f"label{level}"))
+    return (out.select("id", "cat1", "cat2", *columns).where("coalesce(label1, label2, label3) is not null")
+            .select("id", "label1", "label2", "label3", F.when(F.col("label2").isNotNull(), F.col("cat1")).alias("node2"),
+                    F.when(F.col("label3").isNotNull(), F.col("cat2")).alias("node3")))
+
+
 def scaled(data: DataFrame, idf_table: DataFrame, num_features: int) -> DataFrame:
     """Labelled term-frequency vectors times one IDF (at most ``num_features`` values)."""
     scale = [0.0] * num_features
@@ -142,10 +161,10 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
                     idf_by_node: DataFrame | None = None):
     """Fit every node of ``nodes(node, level, num_classes, n_rows)``.
 
-    The labelled vectors of all nodes are written once as a table partitioned by
-    node in the shared folder (an item sits in at most three node sets), so each
-    fit reads only its own partition.  Rows are dealt by (node, salt) with
-    ``n_rows / ROWS_PER_FILE`` salts: a large node spreads over many tasks and files, a small
+    The labelled vectors are written once, each with its labels at all nodes of its path
+    (``training_paths``), as a table partitioned by the level-1 and level-2 node in the shared folder,
+    so each fit reads only the partitions of its node.  Rows are dealt by (partition, salt) with
+    ``rows / ROWS_PER_FILE`` salts: a large partition spreads over many tasks and files, a small
     one is a single file.  Returns ``(weights, models)``; the fitted models stay saved as
     ``{model_dir}/node={node}`` (a scratch folder by default).  The labelled vectors are removed
     when the fits end.
@@ -159,14 +178,15 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
     fit_nodes = [n for n, _, k in todo if k >= 2]
     model_dir = model_dir or scratch_path(spark, "models")
     owner = Scratch(spark, "node-training")
-    table = owner.path("rows")
+    written = []
 
     def run(task):
         node, level, k = task
         if k < 2:
             return node, level, k, num_features, 0.0
         t0 = time.time()
-        data = spark.read.parquet(table).where(F.col("node") == node).select("label", "features")
+        own = F.lit(True) if level == 1 else F.col(f"node{level}") == node
+        data = written[0].where(own & F.col(f"label{level}").isNotNull()).select(F.col(f"label{level}").alias("label"), "features")
         if idf_by_node is not None:
             data = scaled(data, idf_by_node.where(F.col("node") == node), num_features)
         fit_lr(data, k, max_iter, reg_param, fit_intercept).write().overwrite().save(f"{model_dir}/node={node}")
@@ -174,12 +194,16 @@ def train_hierarchy(labels: DataFrame, index: DataFrame, nodes: DataFrame, vecto
 
     with owner:
         if fit_nodes:
-            salts = nodes.select("node", F.ceil(F.col("n_rows") / ROWS_PER_FILE).cast("int").alias("salts"))
-            rows = node_training_rows(labels, index).where(F.col("node").isin(fit_nodes)).join(small_side(salts), "node")
-            salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.greatest("salts", F.lit(1))))
-            (salted.join(vectors, "id").select("node", "salt", "label", "features")
-             .repartition("node", "salt").drop("salt")
-             .write.partitionBy("node").parquet(table))
+            rows = training_paths(labels, index, fit_nodes)
+            salts = rows.groupBy(F.col("node2").alias("_n2"), F.col("node3").alias("_n3")).agg(
+                F.ceil(F.count("*") / ROWS_PER_FILE).cast("int").alias("salts"))
+            salted = (rows.join(small_side(salts), F.col("node2").eqNullSafe(F.col("_n2")) & F.col("node3").eqNullSafe(F.col("_n3")))
+                      .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts"))))
+            path = owner.path("rows")
+            dealt = (salted.join(vectors, "id").select("label1", "label2", "label3", "features", "node2", "node3", "salt")
+                     .repartition("node2", "node3", "salt").drop("salt"))
+            dealt.write.partitionBy("node2", "node3").parquet(path)
+            written.append(spark.read.schema(dealt.schema).parquet(path))
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fitted = list(pool.map(run, todo))
     weights = saved_weights(spark, model_dir) if fit_nodes else spark.createDataFrame([], WEIGHTS_SCHEMA)
