@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeclass.operators import encode, features, score, taxonomy, text, train
-from treeclass.session import Scratch, buckets, cut_lineage
+from treeclass.session import Scratch
 from treeclass.sources import tsv
 
 TERMS_TYPE = "array<struct<bucket:int,tf:bigint>>"
@@ -180,15 +180,16 @@ class HierarchyModel(_Cascade, Model, MLReadable, MLWritable):
     """The cascade over fitted tables; adds ``depthCol`` and ``predictionCol`` (category 0: undecided).
 
     ``weights`` (long or packed), ``models``, ``index`` and, if terms are to be scaled, ``idf``.
-    ``transform`` stores the terms, partitioned by id, and the first two levels (checkpoints that
-    Spark removes when the result is no longer used).  ``release`` removes the tables of a fitted
-    model that was not loaded from a folder."""
+    ``transform`` stores the terms as a table bucketed by id and the first two levels (checkpoints that
+    Spark removes when the result is no longer used).  ``release`` removes the stored terms, whose
+    results must be written before, and the tables of a fitted model that was not loaded from a folder."""
 
     def __init__(self, weights: DataFrame | None = None, models: DataFrame | None = None, index: DataFrame | None = None,
                  idf: DataFrame | None = None):
         super().__init__()
         self._cascade_defaults()
         self.owner: Scratch | None = None
+        self.stored: list[Scratch] = []
         self.tables = {"weights": weights, "models": models, "index": index, "idf": idf}
 
     def setGates(self, gates) -> HierarchyModel:
@@ -198,6 +199,8 @@ class HierarchyModel(_Cascade, Model, MLReadable, MLWritable):
         if self.owner is not None:
             self.owner.close()
             self.owner = None
+        while self.stored:
+            self.stored.pop().close()
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, terms, t = self.get("idCol"), self.get("termsCol"), self.tables
@@ -208,7 +211,8 @@ class HierarchyModel(_Cascade, Model, MLReadable, MLWritable):
             if other:
                 raise ValueError(f"{other} models were fitted on another number of buckets than {self.get('numBuckets')}")
         items = dataset.select(F.col(key).alias("id"), F.col(terms).alias("terms"))
-        items = cut_lineage(items.repartition(buckets(dataset.sparkSession), "id"))
+        self.stored.append(Scratch(dataset.sparkSession, "hierarchy-terms"))
+        items = self.stored[-1].bucketed(items, "id", "terms")
         check_ids(items.select("id"))
         long = items.select("id", F.inline("terms"))
         if t["idf"] is not None:
