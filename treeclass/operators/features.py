@@ -70,16 +70,16 @@ def tfidf(tf: DataFrame, idf_table: DataFrame, carry: tuple[str, ...] = ()) -> D
 
 
 def fit_tfidf(items: DataFrame, bag: DataFrame, num_buckets: int = CASCADE_BUCKETS,
-              hash_fn: str = "murmur3", idf_table: DataFrame | None = None):
+              hash_fn: str = "murmur3", idf_table: DataFrame | None = None, keep=cut_lineage):
     """TF-IDF of ``bag``; the IDF is fitted on ``items`` unless one is given.
 
     Returns ``(tfidf_long, idf_table)``.  Fitting needs two passes over the term
     frequencies (document frequencies first, then the product), so ``tf`` is then
-    materialised once (checkpoint in the shared folder) instead of re-tokenising.
+    materialised once instead of re-tokenising (``keep``: a checkpoint in the shared folder by default).
     """
     tf = hashing_tf(bag, num_buckets, hash_fn)
     if idf_table is None:
-        tf = cut_lineage(tf)
+        tf = keep(tf)
         idf_table = idf(tf, items.count())
     return tfidf(tf, idf_table), idf_table
 
