@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from treeclass.operators import encode, features, score, train
+from treeclass.operators import encode, features, score, taxonomy, train
 from treeclass.plans.context import Context
 from treeclass.session import scratch_path
 
