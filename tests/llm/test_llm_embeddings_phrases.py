@@ -63,6 +63,22 @@ def test_phrases_of_edge_rows_and_empty_tables(spark):
     assert collocations.op11(docs(spark, [(1, "too rare"), (2, None)])).count() == 0
 
 
+def test_rare_groups_are_not_rows_of_their_own(spark, monkeypatch):
+    rnd, kept, keep = random.Random(4), {}, Scratch.keep
+
+    def counted(self, df, name="kept"):
+        out = keep(self, df, name)
+        kept[name] = out.count()
+        return out
+    monkeypatch.setattr(Scratch, "keep", counted)
+    monkeypatch.setattr(collocations, "PART_WORDS", 500, raising=False)  # several parts of the groups
+    rows = [(i, " ".join(f"w{rnd.randrange(60)}" for _ in range(400)) + " ab cd ef ab cd ef") for i in range(20)]
+    got = collocations.collocations(docs(spark, rows), min_count=20, chunk_bytes=5000)
+    assert sorted(tuple(r) for r in got.collect()) == phrases_by_hand([("en", t) for _, t in rows], 20, 5, 2000)
+    # some 3 600 pairs of frequent words, few of them frequent: what is kept follows the blocks, not the pairs
+    assert 0 < kept["groups2"] < 500
+
+
 def test_phrase_scores_are_exact_beyond_64_bits(spark):
     a, n, left, right = 10 ** 12 + 7, 10 ** 15 + 3, 10 ** 12 + 9, 10 ** 13 + 7
     phrases = spark.createDataFrame([("en", 2, "x y", a), ("en", 1, "x", left), ("en", 1, "y", right)], "lang string, n_words int, phrase string, f long")
