@@ -129,3 +129,26 @@ def test_vector_margins_equal_a_sum_per_class(spark):
         for broadcast in (None, False):
             got = {(r.id, r.node): (r.idx, r.margin) for r in score.score_routes(routes, feats, w, broadcast_weights=broadcast).collect()}
             assert got == want
+
+
+def test_weights_are_those_of_each_category_and_term(spark, tmp_path):
+    import hashlib
+
+    from treeclass.operators import encode
+    from treeclass.plans.context import Context
+    docs = [(1, "alpha beta common", "de", "src1"), (2, "alpha gamma common", "en", "src2"), (3, "delta common", "en", "src18"),
+            (3, "omega common", "es", "src4"), (None, "nobody common", "es", "src5"), (4, None, "fr", "src6"), (5, "beta common", "en", "src5")]
+    df(spark, [(*d, len(d[1] or "")) for d in docs], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    df(spark, [(1, 1, 0), (2, 0, 0), (2, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    c = Context(spark, str(tmp_path))
+    cats = {(r.id, r.category) for r in encode.node_rows(c.labels).collect()}
+    index = {r.id: (r.parent_id, r.idx) for r in c.index.collect() if r.idx > 0}
+    want = {(*index[cat], b.term, (int(hashlib.md5(f"{cat}:{b.term}".encode()).hexdigest()[:8], 16) % 2001 - 1000) / 1000)
+            for b in c.bag.collect() for i, cat in cats if i is not None and i == b.id and cat in index}
+    got = [tuple(r) for r in c.weights.select("node", "idx", "feature", "w").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 5
+    packed = lambda f: sorted((r.node, r.feature, r.block, tuple(r.ws)) for r in f.collect())
+    alone = packed(c.root_packed)  # packed without the other nodes
+    assert "packed" not in c.__dict__ and alone and alone == packed(c.packed.where("node = 0"))

@@ -124,3 +124,19 @@ def test_words_cut_into_nodes_give_a_lemma_each(spark):
     expect = {(1, "mieć"), (1, "być"), (1, "dom"), (2, "być"), (3, "dom")}
     assert {tuple(r) for r in text.process_title(items, lexicon, stop).collect()} == expect
     assert {tuple(r) for r in text.bag_from_first_lemmas(first).collect()} == expect
+
+
+def test_word_lemmas_take_the_first_of_each_node(spark):
+    lexicon = spark.createDataFrame([
+        ("ab", 2, 300, "late:x", 1, 1, "ab"), ("ab", 1, 300, "first:x", 1, 1, "ab"), ("ab", 3, 300, "second", 2, 2, "b"),
+        ("ab", 4, 300, "first", 3, 3, "c"),                  # a third node with the lemma of the first
+        ("cd", None, 300, "never", 1, 1, "cd"),              # no order: no lemma
+        ("ef", None, 300, "never", 1, 1, "ef"), ("ef", 5, 300, "some", 1, 1, "ef"),
+        ("gh", 1, 300, None, 1, 1, "gh"), ("gh", 2, 300, "after", 1, 1, "gh"), ("gh", 1, 300, "tail", 2, 2, "h"),
+        ("ij", 1, 592, "dropped", 1, 1, "ij"), ("kl", 1, 300, "kl", 1, 1, "stop")],
+        "orth string, ordinal int, tag_id int, lemma string, segment int, end_segment int, surface string")
+    found = text.word_lemmas(lexicon, spark.createDataFrame([("stop",)], "orth string"))
+    # one aggregation and one shuffle per word
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r.orth: sorted(r.terms) for r in found.collect()} == {
+        "ab": ["first", "second"], "cd": [], "ef": ["some"], "gh": ["tail"]}
