@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import docs, edge_rows, prose_rows
-from treeclass.llm import collocations, embedding_tiles, whitening
+from treeclass.llm import collocations, embedding_tiles, whitening, word_blocks
 from treeclass.session import Scratch
 
 VECTOR_SCHEMA = "vec_id long, embedding array<float>, label int, row long, tile int, x string, id string, n_links int"
@@ -79,6 +79,41 @@ def test_rare_groups_are_not_rows_of_their_own(spark, monkeypatch):
     assert 0 < kept["groups2"] < 500
 
 
+def test_words_of_chunks_are_not_rows_of_their_own(spark, monkeypatch):
+    kept, keep = {}, Scratch.keep
+
+    def counted(self, df, name="kept"):
+        out = keep(self, df, name)
+        kept[name] = out.count()
+        return out
+    frame = type(docs(spark, []))
+    joined, join = [], frame.join
+    monkeypatch.setattr(Scratch, "keep", counted)
+    monkeypatch.setattr(frame, "join", lambda self, other, on=None, how=None: (joined.append(on), join(self, other, on, how))[1])
+    rows = [(i, " ".join(f"w{j}" for j in range(500)) + f" a{i} b{i} é") for i in range(30)] + [(None, "w1 w2"), (7, None)]
+    got = collocations.collocations(docs(spark, rows), min_count=30, top=10, chunk_bytes=3000)
+    assert sorted(tuple(r) for r in got.collect()) == phrases_by_hand([("en", t) for _, t in rows], 30, 5, 10)
+    # 30 chunks or so of some 500 frequent words each: 501 rows of words, the others are blocks
+    assert ["lang", "word"] not in joined and 501 < kept["groups1"] <= 501 + 8 * kept["word_chunks"] < 1500
+
+
+def test_words_are_counted_by_language_and_go_back_to_their_chunks(spark):
+    chunks = {(1, "en"): {b"a": 3, "é".encode(): 1, b"rare": 1}, (2, "en"): {b"a": 2, b"b": 9}, (3, "de"): {b"a": 4, b"rare": 1}}
+    frame = spark.createDataFrame([(c, lang, word_blocks.packed(list(w)), word_blocks.squeezed(np.array(list(w.values()))))
+                                   for (c, lang), w in chunks.items()], "chunk long, lang string, words binary, counts binary")
+    for parts in (1, 3, 50):
+        for value in ("id", "f"):
+            found = word_blocks.counted(frame, parts, 4, value).cache()
+            words = {(r.lang, r.word): r for r in found.where("id is not null").collect()}
+            assert {k: r.f for k, r in words.items()} == {("en", "a"): 5, ("en", "b"): 9, ("de", "a"): 4}
+            assert len({r.id for r in words.values()}) == 3
+            back = {r.chunk: r.kept for r in word_blocks.kept_by_chunk(found).collect()}
+            for (c, lang), w in chunks.items():
+                at, values = word_blocks.kept_words(list(w), [k.asDict() for k in back[c]], parts)
+                assert dict(zip(at.tolist(), values.tolist())) == {
+                    i: words[lang, x.decode()][value] for i, x in enumerate(w) if (lang, x.decode()) in words}
+
+
 def test_phrase_scores_are_exact_beyond_64_bits(spark):
     a, n, left, right = 10 ** 12 + 7, 10 ** 15 + 3, 10 ** 12 + 9, 10 ** 13 + 7
     phrases = spark.createDataFrame([("en", 2, "x y", a), ("en", 1, "x", left), ("en", 1, "y", right)], "lang string, n_words int, phrase string, f long")
