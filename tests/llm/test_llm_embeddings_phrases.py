@@ -99,7 +99,7 @@ def test_words_of_chunks_are_not_rows_of_their_own(spark, monkeypatch):
 
 def test_words_are_counted_by_language_and_go_back_to_their_chunks(spark):
     chunks = {(1, "en"): {b"a": 3, "é".encode(): 1, b"rare": 1}, (2, "en"): {b"a": 2, b"b": 9}, (3, "de"): {b"a": 4, b"rare": 1}}
-    frame = spark.createDataFrame([(c, lang, word_blocks.packed(list(w)), word_blocks.squeezed(np.array(list(w.values()))))
+    frame = spark.createDataFrame([(c, lang, word_blocks.packed(list(w)), word_blocks.planes(np.array(list(w.values()))))
                                    for (c, lang), w in chunks.items()], "chunk long, lang string, words binary, counts binary")
     for parts in (1, 3, 50):
         for value in ("id", "f"):

@@ -200,6 +200,42 @@ def test_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
     assert seldom > made_up + 0.5
 
 
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "CHUNK", 2000)  # several chunks a task, of several slices
+    monkeypatch.setattr(pseudo_likelihood, "TASK_BYTES", 500)
+    read = spark.sparkContext.accumulator(0)
+    rows = [(i, f"The the {'red' if i % 3 else 'blue'} car once{i} " * (1 + i % 9)) for i in range(200)] + [
+        (7, "the the"), (None, "lost"), (300, None), (301, " "), (302, "long " * 3000)]
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+    frame = docs(spark, rows).select("doc_id", "text").repartition(3).mapInArrow(counted, "doc_id long, text string")
+    out = pseudo_likelihood.op3(frame).collect()
+    assert read.value == len(rows)  # not once more for each round, nor for the scores
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((r.doc_id, r.n_tokens) for r in out), key=key) == sorted(((i, len((t or "").split())) for i, t in rows), key=key)
+    assert all((r.mean_log_prob is None) == (r.n_tokens == 0) and r.log_prob <= 0 for r in out)
+    want = collections.Counter(w for _, t in rows for w in (t or "").lower().split())
+    assert {r.word: r.n for r in pseudo_likelihood.word_counts(docs(spark, rows)).collect()} == want
+
+
+def test_chunks_are_scored_as_their_texts(spark):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"w{int(rnd.expovariate(0.003))}" for _ in range(rnd.randint(0, 300)))) for i in range(120)]
+    frame = docs(spark, rows)
+    counts = pseudo_likelihood.word_counts(frame).cache()
+    words, params = pseudo_likelihood.train(frame, 2, counts)
+    n, p = {r.word: r.n for r in counts.collect()}, pseudo_likelihood.split(params)
+    assert len(words) < len(n)  # some are rare
+    out = {r.doc_id: r.log_prob for r in pseudo_likelihood.scores(frame, words, params, counts.where("word != 'w1'")).collect()}
+    for i, t in rows[::12]:
+        ids = [words[w] for w in t.split()]
+        own = sum(np.log(n[w] / (words.rare[words[w] - words.pad + words.buckets] + 0.5)) for w in t.split() if w not in words)
+        assert np.isclose(out[i], brute_log_prob(ids, p) + own, rtol=1e-3, atol=1e-3)
+
+
 def test_gradients_match_differences():
     rnd = np.random.default_rng(0)
     vector = pseudo_likelihood.fresh().astype(np.float64)
