@@ -200,6 +200,24 @@ def test_vocabulary_grows_and_rare_words_have_their_own_probability(spark):
     assert seldom > made_up + 0.5
 
 
+def test_scores_that_cannot_leave_the_range_are_not_looked_at():
+    rnd = np.random.default_rng(1)
+    ids = np.array([pseudo_likelihood.PAD] * 2 + rnd.integers(0, 1024, 3000).tolist() + [pseudo_likelihood.PAD] * 2)
+    at, around = pseudo_likelihood.contexts(ids)
+    for factor, small in ((1, True), (40, False)):
+        p = pseudo_likelihood.split(pseudo_likelihood.fresh().astype(np.float64) * factor)
+        assert pseudo_likelihood.bounded(p) == small
+        got = pseudo_likelihood.forward(p, around, ids[at], small=pseudo_likelihood.bounded(p))
+        assert np.isfinite(got).all() and np.isclose(got.sum(), brute_log_prob(ids[at], p), rtol=1e-4)
+    trainer = pseudo_likelihood.Trainer(pseudo_likelihood.fresh())
+    before = trainer.vector.copy()
+    for _ in range(pseudo_likelihood.LOOKED_AT):  # what a trainer takes for granted between two looks
+        trainer.learn(ids)
+    moved = np.abs(trainer.vector - before).max()
+    assert 0 < moved < pseudo_likelihood.RATE * pseudo_likelihood.LOOKED_AT
+    assert pseudo_likelihood.LARGE + pseudo_likelihood.RATE * pseudo_likelihood.LOOKED_AT * (pseudo_likelihood.HIDDEN + 1) < 80
+
+
 def test_texts_are_cut_into_words_once(spark, monkeypatch):
     monkeypatch.setattr(pseudo_likelihood, "CHUNK", 2000)  # several chunks a task, of several slices
     monkeypatch.setattr(pseudo_likelihood, "TASK_BYTES", 500)
