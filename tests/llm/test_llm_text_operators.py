@@ -268,6 +268,62 @@ def test_gradients_match_differences():
         assert np.isclose((loss(vector + step) - loss(vector - step)) / 2e-5, grad[i], rtol=1e-4)
 
 
+def random_ids(rnd, n, top):
+    return np.array([pseudo_likelihood.PAD] * 2 + rnd.integers(0, top, n).tolist() + [pseudo_likelihood.PAD] * 2)
+
+
+def test_a_softmax_runs_over_the_tokens_of_many_classes(monkeypatch):
+    ids, calls, softmax = random_ids(np.random.default_rng(4), 3000, 1024), [], pseudo_likelihood._softmax
+    monkeypatch.setattr(pseudo_likelihood, "_softmax", lambda *a: calls.append(1) or softmax(*a))
+    at, around = pseudo_likelihood.contexts(ids)
+    p = pseudo_likelihood.split(pseudo_likelihood.fresh().astype(np.float64))
+    got = pseudo_likelihood.forward(p, around, ids[at])
+    assert len(calls) <= 2 * -(-3000 // pseudo_likelihood.BLOCK)  # not one more for each class
+    assert np.isclose(got.sum(), brute_log_prob(ids[at], p), rtol=1e-6)
+
+
+def test_gradients_do_not_depend_on_blocks(monkeypatch):
+    rnd = np.random.default_rng(6)
+    p, ids = pseudo_likelihood.split(pseudo_likelihood.fresh().astype(np.float64)), random_ids(rnd, 700, 300)
+    at, around = pseudo_likelihood.contexts(ids)
+    found = []
+    for block in (1000, 64, 7):
+        monkeypatch.setattr(pseudo_likelihood, "BLOCK", block)
+        vector = np.zeros(pseudo_likelihood.SIZE)
+        grads = pseudo_likelihood.split(vector)
+        log_p = [pseudo_likelihood.forward(p, around, ids[at], grads) for _ in range(2)][1]  # set, not added to the ones before
+        found.append((log_p, vector))
+    for log_p, vector in found[1:]:
+        assert np.allclose(log_p, found[0][0]) and np.allclose(vector, found[0][1])
+
+
+@pytest.mark.parametrize("tops", [(40, 700, 300), (1024, 40)])
+def test_steps_are_those_over_all_parameters(tops):
+    rnd = np.random.default_rng(7)
+    trainer, want = pseudo_likelihood.Trainer(pseudo_likelihood.fresh()), pseudo_likelihood.fresh().astype(np.float64)
+    squares = np.full(len(want), 1e-2)
+    for top in tops:  # few of the classes, most, all
+        ids = random_ids(rnd, 500, top)
+        trainer.learn(ids)
+        at, around = pseudo_likelihood.contexts(ids)
+        grad = np.zeros(len(want))
+        pseudo_likelihood.forward(pseudo_likelihood.split(want), around, ids[at], pseudo_likelihood.split(grad))
+        grad /= pseudo_likelihood.STEP ** 0.5
+        squares += grad * grad
+        want -= pseudo_likelihood.RATE * grad / np.sqrt(squares)
+        assert np.allclose(trainer.vector, want, atol=1e-4)
+
+
+def test_words_are_cut_as_python_cuts_them():
+    plain = ["a b\tc\r\nd\x0be\x0cf", "", " B  b ", "É\u200bß İ ΑΣ 语 𝄞", "\ufeff x\u180ey \x1b"]
+    other = ["a\x1cb", "\x1fa c", "a\u3000", "\x85", "a \u2028 b\xa0c", "\u1680 d\u2009e"]
+    for texts in (plain, other, plain + other, ["", " "], [], *([t] for t in plain + other)):
+        tokens, sizes, words = pseudo_likelihood._cut([t.lower().strip() for t in texts])
+        want = [t.lower().split() for t in texts]
+        assert tokens.to_pylist() == [w for t in want for w in t] and sizes.to_pylist() == [len(t) for t in want]
+        assert words.decode() == "\n".join(tokens.dictionary.to_pylist())
+
+
 # --- fertility --------------------------------------------------------------------------------
 
 def brute_base(text):
