@@ -8,7 +8,7 @@ a bound fixed by a parameter, so it is broadcast without a data check.  Vectors
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeclass.functions.hashing import bucket as bucket_expr
@@ -114,6 +114,12 @@ def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame | None,
     return prod.transform(counts).select("id", "features")
 
 
+def stored_values(vectors: str) -> Column:
+    """The values that a vector column holds, in the order of their indices: of a sparse vector those of
+    its non-empty buckets, so an item costs its own terms and not ``num_buckets``."""
+    return F.unwrap_udt(vectors)["values"]
+
+
 def labeled_features(labels: DataFrame, level_label: str, vectors: DataFrame) -> DataFrame:
     """``id, label DOUBLE, features`` for items whose ``level_label`` is present (>= 0)."""
     return (labels.where(F.col(level_label) >= 0)
