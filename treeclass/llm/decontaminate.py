@@ -13,7 +13,8 @@ term, the rarest too, may lie up to that many words off its place, within the do
 the document; all starts that match count.
 
 The test side is looked up in blocks of at most ``BLOCK_BYTES`` of text, so what is sent to
-the tasks has a fixed bound however many items there are; results of blocks are merged.
+the tasks (some bytes a word) has a fixed bound however many items there are; results of blocks are
+merged.  A shard's windows are formed some at a time.
 
 Terms are 64-bit hashes of the lower-cased word bytes (random table times powers of an odd
 number, mixed); a false match needs equal hashes of different words within a window whose
@@ -36,13 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeclass.llm.common import NULL_ID, id_key, keep_table, sliced
+from treeclass.llm.common import LARGE_ROWS, NULL_ID, id_key, keep_table, sliced
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20  # text hashed at once
 BLOCK_BYTES = 8 << 20
 STEP = 1 << 20  # candidates handled at once in a shard
+WINDOWS_AT_ONCE = 1 << 16  # windows looked up at once in a shard
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -129,11 +131,12 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
                     names=["shard", "doc_ids", "word_counts", "terms", "counts", "gaps"])
                 n += 1
     rows = docs.select(id_key().alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return keep_table(rows.mapInArrow(run, INDEX_SCHEMA), "positional_index")
+    return keep_table(rows.mapInArrow(run, INDEX_SCHEMA), "positional_index", options=LARGE_ROWS)
 
 
 class Windows:
-    """The windows of a block of items: rows of vocabulary numbers, by window length."""
+    """The windows of a block of items, by window length: vocabulary numbers of the items' words in a row, the place
+    of each window's first word and its item.  Rows of windows are made ``WINDOWS_AT_ONCE`` at a time."""
 
     def __init__(self, items: list[tuple[str, str]], size: int = WINDOW):
         self.names = sorted({i for i, _ in items})
@@ -142,12 +145,23 @@ class Windows:
         for item, text in items:
             _, h = words(text.encode())
             if len(h):
-                w = np.lib.stride_tricks.sliding_window_view(h, min(size, len(h)))
-                by_length.setdefault(w.shape[1], []).append((w, np.full(len(w), number[item])))
-        self.vocabulary = np.unique(np.concatenate([w.ravel() for x in by_length.values() for w, _ in x]
-                                                   or [np.empty(0, dtype=np.uint64)]))
-        self.lengths = {n: (np.searchsorted(self.vocabulary, np.concatenate([w for w, _ in x])),
-                            np.concatenate([i for _, i in x])) for n, x in by_length.items()}
+                by_length.setdefault(min(size, len(h)), []).append((h, number[item]))
+        self.vocabulary = np.unique(np.concatenate([h for x in by_length.values() for h, _ in x] or [np.empty(0, dtype=np.uint64)]))
+        self.lengths = {}
+        for n, found in by_length.items():
+            sizes = np.array([len(h) for h, _ in found])
+            windows = sizes - n + 1
+            begin = np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(windows) - windows), windows)
+            self.lengths[n] = (np.searchsorted(self.vocabulary, np.concatenate([h for h, _ in found])).astype(np.int32),
+                               (begin + np.arange(len(begin))).astype(np.int32),
+                               np.repeat(np.array([i for _, i in found], dtype=np.int32), windows))
+
+    def parts(self):
+        """(length, rows of vocabulary numbers, item numbers) of all windows, some at a time."""
+        for n, (numbers, first, items) in self.lengths.items():
+            for at in range(0, len(first), WINDOWS_AT_ONCE):
+                some = slice(at, at + WINDOWS_AT_ONCE)
+                yield n, numbers[first[some, None] + np.arange(n)], items[some]
 
 
 def _intersect(rows: np.ndarray, items: np.ndarray, terms: "_Terms", slop: int, begin: np.ndarray, n_words: np.ndarray):
@@ -215,7 +229,7 @@ def _find(row: dict, windows: Windows, slop: int) -> pa.RecordBatch:
     terms = _Terms(row, windows.vocabulary)
     edges = np.zeros(int((n_words + 1).sum()) + 1, dtype=np.int64)
     pairs = [np.empty(0, dtype=np.int64)]
-    for length, (rows, items) in windows.lengths.items():
+    for length, rows, items in windows.parts():
         for item, start, doc in _intersect(rows, items, terms, slop, begin, n_words):
             low, high = np.maximum(start, begin[doc]), np.minimum(start + length, begin[doc] + n_words[doc])
             high = np.maximum(low, high)
