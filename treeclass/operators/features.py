@@ -19,6 +19,7 @@ from treeclass.session import cut_lineage
 # the cascade; 2^20, 100 * 1024, 60 * 1024 for levels 0/1/2 of the flat program).
 CASCADE_BUCKETS = 30 * 1024
 FLAT_BUCKETS_BY_LEVEL = {0: 1 << 20, 1: 100 * 1024, 2: 60 * 1024}
+CASCADE_BUCKETS_BY_LEVEL = {1: CASCADE_BUCKETS, 2: CASCADE_BUCKETS, 3: CASCADE_BUCKETS}
 
 
 def hashing_tf(bag: DataFrame, num_buckets: int = CASCADE_BUCKETS,
@@ -114,6 +115,22 @@ def tfidf_vectors(items: DataFrame, tf: DataFrame, idf_table: DataFrame | None,
     return prod.transform(counts).select("id", "features")
 
 
+def level_features(long: DataFrame, level: int) -> DataFrame:
+    """``id, features{level}``: an item's ``tfidf`` rows of one level as an array of (bucket, value) by bucket
+    (bounded by the item's own terms)."""
+    return long.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("bucket", "value"))).alias(f"features{level}"))
+
+
+def join_levels(labels: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Label rows with the features of all levels: a chain of inner joins of the levels' features by item, then
+    with the label rows.  ``levels`` have a row per id (``level_features``), so each label row comes once however
+    often its id does; an item that lacks terms at a level has no row."""
+    rows = levels[0]
+    for level in levels[1:]:
+        rows = rows.join(level, "id")
+    return labels.join(rows, "id")
+
+
 def stored_values(vectors: str) -> Column:
     """The values that a vector column holds, in the order of their indices: of a sparse vector those of
     its non-empty buckets, so an item costs its own terms and not ``num_buckets``."""
