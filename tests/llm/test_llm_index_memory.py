@@ -1,4 +1,4 @@
-"""The positional index is written in small row groups, and tasks get words, not windows."""
+"""What tasks hold at once: row groups of the positional index, words of the benchmark, ids of a text."""
 
 import os
 import pickle
@@ -6,7 +6,7 @@ import pickle
 import pyarrow.parquet as pq
 from fixtures import docs
 
-from treeclass.llm import decontaminate
+from treeclass.llm import decontaminate, tokens
 
 
 def test_index_of_many_shards_is_written_in_small_row_groups(spark):
@@ -38,3 +38,15 @@ def test_windows_in_parts_are_all_windows(monkeypatch):
             for item, text in items for w in [text.split()] if w for k in range(len(w) - min(3, len(w)) + 1)]
     assert sorted(got) == sorted(want)
     assert all(len(rows) <= 2 for _, rows, _ in windows.parts())
+
+
+def test_texts_are_encoded_one_at_a_time():
+    seen = []
+
+    class Encoder:
+        def encode(self, text, allowed_special):
+            seen.append(text)
+            return [len(text)]
+    ids = tokens.all_ids(Encoder(), ["a", "bb", "ccc"])
+    assert next(iter(ids)) == [1] and seen == ["a"]
+    assert list(ids) == [[2], [3]]

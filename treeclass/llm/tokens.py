@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import regex
@@ -56,15 +57,18 @@ def ordinary_ids(bpe: tiktoken.Encoding, text: str) -> list[int]:
     return [i for piece in PRETOKEN.findall(text) for i in piece_ids(bpe, piece)]
 
 
-def all_ids(bpe: tiktoken.Encoding, texts: list[str]) -> list[list[int]]:
-    """Ids of texts as the JSON tokenizer gives them, the added token included."""
-    plain = [i for i, t in enumerate(texts) if not has_long_run(t)]
-    out = dict(zip(plain, bpe.encode_batch([texts[i] for i in plain], num_threads=1, allowed_special="all")))
+def text_ids(bpe: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text as the JSON tokenizer gives them, the added token included."""
+    if not has_long_run(text):
+        return bpe.encode(text, allowed_special="all")
     (name, added), = ADDED.items()
-    for i in set(range(len(texts))) - set(plain):
-        first, *rest = (ordinary_ids(bpe, part) for part in texts[i].split(name))
-        out[i] = first + [x for part in rest for x in [added, *part]]
-    return [out[i] for i in range(len(texts))]
+    first, *rest = (ordinary_ids(bpe, part) for part in text.split(name))
+    return first + [x for part in rest for x in [added, *part]]
+
+
+def all_ids(bpe: tiktoken.Encoding, texts: list[str]) -> Iterator[list[int]]:
+    """Ids of texts, of one at a time: a number in a list takes 36 bytes."""
+    return (text_ids(bpe, text) for text in texts)
 
 
 @lru_cache(maxsize=2)
